@@ -58,10 +58,22 @@ def lookup_key(fact: DataFrame, dim: DataFrame, on, key: str | None = None,
 
 def lookup_roles(fact: DataFrame, dim: DataFrame, roles: dict, dim_on: str, dim_key: str,
                  how: str = "left", drop_natural: bool = True,
-                 broadcast_rows: int | None = None, bounded: bool = False) -> DataFrame:
+                 broadcast_rows: int | None = None, bounded: bool = False,
+                 row_key=None) -> DataFrame:
     """Role-playing lookup: one dimension used for several fact columns
-    (J3, J4, J5).  ``roles = {fact_col: output_key_col}``."""
-    right = checked_broadcast(dim.select(dim_on, dim_key), broadcast_rows, bounded)
+    (J3, J4, J5).  ``roles = {fact_col: output_key_col}``.
+
+    Strategy: a dimension known small (``bounded``, or at most
+    ``broadcast_rows`` rows when counted) is broadcast and every role is
+    a map-side join.  A larger one with a unique ``row_key`` for the
+    fact goes through :func:`lookup_roles_unpivot` (one narrow join
+    instead of one fact-sized shuffle per role).  Otherwise one join per
+    role, planned by AQE."""
+    small = bounded or (broadcast_rows is not None and dim.count() <= broadcast_rows)
+    if not small and row_key is not None and how == "left":
+        return lookup_roles_unpivot(fact, dim, roles, row_key, dim_on, dim_key, drop_natural)
+    right = dim.select(dim_on, dim_key)
+    right = F.broadcast(right) if small else right
     out = fact
     for fact_col, out_col in roles.items():
         r = right.select(_q(dim_on).alias("_rk"), _q(dim_key).alias(out_col))

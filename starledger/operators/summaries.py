@@ -18,15 +18,27 @@ _TXN = "transaction_unique_key"
 
 
 def _grain(df: DataFrame, grain: str, dates: DataFrame | None) -> tuple[DataFrame, str]:
-    """Attach the grouping period: the day key, or the month *name* via the
-    calendar (which merges years, Q19; ``month_year`` keeps them apart)."""
+    """Attach the grouping period: the day key, or the month *name* (which
+    merges years, Q19; ``month_year`` keeps them apart).
+
+    With ``dates`` the month comes from an inner join with the calendar
+    (broadcast: its size is bounded by the number of days), which also
+    drops keys outside the calendar.  Without it the month is decoded
+    from the ``yyyymmdd`` key, which is the same whenever the calendar
+    covers the data (true by construction for a calendar derived from
+    the fact's own dates)."""
     if grain == "day":
         return df, "action_date_key"
     if dates is None:
-        raise ValueError("month grain needs the calendar dimension")
-    cal = F.broadcast(dates.select(F.col("date_key").alias("action_date_key"), "calendar_month",
-                                   "calendar_year"))
-    joined = df.join(cal, "action_date_key")
+        key = F.col("action_date_key")
+        joined = df.where(key.isNotNull()).withColumns({
+            "calendar_month": F.date_format(F.make_date(F.lit(2000), (key / 100 % 100).cast("int"), F.lit(1)),
+                                            "MMMM"),
+            "calendar_year": (key / 10000).cast("int")})
+    else:
+        cal = F.broadcast(dates.select(F.col("date_key").alias("action_date_key"), "calendar_month",
+                                       "calendar_year"))
+        joined = df.join(cal, "action_date_key")
     if grain == "month":
         return joined, "calendar_month"
     if grain == "month_year":

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starledger.operators.dims import (
     build_dim, build_role_dim, calendar_for, code_dim, conform_union, extract_dim,
 )
-from starledger.operators.joins import date_key_roles, enrich, lookup_roles, lookup_roles_unpivot
+from starledger.operators.joins import date_key_roles, enrich, lookup_roles
 from starledger.operators.keys import dense_key
 from starledger.sources.schemas import BUSINESS_SIZE_KEYS, OFFICER_NAMES
 
@@ -40,17 +40,24 @@ def gold_assistance(assistance: DataFrame) -> dict:
 
 
 def gold_transactions(assistance: DataFrame, contract: DataFrame, externals: dict | None = None,
-                      calendar: DataFrame | None = None) -> dict:
+                      calendar: DataFrame | None = None, broadcast_rows: int = 1_000_000) -> dict:
     """FactTransaction and its shared dimensions.
 
     ``externals``: optional silver frames ``education``, ``gdp``,
     ``pop_est``, ``pres`` (county) and ``house`` (district)."""
     externals = externals or {}
     txn = conform_union(assistance, contract)
-    cal = calendar if calendar is not None else calendar_for(txn, ["action_date", "last_modified_date"])
-    bounds = cal.agg(F.min("calendar_date").alias("b"), F.max("calendar_date").alias("e"))
-    fact = date_key_roles(txn, {"action_date": "action_date_key", "last_modified_date": "last_modified_key"},
-                          begin=bounds.select("b").scalar(), end=bounds.select("e").scalar())
+    roles = {"action_date": "action_date_key", "last_modified_date": "last_modified_key"}
+    if calendar is None:
+        # Derived from these dates: covers all of them, keys computed in place.
+        cal = calendar_for(txn, list(roles))
+        fact = date_key_roles(txn, roles)
+    else:
+        # Given span: keys outside it are null, as with a left lookup.  The
+        # bounds are scalar subqueries over the (small) calendar.
+        cal = calendar
+        bounds = cal.agg(F.min("calendar_date").alias("b"), F.max("calendar_date").alias("e"))
+        fact = date_key_roles(txn, roles, begin=bounds.select("b").scalar(), end=bounds.select("e").scalar())
     fact = fact.drop("action_date_fiscal_year")
     out = {"DimDate": cal}
 
@@ -91,8 +98,8 @@ def gold_transactions(assistance: DataFrame, contract: DataFrame, externals: dic
                                        ["country_code", "country_name"])
     hco = dense_key(build_role_dim(fact, [[c] for c in OFFICER_NAMES], ["hco_name"]), ["hco_name"], "hco_code")
     out["DimHighlyCompensatedOfficer"] = hco
-    fact = lookup_roles_unpivot(fact, hco, {n: n.replace("_name", "_code") for n in OFFICER_NAMES}, TXN,
-                                "hco_name", "hco_code")
+    fact = lookup_roles(fact, hco, {n: n.replace("_name", "_code") for n in OFFICER_NAMES},
+                        "hco_name", "hco_code", broadcast_rows=broadcast_rows, row_key=TXN)
     names = ["awarding_agency_name", "funding_agency_name", "awarding_office_name", "funding_office_name",
              "recipient_name_raw", "recipient_county_name", "primary_place_of_performance_county_name",
              "recipient_state_name", "primary_place_of_performance_state_name", "recipient_country_name",

@@ -51,8 +51,14 @@ def dkey(c: str) -> str:
 
 
 # Star fact with date keys (all role dates lie inside the derived calendar).
-FACT = f"select *, {dkey('action_date')} as action_date_key, {dkey('last_modified_date')} as last_modified_key " \
-       f"from ({txn(True, True)})"
+def fact(customer: bool = False, supplier: bool = False) -> str:
+    return f"select *, {dkey('action_date')} as action_date_key, " \
+           f"{dkey('last_modified_date')} as last_modified_key from ({txn(customer, supplier)})"
+
+
+FACT = fact()
+FACT_CS = fact(True, True)
+FACT_C = fact(customer=True)
 
 AGENCY = """select distinct * from (
   select awarding_agency_code as agency_code, awarding_agency_name as agency_name from t
@@ -255,7 +261,7 @@ select cast({dkey('d')} as bigint) as date_key, d as calendar_date, year(d) as c
 from days"""
 
 ORACLE["role_dates"] = f"""
-with t as ({txn(True, True)}),
+with t as ({txn()}),
 {CALENDAR_DAYS},
 cal as (select d, {dkey('d')} as k from days)
 select transaction_unique_key, c1.k as action_date_key, c2.k as last_modified_key
@@ -333,12 +339,12 @@ select award_unique_key, cast(max(total_obligated_amount) as double) as total_ob
 from t where award_type = 'assistance' group by award_unique_key"""
 
 ORACLE["summary_agencies_day"] = f"""
-with t as ({FACT}), agency as ({AGENCY})
+with t as ({FACT_CS}), agency as ({AGENCY})
 select cast(action_date_key as bigint) as action_date_key, agency_name, count(agency_code) as agency_count
 from t join agency on agency.agency_code = t.funding_agency_code group by all"""
 
 ORACLE["summary_agencies_month"] = f"""
-with t as ({FACT}), agency as ({AGENCY})
+with t as ({FACT_CS}), agency as ({AGENCY})
 select strftime(action_date, '%B') as calendar_month, agency_name, count(agency_code) as agency_count
 from t join agency on agency.agency_code = t.funding_agency_code group by all"""
 
@@ -369,7 +375,7 @@ select strftime(action_date, '%B') as calendar_month,
 from t join cf using (transaction_unique_key) group by all"""
 
 ORACLE["summary_by_county"] = f"""
-with t as ({FACT}),
+with t as ({FACT_CS}),
 {COUNTY},
 names as (select lpad(cast(n_nationkey as varchar), 5, '0') as fips_code, n_name as ctyname, r_name as stname
           from nation join region on n_regionkey = r_regionkey),
@@ -380,7 +386,7 @@ select t.prime_award_transaction_recipient_county_fips_code, ctyname as county_n
 from t join cty on t.prime_award_transaction_recipient_county_fips_code = cty.county_fips group by all"""
 
 ORACLE["summary_recipients"] = f"""
-with t as ({FACT}),
+with t as ({FACT_C}),
 r as (select distinct recipient_uei, recipient_name_raw from t
       where recipient_uei is not null and recipient_name_raw is not null)
 select cast(t.action_date_key as bigint) as action_date_key, r.recipient_name_raw,

@@ -23,7 +23,7 @@ from starledger.operators.dims import (
 )
 from starledger.operators.govern import Policy, mask_columns, secured
 from starledger.operators.joins import (
-    enrich, lookup_roles, lookup_roles_unpivot, merge_vintages, resolve_code_by_name,
+    enrich, lookup_roles, merge_vintages, resolve_code_by_name,
 )
 from starledger.operators.keys import dense_key
 from starledger.operators.merge import merge_increment
@@ -32,6 +32,9 @@ from starledger.plans.jobs import externals as ext
 
 Q = dict()
 
+# Dimensions at most this many rows (counted) are broadcast to lookups.
+BROADCAST_ROWS = 1_000_000
+
 
 def register(name):
     def deco(fn):
@@ -216,7 +219,7 @@ def calendar(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("role_dates")
 def role_dates(spark: SparkSession, sf: str) -> DataFrame:
-    fact, _ = star.transaction_fact(spark, sf)
+    fact, _ = star.calendar_lookup_fact(spark, sf)
     return widen(fact.select("transaction_unique_key", "action_date_key", "last_modified_key"))
 
 
@@ -234,7 +237,8 @@ def role_pair(spark: SparkSession, sf: str) -> DataFrame:
                                   "prime_award_transaction_place_of_performance_cd_original"), cd,
                        {"prime_award_transaction_recipient_cd_original": "recipient_cd_code",
                         "prime_award_transaction_place_of_performance_cd_original": "place_of_performance_cd_code"},
-                       dim_on="cd_original", dim_key="cd_code")
+                       dim_on="cd_original", dim_key="cd_code", broadcast_rows=BROADCAST_ROWS,
+                       row_key="transaction_unique_key")
     return out
 
 
@@ -242,9 +246,10 @@ def role_pair(spark: SparkSession, sf: str) -> DataFrame:
 def role_five(spark: SparkSession, sf: str) -> DataFrame:
     slots = roles.officer_slots(spark, sf)
     dim = dim_five_roles(spark, sf)
-    return lookup_roles_unpivot(slots, dim, {f"highly_compensated_officer_{i}_name":
-                                             f"highly_compensated_officer_{i}_code" for i in range(1, 6)},
-                                "transaction_unique_key", "hco_name", "hco_code")
+    return lookup_roles(slots, dim, {f"highly_compensated_officer_{i}_name":
+                                     f"highly_compensated_officer_{i}_code" for i in range(1, 6)},
+                        "hco_name", "hco_code", broadcast_rows=BROADCAST_ROWS,
+                        row_key="transaction_unique_key")
 
 
 # --------------------------------------------------------------------------
@@ -314,9 +319,9 @@ def merge_vintages_query(spark: SparkSession, sf: str) -> DataFrame:
 # Summaries
 # --------------------------------------------------------------------------
 
-def _facts(spark: SparkSession, sf: str):
-    txn, cal = star.transaction_fact(spark, sf)
-    return txn, cal
+def _facts(spark: SparkSession, sf: str, customer: bool = False, supplier: bool = False):
+    """Star fact; the month grain decodes the calendar month from the key."""
+    return star.transaction_fact(spark, sf, customer, supplier), None
 
 
 @register("summary_totals_by_day")
@@ -333,13 +338,13 @@ def summary_by_award(spark, sf):
 
 @register("summary_agencies_day")
 def summary_agencies_day(spark, sf):
-    txn, _ = _facts(spark, sf)
+    txn, _ = _facts(spark, sf, customer=True, supplier=True)
     return widen(sm.summary_agencies(txn, star.agency_dim(txn), "day"))
 
 
 @register("summary_agencies_month")
 def summary_agencies_month(spark, sf):
-    txn, cal = _facts(spark, sf)
+    txn, cal = _facts(spark, sf, customer=True, supplier=True)
     return widen(sm.summary_agencies(txn, star.agency_dim(txn), "month", cal))
 
 
@@ -373,7 +378,7 @@ def summary_small_business_month(spark, sf):
 
 @register("summary_by_county")
 def summary_by_county(spark, sf):
-    txn, _ = _facts(spark, sf)
+    txn, _ = _facts(spark, sf, customer=True, supplier=True)
     winners = ext.presidential_frame(roles.county_results(spark, sf))
     county = star.county_dim(spark, sf, txn, winners)
     na = roles.table(spark, sf, "nation")
@@ -388,7 +393,7 @@ def summary_by_county(spark, sf):
 
 @register("summary_recipients")
 def summary_recipients(spark, sf):
-    txn, _ = _facts(spark, sf)
+    txn, _ = _facts(spark, sf, customer=True)
     recipient = build_dim(txn, ["recipient_uei", "recipient_name_raw"])
     return widen(sm.summary_recipients(txn, recipient, "day"))
 

@@ -7,20 +7,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starledger.operators.dims import build_role_dim, calendar_for, code_dim, extract_dim
-from starledger.operators.joins import enrich, lookup_roles
+from starledger.operators.joins import date_key_roles, enrich, lookup_roles
 from starledger.plans import roles
 
 # Business size codes of the role view (l_returnflag) -> key.
 ROLE_SIZE_KEYS = {"A": 1, "R": 2}
 
 
-def transaction_fact(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """(fact with date keys, calendar)."""
-    txn = roles.transactions(spark, sf, customer=True, supplier=True)
+DATE_ROLES = {"action_date": "action_date_key", "last_modified_date": "last_modified_key"}
+
+
+def transaction_fact(spark: SparkSession, sf: str, customer: bool = False,
+                     supplier: bool = False) -> DataFrame:
+    """Fact with role-playing date keys.
+
+    The calendar is derived from these same dates, so it covers every
+    non-null date by construction and the left lookup always matches:
+    the key is computed in place (no join, no second pass for bounds)."""
+    txn = roles.transactions(spark, sf, customer=customer, supplier=supplier)
+    return date_key_roles(txn, DATE_ROLES, drop_natural=False)
+
+
+def calendar_lookup_fact(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(fact with keys from a calendar *join*, calendar) - the J3 form."""
+    txn = roles.transactions(spark, sf)
     cal = calendar_for(txn, ["action_date", "last_modified_date"])
-    fact = lookup_roles(txn, cal, {"action_date": "action_date_key",
-                                   "last_modified_date": "last_modified_key"},
-                        dim_on="calendar_date", dim_key="date_key", bounded=True)
+    fact = lookup_roles(txn, cal, DATE_ROLES, dim_on="calendar_date", dim_key="date_key", bounded=True)
     return fact, cal
 
 
