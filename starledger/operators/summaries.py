@@ -139,13 +139,14 @@ def award_sums_by_day(award_dates: DataFrame) -> DataFrame:
 
 
 def award_sums_dedup(txn: DataFrame, assistance: DataFrame) -> DataFrame:
-    """First transaction (smallest obligated amount, then transaction key)
-    per award and day, summed per (day, award) (A18, W3)."""
+    """First transaction (smallest obligated amount, then transaction key,
+    then loan value, so the choice is total) per award and day, summed per
+    (day, award) (A18, W3)."""
     j = txn.where(F.col("action_date_key").isNotNull()).select(
         _TXN, "award_unique_key", "action_date_key", "total_obligated_amount").join(
         assistance.select(_TXN, "total_face_value_of_loan"), _TXN)
     first = first_per_group(j, ["award_unique_key", "action_date_key"],
-                            ["total_obligated_amount", _TXN],
+                            ["total_obligated_amount", _TXN, "total_face_value_of_loan"],
                             columns=["total_obligated_amount", "total_face_value_of_loan"])
     return first.groupBy("action_date_key", "award_unique_key").agg(
         F.sum("total_obligated_amount").alias("total_obligated_amount"),

@@ -28,8 +28,14 @@ def house_winners(house: DataFrame, since: int = 2018, sum_lines: bool = False)
     Votes per (candidate, party) line are the line maximum (Q13);
     ``sum_lines=True`` adds a candidate's lines up instead."""
     recent = house.where(F.col("year") >= since)
-    per_line = recent.groupBy("year", "state_po", "district", "candidate", "party").agg(
-        (F.sum if sum_lines else F.max)("candidatevotes").alias("votes"))
+    if sum_lines:
+        # one row per candidate; the party shown is that of the largest line
+        per_line = recent.groupBy("year", "state_po", "district", "candidate").agg(
+            F.sum("candidatevotes").alias("votes"),
+            F.max(F.struct("candidatevotes", "party")).getField("party").alias("party"))
+    else:
+        per_line = recent.groupBy("year", "state_po", "district", "candidate", "party").agg(
+            F.max("candidatevotes").alias("votes"))
     best = top_per_group(per_line, ["year", "state_po", "district"], "votes")
     return best.select("year", "state_po", "district", "candidate", "party")
 

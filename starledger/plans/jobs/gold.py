@@ -28,6 +28,19 @@ def _present(df: DataFrame, cols):
     return [c for c in cols if c in df.columns]
 
 
+def _role_dim(fact: DataFrame, roles, out, **kw) -> DataFrame:
+    """Role dimension over the roles whose columns the fact has; an empty
+    typed frame when none is present (a family may lack a column group)."""
+    usable = [r for r in roles if all(c in fact.columns for c in r)]
+    if not usable:
+        schema = ", ".join(f"`{c}` string" for c in out)
+        return fact.sparkSession.createDataFrame([], schema)
+    names = kw.pop("role_names", None)
+    if names:
+        kw["role_names"] = [n for n, r in zip(names, roles) if r in usable]
+    return build_role_dim(fact, usable, out, **kw)
+
+
 def gold_assistance(assistance: DataFrame) -> dict:
     """FactAssistance with CFDA (D1) and performance-scope (D6) dims."""
     fact = assistance.select(*_present(assistance, ASSISTANCE_FACT_COLUMNS))
@@ -61,14 +74,15 @@ def gold_transactions(assistance: DataFrame, contract: DataFrame, externals: dic
     fact = fact.drop("action_date_fiscal_year")
     out = {"DimDate": cal}
 
-    out["DimAgency"] = build_role_dim(fact, [["awarding_agency_code", "awarding_agency_name"],
+    out["DimAgency"] = _role_dim(fact, [["awarding_agency_code", "awarding_agency_name"],
                                              ["funding_agency_code", "funding_agency_name"]],
                                       ["agency_code", "agency_name"])
-    out["DimOffice"] = build_role_dim(fact, [["awarding_office_code", "awarding_office_name"],
+    out["DimOffice"] = _role_dim(fact, [["awarding_office_code", "awarding_office_name"],
                                              ["funding_office_code", "funding_office_name"]],
                                       ["office_code", "office_name"])
-    out["DimRecipient"] = build_dim(fact, ["recipient_uei", "recipient_name_raw"])
-    county = build_role_dim(fact, [["prime_award_transaction_recipient_county_fips_code", "recipient_county_name"],
+    out["DimRecipient"] = build_dim(fact, ["recipient_uei", "recipient_name_raw"]) \
+        if "recipient_name_raw" in fact.columns else _role_dim(fact, [], ["recipient_uei", "recipient_name_raw"])
+    county = _role_dim(fact, [["prime_award_transaction_recipient_county_fips_code", "recipient_county_name"],
                                    ["prime_award_transaction_place_of_performance_county_fips_code",
                                     "primary_place_of_performance_county_name"]],
                             ["county_fips", "county_name"])
@@ -77,34 +91,36 @@ def gold_transactions(assistance: DataFrame, contract: DataFrame, externals: dic
     if "pres" in externals:
         sources.append((externals["pres"], "county_fips", "county_fips"))
     county = enrich(county, sources)
-    out["DimCounty"] = county.drop("county_name", *[c for c in ("stname_x",) if c in county.columns])
+    out["DimCounty"] = county.drop("county_name")
 
-    cd = dense_key(build_role_dim(fact, [[RECIPIENT_CD], [PLACE_CD]], ["cd_original"]), ["cd_original"], "cd_code")
-    fact = lookup_roles(fact, cd, {RECIPIENT_CD: "recipient_cd_code", PLACE_CD: "place_of_performance_cd_code"},
-                        dim_on="cd_original", dim_key="cd_code", drop_natural=False)
+    cd = dense_key(_role_dim(fact, [[RECIPIENT_CD], [PLACE_CD]], ["cd_original"]), ["cd_original"], "cd_code")
+    cd_roles = {c: k for c, k in ((RECIPIENT_CD, "recipient_cd_code"), (PLACE_CD, "place_of_performance_cd_code"))
+                if c in fact.columns}
+    fact = lookup_roles(fact, cd, cd_roles, dim_on="cd_original", dim_key="cd_code", drop_natural=False,
+                        broadcast_rows=broadcast_rows, row_key=TXN)
     fact = fact.drop(RECIPIENT_CD)  # the performance district text stays, as published
     if "house" in externals:
         cd = enrich(cd, [(externals["house"], "cd_original", "congressional_district")])
     out["DimCongressionalDistrict"] = cd
 
-    out["DimState"] = build_role_dim(fact, [["recipient_state_code", "recipient_state_name"],
+    out["DimState"] = _role_dim(fact, [["recipient_state_code", "recipient_state_name"],
                                             ["prime_award_transaction_place_of_performance_state_fips_code",
                                              "primary_place_of_performance_state_name"]],
                                      ["state_abbreviation", "state_name"], role_tag="code_system",
                                      role_names=["letters", "fips"])
-    out["DimCountry"] = build_role_dim(fact, [["recipient_country_code", "recipient_country_name"],
+    out["DimCountry"] = _role_dim(fact, [["recipient_country_code", "recipient_country_name"],
                                               ["primary_place_of_performance_country_code",
                                                "primary_place_of_performance_country_name"]],
                                        ["country_code", "country_name"])
-    hco = dense_key(build_role_dim(fact, [[c] for c in OFFICER_NAMES], ["hco_name"]), ["hco_name"], "hco_code")
+    hco = dense_key(_role_dim(fact, [[c] for c in OFFICER_NAMES], ["hco_name"]), ["hco_name"], "hco_code")
     out["DimHighlyCompensatedOfficer"] = hco
-    fact = lookup_roles(fact, hco, {n: n.replace("_name", "_code") for n in OFFICER_NAMES},
+    fact = lookup_roles(fact, hco, {n: n.replace("_name", "_code") for n in OFFICER_NAMES if n in fact.columns},
                         "hco_name", "hco_code", broadcast_rows=broadcast_rows, row_key=TXN)
     names = ["awarding_agency_name", "funding_agency_name", "awarding_office_name", "funding_office_name",
              "recipient_name_raw", "recipient_county_name", "primary_place_of_performance_county_name",
              "recipient_state_name", "primary_place_of_performance_state_name", "recipient_country_name",
              "primary_place_of_performance_country_name"]
-    out["FactTransaction"] = fact.drop(*names)
+    out["FactTransaction"] = fact.drop(*[n for n in names if n in fact.columns])
     return out
 
 

@@ -1,0 +1,74 @@
+"""The whole historical load in order (E1 -> E11), and the yearly
+variant.  Paths follow ``root/{silver,gold}/...``; raw files are read
+from ``landing``."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+from starledger.plans.jobs import externals as ext
+from starledger.plans.jobs.bronze import job_b2s, job_b2s_year
+from starledger.plans.jobs.gold import gold_assistance, gold_contracts, gold_transactions
+from starledger.plans.jobs.publish import job_publish, job_summaries
+from starledger.sources.files import read_layer, write_layer, write_sized
+from starledger.sources.schemas import FACT_TABLES, ROWS_PER_FILE
+
+GOLD_ROWS = {"FactTransaction": ROWS_PER_FILE["gold_transaction"],
+             "FactAssistance": ROWS_PER_FILE["gold_assistance"],
+             "FactContract": ROWS_PER_FILE["gold_contract"]}
+
+
+def run_externals(spark: SparkSession, landing: str, silver: str) -> None:
+    for job in (ext.job_house, ext.job_education, ext.job_gdp, ext.job_population, ext.job_presidential):
+        job(spark, f"{landing}/external_data", silver)
+
+
+def run_gold(spark: SparkSession, silver: str, gold: str, calendar=None) -> dict:
+    """Silver -> gold parquet.  Facts are sized by rows per file, dims are
+    written as one file each; every table is then read back, so later
+    steps start from written data (no recomputation, lineage cut)."""
+    assistance = read_layer(spark, f"{silver}/assistance")
+    contract = read_layer(spark, f"{silver}/contract")
+    externals = {
+        "education": read_layer(spark, f"{silver}/external/county/education"),
+        "gdp": read_layer(spark, f"{silver}/external/county/gdp"),
+        "pop_est": read_layer(spark, f"{silver}/external/county/pop_est"),
+        "pres": read_layer(spark, f"{silver}/external/county/pres"),
+        "house": read_layer(spark, f"{silver}/external/cd/house"),
+    }
+    tables = {}
+    tables.update(gold_assistance(assistance))
+    tables.update(gold_transactions(assistance, contract, externals, calendar=calendar))
+    tables.update(gold_contracts(contract))
+    for name, df in tables.items():
+        path = f"{gold}/{name}"
+        if name in FACT_TABLES:
+            write_sized(df, path, GOLD_ROWS[name])
+        else:
+            write_layer(df, path, files=1)
+    return {name: read_layer(spark, f"{gold}/{name}") for name in tables}
+
+
+def run_historical(spark: SparkSession, landing: str, root: str, database: str = "prod",
+                   calendar=None) -> dict:
+    silver, gold = f"{root}/silver", f"{root}/gold"
+    for family in ("assistance", "contract"):
+        job_b2s(spark, landing, silver, family)
+    run_externals(spark, landing, silver)
+    tables = run_gold(spark, silver, gold, calendar)
+    job_publish(spark, tables, database)
+    job_summaries(spark, database)
+    return tables
+
+
+def run_yearly(spark: SparkSession, landing: str, root: str, year, database: str = "prod",
+               calendar=None) -> dict:
+    """One fiscal year merged into silver, then gold and the warehouse
+    rebuilt (only bronze -> silver is incremental)."""
+    silver, gold = f"{root}/silver", f"{root}/gold"
+    for family in ("assistance", "contract"):
+        job_b2s_year(spark, landing, silver, family, year)
+    tables = run_gold(spark, silver, gold, calendar)
+    job_publish(spark, tables, database)
+    job_summaries(spark, database)
+    return tables

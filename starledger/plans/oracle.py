@@ -60,6 +60,8 @@ FACT = fact()
 FACT_CS = fact(True, True)
 FACT_C = fact(customer=True)
 
+ASSIST = "a as (select transaction_unique_key, total_face_value_of_loan from t where award_type = 'assistance')"
+
 AGENCY = """select distinct * from (
   select awarding_agency_code as agency_code, awarding_agency_name as agency_name from t
   union all select funding_agency_code, funding_agency_name from t)
@@ -332,11 +334,11 @@ select cast(action_date_key as bigint) as action_date_key, count(transaction_uni
 from t group by all"""
 
 ORACLE["summary_by_award"] = f"""
-with t as ({FACT})
-select award_unique_key, cast(max(total_obligated_amount) as double) as total_obligated_amount,
-       cast(max(total_face_value_of_loan) as double) as total_face_value_of_loan,
-       cast(min(action_date_key) as bigint) as initial_action_date_key
-from t where award_type = 'assistance' group by award_unique_key"""
+with t as ({FACT}), {ASSIST}
+select t.award_unique_key, cast(max(t.total_obligated_amount) as double) as total_obligated_amount,
+       cast(max(a.total_face_value_of_loan) as double) as total_face_value_of_loan,
+       cast(min(t.action_date_key) as bigint) as initial_action_date_key
+from t join a using (transaction_unique_key) group by t.award_unique_key"""
 
 ORACLE["summary_agencies_day"] = f"""
 with t as ({FACT_CS}), agency as ({AGENCY})
@@ -394,27 +396,30 @@ select cast(t.action_date_key as bigint) as action_date_key, r.recipient_name_ra
 from t join r on r.recipient_uei = t.recipient_uei group by all"""
 
 ORACLE["award_by_date"] = f"""
-with t as ({FACT})
+with t as ({FACT}), {ASSIST}
 select award_unique_key, cast(action_date_key as bigint) as action_date_key,
        cast(total_obligated_amount as double) as total_obligated_amount,
        cast(total_face_value_of_loan as double) as total_face_value_of_loan
-from (select distinct award_unique_key, action_date_key, total_obligated_amount, total_face_value_of_loan
-      from t where award_type = 'assistance')"""
+from (select distinct t.award_unique_key, t.action_date_key, t.total_obligated_amount, a.total_face_value_of_loan
+      from t join a using (transaction_unique_key))"""
 
 ORACLE["award_sums_by_day"] = f"""
-with t as ({FACT}),
-abd as (select distinct award_unique_key, action_date_key, total_obligated_amount, total_face_value_of_loan
-        from t where award_type = 'assistance')
+with t as ({FACT}), {ASSIST},
+abd as (select distinct t.award_unique_key, t.action_date_key, t.total_obligated_amount, a.total_face_value_of_loan
+        from t join a using (transaction_unique_key))
 select cast(action_date_key as bigint) as action_date_key,
        cast(sum(total_obligated_amount) as double) as total_obligated_amount,
        cast(sum(total_face_value_of_loan) as double) as total_face_value_of_loan
 from abd group by all"""
 
 ORACLE["award_sums_dedup"] = f"""
-with t as ({FACT}),
+with t as ({FACT}), {ASSIST},
+j as (select t.transaction_unique_key, t.award_unique_key, t.action_date_key, t.total_obligated_amount,
+             a.total_face_value_of_loan
+      from t join a using (transaction_unique_key) where t.action_date_key is not null),
 r as (select *, row_number() over (partition by award_unique_key, action_date_key
-                                   order by total_obligated_amount nulls first, transaction_unique_key nulls first) as rn
-      from t where award_type = 'assistance' and action_date_key is not null)
+                                   order by total_obligated_amount nulls first, transaction_unique_key nulls first,
+                                            total_face_value_of_loan nulls first) as rn from j)
 select cast(action_date_key as bigint) as action_date_key, award_unique_key,
        cast(sum(total_obligated_amount) as double) as total_obligated_amount,
        cast(sum(total_face_value_of_loan) as double) as total_face_value_of_loan
