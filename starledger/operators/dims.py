@@ -64,7 +64,8 @@ def build_role_dim(df: DataFrame, roles, out, null_rule: str | list = "any",
 
 
 def extract_dim(fact: DataFrame, natural, key: str, order=None, null_rule="any",
-                how: str = "inner", key_type: str = "int", names=None):
+                how: str = "inner", key_type: str = "int", names=None,
+                broadcast_rows: int | None = 1_000_000):
     """Dense-key dimension plus re-keyed fact.
 
     Returns ``(dim, fact)``: the dimension has ``key`` first, then the
@@ -72,12 +73,18 @@ def extract_dim(fact: DataFrame, natural, key: str, order=None, null_rule="any",
     natural columns replaced by ``key``.  ``how="inner"`` drops fact rows
     whose natural key is absent from the dimension (also rows with a null
     part, since equality never matches null), ``"left"`` keeps them with
-    a null key (Q11)."""
+    a null key (Q11).
+
+    The keyed dimension rests on a checkpoint, so counting it is cheap;
+    at most ``broadcast_rows`` rows it is broadcast and the fact is
+    re-keyed map-side without a shuffle, otherwise a shuffle join is
+    left to AQE (which splits skewed fact partitions)."""
+    from starledger.operators.joins import checked_broadcast
     natural = [natural] if isinstance(natural, str) else list(natural)
     base = fact.select(*[_q(c) for c in natural])
     base = _drop_nulls(base, null_rule).distinct()
     keyed = dense_key(base, order or natural, key, key_type=key_type)
-    rekeyed = fact.join(keyed, on=natural, how=how).drop(*natural)
+    rekeyed = fact.join(checked_broadcast(keyed, broadcast_rows), on=natural, how=how).drop(*natural)
     names = list(names or natural)
     dim = keyed.select(_q(key), *[_q(c).alias(n) for c, n in zip(natural, names)])
     return dim, rekeyed

@@ -44,11 +44,16 @@ def publish(df: DataFrame, table: str, schema: StructType, database: str = "prod
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     name = f"{database}.{table}"
-    writer = conform(df, schema).write.mode(mode).format("parquet")
+    data = conform(df, schema)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if bucket_by:
+        # One shuffle on the bucket key first: every task then writes one
+        # bucket file instead of one file per bucket it happens to hold.
+        data = data.repartition(n, bucket_by)
+    writer = data.write.mode(mode).format("parquet")
     if path:
         writer = writer.option("path", path)
     if bucket_by:
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         writer = writer.bucketBy(n, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(name)
     return name
