@@ -10,9 +10,10 @@ from starledger.plans.jobs import externals as ext
 from starledger.plans.jobs.bronze import job_b2s, job_b2s_year
 from starledger.plans.jobs.gold import gold_assistance, gold_contracts, gold_transactions
 from starledger.plans.jobs.publish import job_publish, job_summaries
-from starledger.sources.files import read_layer, write_layer, write_sized
-from starledger.sources.schemas import FACT_TABLES, ROWS_PER_FILE
+from starledger.sources.files import read_layer, write_sized
+from starledger.sources.schemas import ROWS_PER_FILE
 
+DIM_ROWS_PER_FILE = 5_000_000
 GOLD_ROWS = {"FactTransaction": ROWS_PER_FILE["gold_transaction"],
              "FactAssistance": ROWS_PER_FILE["gold_assistance"],
              "FactContract": ROWS_PER_FILE["gold_contract"]}
@@ -24,9 +25,9 @@ def run_externals(spark: SparkSession, landing: str, silver: str) -> None:
 
 
 def run_gold(spark: SparkSession, silver: str, gold: str, calendar=None) -> dict:
-    """Silver -> gold parquet.  Facts are sized by rows per file, dims are
-    written as one file each; every table is then read back, so later
-    steps start from written data (no recomputation, lineage cut)."""
+    """Silver -> gold parquet, every table sized by rows per file; every
+    table is then read back, so later steps start from written data (no
+    recomputation, lineage cut)."""
     assistance = read_layer(spark, f"{silver}/assistance")
     contract = read_layer(spark, f"{silver}/contract")
     externals = {
@@ -41,11 +42,7 @@ def run_gold(spark: SparkSession, silver: str, gold: str, calendar=None) -> dict
     tables.update(gold_transactions(assistance, contract, externals, calendar=calendar))
     tables.update(gold_contracts(contract))
     for name, df in tables.items():
-        path = f"{gold}/{name}"
-        if name in FACT_TABLES:
-            write_sized(df, path, GOLD_ROWS[name])
-        else:
-            write_layer(df, path, files=1)
+        write_sized(df, f"{gold}/{name}", GOLD_ROWS.get(name, DIM_ROWS_PER_FILE))
     return {name: read_layer(spark, f"{gold}/{name}") for name in tables}
 
 

@@ -88,12 +88,17 @@ def write_sized(df: DataFrame, path: str, rows_per_file: int, mode: str = "overw
     even out the task sizes and ``maxRecordsPerFile`` caps every file, so
     the frame is computed once.  ``exact=True`` reproduces the
     count-then-repartition form (two passes; ``max(1, ...)`` avoids
-    ``repartition(0)`` on an empty frame)."""
+    ``repartition(0)`` on an empty frame).  Also used for dimensions:
+    small ones end in one file after AQE coalescing, large ones (e.g.
+    recipients) are not funnelled through a single task."""
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     if exact:
         n = df.count()
-        df = df.repartition(max(1, math.ceil(n / rows_per_file)))
+        df = df.repartition(max(1, math.ceil(n / rows_per_file)), *parts)
     else:
-        df = df.hint("rebalance")
+        # Rebalancing by the partition columns keeps each task to ~one
+        # output partition (few files) while AQE still splits a big one.
+        df = df.hint("rebalance", *parts)
     writer = df.write.mode(mode).option("maxRecordsPerFile", int(rows_per_file))
     if partition_by:
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
