@@ -62,8 +62,11 @@ def publish(df: DataFrame, table: str, schema: StructType, database: str = "prod
 def refresh_warehouse(spark: SparkSession, tables: dict, schemas: dict,
                       database: str = "prod", buckets: int | None = None,
                       location: str | None = None) -> list[str]:
-    """Full refresh (S13): drop what exists, recreate, load every table."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    """Full refresh (S13): drop what exists, recreate, load every table.
+    ``location``: folder for the database and its tables (else the
+    session's warehouse folder)."""
+    where = f" LOCATION '{location.rstrip('/')}/{database}.db'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
     names = []
     for table, df in tables.items():
         spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
