@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starledger.operators.joins import semi_filter
 from starledger.sources.schemas import ADMIN_PRINCIPALS, MASK_TEXT
 
 
@@ -20,7 +21,12 @@ def mask_columns(df: DataFrame, cols, privileged, mask: str = MASK_TEXT) -> Data
     })
 
 
-def filter_for_principal(df: DataFrame, code_col: str, agency: DataFrame, principal: str,
+def current_principal(spark) -> str:
+    """Name of the user the session runs as."""
+    return spark.range(1).select(F.current_user()).first()[0]
+
+
+def filter_for_principal(df: DataFrame, code_col: str, agency: DataFrame, principal: str | None = None,
                          admins=ADMIN_PRINCIPALS, dim_code: str = "agency_code",
                          dim_name: str = "agency_name") -> DataFrame:
     """Rows whose agency code belongs to the agency named like the
@@ -29,11 +35,13 @@ def filter_for_principal(df: DataFrame, code_col: str, agency: DataFrame, princi
     The scalar subquery of a row-filter predicate becomes a ``left_semi``
     join with the principal's agency codes (several codes are tolerated,
     Q20).  That set is tiny; AQE broadcasts it from its measured size."""
+    if principal is None:
+        principal = current_principal(df.sparkSession)
     if principal in admins:
         return df
     allowed = agency.where(F.col(dim_name) == F.lit(principal)).select(
         F.col(dim_code).alias("_allowed")).distinct()
-    return df.join(allowed, df[f"`{code_col}`"] == allowed["_allowed"], "left_semi")
+    return semi_filter(df, allowed, {code_col: "_allowed"})
 
 
 @dataclass(frozen=True)
@@ -46,8 +54,11 @@ class Policy:
     admins: tuple = ADMIN_PRINCIPALS
 
 
-def secured(df: DataFrame, policy: Policy, principal: str) -> DataFrame:
-    """Row filter, then column masks, for one principal."""
+def secured(df: DataFrame, policy: Policy, principal: str | None = None) -> DataFrame:
+    """Row filter, then column masks, for one principal (G3); by default
+    the session's current user."""
+    if principal is None:
+        principal = current_principal(df.sparkSession)
     out = df
     if policy.code_col is not None:
         out = filter_for_principal(out, policy.code_col, policy.agency, principal, policy.admins)

@@ -213,8 +213,8 @@ ORACLE["merge_increment"] = """
 with r as (select cast(l_orderkey as varchar) as award_unique_key, year(l_shipdate) as action_date_fiscal_year,
                   l_returnflag from lineitem)
 select distinct award_unique_key, cast(action_date_fiscal_year as bigint) as action_date_fiscal_year, l_returnflag
-from (select * from r where action_date_fiscal_year in (1996, 1997)
-      union all select * from r where action_date_fiscal_year in (1997, 1998))"""
+from (select * from r where action_date_fiscal_year <= 1997
+      union all select * from r where action_date_fiscal_year >= 1997)"""
 
 ORACLE["dim_natural"] = f"""
 select distinct naics_code as cfda_number, naics_description as cfda_title

@@ -157,8 +157,10 @@ def merge_increment_query(spark: SparkSession, sf: str) -> DataFrame:
     li = roles.table(spark, sf, "lineitem")
     rows = li.select(roles.s("l_orderkey").alias("award_unique_key"),
                      F.year("l_shipdate").alias("action_date_fiscal_year"), "l_returnflag")
-    current = rows.where(F.col("action_date_fiscal_year").isin(1996, 1997))
-    new = rows.where(F.col("action_date_fiscal_year").isin(1997, 1998))
+    # the existing history up to 1997 and a new load from 1997 on: every
+    # row takes part and the overlapping year is deduplicated
+    current = rows.where(F.col("action_date_fiscal_year") <= 1997)
+    new = rows.where(F.col("action_date_fiscal_year") >= 1997)
     return widen(merge_increment(current, new))
 
 

@@ -58,3 +58,9 @@ def test_drop_rules(spark):
     assert C.drop_all_null(df, ["a", "b"]).count() == 2
     assert C.require_key(df, ["k"]).count() == 2
     assert C.drop_all_null(df, ["not_here"]).count() == 3
+
+
+def test_split_by_value(spark):
+    df = spark.createDataFrame([(2018, "a"), (2020, "b"), (2020, "c")], "year int, v string")
+    parts = C.split_by_value(df, "year", [2018, 2020, 2022])
+    assert {k: v.count() for k, v in parts.items()} == {2018: 1, 2020: 2, 2022: 0}

@@ -33,3 +33,9 @@ def test_secured_view(spark):
     policy = Policy(code_col="awarding_agency_code", agency=agency, masked=("recipient_name_raw",))
     assert rows(secured(fact, policy, "Department of Commerce")) == [("t1", "013", "xxxx")]
     assert rows(secured(fact, policy, "data engineer")) == rows(fact)
+
+
+def test_default_principal_is_current_user(spark):
+    fact, agency = _data(spark)
+    # the test session's user owns no agency and is not an administrator
+    assert filter_for_principal(fact, "awarding_agency_code", agency).count() == 0
