@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starledger.sources.files import read_if_exists
 from starledger.session import scratch_path
@@ -16,6 +17,20 @@ def merge_increment(current: DataFrame | None, new: DataFrame) -> DataFrame:
     return current.unionByName(new).distinct()
 
 
+def touched_partitions(new: DataFrame, partition_col: str):
+    """Literal predicate on the partition values present in ``new``.
+
+    A semi join with the new rows would not prune (dynamic pruning needs
+    a selective filter on the other side), so the whole history would be
+    read.  The distinct partition values are a handful (fiscal years),
+    so they are fetched and turned into a literal ``IN`` that prunes
+    silver statically to the touched partitions."""
+    values = [r[0] for r in new.select(partition_col).distinct().collect()]
+    present = [v for v in values if v is not None]
+    cond = F.col(partition_col).isin(present) if present else F.lit(False)
+    return cond | F.col(partition_col).isNull() if None in values else cond
+
+
 def merge_increment_to(spark: SparkSession, silver_path: str, new: DataFrame,
                        partition_col: str | None = None, staging: str | None = None) -> str:
     """Merge ``new`` into the table at ``silver_path`` safely (Q5).
@@ -30,8 +45,7 @@ def merge_increment_to(spark: SparkSession, silver_path: str, new: DataFrame,
     if current is None:
         merged = new
     elif partition_col:
-        touched = new.select(partition_col).distinct()
-        merged = merge_increment(current.join(touched, partition_col, "left_semi"), new)
+        merged = merge_increment(current.where(touched_partitions(new, partition_col)), new)
     else:
         merged = merge_increment(current, new)
     writer = merged.write.mode("errorifexists")

@@ -41,3 +41,15 @@ def test_summaries_aggregate_before_the_dimension_join(spark):
     agency = spark.createDataFrame([(str(i), f"A{i}") for i in range(5)], "agency_code string, agency_name string")
     plan = _plan(summary_agencies(txn, agency, "day"))
     assert plan.count("HashAggregate") >= 3        # partial + final before the join, final after
+
+
+def test_yearly_merge_prunes_silver_to_touched_years(spark):
+    from starledger.operators.merge import touched_partitions
+    from starledger.session import scratch_path
+    silver, landed = scratch_path(spark, "prune-silver"), scratch_path(spark, "prune-new")
+    spark.range(1000).select((F.col("id") % 5 + 2018).cast("int").alias("fy"), "id").write.partitionBy("fy").parquet(silver)
+    spark.createDataFrame([(2021, 1), (2022, 2)], "fy int, id long").write.parquet(landed)
+    current = spark.read.parquet(silver).where(touched_partitions(spark.read.parquet(landed), "fy"))
+    plan = _plan(current)
+    assert "PartitionFilters: [fy" in plan and "IN (" in plan and "2021" in plan and "2022" in plan
+    assert current.count() == 400
