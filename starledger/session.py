@@ -62,6 +62,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable (not local) checkpoint: fixes the data a multi-pass
-    algorithm sees, and survives the loss of executors."""
-    checkpoint_dir(df.sparkSession)
+    algorithm sees, and survives the loss of executors.  Without a
+    driver-side context (a remote session) the server's own
+    ``spark.checkpoint.dir`` is used."""
+    try:
+        checkpoint_dir(df.sparkSession)
+    except Exception as exc:  # remote sessions have no SparkContext
+        if "sparkContext" not in str(exc) and "JVM" not in str(exc) and "Connect" not in str(exc):
+            raise
     return df.checkpoint(eager=True)
