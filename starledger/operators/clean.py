@@ -26,9 +26,20 @@ def tag(df: DataFrame, name: str, value) -> DataFrame:
     return df.withColumn(name, F.lit(value))
 
 
-def cast_money(df: DataFrame, cols, precision: int = 18, scale: int = 2) -> DataFrame:
-    """Money columns to ``decimal(p,s)``; junk text becomes null (P5, Q1)."""
+def cast_money(df: DataFrame, cols, precision: int = 18, scale: int = 2,
+               observation=None) -> DataFrame:
+    """Money columns to ``decimal(p,s)``; junk text becomes null (P5, Q1).
+
+    With a ``pyspark.sql.Observation`` the number of rows and, per column,
+    the values that were present but could not be typed are collected
+    while the frame is written: the silent nulls become visible without
+    an extra pass over the data."""
     present = [c for c in cols if c in df.columns]
+    if observation is not None:
+        rejected = [F.count(F.when(F.col(f"`{c}`").isNotNull()
+                                   & to_money(F.col(f"`{c}`"), precision, scale).isNull(), F.lit(1)))
+                    .alias(f"rejected_{c}") for c in present]
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"), *rejected)
     return df.withColumns({c: to_money(F.col(f"`{c}`"), precision, scale) for c in present})
 
 

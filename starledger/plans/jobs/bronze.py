@@ -16,25 +16,28 @@ FISCAL_YEAR = "action_date_fiscal_year"
 DATE_TYPES = {"action_date": "date", "last_modified_date": "date", FISCAL_YEAR: "int"}
 
 
-def bronze_to_silver(raw: DataFrame, spec: FamilySpec, wanted=WANTED_COLUMNS) -> DataFrame:
+def bronze_to_silver(raw: DataFrame, spec: FamilySpec, wanted=WANTED_COLUMNS,
+                     observation=None) -> DataFrame:
     """Wish-list projection, common names, family tag, money typed (both
     COVID columns for both families, Q10), rows without any money or
     without a well-shaped key dropped, dates typed."""
     df = select_present(raw, wanted)
     df = rename(df, spec.renames)
     df = tag(df, spec.tag_column, spec.name)
-    df = cast_money(df, list(spec.money) + [c for c in COVID_COLUMNS if c not in spec.money])
+    df = cast_money(df, list(spec.money) + [c for c in COVID_COLUMNS if c not in spec.money],
+                    observation=observation)
     df = drop_all_null(df, spec.money)
     df = require_key(df, [spec.key])
     df = filter_key_shape(df, spec.key, spec.key_pattern)
     return cast_cols(df, {c: t for c, t in DATE_TYPES.items() if c in df.columns})
 
 
-def job_b2s(spark: SparkSession, landing: str, silver: str, family: str) -> str:
+def job_b2s(spark: SparkSession, landing: str, silver: str, family: str, observation=None) -> str:
     """Full history of one family (E1).  Silver is partitioned by fiscal
-    year so a later yearly merge rewrites one partition only."""
+    year so a later yearly merge rewrites one partition only.  Pass an
+    ``Observation`` to receive row and rejected-value counts."""
     spec = FAMILIES[family]
-    out = bronze_to_silver(read_csv(spark, f"{landing}/{family}"), spec)
+    out = bronze_to_silver(read_csv(spark, f"{landing}/{family}"), spec, observation=observation)
     path = f"{silver}/{family}"
     write_sized(out, path, spec.rows_per_file, partition_by=FISCAL_YEAR)
     return path

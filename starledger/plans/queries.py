@@ -10,21 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType, ShortType, ByteType
 
-from starledger.functions.scalars import (
-    district_code, fips, grouped_int, pad_code, pad_one_zero, safe_cast,
-)
+from starledger.functions.scalars import district_code, fips, grouped_int, pad_code, pad_one_zero
 from starledger.operators import summaries as sm
 from starledger.operators.clean import (
-    cast_cols, cast_money, drop_all_null, filter_key_shape, rename, require_key,
-    select_present, shared_columns, tag,
+    cast_cols, cast_money, drop_all_null, filter_key_shape, rename, require_key, select_present, tag,
 )
 from starledger.operators.dims import (
     build_dim, build_role_dim, calendar_for, code_dim, conform_union, extract_dim,
 )
 from starledger.operators.govern import Policy, mask_columns, secured
-from starledger.operators.joins import (
-    enrich, lookup_roles, merge_vintages, resolve_code_by_name,
-)
+from starledger.operators.joins import enrich, lookup_roles
 from starledger.operators.keys import dense_key
 from starledger.operators.merge import merge_increment
 from starledger.plans import roles, star

@@ -64,3 +64,14 @@ def test_split_by_value(spark):
     df = spark.createDataFrame([(2018, "a"), (2020, "b"), (2020, "c")], "year int, v string")
     parts = C.split_by_value(df, "year", [2018, 2020, 2022])
     assert {k: v.count() for k, v in parts.items()} == {2018: 1, 2020: 2, 2022: 0}
+
+
+def test_rejected_money_values_are_counted_during_the_write(spark):
+    from pyspark.sql import Observation
+    obs = Observation("rejects")
+    raw = spark.createDataFrame(RAW_CONTRACT, COLS)
+    bronze_to_silver(raw, CONTRACT, observation=obs).write.format("noop").mode("overwrite").save()
+    m = obs.get
+    assert m["rows"] == len(RAW_CONTRACT)
+    assert m["rejected_federal_action_obligation"] == 2 and m["rejected_total_obligated_amount"] == 1
+    assert m["rejected_obligated_amount_from_COVID-19_supplementals_for_overall_award"] == 1

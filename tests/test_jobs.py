@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from starledger.operators.dims import calendar_dim
 from starledger.operators.govern import filter_for_principal
 from starledger.plans.jobs import externals as ext
-from starledger.plans.jobs.pipeline import run_historical, run_yearly
+from starledger.plans.jobs.runs import run_historical, run_yearly
 from starledger.session import scratch_path
 from starledger.sources.files import read_csv
 from tests.fixtures import write_landing
