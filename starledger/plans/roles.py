@@ -26,8 +26,19 @@ from pyspark.sql import functions as F
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
+_SCHEMAS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of a driver table.  The schema found by the first read is
+    reused, so later scans skip the footer-reading inference job."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def s(c) -> Column:

@@ -46,9 +46,11 @@ def read_year(spark: SparkSession, base: str, year, **options) -> DataFrame:
         raise
 
 
-def read_layer(spark: SparkSession, path) -> DataFrame:
-    """Parquet scan of a directory or glob."""
-    return spark.read.parquet(*([path] if isinstance(path, str) else list(path)))
+def read_layer(spark: SparkSession, path, schema: StructType | None = None) -> DataFrame:
+    """Parquet scan of a directory or glob (S5).  A known ``schema`` skips
+    the footer-reading inference job (worth it over many files)."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(*([path] if isinstance(path, str) else list(path)))
 
 
 def _is_missing(exc: AnalysisException) -> bool:
