@@ -58,3 +58,15 @@ def test_fiscal_bounds_cover_whole_fiscal_years(spark):
         F.to_date("a").alias("a"), F.to_date("b").alias("b"))
     b = fiscal_bounds(df, ["a", "b"]).first()
     assert str(b.begin) == "2018-10-01" and str(b.end) == "2021-09-30"
+
+
+def test_rekey_then_join_back_restores_natural_keys(spark):
+    fact = spark.range(200).select(F.col("id").alias("k"), (F.col("id") % 7).cast("string").alias("code"),
+                                   F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.lit("n")).alias("name"))
+    dim, rekeyed = extract_dim(fact, ["code", "name"], "key", null_rule=["code"], how="left")
+    back = rekeyed.join(dim, "key", "left").select("k", "code", "name")
+    # rows whose natural key has a null part cannot match and keep a null key
+    expected = fact.where("name is not null").union(
+        fact.where("name is null").select("k", F.lit(None).cast("string"), F.lit(None).cast("string")))
+    assert rows(back) == rows(expected)
+    assert rekeyed.count() == fact.count()

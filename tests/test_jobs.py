@@ -26,6 +26,10 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert first["DimDate"] == 2557 and first["DimAgency"] == 3      # one code with two names (Q22)
     assert first["DimHighlyCompensatedOfficer"] == 3                  # Ann, Bob, Dee: Ann in two slots once
     assert first["DimCounty"] == 2
+    from starledger.sources.schemas import TABLES
+    for table, contract in TABLES.items():                            # published layouts equal the contracts
+        got = [(f.name, f.dataType) for f in spark.table(f"{db}.{table}").schema.fields]
+        assert got == [(f.name, f.dataType) for f in contract.fields], table
     run_historical(spark, landing, root, db, calendar=cal)            # idempotent re-run
     assert _counts(spark, db, names) == first
 
