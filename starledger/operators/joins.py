@@ -87,20 +87,25 @@ def lookup_roles_unpivot(fact: DataFrame, dim: DataFrame, roles: dict, row_key,
                          dim_on: str, dim_key: str, drop_natural: bool = True) -> DataFrame:
     """Left role-playing lookup for a *large* dimension (J5 at scale).
 
-    Instead of one fact-sized join per role, the narrow (row key, role,
-    value) triples are joined once and regrouped by the row key, then
-    attached to the fact with one join.  ``row_key`` must identify fact
-    rows uniquely (e.g. the transaction key)."""
+    Instead of one fact-sized join per role, the narrow (row, role, value)
+    triples are joined once and regrouped, then attached to the fact with
+    one join.  Rows are identified by ``row_key`` *plus* the role values,
+    so the result is exact even when the key repeats, and the join back
+    stays spread out as long as the key is nearly unique."""
     row_key = [row_key] if isinstance(row_key, str) else list(row_key)
     names = list(roles)
-    triples = fact.select(*[_q(k) for k in row_key], F.explode(F.array(*[
+    ident = row_key + [n for n in names if n not in row_key]
+    tuples = fact.select(*[_q(c) for c in ident]).distinct()
+    triples = tuples.select(*[_q(c) for c in ident], F.explode(F.array(*[
         F.struct(F.lit(i).alias("_role"), _q(c).alias("_v")) for i, c in enumerate(names)
-    ])).alias("_t")).select(*row_key, "_t._role", "_t._v").where(F.col("_v").isNotNull())
+    ])).alias("_t")).select(*ident, "_t._role", "_t._v").where(F.col("_v").isNotNull())
     coded = triples.join(dim.select(_q(dim_on).alias("_v"), _q(dim_key).alias("_code")), "_v")
-    wide = coded.groupBy(*row_key).agg(*[
+    wide = coded.groupBy(*ident).agg(*[
         F.max(F.when(F.col("_role") == i, F.col("_code"))).alias(roles[c]) for i, c in enumerate(names)
     ])
-    out = fact.join(wide, row_key, "left")
+    wide = wide.select(*[_q(c).alias(f"_id{i}") for i, c in enumerate(ident)], *[roles[c] for c in names])
+    cond = reduce(lambda a, b: a & b, [fact[f"`{c}`"].eqNullSafe(wide[f"_id{i}"]) for i, c in enumerate(ident)])
+    out = fact.join(wide, cond, "left").drop(*[f"_id{i}" for i in range(len(ident))])
     return out.drop(*names) if drop_natural else out
 
 

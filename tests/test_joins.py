@@ -66,3 +66,11 @@ def test_resolve_code_by_name(spark):
                                 "fips_code string, stname string, ctyname string")
     out = resolve_code_by_name(gdp, ref, {"state": "stname", "county": "ctyname"})
     assert [r.fips_code for r in out.collect()] == ["01001"]
+
+
+def test_unpivot_lookup_is_exact_with_repeated_row_keys(spark):
+    fact = spark.createDataFrame([("t1", "a", "b"), ("t1", "c", None), ("t2", None, None)],
+                                 "k string, n1 string, n2 string")
+    out = lookup_roles(fact, _dim(spark), {"n1": "c1", "n2": "c2"}, "name", "code",
+                       broadcast_rows=1, row_key="k")
+    assert rows(out.select("k", "c1", "c2")) == [("t1", 1, 2), ("t1", 3, None), ("t2", None, None)]
