@@ -32,9 +32,9 @@ def _grain(df: DataFrame, grain: str, dates: DataFrame | None) -> tuple[DataFram
     if dates is None:
         key = F.col("action_date_key")
         joined = df.where(key.isNotNull()).withColumns({
-            "calendar_month": F.date_format(F.make_date(F.lit(2000), (key / 100 % 100).cast("int"), F.lit(1)),
-                                            "MMMM"),
-            "calendar_year": (key / 10000).cast("int")})
+            "calendar_month": F.date_format(F.make_date(F.lit(2000), (F.floor(key / 100) % 100).cast("int"),
+                                                        F.lit(1)), "MMMM"),
+            "calendar_year": F.floor(key / 10000).cast("int")})
     else:
         cal = F.broadcast(dates.select(F.col("date_key").alias("action_date_key"), "calendar_month",
                                        "calendar_year"))

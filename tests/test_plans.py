@@ -53,3 +53,28 @@ def test_yearly_merge_prunes_silver_to_touched_years(spark):
     plan = _plan(current)
     assert "PartitionFilters: [fy" in plan and "IN (" in plan and "2021" in plan and "2022" in plan
     assert current.count() == 400
+
+
+def test_hot_key_in_a_shuffled_rekey_join_is_split(spark):
+    """A third of the fact rows share one natural key.  With broadcasting
+    off and tiny skew thresholds, AQE must split the hot partition."""
+    from starledger.operators.dims import extract_dim
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        fact = spark.range(30000).select(
+            "id", F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 500).cast("string")).alias("code"))
+        _, rekeyed = extract_dim(fact, ["code"], "k", broadcast_rows=0)
+        assert len(rekeyed.collect()) == 30000        # runs this frame's own adaptive plan
+        final = rekeyed._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in final and "skew=true" in final
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
