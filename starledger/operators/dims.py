@@ -11,7 +11,7 @@ from starledger.functions.scalars import (
     code_to_key_expr, date_key, fiscal_month, fiscal_year, yes_no,
 )
 from starledger.operators.keys import dense_key
-from starledger.sources.schemas import FISCAL_START_MONTH
+from starledger.sources.schemas import BROADCAST_MAX_ROWS, FISCAL_START_MONTH
 
 
 def _q(c: str) -> Column:
@@ -65,7 +65,7 @@ def build_role_dim(df: DataFrame, roles, out, null_rule: str | list = "any",
 
 def extract_dim(fact: DataFrame, natural, key: str, order=None, null_rule="any",
                 how: str = "inner", key_type: str = "int", names=None,
-                broadcast_rows: int | None = 1_000_000):
+                broadcast_rows: int | None = BROADCAST_MAX_ROWS):
     """Dense-key dimension plus re-keyed fact.
 
     Returns ``(dim, fact)``: the dimension has ``key`` first, then the

@@ -10,7 +10,7 @@ from starledger.operators.dims import (
 )
 from starledger.operators.joins import date_key_roles, enrich, lookup_roles
 from starledger.operators.keys import dense_key
-from starledger.sources.schemas import BUSINESS_SIZE_KEYS, OFFICER_NAMES
+from starledger.sources.schemas import BROADCAST_MAX_ROWS, BUSINESS_SIZE_KEYS, OFFICER_NAMES
 
 TXN = "transaction_unique_key"
 
@@ -53,7 +53,7 @@ def gold_assistance(assistance: DataFrame) -> dict:
 
 
 def gold_transactions(assistance: DataFrame, contract: DataFrame, externals: dict | None = None,
-                      calendar: DataFrame | None = None, broadcast_rows: int = 1_000_000) -> dict:
+                      calendar: DataFrame | None = None, broadcast_rows: int = BROADCAST_MAX_ROWS) -> dict:
     """FactTransaction and its shared dimensions.
 
     ``externals``: optional silver frames ``education``, ``gdp``,

@@ -24,11 +24,12 @@ from starledger.operators.keys import dense_key
 from starledger.operators.merge import merge_increment
 from starledger.plans import roles, star
 from starledger.plans.jobs import externals as ext
+from starledger.sources.schemas import BROADCAST_MAX_ROWS
 
 Q = dict()
 
 # Dimensions at most this many rows (counted) are broadcast to lookups.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = BROADCAST_MAX_ROWS
 
 
 def register(name):

@@ -82,6 +82,10 @@ ROWS_PER_FILE = {
     "gold_transaction": 4_300_000,
 }
 
+# Largest dimension (rows, counted) that lookups broadcast; beyond it a
+# shuffle join planned by AQE.  ~200k short rows is ~10-20 MB per executor.
+BROADCAST_MAX_ROWS = 200_000
+
 # Default calendar span and fiscal-year start month.
 CALENDAR_BEGIN = "2018-10-01"
 CALENDAR_END = "2025-09-30"
