@@ -118,7 +118,7 @@ def filters_basic(spark: SparkSession, sf: str) -> DataFrame:
                  .where(F.col("c_acctbal") >= 0)                       # range
                  .where(F.col("c_mktsegment") != "BUILDING")           # column not projected
                  .where(F.col("c_name").isNotNull()))                  # null reject
-    return kept.select("c_custkey", "c_name", "c_nationkey")
+    return widen(kept.select("c_custkey", "c_name", "c_nationkey"))
 
 
 @register("fips_pad")
@@ -126,14 +126,14 @@ def fips_pad(spark: SparkSession, sf: str) -> DataFrame:
     na = roles.table(spark, sf, "nation")
     rg = roles.table(spark, sf, "region")
     j = na.join(rg, na["n_regionkey"] == rg["r_regionkey"])
-    return j.select(
+    return widen(j.select(
         "n_nationkey",
         fips(pad_code("n_regionkey", 2), pad_code("n_nationkey", 3)).alias("fips_code"),
         pad_one_zero("n_nationkey", 2).alias("one_zero_code"),
         pad_code(F.col("n_nationkey") * 1000, 3).alias("truncated_code"),
         district_code("r_name", "n_nationkey").alias("district_code"),
         district_code(F.when(F.col("n_nationkey") % 2 == 0, F.col("r_name")), "n_nationkey")
-        .alias("district_code_nulls"))
+        .alias("district_code_nulls")))
 
 
 @register("union_families")
