@@ -10,6 +10,7 @@ import __spark_entry__ as ent
 from tests.conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events labels".split()
+_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
 
 
 def _norm(v):
@@ -48,4 +49,6 @@ def test_query_matches_oracle(spark, duck, name):
     df = ent.queries()[name](spark, SF_SMALL)
     rel = duck.sql(ent.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    spark_types = {c: _DUCK.get(t, t.upper()) for c, t in df.dtypes}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert _multiset(df.columns, [tuple(r) for r in df.collect()]) == _multiset(rel.columns, rel.fetchall())
