@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starledger.functions.scalars import (
     code_to_key_expr, date_key, fiscal_month, fiscal_year, yes_no,
 )
-from starledger.operators.keys import dense_key
+from starledger.operators.keys import dense_key_counted
 from starledger.sources.schemas import BROADCAST_MAX_ROWS, FISCAL_START_MONTH
 
 
@@ -75,16 +75,16 @@ def extract_dim(fact: DataFrame, natural, key: str, order=None, null_rule="any",
     part, since equality never matches null), ``"left"`` keeps them with
     a null key (Q11).
 
-    The keyed dimension rests on a checkpoint, so counting it is cheap;
-    at most ``broadcast_rows`` rows it is broadcast and the fact is
-    re-keyed map-side without a shuffle, otherwise a shuffle join is
-    left to AQE (which splits skewed fact partitions)."""
-    from starledger.operators.joins import checked_broadcast
+    The keyed dimension's row count comes with its keys; at most
+    ``broadcast_rows`` rows it is broadcast and the fact is re-keyed
+    map-side without a shuffle, otherwise a shuffle join is left to AQE
+    (which splits skewed fact partitions)."""
     natural = [natural] if isinstance(natural, str) else list(natural)
     base = fact.select(*[_q(c) for c in natural])
     base = _drop_nulls(base, null_rule).distinct()
-    keyed = dense_key(base, order or natural, key, key_type=key_type)
-    rekeyed = fact.join(checked_broadcast(keyed, broadcast_rows), on=natural, how=how).drop(*natural)
+    keyed, rows = dense_key_counted(base, order or natural, key, key_type=key_type)
+    small = broadcast_rows is not None and rows <= broadcast_rows
+    rekeyed = fact.join(F.broadcast(keyed) if small else keyed, on=natural, how=how).drop(*natural)
     names = list(names or natural)
     dim = keyed.select(_q(key), *[_q(c).alias(n) for c, n in zip(natural, names)])
     return dim, rekeyed

@@ -59,7 +59,7 @@ def lookup_key(fact: DataFrame, dim: DataFrame, on, key: str | None = None,
 def lookup_roles(fact: DataFrame, dim: DataFrame, roles: dict, dim_on: str, dim_key: str,
                  how: str = "left", drop_natural: bool = True,
                  broadcast_rows: int | None = None, bounded: bool = False,
-                 row_key=None) -> DataFrame:
+                 row_key=None, dim_rows: int | None = None) -> DataFrame:
     """Role-playing lookup: one dimension used for several fact columns
     (J3, J4, J5).  ``roles = {fact_col: output_key_col}``.
 
@@ -68,8 +68,11 @@ def lookup_roles(fact: DataFrame, dim: DataFrame, roles: dict, dim_on: str, dim_
     a map-side join.  A larger one with a unique ``row_key`` for the
     fact goes through :func:`lookup_roles_unpivot` (one narrow join
     instead of one fact-sized shuffle per role).  Otherwise one join per
-    role, planned by AQE."""
-    small = bounded or (broadcast_rows is not None and dim.count() <= broadcast_rows)
+    role, planned by AQE.  ``dim_rows``: the dimension's row count when
+    already known (e.g. from :func:`dense_key_counted`)."""
+    if not bounded and broadcast_rows is not None and dim_rows is None:
+        dim_rows = dim.count()
+    small = bounded or (broadcast_rows is not None and dim_rows <= broadcast_rows)
     if not small and row_key is not None and how == "left":
         return lookup_roles_unpivot(fact, dim, roles, row_key, dim_on, dim_key, drop_natural)
     right = dim.select(dim_on, dim_key)

@@ -6,8 +6,8 @@ to one task.  :func:`dense_key` gives the same numbers in parallel:
 1. range-partition the rows on the sort order and checkpoint them, so
    every later pass sees the same split (range bounds are sampled);
 2. count the rows of each range: a frame with one row per range;
-3. running sum of those counts = the offset of each range (tiny, and its
-   size is bounded by the number of ranges, so it is broadcast);
+3. running sum of those counts = the offset of each range: one integer
+   per range, summed on the driver and added as a literal;
 4. key = offset + ``row_number()`` inside the range.
 
 The result equals ``row_number() over (order by ...)`` exactly, as long as
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from starledger.session import cut_lineage
 
 _RANGE = "_sl_range"
-_OFFSET = "_sl_offset"
 
 
 def _sort_exprs(df: DataFrame, order) -> list[Column]:
@@ -39,20 +38,38 @@ def _sort_exprs(df: DataFrame, order) -> list[Column]:
     return exprs
 
 
-def dense_key(df: DataFrame, order, out: str, ranges: int | None = None,
-              key_type: str = "long") -> DataFrame:
-    """Append ``out`` = 1..n following ``order``, computed in parallel."""
+def _range_offsets(ranged: DataFrame) -> tuple[list[int], int]:
+    """Rows per range -> offset of each range, and the total.  The list has
+    one small integer per range (bounded by the number of ranges), the
+    only data this algorithm brings to the driver."""
+    sizes = {r[0]: r[1] for r in ranged.groupBy(_RANGE).agg(F.count(F.lit(1))).collect()}
+    offsets, total = [], 0
+    for i in range(max(sizes) + 1 if sizes else 0):
+        offsets.append(total)
+        total += sizes.get(i, 0)
+    return offsets, total
+
+
+def dense_key_counted(df: DataFrame, order, out: str, ranges: int | None = None,
+                      key_type: str = "long") -> tuple[DataFrame, int]:
+    """:func:`dense_key` plus the number of rows it numbered (known from
+    the per-range counts, so callers need no separate count)."""
     spark = df.sparkSession
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     exprs = _sort_exprs(df, order)
     ranged = cut_lineage(df.repartitionByRange(n, *exprs).withColumn(_RANGE, F.spark_partition_id()))
-    sizes = ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(_RANGE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFFSET))
+    offsets, total = _range_offsets(ranged)
+    offset = (F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_RANGE) + 1)
+              if offsets else F.lit(0).cast("long"))
     within = Window.partitionBy(_RANGE).orderBy(*exprs)
-    keyed = (ranged.join(F.broadcast(offsets), _RANGE)
-             .withColumn(out, (F.col(_OFFSET) + F.row_number().over(within)).cast(key_type)))
-    return keyed.drop(_RANGE, _OFFSET)
+    keyed = ranged.withColumn(out, (offset + F.row_number().over(within)).cast(key_type)).drop(_RANGE)
+    return keyed, total
+
+
+def dense_key(df: DataFrame, order, out: str, ranges: int | None = None,
+              key_type: str = "long") -> DataFrame:
+    """Append ``out`` = 1..n following ``order``, computed in parallel."""
+    return dense_key_counted(df, order, out, ranges, key_type)[0]
 
 
 def surrogate_key(df: DataFrame, natural, out: str, key_type: str = "long") -> DataFrame:

@@ -20,7 +20,7 @@ from starledger.operators.dims import (
 )
 from starledger.operators.govern import Policy, mask_columns, secured
 from starledger.operators.joins import enrich, lookup_roles
-from starledger.operators.keys import dense_key
+from starledger.operators.keys import dense_key_counted
 from starledger.operators.merge import merge_increment
 from starledger.plans import roles, star
 from starledger.plans.jobs import externals as ext
@@ -178,11 +178,15 @@ def dim_two_roles(spark: SparkSession, sf: str) -> DataFrame:
     return star.agency_dim(txn)
 
 
-@register("dim_five_roles")
-def dim_five_roles(spark: SparkSession, sf: str) -> DataFrame:
+def _officer_dim(spark: SparkSession, sf: str):
     slots = roles.officer_slots(spark, sf)
     names = build_role_dim(slots, [[f"highly_compensated_officer_{i}_name"] for i in range(1, 6)], ["hco_name"])
-    return dense_key(names, ["hco_name"], "hco_code")
+    return dense_key_counted(names, ["hco_name"], "hco_code")
+
+
+@register("dim_five_roles")
+def dim_five_roles(spark: SparkSession, sf: str) -> DataFrame:
+    return _officer_dim(spark, sf)[0]
 
 
 @register("dim_dense_rekey_inner")
@@ -221,33 +225,34 @@ def role_dates(spark: SparkSession, sf: str) -> DataFrame:
     return widen(fact.select("transaction_unique_key", "action_date_key", "last_modified_key"))
 
 
-def _district_dim(txn: DataFrame) -> DataFrame:
+def _district_dim(txn: DataFrame, counted: bool = False):
     cds = build_role_dim(txn, [["prime_award_transaction_recipient_cd_original"],
                                ["prime_award_transaction_place_of_performance_cd_original"]], ["cd_original"])
-    return dense_key(cds, ["cd_original"], "cd_code")
+    keyed, rows = dense_key_counted(cds, ["cd_original"], "cd_code")
+    return (keyed, rows) if counted else keyed
 
 
 @register("role_pair")
 def role_pair(spark: SparkSession, sf: str) -> DataFrame:
     txn = roles.transactions(spark, sf)
-    cd = _district_dim(txn)
+    cd, cd_rows = _district_dim(txn, counted=True)
     out = lookup_roles(txn.select("transaction_unique_key", "prime_award_transaction_recipient_cd_original",
                                   "prime_award_transaction_place_of_performance_cd_original"), cd,
                        {"prime_award_transaction_recipient_cd_original": "recipient_cd_code",
                         "prime_award_transaction_place_of_performance_cd_original": "place_of_performance_cd_code"},
                        dim_on="cd_original", dim_key="cd_code", broadcast_rows=BROADCAST_ROWS,
-                       row_key="transaction_unique_key")
+                       row_key="transaction_unique_key", dim_rows=cd_rows)
     return out
 
 
 @register("role_five")
 def role_five(spark: SparkSession, sf: str) -> DataFrame:
     slots = roles.officer_slots(spark, sf)
-    dim = dim_five_roles(spark, sf)
+    dim, dim_rows = _officer_dim(spark, sf)
     return lookup_roles(slots, dim, {f"highly_compensated_officer_{i}_name":
                                      f"highly_compensated_officer_{i}_code" for i in range(1, 6)},
                         "hco_name", "hco_code", broadcast_rows=BROADCAST_ROWS,
-                        row_key="transaction_unique_key")
+                        row_key="transaction_unique_key", dim_rows=dim_rows)
 
 
 # --------------------------------------------------------------------------
