@@ -40,17 +40,14 @@ def publish_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("csv_roundtrip")
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders landed as yearly CSV folders ``FY{year}_orders``; one year
-    read back by file-name glob, typed from text."""
+    """Orders landed as CSV partitioned by year (one pass over the table);
+    one year read back with partition pruning, typed from text."""
     od = roles.table(spark, sf, "orders")
     text = od.select(F.year("o_orderdate").alias("fy"), roles.s("o_orderkey").alias("o_orderkey"),
                      roles.s(roles.money("o_totalprice")).alias("o_totalprice"),
                      roles.s(F.col("o_orderdate").cast("date")).alias("o_orderdate"), "o_orderpriority")
-    base = scratch_path(spark, "landing")
-    # one folder per year present: the year list is a handful of values
-    years = sorted(r[0] for r in text.select("fy").distinct().collect())
-    write_csv_years(text, base, "fy", "orders", years=years)
-    year = read_year(spark, base, 1997)
+    base = write_csv_years(text, scratch_path(spark, "landing"), "fy")
+    year = read_year(spark, base, 1997, layout="partitioned", year_col="fy")
     typed = cast_money(cast_cols(year, {"o_orderkey": "bigint", "o_orderdate": "date"}), ["o_totalprice"])
     return typed.select("o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice"),
                         "o_orderdate", "o_orderpriority")

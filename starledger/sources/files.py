@@ -6,6 +6,7 @@ import math
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -32,11 +33,19 @@ def load_csv(spark: SparkSession, base: str, relative: str, **options) -> DataFr
     return read_csv(spark, f"{base.rstrip('/')}/{relative.lstrip('/')}", **options)
 
 
-def read_year(spark: SparkSession, base: str, year, **options) -> DataFrame:
-    """Files of one fiscal year, named ``FY{year}*`` (S4).  An empty year
-    or a year without files is an error, never an empty result."""
+def read_year(spark: SparkSession, base: str, year, layout: str = "glob",
+              year_col: str = "fiscal_year", **options) -> DataFrame:
+    """Files of one fiscal year.
+
+    ``layout="glob"``: files named ``FY{year}*`` under ``base``; an empty
+    year or a year without files is an error, never an empty result.
+    ``layout="partitioned"``: ``base/{year_col}={year}/`` folders written by
+    :func:`write_csv_years`; the year filter prunes the other folders."""
     if year is None or str(year).strip() == "":
         raise ValueError("a fiscal year is required")
+    if layout == "partitioned":
+        df = read_csv(spark, base, **options)
+        return df.where(F.col(year_col) == F.lit(int(str(year).strip()))).drop(year_col)
     path = f"{base.rstrip('/')}/FY{str(year).strip()}*"
     try:
         return read_csv(spark, path, **options)
@@ -107,18 +116,11 @@ def write_sized(df: DataFrame, path: str, rows_per_file: int, mode: str = "overw
     writer.parquet(path)
 
 
-def write_csv_years(df: DataFrame, base: str, year_col: str, prefix: str, years=None,
-                    mode: str = "overwrite") -> list[str]:
-    """Land a frame as yearly CSV folders ``FY{year}_{prefix}`` (test
-    and replay helper for :func:`read_year`).  Years must be given so no
-    driver-side scan is needed."""
-    written = []
-    for year in years:
-        path = f"{base.rstrip('/')}/FY{year}_{prefix}"
-        (df.where(df[year_col] == year).drop(year_col)
-           .write.mode(mode).option("header", True).csv(path))
-        written.append(path)
-    return written
+def write_csv_years(df: DataFrame, base: str, year_col: str, mode: str = "overwrite") -> str:
+    """Land a frame as CSV folders per year, ``base/{year_col}=YYYY/`` (one
+    pass; read back with ``read_year(..., layout="partitioned")``)."""
+    df.write.mode(mode).option("header", True).partitionBy(year_col).csv(base)
+    return base
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:

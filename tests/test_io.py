@@ -74,3 +74,14 @@ def test_bucketed_facts_join_without_exchange(spark):
     plan = with_broadcast_off._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan
     assert j.count() == 2000
+
+
+def test_partitioned_year_landing_prunes(spark):
+    from starledger.sources.files import write_csv_years
+    df = spark.range(30).select((F.col("id") % 3 + 2019).alias("fy"), F.format_string("%05d", "id").alias("code"))
+    base = write_csv_years(df, scratch_path(spark, "years"), "fy")
+    year = read_year(spark, base, 2020, layout="partitioned", year_col="fy")
+    assert year.columns == ["code"] and year.count() == 10
+    assert sorted(r.code for r in year.collect())[0] == "00001"           # text kept as written
+    plan = year._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(fy" in plan and "= 2020" in plan
