@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -126,21 +128,46 @@ def gold_transactions(assistance: DataFrame, contract: DataFrame, externals: dic
     return out
 
 
-def gold_contracts(contract: DataFrame, size_keys: dict = BUSINESS_SIZE_KEYS, how: str = "inner") -> dict:
-    """FactContract with business size (D5), NAICS (D4) and country of
-    origin (D4, code descending) dims (E9).  ``how="inner"`` reproduces
-    the dropping of rows without a matching NAICS / origin pair (Q11)."""
+@dataclass(frozen=True)
+class DenseDim:
+    """One dense-keyed dimension cut out of a fact (D4): the natural
+    columns, the key, the key order, the null rule and published names.
+    A further dimension is one more instance, not more code."""
+    table: str
+    natural: tuple
+    key: str
+    order: tuple | None = None
+    null_rule: object = "any"
+    names: tuple | None = None
+
+
+CONTRACT_DIMS = (
+    DenseDim("DimNAICS", ("naics_code", "naics_description"), "naics_key", null_rule=("naics_code",)),
+    DenseDim("DimCountryOfOrigin",
+             ("country_of_product_or_service_origin_code", "country_of_product_or_service_origin"),
+             "country_of_origin_key",
+             order=(("country_of_product_or_service_origin_code", "desc"), "country_of_product_or_service_origin"),
+             names=("country_of_origin_code", "country_of_origin")),
+)
+
+
+def gold_contracts(contract: DataFrame, size_keys: dict = BUSINESS_SIZE_KEYS, how: str = "inner",
+                   dims=CONTRACT_DIMS) -> dict:
+    """FactContract with business size (D5) and the dense-keyed dims of
+    ``dims`` (D4; NAICS and country of origin, code descending) (E9).
+    The dims are cut in order, each from the fact re-keyed by the ones
+    before; ``how="inner"`` reproduces the dropping of rows without a
+    matching pair (Q11)."""
     size_code = "contracting_officers_determination_of_business_size_code"
     size_name = "contracting_officers_determination_of_business_size"
     size, fact = code_dim(contract, size_code, size_name, size_keys, "business_size_key",
                           code_out="business_size_code", name_out="business_size")
-    size = size.select("business_size_key", "business_size_code", "business_size")
-    naics, fact = extract_dim(fact, ["naics_code", "naics_description"], "naics_key",
-                              null_rule=["naics_code"], how=how)
-    origin, fact = extract_dim(fact, ["country_of_product_or_service_origin_code",
-                                      "country_of_product_or_service_origin"], "country_of_origin_key",
-                               order=[("country_of_product_or_service_origin_code", "desc"),
-                                      "country_of_product_or_service_origin"],
-                               names=["country_of_origin_code", "country_of_origin"], how=how)
-    fact = fact.select(TXN, "award_unique_key", "naics_key", "country_of_origin_key", "business_size_key")
-    return {"FactContract": fact, "DimBusinessSize": size, "DimNAICS": naics, "DimCountryOfOrigin": origin}
+    out = {"DimBusinessSize": size.select("business_size_key", "business_size_code", "business_size")}
+    for spec in dims:
+        null_rule = list(spec.null_rule) if isinstance(spec.null_rule, tuple) else spec.null_rule
+        dim, fact = extract_dim(fact, list(spec.natural), spec.key,
+                                order=list(spec.order) if spec.order else None, null_rule=null_rule,
+                                how=how, names=list(spec.names) if spec.names else None)
+        out[spec.table] = dim
+    out["FactContract"] = fact.select(TXN, "award_unique_key", *[d.key for d in dims], "business_size_key")
+    return out
