@@ -35,7 +35,7 @@ def conform(df: DataFrame, schema: StructType, renames: dict | None = None,
 
 def publish(df: DataFrame, table: str, schema: StructType, database: str = "prod",
             bucket_by: str | None = None, buckets: int | None = None,
-            mode: str = "overwrite", path: str | None = None) -> str:
+            mode: str = "overwrite", path: str | None = None, analyze: bool = True) -> str:
     """Conform and save as a catalog table.
 
     Facts can be bucketed on the transaction key so later fact-fact
@@ -56,6 +56,10 @@ def publish(df: DataFrame, table: str, schema: StructType, database: str = "prod
     if bucket_by:
         writer = writer.bucketBy(n, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(name)
+    if analyze:
+        # size from file metadata only (no scan): lets the planner broadcast
+        # small published dimensions statically
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS NOSCAN")
     return name
 
 

@@ -85,3 +85,11 @@ def test_partitioned_year_landing_prunes(spark):
     assert sorted(r.code for r in year.collect())[0] == "00001"           # text kept as written
     plan = year._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(fy" in plan and "= 2020" in plan
+
+
+def test_published_tables_carry_size_statistics(spark):
+    db = "stats_test"
+    dim = spark.createDataFrame([("1", "A")], "agency_code string, agency_name string")
+    publish(dim, "DimAgency", TABLES["DimAgency"], db, path=scratch_path(spark, "stats"))
+    stats = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.DimAgency").where("col_name = 'Statistics'").collect()
+    assert stats and "bytes" in stats[0].data_type
