@@ -38,11 +38,14 @@ def summary_frames(spark: SparkSession, database: str = "prod") -> dict:
     }
 
 
-def job_summaries(spark: SparkSession, database: str = "prod") -> list[str]:
-    """Materialise the summaries as tables."""
+def job_summaries(spark: SparkSession, database: str = "prod", location: str | None = None) -> list[str]:
+    """Materialise the summaries as tables (E11), at ``location`` if given."""
     names = []
     for name, df in summary_frames(spark, database).items():
         full = f"{database}.{name}"
-        df.write.mode("overwrite").format("parquet").saveAsTable(full)
+        writer = df.write.mode("overwrite").format("parquet")
+        if location:
+            writer = writer.option("path", f"{location.rstrip('/')}/{name}")
+        writer.saveAsTable(full)
         names.append(full)
     return names

@@ -1,6 +1,8 @@
 """The whole historical load in order (E1 -> E11), and the yearly
-variant.  Paths follow ``root/{silver,gold}/...``; raw files are read
-from ``landing``."""
+variant.  Paths follow ``root/{silver,gold,warehouse}/...``; raw files are
+read from ``landing``.  Published tables live at explicit paths under the
+lake root, so a re-run overwrites its own folders whatever the catalog
+remembers."""
 
 from __future__ import annotations
 
@@ -53,8 +55,8 @@ def run_historical(spark: SparkSession, landing: str, root: str, database: str =
         job_b2s(spark, landing, silver, family)
     run_externals(spark, landing, silver)
     tables = run_gold(spark, silver, gold, calendar)
-    job_publish(spark, tables, database)
-    job_summaries(spark, database)
+    job_publish(spark, tables, database, location=f"{root}/warehouse")
+    job_summaries(spark, database, location=f"{root}/warehouse/{database}.db")
     return tables
 
 
@@ -66,6 +68,6 @@ def run_yearly(spark: SparkSession, landing: str, root: str, year, database: str
     for family in ("assistance", "contract"):
         job_b2s_year(spark, landing, silver, family, year)
     tables = run_gold(spark, silver, gold, calendar)
-    job_publish(spark, tables, database)
-    job_summaries(spark, database)
+    job_publish(spark, tables, database, location=f"{root}/warehouse")
+    job_summaries(spark, database, location=f"{root}/warehouse/{database}.db")
     return tables
