@@ -6,12 +6,15 @@ remembers."""
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import SparkSession
 
 from starledger.plans.jobs import externals as ext
 from starledger.plans.jobs.bronze import job_b2s, job_b2s_year
 from starledger.plans.jobs.gold import gold_assistance, gold_contracts, gold_transactions
 from starledger.plans.jobs.publish import job_publish, job_summaries
+from starledger.session import run_concurrently
 from starledger.sources.files import read_layer, write_sized
 from starledger.sources.schemas import ROWS_PER_FILE
 
@@ -21,12 +24,14 @@ GOLD_ROWS = {"FactTransaction": ROWS_PER_FILE["gold_transaction"],
              "FactContract": ROWS_PER_FILE["gold_contract"]}
 
 
-def run_externals(spark: SparkSession, landing: str, silver: str) -> None:
-    for job in (ext.job_house, ext.job_education, ext.job_gdp, ext.job_population, ext.job_presidential):
-        job(spark, f"{landing}/external_data", silver)
+def run_externals(spark: SparkSession, landing: str, silver: str, workers: int = 4) -> None:
+    """The five external jobs are independent; they run side by side."""
+    jobs = (ext.job_house, ext.job_education, ext.job_gdp, ext.job_population, ext.job_presidential)
+    run_concurrently({job.__name__: partial(job, spark, f"{landing}/external_data", silver) for job in jobs},
+                     workers)
 
 
-def run_gold(spark: SparkSession, silver: str, gold: str, calendar=None) -> dict:
+def run_gold(spark: SparkSession, silver: str, gold: str, calendar=None, workers: int = 4) -> dict:
     """Silver -> gold parquet, every table sized by rows per file; every
     table is then read back, so later steps start from written data (no
     recomputation, lineage cut)."""
@@ -43,16 +48,16 @@ def run_gold(spark: SparkSession, silver: str, gold: str, calendar=None) -> dict
     tables.update(gold_assistance(assistance))
     tables.update(gold_transactions(assistance, contract, externals, calendar=calendar))
     tables.update(gold_contracts(contract))
-    for name, df in tables.items():
-        write_sized(df, f"{gold}/{name}", GOLD_ROWS.get(name, DIM_ROWS_PER_FILE))
+    run_concurrently({name: partial(write_sized, df, f"{gold}/{name}", GOLD_ROWS.get(name, DIM_ROWS_PER_FILE))
+                      for name, df in tables.items()}, workers)
     return {name: read_layer(spark, f"{gold}/{name}") for name in tables}
 
 
 def run_historical(spark: SparkSession, landing: str, root: str, database: str = "prod",
                    calendar=None) -> dict:
     silver, gold = f"{root}/silver", f"{root}/gold"
-    for family in ("assistance", "contract"):
-        job_b2s(spark, landing, silver, family)
+    run_concurrently({family: partial(job_b2s, spark, landing, silver, family)
+                      for family in ("assistance", "contract")}, 2)
     run_externals(spark, landing, silver)
     tables = run_gold(spark, silver, gold, calendar)
     job_publish(spark, tables, database, location=f"{root}/warehouse")

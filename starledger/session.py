@@ -71,3 +71,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         if "sparkContext" not in str(exc) and "JVM" not in str(exc) and "Connect" not in str(exc):
             raise
     return df.checkpoint(eager=True)
+
+
+def run_concurrently(tasks: dict, workers: int = 4) -> dict:
+    """Run independent Spark actions (table writes) from a few driver
+    threads.  Spark schedules jobs from different threads side by side,
+    so many small jobs (one-file dimensions, summaries) overlap instead
+    of leaving executors idle between them.  Results by task name; the
+    first failure is raised."""
+    from concurrent.futures import ThreadPoolExecutor
+    if workers <= 1 or len(tasks) <= 1:
+        return {name: fn() for name, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}

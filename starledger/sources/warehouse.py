@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from starledger.session import run_concurrently
 from starledger.sources.schemas import FACT_TABLES, GOLD_TO_PUBLISHED
 
 
@@ -65,17 +68,18 @@ def publish(df: DataFrame, table: str, schema: StructType, database: str = "prod
 
 def refresh_warehouse(spark: SparkSession, tables: dict, schemas: dict,
                       database: str = "prod", buckets: int | None = None,
-                      location: str | None = None) -> list[str]:
+                      location: str | None = None, workers: int = 4) -> list[str]:
     """Full refresh (S13): drop what exists, recreate, load every table.
     ``location``: folder for the database and its tables (else the
     session's warehouse folder)."""
     where = f" LOCATION '{location.rstrip('/')}/{database}.db'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
-    names = []
-    for table, df in tables.items():
+    for table in tables:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
+    tasks = {}
+    for table, df in tables.items():
         bucket = "transaction_unique_key" if table in FACT_TABLES else None
         path = f"{location.rstrip('/')}/{table}" if location else None
-        names.append(publish(df, table, schemas[table], database, bucket_by=bucket,
-                             buckets=buckets, path=path))
-    return names
+        tasks[table] = partial(publish, df, table, schemas[table], database, bucket_by=bucket,
+                               buckets=buckets, path=path)
+    return list(run_concurrently(tasks, workers).values())
