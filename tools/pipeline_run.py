@@ -135,7 +135,9 @@ def land(spark, sf: str, landing: str) -> None:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session()
+    # CSV is splittable: size the splits to the data (about one per core
+    # here), as a cluster would size them to its executors.
+    spark = build_session(extra={"spark.sql.files.maxPartitionBytes": "16m"})
     landing, root = scratch_path(spark, "landing"), scratch_path(spark, "lake")
     t0 = time.time()
     land(spark, sf, landing)
