@@ -93,3 +93,11 @@ def test_published_tables_carry_size_statistics(spark):
     publish(dim, "DimAgency", TABLES["DimAgency"], db, path=scratch_path(spark, "stats"))
     stats = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.DimAgency").where("col_name = 'Statistics'").collect()
     assert stats and "bytes" in stats[0].data_type
+
+
+def test_run_concurrently_returns_results_and_raises_failures(spark):
+    from starledger.session import run_concurrently
+    out = run_concurrently({"a": lambda: spark.range(10).count(), "b": lambda: spark.range(5).count()}, 2)
+    assert out == {"a": 10, "b": 5}
+    with pytest.raises(AnalysisException):
+        run_concurrently({"ok": lambda: 1, "bad": lambda: spark.read.parquet("/nonexistent/path").count()}, 2)
