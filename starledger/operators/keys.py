@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from starledger.session import cut_lineage
 
 _RANGE = "_sl_range"
+# Up to this many ranges the offsets are a literal array in the plan.
+_LITERAL_RANGES = 4096
 
 
 def _sort_exprs(df: DataFrame, order) -> list[Column]:
@@ -59,11 +61,17 @@ def dense_key_counted(df: DataFrame, order, out: str, ranges: int | None = None,
     exprs = _sort_exprs(df, order)
     ranged = cut_lineage(df.repartitionByRange(n, *exprs).withColumn(_RANGE, F.spark_partition_id()))
     offsets, total = _range_offsets(ranged)
-    offset = (F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_RANGE) + 1)
-              if offsets else F.lit(0).cast("long"))
     within = Window.partitionBy(_RANGE).orderBy(*exprs)
-    keyed = ranged.withColumn(out, (offset + F.row_number().over(within)).cast(key_type)).drop(_RANGE)
-    return keyed, total
+    if len(offsets) <= _LITERAL_RANGES:
+        offset = (F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_RANGE) + 1)
+                  if offsets else F.lit(0).cast("long"))
+        keyed = ranged.withColumn(out, (offset + F.row_number().over(within)).cast(key_type))
+    else:
+        # many ranges: a small frame (one row per range, a proven bound) joined by broadcast
+        table = spark.createDataFrame(list(enumerate(offsets)), f"{_RANGE} int, _sl_offset long")
+        keyed = ranged.join(F.broadcast(table), _RANGE).withColumn(
+            out, (F.col("_sl_offset") + F.row_number().over(within)).cast(key_type)).drop("_sl_offset")
+    return keyed.drop(_RANGE), total
 
 
 def dense_key(df: DataFrame, order, out: str, ranges: int | None = None,
