@@ -44,10 +44,15 @@ def run_gold(spark: SparkSession, silver: str, gold: str, calendar=None, workers
         "pres": read_layer(spark, f"{silver}/external/county/pres"),
         "house": read_layer(spark, f"{silver}/external/cd/house"),
     }
+    # the three builders are independent (each runs its own checkpoint and
+    # count jobs while building), so they are built side by side too
+    parts = run_concurrently({
+        "assistance": partial(gold_assistance, assistance),
+        "transactions": partial(gold_transactions, assistance, contract, externals, calendar=calendar),
+        "contracts": partial(gold_contracts, contract)}, workers)
     tables = {}
-    tables.update(gold_assistance(assistance))
-    tables.update(gold_transactions(assistance, contract, externals, calendar=calendar))
-    tables.update(gold_contracts(contract))
+    for part in parts.values():
+        tables.update(part)
     run_concurrently({name: partial(write_sized, df, f"{gold}/{name}", GOLD_ROWS.get(name, DIM_ROWS_PER_FILE))
                       for name, df in tables.items()}, workers)
     return {name: read_layer(spark, f"{gold}/{name}") for name in tables}
