@@ -111,6 +111,11 @@ def gold_transactions(assistance: DataFrame, contract: DataFrame, externals: dic
                                              "primary_place_of_performance_state_name"]],
                                      ["state_abbreviation", "state_name"], role_tag="code_system",
                                      role_names=["letters", "fips"])
+    # Q4: the published state dimension mixes letter and numeric codes (tagged
+    # by code_system); the letters-only dimension is the clean one
+    state = out["DimState"]
+    out["DimStateLetters"] = (state.where(F.col("code_system") == "letters").drop("code_system")
+                              if "code_system" in state.columns else state)
     out["DimCountry"] = _role_dim(fact, [["recipient_country_code", "recipient_country_name"],
                                               ["primary_place_of_performance_country_code",
                                                "primary_place_of_performance_country_name"]],

@@ -174,6 +174,7 @@ TABLES: dict[str, StructType] = {
     "DimCountry": _t(("country_code", S), ("country_name", S)),
     "DimRecipient": _t(("recipient_uei", S), ("recipient_name_raw", S)),
     "DimState": _t(("state_abbreviation", S), ("state_name", S)),
+    "DimStateLetters": _t(("state_abbreviation", S), ("state_name", S)),
     "DimCounty": _t(("county_fips", S), ("less_than_hs_17_21", I), ("hs_only_17_21", I),
                     ("some_college_17_21", I), ("bach_or_higher_17_21", I),
                     ("perc_less_than_hs_17_21", D), ("perc_hs_only_17_21", D),

@@ -26,6 +26,9 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert first["DimDate"] == 2557 and first["DimAgency"] == 3      # one code with two names (Q22)
     assert first["DimHighlyCompensatedOfficer"] == 3                  # Ann, Bob, Dee: Ann in two slots once
     assert first["DimCounty"] == 2
+    letters = [r.state_abbreviation for r in spark.table(f"{db}.DimStateLetters").collect()]
+    assert letters == ["AL"]                                          # the FIPS-coded role is not in it (Q4)
+    assert spark.table(f"{db}.DimState").count() == 2
     from starledger.sources.schemas import TABLES
     for table, contract in TABLES.items():                            # published layouts equal the contracts
         got = [(f.name, f.dataType) for f in spark.table(f"{db}.{table}").schema.fields]
