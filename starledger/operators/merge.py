@@ -54,12 +54,10 @@ def merge_increment_to(spark: SparkSession, silver_path: str, new: DataFrame,
     writer.parquet(staging)
     staged = spark.read.parquet(staging)
     if partition_col and current is not None:
-        previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            staged.write.mode("overwrite").partitionBy(partition_col).parquet(silver_path)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+        # per-write option (not a session setting): only the partitions present
+        # in the staged data are replaced; safe next to concurrent writes
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(silver_path))
     else:
         w = staged.write.mode("overwrite")
         if partition_col:
