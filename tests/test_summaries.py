@@ -69,3 +69,15 @@ def test_county_and_award_tables(spark):
     assert rows(sm.award_sums_dedup(txn, assistance)) == [
         (20190101, "aw1", D("5.00"), D("50.00")), (20190102, "aw1", D("7.00"), D("70.00")),
         (20190201, "aw2", None, None)]
+
+
+def test_month_year_grain_keeps_years_apart(spark):
+    txn = spark.createDataFrame([("t1", 20190115, "F1"), ("t2", 20200110, "F1"), ("t3", 20190120, "F1")],
+                                "transaction_unique_key string, action_date_key int, funding_agency_code string")
+    agency = spark.createDataFrame([("F1", "Commerce")], "agency_code string, agency_name string")
+    by_name = sm.summary_agencies(txn, agency, "month")
+    by_year = sm.summary_agencies(txn, agency, "month_year")
+    assert rows(by_name) == [("January", "Commerce", 3)]                          # years merged (Q19 parity)
+    assert rows(by_year) == [("January 2019", "Commerce", 2), ("January 2020", "Commerce", 1)]
+    cal = calendar_dim(spark, "2018-10-01", "2020-09-30")
+    assert rows(sm.summary_agencies(txn, agency, "month_year", cal)) == rows(by_year)
