@@ -190,15 +190,15 @@ select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey from (
 where c_nationkey in (1, 5, 7) and c_acctbal >= 0 and c_mktsegment <> 'BUILDING' and c_name is not null"""
 
 ORACLE["fips_pad"] = """
-select cast(n_nationkey as bigint) as n_nationkey,
-       lpad(cast(n_regionkey as varchar), 2, '0') || lpad(cast(n_nationkey as varchar), 3, '0') as fips_code,
-       case when length(cast(n_nationkey as varchar)) < 2 then '0' || cast(n_nationkey as varchar)
-            else cast(n_nationkey as varchar) end as one_zero_code,
-       lpad(cast(n_nationkey * 1000 as varchar), 3, '0') as truncated_code,
-       concat_ws('-', r_name, lpad(cast(n_nationkey as varchar), 2, '0')) as district_code,
-       concat_ws('-', case when n_nationkey % 2 = 0 then r_name end, lpad(cast(n_nationkey as varchar), 2, '0'))
+select c_custkey,
+       lpad(cast(c_nationkey as varchar), 2, '0') || lpad(cast(c_custkey % 1000 as varchar), 3, '0') as fips_code,
+       case when length(cast(c_nationkey as varchar)) < 2 then '0' || cast(c_nationkey as varchar)
+            else cast(c_nationkey as varchar) end as one_zero_code,
+       lpad(cast(c_custkey as varchar), 3, '0') as truncated_code,
+       concat_ws('-', r_name, lpad(cast(c_nationkey as varchar), 2, '0')) as district_code,
+       concat_ws('-', case when c_custkey % 2 = 0 then r_name end, lpad(cast(c_custkey % 100 as varchar), 2, '0'))
          as district_code_nulls
-from nation join region on n_regionkey = r_regionkey"""
+from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey"""
 
 ORACLE["union_families"] = f"""
 with t as ({txn()})

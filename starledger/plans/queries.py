@@ -123,16 +123,17 @@ def filters_basic(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("fips_pad")
 def fips_pad(spark: SparkSession, sf: str) -> DataFrame:
+    cu = roles.table(spark, sf, "customer")
     na = roles.table(spark, sf, "nation")
     rg = roles.table(spark, sf, "region")
-    j = na.join(rg, na["n_regionkey"] == rg["r_regionkey"])
+    j = cu.join(na, cu["c_nationkey"] == na["n_nationkey"]).join(rg, na["n_regionkey"] == rg["r_regionkey"])
     return widen(j.select(
-        "n_nationkey",
-        fips(pad_code("n_regionkey", 2), pad_code("n_nationkey", 3)).alias("fips_code"),
-        pad_one_zero("n_nationkey", 2).alias("one_zero_code"),
-        pad_code(F.col("n_nationkey") * 1000, 3).alias("truncated_code"),
-        district_code("r_name", "n_nationkey").alias("district_code"),
-        district_code(F.when(F.col("n_nationkey") % 2 == 0, F.col("r_name")), "n_nationkey")
+        "c_custkey",
+        fips(pad_code("c_nationkey", 2), pad_code(F.col("c_custkey") % 1000, 3)).alias("fips_code"),
+        pad_one_zero("c_nationkey", 2).alias("one_zero_code"),
+        pad_code("c_custkey", 3).alias("truncated_code"),
+        district_code("r_name", "c_nationkey").alias("district_code"),
+        district_code(F.when(F.col("c_custkey") % 2 == 0, F.col("r_name")), F.col("c_custkey") % 100)
         .alias("district_code_nulls")))
 
 
