@@ -290,6 +290,35 @@ ORACLE["winner_outer_years"] = f"""
 with {HOUSE}
 select * from parties"""
 
+ORACLE["winner_pivot_years"] = f"""
+with {HOUSE}
+select concat_ws('-', state_po, lpad(district, 2, '0')) as congressional_district,
+       min(case when year = 2018 then party end) as party_2018,
+       min(case when year = 2020 then party end) as party_2020,
+       min(case when year = 2022 then party end) as party_2022
+from w group by state_po, district"""
+
+ORACLE["winner_sum_lines"] = f"""
+with {HOUSE},
+lines as (select year, state_po, district, candidate, party, candidatevotes,
+                 row_number() over (partition by year, state_po, district, candidate
+                                    order by candidatevotes desc, party desc) as pick
+          from h where year >= 2018),
+cand as (select year, state_po, district, candidate, sum(candidatevotes) as votes,
+                max(case when pick = 1 then party end) as party
+         from lines group by year, state_po, district, candidate),
+ranked as (select *, rank() over (partition by year, state_po, district order by votes desc) as rk from cand)
+select cast(year as bigint) as year, state_po, district, candidate, party from ranked where rk = 1"""
+
+ORACLE["dim_state_tagged"] = f"""
+with t as ({txn(True, True)})
+select distinct * from (
+  select substr(awarding_agency_name, 1, 2) as state_abbreviation, awarding_agency_name as state_name,
+         'letters' as code_system from t
+  union all
+  select lpad(funding_agency_code, 2, '0'), funding_agency_name, 'fips' from t)
+where state_abbreviation is not null and state_name is not null"""
+
 ORACLE["winner_joinback_pivot"] = f"""
 with {PRES}
 select * from pres"""

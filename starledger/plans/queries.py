@@ -270,6 +270,31 @@ def winner_outer_years(spark: SparkSession, sf: str) -> DataFrame:
     return ext.district_parties(ext.house_winners(roles.house_results(spark, sf)))
 
 
+@register("winner_pivot_years")
+def winner_pivot_years(spark: SparkSession, sf: str) -> DataFrame:
+    """District parties per year as one pivot (A5): one row per district,
+    the smallest party on a tie."""
+    return ext.district_parties(ext.house_winners(roles.house_results(spark, sf)), method="pivot")
+
+
+@register("winner_sum_lines")
+def winner_sum_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Winners when a candidate's party lines are added up (Q13 option)."""
+    return widen(ext.house_winners(roles.house_results(spark, sf), sum_lines=True))
+
+
+@register("dim_state_tagged")
+def dim_state_tagged(spark: SparkSession, sf: str) -> DataFrame:
+    """State role dimension mixing two code systems, kept apart by a tag (Q4)."""
+    txn = roles.transactions(spark, sf, customer=True, supplier=True)
+    txn = txn.withColumn("recipient_state_code", F.substring("awarding_agency_name", 1, 2)).withColumn(
+        "place_state_fips", F.lpad("funding_agency_code", 2, "0"))
+    return build_role_dim(txn, [["recipient_state_code", "awarding_agency_name"],
+                                ["place_state_fips", "funding_agency_name"]],
+                          ["state_abbreviation", "state_name"], role_tag="code_system",
+                          role_names=["letters", "fips"])
+
+
 @register("winner_joinback_pivot")
 def winner_joinback_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return ext.presidential_frame(roles.county_results(spark, sf))
