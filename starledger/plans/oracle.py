@@ -424,6 +424,14 @@ select cast(t.action_date_key as bigint) as action_date_key, r.recipient_name_ra
        count(r.recipient_uei) as recipient_count
 from t join r on r.recipient_uei = t.recipient_uei group by all"""
 
+ORACLE["summary_recipients_month"] = f"""
+with t as ({FACT_C}),
+r as (select distinct recipient_uei, recipient_name_raw from t
+      where recipient_uei is not null and recipient_name_raw is not null)
+select strftime(t.action_date, '%B') as calendar_month, r.recipient_name_raw,
+       count(r.recipient_uei) as recipient_count
+from t join r on r.recipient_uei = t.recipient_uei group by all"""
+
 ORACLE["award_by_date"] = f"""
 with t as ({FACT}), {ASSIST}
 select award_unique_key, cast(action_date_key as bigint) as action_date_key,
@@ -461,6 +469,12 @@ select recipient_uei, recipient_name_raw, 'data engineer' as principal from r
 union all
 select recipient_uei, case when recipient_name_raw is not null then 'xxxx' end, 'NATION_7' from r"""
 
+ORACLE["mask_officers"] = f"""
+with {SLOTS}
+select hco_name, hco_code, 'data engineer' as principal from hco
+union all
+select case when hco_name is not null then 'xxxx' end, hco_code, 'NATION_7' from hco"""
+
 ORACLE["row_filter"] = f"""
 with t as ({txn(True, True)}), agency as ({AGENCY}),
 fr as (select transaction_unique_key, awarding_agency_code, recipient_uei, recipient_name_raw from t)

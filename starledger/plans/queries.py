@@ -427,6 +427,13 @@ def summary_recipients(spark, sf):
     return widen(sm.summary_recipients(txn, recipient, "day"))
 
 
+@register("summary_recipients_month")
+def summary_recipients_month(spark, sf):
+    txn, _ = _facts(spark, sf, customer=True)
+    recipient = build_dim(txn, ["recipient_uei", "recipient_name_raw"])
+    return widen(sm.summary_recipients(txn, recipient, "month"))
+
+
 @register("award_by_date")
 def award_by_date(spark, sf):
     txn, _ = _facts(spark, sf)
@@ -459,6 +466,15 @@ def mask_columns_query(spark, sf):
     return clear.unionByName(masked)
 
 
+@register("mask_officers")
+def mask_officers(spark, sf):
+    """Officer dimension as seen by an administrator and by an agency user."""
+    dim = dim_five_roles(spark, sf)
+    clear = tag(mask_columns(dim, ["hco_name"], True), "principal", "data engineer")
+    masked = tag(mask_columns(dim, ["hco_name"], False), "principal", "NATION_7")
+    return widen(clear.unionByName(masked))
+
+
 @register("row_filter")
 def row_filter(spark, sf):
     txn = roles.transactions(spark, sf, customer=True, supplier=True)
