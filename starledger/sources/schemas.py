@@ -154,7 +154,8 @@ CONTRACT = FamilySpec(
 FAMILIES = {"assistance": ASSISTANCE, "contract": CONTRACT}
 
 # ---------------------------------------------------------------------------
-# Published table layouts (column names are the warehouse names)
+# Fixed values (continued): published table layouts, column names and types
+# as the warehouse defines them
 # ---------------------------------------------------------------------------
 
 S, I, L, D, DT = StringType(), IntegerType(), LongType(), DoubleType(), DateType()
@@ -232,7 +233,8 @@ TABLES: dict[str, StructType] = {
 # Facts are hash-placed on the transaction key; dimensions are small.
 FACT_TABLES = ("FactTransaction", "FactAssistance", "FactContract")
 
-# Gold names that differ from the published names (gold -> published).
+# Fixed values (continued): gold column names that differ from the published
+# ones (gold -> published), spelled as the gold files spell them.
 GOLD_TO_PUBLISHED = {
     "DateKey": "date_key",
     "last_modifed_key": "last_modified_key",
