@@ -101,3 +101,14 @@ def test_run_concurrently_returns_results_and_raises_failures(spark):
     assert out == {"a": 10, "b": 5}
     with pytest.raises(AnalysisException):
         run_concurrently({"ok": lambda: 1, "bad": lambda: spark.read.parquet("/nonexistent/path").count()}, 2)
+
+
+def test_partitioned_sized_write_keeps_one_file_per_small_year(spark):
+    path = scratch_path(spark, "by-year")
+    df = spark.range(3000).repartition(8).select((F.col("id") % 3 + 2019).alias("fy"), "id")
+    write_sized(df, path, rows_per_file=1_000_000, partition_by="fy")
+    root = path.replace("file:", "")
+    per_year = {d: len([f for f in os.listdir(os.path.join(root, d)) if f.endswith(".parquet")])
+                for d in os.listdir(root) if d.startswith("fy=")}
+    assert per_year == {"fy=2019": 1, "fy=2020": 1, "fy=2021": 1}      # not one file per task per year
+    assert read_layer(spark, path).count() == 3000
