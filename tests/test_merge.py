@@ -29,3 +29,12 @@ def test_unpartitioned_merge(spark):
     merge_increment_to(spark, path, a)
     merge_increment_to(spark, path, spark.createDataFrame([(2,), (3,)], "k int"))
     assert rows(spark.read.parquet(path)) == [(1,), (2,), (3,)]
+
+
+def test_touched_partitions_with_null_year(spark):
+    from starledger.operators.merge import touched_partitions
+    current = spark.createDataFrame([(2019, "a"), (None, "b"), (2020, "c")], "fy int, v string")
+    new = spark.createDataFrame([(None, "x"), (2020, "y")], "fy int, v string")
+    assert rows(current.where(touched_partitions(new, "fy")).select("v")) == [("b",), ("c",)]
+    only_null = spark.createDataFrame([(None, "x")], "fy int, v string")
+    assert rows(current.where(touched_partitions(only_null, "fy")).select("v")) == [("b",)]

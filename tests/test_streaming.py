@@ -15,3 +15,11 @@ def test_stream_ingests_only_new_files(spark, tmp_path):
     write_landing(str(tmp_path / "landing"), years=(2020,))
     ingest_new_files(spark, landing, silver, "assistance", checkpoint=ckpt)
     assert spark.read.parquet(f"{silver}/assistance").count() == 6
+
+
+def test_stream_one_file_per_batch_gives_same_silver(spark, tmp_path):
+    landing = write_landing(str(tmp_path / "landing"), years=(2019, 2020))
+    silver = scratch_path(spark, "silver-stream-batches")
+    ingest_new_files(spark, landing, silver, "assistance", checkpoint=scratch_path(spark, "ckpt"),
+                     max_files_per_trigger=1)
+    assert spark.read.parquet(f"{silver}/assistance").count() == 6
