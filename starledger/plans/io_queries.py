@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from starledger.operators.clean import cast_cols, cast_money
 from starledger.plans import roles, star
 from starledger.plans.queries import register
-from starledger.session import scratch_path
+from starledger.session import run_concurrently, scratch_path
 from starledger.sources.files import read_layer, read_year, write_csv_years, write_layer
 from starledger.sources.schemas import TABLES
 from starledger.sources.warehouse import refresh_warehouse
@@ -25,8 +26,9 @@ def publish_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     gold = {"DimAgency": star.agency_dim(txn), "DimNAICS": naics, "DimBusinessSize": size,
             "FactContract": contract}
     base = scratch_path(spark, "publish")
-    for name, df in gold.items():
-        write_layer(df, f"{base}/gold/{name}", files=1 if name.startswith("Dim") else None)
+    run_concurrently({name: partial(write_layer, df, f"{base}/gold/{name}",
+                                    files=1 if name.startswith("Dim") else None)
+                      for name, df in gold.items()})
     layer = {name: read_layer(spark, f"{base}/gold/{name}") for name in gold}
     db = f"sl_rt_{uuid.uuid4().hex[:10]}"
     refresh_warehouse(spark, layer, TABLES, db, buckets=4, location=f"{base}/warehouse")
