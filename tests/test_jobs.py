@@ -26,6 +26,20 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert first["DimDate"] == 2557 and first["DimAgency"] == 3      # one code with two names (Q22)
     assert first["DimHighlyCompensatedOfficer"] == 3                  # Ann, Bob, Dee: Ann in two slots once
     assert first["DimCounty"] == 2
+    summaries = ["ViewSummaryByAward", "ViewSummaryTotalsByDay", "ViewAgenciesByDay", "ViewRecipientsByDay",
+                 "ViewIndustriesByDay", "ViewSmallBusinessSummaryByDay", "ViewAgenciesByMonth",
+                 "ViewIndustriesByMonth", "ViewSmallBusinessSummaryByMonth", "ViewObligatedFedAmtByFips",
+                 "AwardByDateTable", "ViewAwardSumsByDay", "AwardSumsDedup"]
+    assert all(spark.catalog.tableExists(f"{db}.{n}") for n in summaries)
+    small = spark.table(f"{db}.ViewSmallBusinessSummaryByDay").agg(
+        F.sum("small_business_transactions"), F.sum("total_transactions")).first()
+    assert tuple(small) == (1, 2)                                    # S -> 1, O -> 2; null-description row dropped
+    industries = sorted((r.calendar_month, r.naics_code, r.industry_count)
+                        for r in spark.table(f"{db}.ViewIndustriesByMonth").collect())
+    assert industries == [("February", "111", 1), ("January", "111", 1)]
+    assert spark.table(f"{db}.ViewSummaryByAward").count() == 2      # aw1, aw2
+    assert sorted(r.calendar_month for r in spark.table(f"{db}.ViewSmallBusinessSummaryByMonth").collect()) == \
+        ["February", "January"]
     letters = [r.state_abbreviation for r in spark.table(f"{db}.DimStateLetters").collect()]
     assert letters == ["AL"]                                          # the FIPS-coded role is not in it (Q4)
     assert spark.table(f"{db}.DimState").count() == 2
