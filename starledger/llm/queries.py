@@ -6,10 +6,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starledger.llm.common import table
 from starledger.llm.exact_dedup import exact_dedup
+from starledger.llm.pii import find_pii, span_text
 from starledger.llm.simhash import near_dedup
+from starledger.llm.url_filter import filter_urls
+from starledger.llm.warc import read_archive, write_archive
+from starledger.session import scratch_path
+
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc-archive")
+    write_archive(table(spark, sf_dir, "pages"), path)
+    return read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,13 +38,32 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2(span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        span_text(F.col("found")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_url_filter": op2_url_filter,
+        "op6_warc": op6_warc,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_exact_dedup": op8_exact_dedup,
+        "op10_pii": op10_pii,
     }
 
 
+OP6_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                  min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages)
+SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM p
+"""
+
 OP8_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
@@ -37,5 +74,6 @@ FROM d WINDOW g AS (PARTITION BY norm)
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_warc": OP6_SQL,
         "op8_exact_dedup": OP8_SQL,
     }
