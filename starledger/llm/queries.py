@@ -8,10 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm.common import table
+from starledger.llm.common import crc_mod, table
 from starledger.llm.exact_dedup import exact_dedup
 from starledger.llm.pii import find_pii, span_text
+from starledger.llm.quality import THRESHOLD, classify
 from starledger.llm.simhash import near_dedup
+from starledger.llm.topk import exact_top_k
 from starledger.llm.url_filter import filter_urls
 from starledger.llm.warc import read_archive, write_archive
 from starledger.session import scratch_path
@@ -20,10 +22,20 @@ URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.exa
              ("block", "net/es/"), ("block", "net/fr/")]
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_top_k(vectors, vectors["vec_id"] % 20 == 0, k=20)
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                    held_out=crc_mod(F.col("id"), 5) == 0, threshold=THRESHOLD)
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc-archive")
     write_archive(table(spark, sf_dir, "pages"), path)
@@ -47,7 +59,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_exact_top_k": op1_exact_top_k,
         "op2_url_filter": op2_url_filter,
+        "op5_quality_classifier": op5_quality_classifier,
         "op6_warc": op6_warc,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_exact_dedup": op8_exact_dedup,
@@ -55,6 +69,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
 OP6_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
                   min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages)
@@ -74,6 +102,7 @@ FROM d WINDOW g AS (PARTITION BY norm)
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_exact_top_k": OP1_SQL,
         "op6_warc": OP6_SQL,
         "op8_exact_dedup": OP8_SQL,
     }
