@@ -16,9 +16,15 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from starledger.llm.common import shared_table, table  # noqa: E402
 from starledger.llm.exact_dedup import drop_copies  # noqa: E402
+from starledger.llm.quality import THRESHOLD, drop_rejected  # noqa: E402
 from starledger.llm.simhash import drop_near_copies  # noqa: E402
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, taught by ``labels.quality``, rejects go."""
+    return drop_rejected(docs, table(spark, sf_dir, "labels"), threshold=THRESHOLD)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal text, the one with the smallest doc_id stays."""
     return drop_copies(docs)
@@ -31,6 +37,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 STAGES = [
+    ("quality_classifier", quality_classifier),
     ("exact_dedup", exact_dedup),
     ("simhash_near_dedup", simhash_near_dedup),
 ]
