@@ -114,10 +114,11 @@ def _branches(paths: DataFrame, depth: int, chi_square: float) -> DataFrame:
     for k in range(1, depth + 1):
         up = level.toDF("host", "parent", "p_good", "p_bad")
         x = nodes.where(F.col("level") == k).join(up, ["host", "parent"])
-        n, m = F.col("good") + F.col("bad"), F.col("p_good") + F.col("p_bad")
-        rest_bad, rest = F.col("p_bad") - F.col("bad"), m - n
-        cross = F.col("bad") * (rest - rest_bad) - F.col("good") * rest_bad
-        margins = n * rest * F.col("p_bad") * F.col("p_good")
+        good, bad, p_good, p_bad = (F.col(c).cast("double") for c in ("good", "bad", "p_good", "p_bad"))
+        n, m = good + bad, p_good + p_bad
+        rest_bad, rest = p_bad - bad, m - n
+        cross = bad * (rest - rest_bad) - good * rest_bad
+        margins = n * rest * p_bad * p_good
         differs = F.when(margins > 0, cross * cross * m / F.when(margins > 0, margins)).otherwise(0.0) >= chi_square
         level = shared_table(x.select("host", "node", F.when(differs, F.col("good")).otherwise(F.col("p_good")).alias("b_good"),
                                       F.when(differs, F.col("bad")).otherwise(F.col("p_bad")).alias("b_bad")),
