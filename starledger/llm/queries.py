@@ -8,8 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm.common import crc_mod, table
+from starledger.llm.common import crc_mod, table, text_of
 from starledger.llm.exact_dedup import exact_dedup
+from starledger.llm.lm import score_texts
+from starledger.llm.mixing import interleave
+from starledger.llm.pieces import MODEL, N_BEST, decode, encode
 from starledger.llm.pii import find_pii, span_text
 from starledger.llm.quality import THRESHOLD, classify
 from starledger.llm.simhash import near_dedup
@@ -22,6 +25,10 @@ URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.exa
              ("block", "net/es/"), ("block", "net/fr/")]
 
 
+#: Target shares of the sources; any other source shares one small queue.
+SOURCE_WEIGHTS = {"src0": 0.24, **{f"src{i}": 0.04 for i in range(1, 20)}}
+
+
 def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return exact_top_k(vectors, vectors["vec_id"] % 20 == 0, k=20)
@@ -31,6 +38,23 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_texts(docs, crc_mod(docs["doc_id"], 5) != 1)
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best segmentation of every text, the scores and digests of the
+    N best, and whether decoding gives the text back."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.withColumn("text_sha256", F.sha2(text_of(docs, "text").cast("binary"), 256))
+    coded = encode(docs, MODEL, N_BEST, carry=["text_sha256"]).select(
+        "doc_id", "text_sha256", "ids", "score", F.transform("nbest", lambda b: F.struct(
+            b["score"].alias("score"), F.size(b["ids"]).alias("n_ids"), F.xxhash64(b["ids"]).alias("ids_hash"))).alias("nbest"))
+    back = decode(coded, MODEL).withColumn("decoded_sha256", F.sha2(F.col("decoded").cast("binary"), 256)).drop("decoded")
+    return back.withColumn("round_trip", F.col("decoded_sha256") == F.col("text_sha256"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
                     held_out=crc_mod(F.col("id"), 5) == 0, threshold=THRESHOLD)
@@ -50,6 +74,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return interleave(docs, SOURCE_WEIGHTS)[0]
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
@@ -61,10 +90,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
         "op2_url_filter": op2_url_filter,
+        "op3_lm_scoring": op3_lm_scoring,
+        "op4_sentencepiece": op4_sentencepiece,
         "op5_quality_classifier": op5_quality_classifier,
         "op6_warc": op6_warc,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_mixing": op9_mixing,
         "op10_pii": op10_pii,
     }
 
