@@ -13,10 +13,14 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from starledger.llm.common import shared_table, table  # noqa: E402
 from starledger.llm.exact_dedup import drop_copies  # noqa: E402
+from starledger.llm.mixing import in_mixed_order  # noqa: E402
+from starledger.llm.pieces import encode  # noqa: E402
 from starledger.llm.quality import THRESHOLD, drop_rejected  # noqa: E402
+from starledger.llm.queries import SOURCE_WEIGHTS  # noqa: E402
 from starledger.llm.simhash import drop_near_copies  # noqa: E402
 
 
@@ -36,10 +40,25 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return drop_near_copies(docs, shingle=3)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of the mixture of their sources."""
+    return in_mixed_order(docs, SOURCE_WEIGHTS)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document's best segmentation, in the same order,
+    with the scores of the N best."""
+    coded = encode(docs, carry=["source"])
+    return coded.select("doc_id", "source", F.size("ids").alias("n_ids"), "ids", "score",
+                        F.transform("nbest", lambda b: b["score"]).alias("nbest_scores"))
+
+
 STAGES = [
     ("quality_classifier", quality_classifier),
     ("exact_dedup", exact_dedup),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("mix_sources", mix_sources),
+    ("sentencepiece", sentencepiece),
 ]
 
 #: The classifier's scores and the lattice search have no SQL form.
