@@ -10,7 +10,7 @@ from pyspark.sql.types import DataType, DecimalType
 __all__ = [
     "as_col", "pad_code", "pad_one_zero", "fips", "district_code", "strip_text",
     "matches", "to_money", "grouped_int", "safe_cast", "date_key", "fiscal_year",
-    "fiscal_month", "yes_no", "title_case", "code_to_key_expr", "principal",
+    "fiscal_month", "yes_no", "title_case", "code_to_key_expr",
 ]
 
 
@@ -19,9 +19,10 @@ def as_col(c) -> Column:
 
 
 def pad_code(c, width: int) -> Column:
-    """Left-pad a code with zeros to ``width`` (F1).  Like SQL ``lpad``
-    this also truncates longer input to ``width`` characters."""
-    return F.lpad(as_col(c).cast("string"), width, "0")
+    """Left-pad a code with zeros to ``width`` (F1).  Longer codes stay as
+    they are, so different codes never become equal."""
+    s = as_col(c).cast("string")
+    return F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)
 
 
 def pad_one_zero(c, width: int = 5) -> Column:
@@ -37,7 +38,7 @@ def fips(state, county) -> Column:
 
 def district_code(state, district, width: int = 2) -> Column:
     """``STATE-NN``; ``concat_ws`` skips a null part."""
-    return F.concat_ws("-", as_col(state), F.lpad(as_col(district).cast("string"), width, "0"))
+    return F.concat_ws("-", as_col(state), pad_code(district, width))
 
 
 def strip_text(c, pattern: str, replacement: str = "") -> Column:
@@ -98,8 +99,3 @@ def code_to_key_expr(c, mapping: dict) -> Column:
         cond = as_col(c).isin([code] if isinstance(code, str) else list(code))
         expr = F.when(cond, F.lit(key)) if expr is None else expr.when(cond, F.lit(key))
     return expr.otherwise(F.lit(None))
-
-
-def principal(name: str | None = None) -> Column:
-    """The principal a governed query runs for."""
-    return F.lit(name) if name is not None else F.current_user()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,8 +84,3 @@ def shared_columns(a: DataFrame, b: DataFrame) -> list[str]:
     """Columns present in both frames, in ``a``'s order."""
     other = set(b.columns)
     return [c for c in a.columns if c in other]
-
-
-def all_null(cols) -> "F.Column":
-    """Predicate: every column null (used in rejection metrics)."""
-    return reduce(lambda x, y: x & y, [F.col(f"`{c}`").isNull() for c in cols])

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starledger.functions.scalars import (
     code_to_key_expr, date_key, fiscal_month, fiscal_year, yes_no,
 )
-from starledger.operators.keys import dense_key_counted
-from starledger.sources.schemas import BROADCAST_MAX_ROWS, FISCAL_START_MONTH
+from starledger.operators.keys import dense_key_sized
+from starledger.sources.schemas import BROADCAST_MAX_BYTES, FISCAL_START_MONTH
 
 
 def _q(c: str) -> Column:
@@ -65,7 +63,7 @@ def build_role_dim(df: DataFrame, roles, out, null_rule: str | list = "any",
 
 def extract_dim(fact: DataFrame, natural, key: str, order=None, null_rule="any",
                 how: str = "inner", key_type: str = "int", names=None,
-                broadcast_rows: int | None = BROADCAST_MAX_ROWS):
+                max_bytes: int = BROADCAST_MAX_BYTES):
     """Dense-key dimension plus re-keyed fact.
 
     Returns ``(dim, fact)``: the dimension has ``key`` first, then the
@@ -75,16 +73,15 @@ def extract_dim(fact: DataFrame, natural, key: str, order=None, null_rule="any",
     part, since equality never matches null), ``"left"`` keeps them with
     a null key (Q11).
 
-    The keyed dimension's row count comes with its keys; at most
-    ``broadcast_rows`` rows it is broadcast and the fact is re-keyed
-    map-side without a shuffle, otherwise a shuffle join is left to AQE
-    (which splits skewed fact partitions)."""
+    The keyed dimension's bytes are measured with its keys; up to
+    ``max_bytes`` it is broadcast and the fact is re-keyed map-side
+    without a shuffle, otherwise a shuffle join is left to AQE (which
+    splits skewed fact partitions)."""
     natural = [natural] if isinstance(natural, str) else list(natural)
     base = fact.select(*[_q(c) for c in natural])
     base = _drop_nulls(base, null_rule).distinct()
-    keyed, rows = dense_key_counted(base, order or natural, key, key_type=key_type)
-    small = broadcast_rows is not None and rows <= broadcast_rows
-    rekeyed = fact.join(F.broadcast(keyed) if small else keyed, on=natural, how=how).drop(*natural)
+    keyed, size = dense_key_sized(base, order or natural, key, key_type=key_type)
+    rekeyed = fact.join(F.broadcast(keyed) if size <= max_bytes else keyed, on=natural, how=how).drop(*natural)
     names = list(names or natural)
     dim = keyed.select(_q(key), *[_q(c).alias(n) for c, n in zip(natural, names)])
     return dim, rekeyed
@@ -126,8 +123,12 @@ def calendar_from_bounds(bounds: DataFrame, begin: str = "begin", end: str = "en
                          fy_start: int = FISCAL_START_MONTH) -> DataFrame:
     """Calendar for every (begin, end) row of ``bounds`` (D7).  Its size is
     the number of days in the span, independent of the fact size."""
-    days = bounds.select(F.explode(F.sequence(F.col(begin), F.col(end),
-                                              F.expr("interval 1 day"))).alias("_d"))
+    # one row per year first, dealt out by year, so that a long span (one
+    # stray date is enough) is not one array in one task
+    years = bounds.select(begin, end, F.explode(F.sequence(F.year(begin), F.year(end))).alias("_y")).repartition("_y")
+    first = F.greatest(F.col(begin), F.make_date("_y", F.lit(1), F.lit(1)))
+    last = F.least(F.col(end), F.make_date("_y", F.lit(12), F.lit(31)))
+    days = years.select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("_d"))
     return days.select(*calendar_columns(F.col("_d"), fy_start))
 
 
@@ -142,8 +143,8 @@ def calendar_dim(spark: SparkSession, begin: str, end: str,
 def fiscal_bounds(df: DataFrame, date_cols, fy_start: int = FISCAL_START_MONTH) -> DataFrame:
     """One row (begin, end): whole fiscal years covering every date in
     ``date_cols`` (one aggregation pass, no driver round trip)."""
-    lo = F.least(*[F.min(_q(c)) for c in date_cols])
-    hi = F.greatest(*[F.max(_q(c)) for c in date_cols])
+    lo = F.array_min(F.array(*[F.min(_q(c)) for c in date_cols]))
+    hi = F.array_max(F.array(*[F.max(_q(c)) for c in date_cols]))
     span = df.agg(lo.alias("lo"), hi.alias("hi"))
     first_fy = fiscal_year(F.col("lo"), fy_start)
     last_fy = fiscal_year(F.col("hi"), fy_start)
@@ -172,7 +173,3 @@ def conform_union(a: DataFrame, b: DataFrame, columns=None) -> DataFrame:
     right = b.select(*[(_q(c) if types_a[c] == types_b[c] else _q(c).try_cast(types_a[c])).alias(c)
                        for c in cols])
     return left.unionByName(right)
-
-
-def union_all(frames) -> DataFrame:
-    return reduce(lambda x, y: x.unionByName(y), frames)

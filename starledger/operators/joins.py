@@ -1,11 +1,10 @@
 """Lookups and enrichment joins.
 
-Broadcast policy: a side is broadcast explicitly only when its size is
-bounded by construction (a calendar, a code map, per-range offsets) or
-after a row count under ``max_rows``.  Otherwise no hint is given and
-adaptive execution decides at run time from the *measured* size of the
-shuffled side (``spark.sql.adaptive.autoBroadcastJoinThreshold``),
-falling back to a sort-merge join, whose skewed partitions AQE splits.
+Broadcast policy: a side is broadcast explicitly only after a check of
+its measured bytes.  Otherwise no hint is given and adaptive execution
+decides at run time from the *measured* size of the shuffled side
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``), falling back to a
+sort-merge join, whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -16,70 +15,59 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starledger.functions.scalars import date_key
+from starledger.sources.schemas import BROADCAST_MAX_BYTES
 
 
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
-def checked_broadcast(dim: DataFrame, max_rows: int | None = None,
-                      bounded: bool = False) -> DataFrame:
-    """Broadcast ``dim`` when its size is known to be small.
-
-    ``bounded=True``: the caller guarantees a size bound (e.g. a calendar).
-    ``max_rows``: count the rows (one action, meant for published or
-    checkpointed dimensions) and broadcast only under the limit.
-    Otherwise the frame is returned unchanged for AQE to decide."""
-    if bounded:
-        return F.broadcast(dim)
-    if max_rows is not None and dim.count() <= max_rows:
-        return F.broadcast(dim)
-    return dim
-
-
 def lookup_key(fact: DataFrame, dim: DataFrame, on, key: str | None = None,
                how: str = "left", drop_natural: bool = True, out: str | None = None,
-               broadcast_rows: int | None = None, bounded: bool = False) -> DataFrame:
+               small: bool = False) -> DataFrame:
     """Replace a natural key by the dimension's surrogate key.
 
     ``on``: a name / list of names shared by both sides, or a mapping
     ``{fact_col: dim_col}``.  ``how="left"`` keeps every fact row (the
-    row count never changes when the dimension is unique on ``on``)."""
+    row count never changes when the dimension is unique on ``on``).
+    ``small``: the caller has checked the dimension's bytes; broadcast it."""
     pairs = ({c: c for c in ([on] if isinstance(on, str) else on)}
              if not isinstance(on, dict) else dict(on))
     keep = [key] if key else [c for c in dim.columns if c not in pairs.values()]
     right = dim.select(*[_q(d).alias(f"_k{i}") for i, d in enumerate(pairs.values())],
                        *[_q(k).alias(out if (out and k == key) else k) for k in keep])
-    right = checked_broadcast(right, broadcast_rows, bounded)
+    right = F.broadcast(right) if small else right
     cond = [fact[f"`{f}`"] == right[f"_k{i}"] for i, f in enumerate(pairs)]
     joined = fact.join(right, cond, how).drop(*[f"_k{i}" for i in range(len(pairs))])
     return joined.drop(*pairs.keys()) if drop_natural else joined
 
 
+def _one_code(dim: DataFrame, dim_on: str, dim_key: str, unique: bool) -> DataFrame:
+    """(dim_on, dim_key) with one row per value: the largest key where a
+    value repeats.  ``unique``: the dimension is known to have one row per
+    value (it was made by a distinct on that column)."""
+    pair = dim.select(_q(dim_on).alias("_v"), _q(dim_key).alias("_code"))
+    return pair if unique else pair.groupBy("_v").agg(F.max("_code").alias("_code"))
+
+
 def lookup_roles(fact: DataFrame, dim: DataFrame, roles: dict, dim_on: str, dim_key: str,
-                 how: str = "left", drop_natural: bool = True,
-                 broadcast_rows: int | None = None, bounded: bool = False,
-                 row_key=None, dim_rows: int | None = None) -> DataFrame:
+                 how: str = "left", drop_natural: bool = True, unique: bool = False,
+                 dim_bytes: int | None = None, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Role-playing lookup: one dimension used for several fact columns
     (J3, J4, J5).  ``roles = {fact_col: output_key_col}``.
 
-    Strategy: a dimension known small (``bounded``, or at most
-    ``broadcast_rows`` rows when counted) is broadcast and every role is
-    a map-side join.  A larger one with a unique ``row_key`` for the
-    fact goes through :func:`lookup_roles_unpivot` (one narrow join
-    instead of one fact-sized shuffle per role).  Otherwise one join per
-    role, planned by AQE.  ``dim_rows``: the dimension's row count when
-    already known (e.g. from :func:`dense_key_counted`)."""
-    if not bounded and broadcast_rows is not None and dim_rows is None:
-        dim_rows = dim.count()
-    small = bounded or (broadcast_rows is not None and dim_rows <= broadcast_rows)
-    if not small and row_key is not None and how == "left":
-        return lookup_roles_unpivot(fact, dim, roles, row_key, dim_on, dim_key, drop_natural)
-    right = dim.select(dim_on, dim_key)
-    right = F.broadcast(right) if small else right
+    One join per role; a dimension whose values repeat gives its largest
+    key, so a lookup never multiplies fact rows.  With ``dim_bytes`` (the
+    measured size, e.g. from :func:`dense_key_sized`) of at most
+    ``max_bytes`` the dimension is broadcast; otherwise AQE plans the
+    joins.  The size changes the plan, never the result;
+    :func:`lookup_roles_unpivot` gives the same rows with one narrow join
+    for all roles, for a dimension known to be large."""
+    right = _one_code(dim, dim_on, dim_key, unique)
+    right = F.broadcast(right) if dim_bytes is not None and dim_bytes <= max_bytes else right
     out = fact
     for fact_col, out_col in roles.items():
-        r = right.select(_q(dim_on).alias("_rk"), _q(dim_key).alias(out_col))
+        r = right.select(F.col("_v").alias("_rk"), F.col("_code").alias(out_col))
         out = out.join(r, out[f"`{fact_col}`"] == r["_rk"], how).drop("_rk")
         if drop_natural:
             out = out.drop(fact_col)
@@ -87,8 +75,10 @@ def lookup_roles(fact: DataFrame, dim: DataFrame, roles: dict, dim_on: str, dim_
 
 
 def lookup_roles_unpivot(fact: DataFrame, dim: DataFrame, roles: dict, row_key,
-                         dim_on: str, dim_key: str, drop_natural: bool = True) -> DataFrame:
-    """Left role-playing lookup for a *large* dimension (J5 at scale).
+                         dim_on: str, dim_key: str, drop_natural: bool = True,
+                         unique: bool = False) -> DataFrame:
+    """Left role-playing lookup for a *large* dimension (J5 at scale): the
+    same rows as :func:`lookup_roles`.
 
     Instead of one fact-sized join per role, the narrow (row, role, value)
     triples are joined once and regrouped, then attached to the fact with
@@ -102,7 +92,7 @@ def lookup_roles_unpivot(fact: DataFrame, dim: DataFrame, roles: dict, row_key,
     triples = tuples.select(*[_q(c) for c in ident], F.explode(F.array(*[
         F.struct(F.lit(i).alias("_role"), _q(c).alias("_v")) for i, c in enumerate(names)
     ])).alias("_t")).select(*ident, "_t._role", "_t._v").where(F.col("_v").isNotNull())
-    coded = triples.join(dim.select(_q(dim_on).alias("_v"), _q(dim_key).alias("_code")), "_v")
+    coded = triples.join(_one_code(dim, dim_on, dim_key, unique), "_v")
     wide = coded.groupBy(*ident).agg(*[
         F.max(F.when(F.col("_role") == i, F.col("_code"))).alias(roles[c]) for i, c in enumerate(names)
     ])

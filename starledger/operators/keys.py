@@ -5,10 +5,12 @@ to one task.  :func:`dense_key` gives the same numbers in parallel:
 
 1. range-partition the rows on the sort order and checkpoint them, so
    every later pass sees the same split (range bounds are sampled);
-2. count the rows of each range: a frame with one row per range;
-3. running sum of those counts = the offset of each range: one integer
-   per range, summed on the driver and added as a literal;
-4. key = offset + ``row_number()`` inside the range.
+2. count the rows and bytes of each range: one row per range;
+3. running sum of those counts = the offset of each range, a table of one
+   row per range, joined by broadcast;
+4. key = offset + place of the row in its range.  Ranges are sorted before
+   the checkpoint, so the place is the position in the checkpointed
+   partition and no second exchange or sort is needed.
 
 The result equals ``row_number() over (order by ...)`` exactly, as long as
 the order is total; the remaining columns are appended as tie-breakers.
@@ -16,14 +18,13 @@ the order is total; the remaining columns are appended as tie-breakers.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starledger.session import cut_lineage
 
-_RANGE = "_sl_range"
-# Up to this many ranges the offsets are a literal array in the plan.
-_LITERAL_RANGES = 4096
+_RANGE, _PLACE = "_sl_range", "_sl_place"
+_PLACE_MASK = (1 << 33) - 1  # monotonically_increasing_id: place within the partition
 
 
 def _sort_exprs(df: DataFrame, order) -> list[Column]:
@@ -40,48 +41,37 @@ def _sort_exprs(df: DataFrame, order) -> list[Column]:
     return exprs
 
 
-def _range_offsets(ranged: DataFrame) -> tuple[list[int], int]:
-    """Rows per range -> offset of each range, and the total.  The list has
-    one small integer per range (bounded by the number of ranges), the
-    only data this algorithm brings to the driver."""
-    sizes = {r[0]: r[1] for r in ranged.groupBy(_RANGE).agg(F.count(F.lit(1))).collect()}
-    offsets, total = [], 0
-    for i in range(max(sizes) + 1 if sizes else 0):
-        offsets.append(total)
-        total += sizes.get(i, 0)
-    return offsets, total
+def _range_offsets(ranged: DataFrame, columns) -> tuple[list[tuple[int, int]], int]:
+    """(range, offset) of each range, and the bytes of all rows.  One row
+    per range is all this algorithm brings to the driver."""
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in columns), F.lit(8))
+    sizes = ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes"))
+    offsets, total, size = [], 0, 0
+    for r in sorted(sizes.collect(), key=lambda r: r[_RANGE]):
+        offsets.append((r[_RANGE], total))
+        total += r["rows"]
+        size += r["bytes"]
+    return offsets, size
 
 
-def dense_key_counted(df: DataFrame, order, out: str, ranges: int | None = None,
-                      key_type: str = "long") -> tuple[DataFrame, int]:
-    """:func:`dense_key` plus the number of rows it numbered (known from
-    the per-range counts, so callers need no separate count)."""
+def dense_key_sized(df: DataFrame, order, out: str, ranges: int | None = None,
+                    key_type: str = "long") -> tuple[DataFrame, int]:
+    """:func:`dense_key` plus the measured bytes of the rows it numbered
+    (from the per-range pass), so callers can check a broadcast."""
     spark = df.sparkSession
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     exprs = _sort_exprs(df, order)
-    ranged = cut_lineage(df.repartitionByRange(n, *exprs).withColumn(_RANGE, F.spark_partition_id()))
-    offsets, total = _range_offsets(ranged)
-    within = Window.partitionBy(_RANGE).orderBy(*exprs)
-    if len(offsets) <= _LITERAL_RANGES:
-        offset = (F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_RANGE) + 1)
-                  if offsets else F.lit(0).cast("long"))
-        keyed = ranged.withColumn(out, (offset + F.row_number().over(within)).cast(key_type))
-    else:
-        # many ranges: a small frame (one row per range, a proven bound) joined by broadcast
-        table = spark.createDataFrame(list(enumerate(offsets)), f"{_RANGE} int, _sl_offset long")
-        keyed = ranged.join(F.broadcast(table), _RANGE).withColumn(
-            out, (F.col("_sl_offset") + F.row_number().over(within)).cast(key_type)).drop("_sl_offset")
-    return keyed.drop(_RANGE), total
+    ranged = df.repartitionByRange(n, *exprs).sortWithinPartitions(*exprs).withColumns({
+        _RANGE: F.spark_partition_id(), _PLACE: F.monotonically_increasing_id().bitwiseAND(_PLACE_MASK)})
+    ranged = cut_lineage(ranged)
+    offsets, size = _range_offsets(ranged, df.columns)
+    table = spark.createDataFrame(offsets, f"{_RANGE} int, _sl_offset long")
+    keyed = ranged.join(F.broadcast(table), _RANGE).withColumn(
+        out, (F.col("_sl_offset") + F.col(_PLACE) + 1).cast(key_type))
+    return keyed.drop("_sl_offset", _RANGE, _PLACE), size
 
 
 def dense_key(df: DataFrame, order, out: str, ranges: int | None = None,
               key_type: str = "long") -> DataFrame:
     """Append ``out`` = 1..n following ``order``, computed in parallel."""
-    return dense_key_counted(df, order, out, ranges, key_type)[0]
-
-
-def surrogate_key(df: DataFrame, natural, out: str, key_type: str = "long") -> DataFrame:
-    """Non-dense id replacement (W4): a dense key ordered by the natural
-    key, so fact and dimension writes always agree (Q2)."""
-    natural = [natural] if isinstance(natural, str) else list(natural)
-    return dense_key(df, natural, out, key_type=key_type)
+    return dense_key_sized(df, order, out, ranges, key_type)[0]

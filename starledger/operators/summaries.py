@@ -3,8 +3,7 @@
 Inputs are the published facts and dimensions.  Where a dimension only
 labels a grouping key, the fact is aggregated first on the key and the
 much smaller result is joined: the same numbers, with the join and the
-final shuffle sized by the number of groups instead of fact rows.  The
-calendar is broadcast: its size is bounded by the number of days.
+final shuffle sized by the number of groups instead of fact rows.
 """
 
 from __future__ import annotations
@@ -22,8 +21,8 @@ def _grain(df: DataFrame, grain: str, dates: DataFrame | None) -> tuple[DataFram
     merges years, Q19; ``month_year`` keeps them apart).
 
     With ``dates`` the month comes from an inner join with the calendar
-    (broadcast: its size is bounded by the number of days), which also
-    drops keys outside the calendar.  Without it the month is decoded
+    (AQE broadcasts it by its measured size), which also drops keys outside
+    the calendar.  Without it the month is decoded
     from the ``yyyymmdd`` key, which is the same whenever the calendar
     covers the data (true by construction for a calendar derived from
     the fact's own dates)."""
@@ -36,8 +35,7 @@ def _grain(df: DataFrame, grain: str, dates: DataFrame | None) -> tuple[DataFram
                                                         F.lit(1)), "MMMM"),
             "calendar_year": F.floor(key / 10000).cast("int")})
     else:
-        cal = F.broadcast(dates.select(F.col("date_key").alias("action_date_key"), "calendar_month",
-                                       "calendar_year"))
+        cal = dates.select(F.col("date_key").alias("action_date_key"), "calendar_month", "calendar_year")
         joined = df.join(cal, "action_date_key")
     if grain == "month":
         return joined, "calendar_month"
@@ -148,6 +146,5 @@ def award_sums_dedup(txn: DataFrame, assistance: DataFrame) -> DataFrame:
     first = first_per_group(j, ["award_unique_key", "action_date_key"],
                             ["total_obligated_amount", _TXN, "total_face_value_of_loan"],
                             columns=["total_obligated_amount", "total_face_value_of_loan"])
-    return first.groupBy("action_date_key", "award_unique_key").agg(
-        F.sum("total_obligated_amount").alias("total_obligated_amount"),
-        F.sum("total_face_value_of_loan").alias("total_face_value_of_loan"))
+    # one row per (day, award): its values are the sums
+    return first.select("action_date_key", "award_unique_key", "total_obligated_amount", "total_face_value_of_loan")

@@ -1,16 +1,13 @@
 """Winners, first rows and pivots.
 
-Hot groups: every operator here is an aggregation (map-side partial
-aggregation first) followed, where rows must be recovered, by a join
-back whose skewed partitions AQE splits.  None sorts a whole group in
-one task the way a ``rank()`` window would.
+Hot groups: aggregations are partial, and the rank form keeps only
+candidates for rank 1 before its shuffle (Spark plans a partial group
+limit under ``rank() = 1``), so no task sorts a whole group.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,16 +18,13 @@ def _q(c: str) -> Column:
 def top_per_group(df: DataFrame, by, value: str, descending: bool = True) -> DataFrame:
     """Rows holding the group's best ``value``, ties kept.
 
-    Same rows as ``rank() over (partition by by order by value desc) = 1``:
-    null groups form one group (null-safe join), and a group whose values
-    are all null keeps all its rows, as rank would."""
+    ``rank() over (partition by by order by value) = 1``, nulls last: null
+    groups form one group, and a group whose values are all null keeps all
+    its rows.  One scan, and no equality test on ``value``."""
     by = [by] if isinstance(by, str) else list(by)
-    pick = F.max if descending else F.min
-    best = df.groupBy(*by).agg(pick(_q(value)).alias("_best"))
-    best = best.select(*[_q(b).alias(f"_g{i}") for i, b in enumerate(by)], "_best")
-    cond = [df[f"`{b}`"].eqNullSafe(best[f"_g{i}"]) for i, b in enumerate(by)]
-    cond.append(df[f"`{value}`"].eqNullSafe(best["_best"]))
-    return df.join(best, reduce(lambda a, b: a & b, cond), "left_semi")
+    best = _q(value).desc_nulls_last() if descending else _q(value).asc_nulls_last()
+    place = Window.partitionBy(*[_q(b) for b in by]).orderBy(best)
+    return df.withColumn("_rank", F.rank().over(place)).where("_rank = 1").drop("_rank")
 
 
 def first_per_group(df: DataFrame, by, order, ascending: bool = True, columns=None) -> DataFrame:
@@ -42,12 +36,12 @@ def first_per_group(df: DataFrame, by, order, ascending: bool = True, columns=No
     partial aggregate, so a hot group is reduced map-side."""
     by = [by] if isinstance(by, str) else list(by)
     order = [order] if isinstance(order, str) else list(order)
-    payload = [c for c in (columns or df.columns) if c not in by]
-    packed = F.struct(*[_q(o).alias(f"_o{i}") for i, o in enumerate(order)],
-                      *[_q(c).alias(f"_p{i}") for i, c in enumerate(payload)])
+    wanted = [c for c in (columns or df.columns) if c not in by]
+    # each column once: payload columns that are part of the order come from it
+    packed = order + [c for c in wanted if c not in order]
     pick = F.min if ascending else F.max
-    best = df.groupBy(*by).agg(pick(packed).alias("_w"))
-    return best.select(*by, *[F.col(f"_w._p{i}").alias(c) for i, c in enumerate(payload)])
+    best = df.groupBy(*by).agg(pick(F.struct(*[_q(c).alias(f"_f{i}") for i, c in enumerate(packed)])).alias("_w"))
+    return best.select(*by, *[F.col(f"_w._f{packed.index(c)}").alias(c) for c in wanted])
 
 
 def argmax_rows(df: DataFrame, group, value: str, join_on=None) -> DataFrame:

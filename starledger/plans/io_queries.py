@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starledger.operators.clean import cast_cols, cast_money
+from starledger.operators.dims import build_dim
 from starledger.plans import roles, star
 from starledger.plans.queries import register
-from starledger.session import run_concurrently, scratch_path
-from starledger.sources.files import read_layer, read_year, write_csv_years, write_layer
+from starledger.plans.job_queries import silver_contract
+from starledger.plans.jobs.gold import gold_contracts
+from starledger.plans.jobs.runs import DIM_ROWS_PER_FILE
+from starledger.session import drop_path, run_concurrently, scratch_path
+from starledger.sources.files import read_layer, read_year, write_csv_years, write_sized
 from starledger.sources.schemas import TABLES
 from starledger.sources.warehouse import refresh_warehouse
 
@@ -20,24 +24,34 @@ from starledger.sources.warehouse import refresh_warehouse
 @register("publish_roundtrip")
 def publish_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Gold frames -> parquet layer -> typed, bucketed catalog tables ->
-    read back -> row count per table."""
+    read back -> rows and content per table: the rows as text, and the
+    values that are not null in each column, added up."""
     txn = roles.transactions(spark, sf, customer=True, supplier=True)
-    contract, naics, size = star.contract_fact(spark, sf)
-    gold = {"DimAgency": star.agency_dim(txn), "DimNAICS": naics, "DimBusinessSize": size,
-            "FactContract": contract}
+    jobs = gold_contracts(silver_contract(spark, sf), size_keys=star.ROLE_SIZE_KEYS)
+    gold = {"DimAgency": star.agency_dim(txn), "DimRecipient": build_dim(txn, ["recipient_uei", "recipient_name_raw"]),
+            **{t: jobs[t] for t in ("DimNAICS", "DimBusinessSize", "DimCountryOfOrigin", "FactContract")}}
     base = scratch_path(spark, "publish")
-    run_concurrently({name: partial(write_layer, df, f"{base}/gold/{name}",
-                                    files=1 if name.startswith("Dim") else None)
+    run_concurrently({name: partial(write_sized, df, f"{base}/gold/{name}", DIM_ROWS_PER_FILE)
                       for name, df in gold.items()})
     layer = {name: read_layer(spark, f"{base}/gold/{name}") for name in gold}
     db = f"sl_rt_{uuid.uuid4().hex[:10]}"
-    refresh_warehouse(spark, layer, TABLES, db, buckets=4, location=f"{base}/warehouse")
-    counts = [spark.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("row_count"))
-              .select(F.lit(name).alias("table_name"), "row_count") for name in gold]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    refresh_warehouse(spark, layer, TABLES, db, location=f"{base}/warehouse")
+    out = None
+    for name in gold:
+        table = spark.table(f"{db}.{name}")
+        columns = sorted(table.columns)
+        text = F.concat_ws("|", *[roles.s(c) for c in columns])
+        found = table.agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.length(text)).alias("text_length"),
+                          F.sum(sum((F.col(c).isNotNull().cast("int") for c in columns), F.lit(0))).alias("values_present"),
+                          F.count_distinct(text).alias("distinct_rows"))
+        part = found.select(F.lit(name).alias("table_name"), "row_count", "text_length", "values_present", "distinct_rows")
+        out = part if out is None else out.unionByName(part)
+    # the few result rows are kept, the database is dropped with its tables
+    path = scratch_path(spark, "publish-content")
+    out.write.parquet(path)
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    drop_path(spark, base)
+    return spark.read.parquet(path)
 
 
 @register("csv_roundtrip")

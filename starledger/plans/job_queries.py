@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starledger.plans import roles
-from starledger.plans.jobs.bronze import bronze_to_silver
-from starledger.plans.jobs.gold import gold_contracts
+from starledger.operators.merge import merge_increment_to
+from starledger.plans.jobs.bronze import FISCAL_YEAR, bronze_to_silver
+from starledger.plans.jobs.gold import gold_contracts, gold_transactions
 from starledger.plans.queries import register, widen
-from starledger.sources.schemas import ASSISTANCE
+from starledger.session import scratch_path
+from starledger.sources.files import write_sized
+from starledger.sources.schemas import ASSISTANCE, CONTRACT, OFFICER_NAMES
 
 
 def raw_assistance(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,6 +39,82 @@ def b2s_job(spark: SparkSession, sf: str) -> DataFrame:
     return widen(bronze_to_silver(raw_assistance(spark, sf), ASSISTANCE))
 
 
+def raw_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw, all-text contract extract: six key parts, own money columns."""
+    li = roles.table(spark, sf, "lineitem").where(F.col("l_linestatus") == "O")
+    return li.select(
+        F.concat_ws("_", roles.s("l_orderkey"), roles.s("l_partkey"), roles.s("l_suppkey"), roles.s("l_linenumber"),
+                    F.col("l_linestatus"), F.when(F.col("l_linenumber") != 5, F.col("l_returnflag")))
+        .alias("contract_transaction_unique_key"),
+        roles.s("l_orderkey").alias("contract_award_unique_key"),
+        F.when(F.col("l_linenumber") % 3 != 0, roles.s(roles.money("l_extendedprice"))).alias("federal_action_obligation"),
+        F.when(F.col("l_linenumber") == 2, F.lit("n/a")).when(F.col("l_linenumber") < 6, roles.s(roles.money("l_quantity")))
+        .alias("total_dollars_obligated"),
+        roles.s(F.col("l_shipdate").cast("date")).alias("action_date"),
+        roles.s(F.year("l_shipdate")).alias("action_date_fiscal_year"))
+
+
+@register("b2s_contract_job")
+def b2s_contract_job(spark: SparkSession, sf: str) -> DataFrame:
+    return widen(bronze_to_silver(raw_contract(spark, sf), CONTRACT))
+
+
+@register("b2s_year_merge")
+def b2s_year_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver up to 1996 on storage, the years from 1996 on merged into it
+    twice (E2): each row once."""
+    silver = bronze_to_silver(raw_assistance(spark, sf), ASSISTANCE)
+    path = scratch_path(spark, "silver-assistance")
+    write_sized(silver.where(F.col(FISCAL_YEAR) <= 1996), path, ASSISTANCE.rows_per_file, partition_by=FISCAL_YEAR)
+    new = silver.where(F.col(FISCAL_YEAR) >= 1996)
+    for _ in range(2):
+        merge_increment_to(spark, path, new, partition_col=FISCAL_YEAR, rows_per_file=ASSISTANCE.rows_per_file)
+    return widen(spark.read.parquet(path).select(silver.columns))
+
+
+def silver_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver-shaped rows of both families with agencies, places and officers."""
+    txn = roles.transactions(spark, sf, customer=True, supplier=True)
+    txn = txn.withColumns({
+        "recipient_state_code": F.substring("awarding_agency_name", 1, 2),
+        "recipient_state_name": F.col("awarding_agency_name"),
+        "prime_award_transaction_place_of_performance_state_fips_code": F.lpad("funding_agency_code", 2, "0"),
+        "primary_place_of_performance_state_name": F.col("funding_agency_name")})
+    return txn.join(roles.officer_slots(spark, sf), "transaction_unique_key")
+
+
+def gold_e8(spark: SparkSession, sf: str) -> dict:
+    silver = silver_transactions(spark, sf)
+    return gold_transactions(silver.where(F.col("award_type") == "assistance"),
+                             silver.where(F.col("award_type") == "contract"))
+
+
+@register("gold_transactions")
+def gold_transactions_query(spark: SparkSession, sf: str) -> DataFrame:
+    """FactTransaction of both families with its date, district and officer
+    codes (E8)."""
+    fact = gold_e8(spark, sf)["FactTransaction"]
+    return widen(fact.select(
+        "transaction_unique_key", "award_type", "total_obligated_amount", "action_date_key", "last_modified_key",
+        "recipient_cd_code", "place_of_performance_cd_code", *[n.replace("_name", "_code") for n in OFFICER_NAMES]))
+
+
+@register("gold_dims")
+def gold_dims(spark: SparkSession, sf: str) -> DataFrame:
+    """The shared dimensions of E8, their content as (table, code, name)."""
+    gold = gold_e8(spark, sf)
+    shape = {"DimAgency": ("agency_code", "agency_name"), "DimRecipient": ("recipient_uei", "recipient_name_raw"),
+             "DimCounty": ("county_fips", None), "DimCongressionalDistrict": ("cd_code", "cd_original"),
+             "DimState": ("state_abbreviation", "state_name"), "DimStateLetters": ("state_abbreviation", "state_name"),
+             "DimHighlyCompensatedOfficer": ("hco_code", "hco_name"), "DimDate": ("date_key", "calendar_month")}
+    out = None
+    for table, (code, name) in shape.items():
+        part = gold[table].select(F.lit(table).alias("table_name"), roles.s(code).alias("code"),
+                                  roles.s(name if name else F.lit(None)).alias("name"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def silver_contract(spark: SparkSession, sf: str) -> DataFrame:
     """Silver-shaped contract rows from the transaction role."""
     txn = roles.transactions(spark, sf, supplier=True, part=True).where(F.col("award_type") == "contract")

@@ -49,5 +49,5 @@ def job_b2s_year(spark: SparkSession, landing: str, silver: str, family: str, ye
     spec = FAMILIES[family]
     new = bronze_to_silver(read_year(spark, f"{landing}/{family}", year), spec)
     path = f"{silver}/{family}"
-    merge_increment_to(spark, path, new, partition_col=FISCAL_YEAR)
+    merge_increment_to(spark, path, new, partition_col=FISCAL_YEAR, rows_per_file=spec.rows_per_file)
     return path

@@ -74,6 +74,11 @@ def unemployment_frame(df: DataFrame) -> DataFrame:
         F.col("median_household_income_2021").try_cast("double").alias("median_household_income_2021"))
 
 
+def job_unemployment(spark: SparkSession, landing: str, silver: str) -> None:
+    raw = read_csv(spark, f"{landing}/Unemployment.csv")
+    write_layer(unemployment_frame(raw), f"{silver}/external/county/unemployment", files=1)
+
+
 # -- education (E4) ---------------------------------------------------------
 
 def education_frame(df: DataFrame) -> DataFrame:

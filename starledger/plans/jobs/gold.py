@@ -11,8 +11,8 @@ from starledger.operators.dims import (
     build_dim, build_role_dim, calendar_for, code_dim, conform_union, extract_dim,
 )
 from starledger.operators.joins import date_key_roles, enrich, lookup_roles
-from starledger.operators.keys import dense_key_counted
-from starledger.sources.schemas import BROADCAST_MAX_ROWS, BUSINESS_SIZE_KEYS, OFFICER_NAMES
+from starledger.operators.keys import dense_key_sized
+from starledger.sources.schemas import BROADCAST_MAX_BYTES, BUSINESS_SIZE_KEYS, OFFICER_NAMES
 
 TXN = "transaction_unique_key"
 
@@ -55,7 +55,7 @@ def gold_assistance(assistance: DataFrame) -> dict:
 
 
 def gold_transactions(assistance: DataFrame, contract: DataFrame, externals: dict | None = None,
-                      calendar: DataFrame | None = None, broadcast_rows: int = BROADCAST_MAX_ROWS) -> dict:
+                      calendar: DataFrame | None = None, max_bytes: int = BROADCAST_MAX_BYTES) -> dict:
     """FactTransaction and its shared dimensions.
 
     ``externals``: optional silver frames ``education``, ``gdp``,
@@ -95,12 +95,12 @@ def gold_transactions(assistance: DataFrame, contract: DataFrame, externals: dic
     county = enrich(county, sources)
     out["DimCounty"] = county.drop("county_name")
 
-    cd, cd_rows = dense_key_counted(_role_dim(fact, [[RECIPIENT_CD], [PLACE_CD]], ["cd_original"]),
-                                    ["cd_original"], "cd_code")
+    cd, cd_bytes = dense_key_sized(_role_dim(fact, [[RECIPIENT_CD], [PLACE_CD]], ["cd_original"]),
+                                  ["cd_original"], "cd_code")
     cd_roles = {c: k for c, k in ((RECIPIENT_CD, "recipient_cd_code"), (PLACE_CD, "place_of_performance_cd_code"))
                 if c in fact.columns}
     fact = lookup_roles(fact, cd, cd_roles, dim_on="cd_original", dim_key="cd_code", drop_natural=False,
-                        broadcast_rows=broadcast_rows, row_key=TXN, dim_rows=cd_rows)
+                        unique=True, dim_bytes=cd_bytes, max_bytes=max_bytes)
     fact = fact.drop(RECIPIENT_CD)  # the performance district text stays, as published
     if "house" in externals:
         cd = enrich(cd, [(externals["house"], "cd_original", "congressional_district")])
@@ -120,11 +120,11 @@ def gold_transactions(assistance: DataFrame, contract: DataFrame, externals: dic
                                               ["primary_place_of_performance_country_code",
                                                "primary_place_of_performance_country_name"]],
                                        ["country_code", "country_name"])
-    hco, hco_rows = dense_key_counted(_role_dim(fact, [[c] for c in OFFICER_NAMES], ["hco_name"]),
-                                      ["hco_name"], "hco_code")
+    hco, hco_bytes = dense_key_sized(_role_dim(fact, [[c] for c in OFFICER_NAMES], ["hco_name"]),
+                                     ["hco_name"], "hco_code")
     out["DimHighlyCompensatedOfficer"] = hco
     fact = lookup_roles(fact, hco, {n: n.replace("_name", "_code") for n in OFFICER_NAMES if n in fact.columns},
-                        "hco_name", "hco_code", broadcast_rows=broadcast_rows, row_key=TXN, dim_rows=hco_rows)
+                        "hco_name", "hco_code", unique=True, dim_bytes=hco_bytes, max_bytes=max_bytes)
     names = ["awarding_agency_name", "funding_agency_name", "awarding_office_name", "funding_office_name",
              "recipient_name_raw", "recipient_county_name", "primary_place_of_performance_county_name",
              "recipient_state_name", "primary_place_of_performance_state_name", "recipient_country_name",

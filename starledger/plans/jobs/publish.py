@@ -8,14 +8,15 @@ from pyspark.sql import SparkSession
 
 from starledger.operators import summaries as sm
 from starledger.session import run_concurrently
-from starledger.sources.schemas import TABLES
+from starledger.sources.schemas import OPTIONAL_COLUMNS, TABLES
 from starledger.sources.warehouse import refresh_warehouse
 
 
 def job_publish(spark: SparkSession, gold: dict, database: str = "prod",
                 buckets: int | None = None, location: str | None = None) -> list[str]:
     """Publish every gold frame under its contract."""
-    return refresh_warehouse(spark, gold, TABLES, database, buckets=buckets, location=location)
+    return refresh_warehouse(spark, gold, TABLES, database, buckets=buckets, location=location,
+                             optional=OPTIONAL_COLUMNS)
 
 
 def summary_frames(spark: SparkSession, database: str = "prod") -> dict:
@@ -36,7 +37,6 @@ def summary_frames(spark: SparkSession, database: str = "prod") -> dict:
         "ViewSmallBusinessSummaryByMonth": sm.summary_small_business(txn, contract, "month", dates),
         "ViewObligatedFedAmtByFips": sm.summary_by_county(txn, t("DimCounty")),
         "AwardByDateTable": award_dates,
-        "ViewAwardSumsByDay": sm.award_sums_by_day(award_dates),
         "AwardSumsDedup": sm.award_sums_dedup(txn, assistance),
     }
 
@@ -52,4 +52,7 @@ def job_summaries(spark: SparkSession, database: str = "prod", location: str | N
         writer.saveAsTable(f"{database}.{name}")
         return f"{database}.{name}"
     tasks = {name: partial(save, name, df) for name, df in summary_frames(spark, database).items()}
-    return list(run_concurrently(tasks, workers).values())
+    done = list(run_concurrently(tasks, workers).values())
+    # from the table just written, not from the facts again
+    by_day = sm.award_sums_by_day(spark.table(f"{database}.AwardByDateTable"))
+    return [*done, save("ViewAwardSumsByDay", by_day)]

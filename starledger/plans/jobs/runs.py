@@ -10,13 +10,14 @@ from functools import partial
 
 from pyspark.sql import SparkSession
 
+from starledger.operators.dims import calendar_dim
 from starledger.plans.jobs import externals as ext
 from starledger.plans.jobs.bronze import job_b2s, job_b2s_year
 from starledger.plans.jobs.gold import gold_assistance, gold_contracts, gold_transactions
 from starledger.plans.jobs.publish import job_publish, job_summaries
 from starledger.session import run_concurrently
 from starledger.sources.files import read_layer, write_sized
-from starledger.sources.schemas import ROWS_PER_FILE
+from starledger.sources.schemas import CALENDAR_BEGIN, CALENDAR_END, ROWS_PER_FILE
 
 DIM_ROWS_PER_FILE = 5_000_000
 GOLD_ROWS = {"FactTransaction": ROWS_PER_FILE["gold_transaction"],
@@ -24,9 +25,15 @@ GOLD_ROWS = {"FactTransaction": ROWS_PER_FILE["gold_transaction"],
              "FactContract": ROWS_PER_FILE["gold_contract"]}
 
 
+def fixed_calendar(spark: SparkSession):
+    """DimDate over the default span, in date order."""
+    return calendar_dim(spark, CALENDAR_BEGIN, CALENDAR_END).sort("date_key")
+
+
 def run_externals(spark: SparkSession, landing: str, silver: str, workers: int = 4) -> None:
-    """The five external jobs are independent; they run side by side."""
-    jobs = (ext.job_house, ext.job_education, ext.job_gdp, ext.job_population, ext.job_presidential)
+    """The six external jobs are independent; they run side by side."""
+    jobs = (ext.job_house, ext.job_education, ext.job_gdp, ext.job_population, ext.job_presidential,
+            ext.job_unemployment)
     run_concurrently({job.__name__: partial(job, spark, f"{landing}/external_data", silver) for job in jobs},
                      workers)
 
@@ -60,6 +67,8 @@ def run_gold(spark: SparkSession, silver: str, gold: str, calendar=None, workers
 
 def run_historical(spark: SparkSession, landing: str, root: str, database: str = "prod",
                    calendar=None) -> dict:
+    """``calendar``: DimDate; by default the fixed span."""
+    calendar = fixed_calendar(spark) if calendar is None else calendar
     silver, gold = f"{root}/silver", f"{root}/gold"
     run_concurrently({family: partial(job_b2s, spark, landing, silver, family)
                       for family in ("assistance", "contract")}, 2)
@@ -74,6 +83,7 @@ def run_yearly(spark: SparkSession, landing: str, root: str, year, database: str
                calendar=None) -> dict:
     """One fiscal year merged into silver, then gold and the warehouse
     rebuilt (only bronze -> silver is incremental)."""
+    calendar = fixed_calendar(spark) if calendar is None else calendar
     silver, gold = f"{root}/silver", f"{root}/gold"
     for family in ("assistance", "contract"):
         job_b2s_year(spark, landing, silver, family, year)

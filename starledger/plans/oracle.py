@@ -84,7 +84,7 @@ days as (select cast(unnest(generate_series(cast(make_date(f0 - 1, 10, 1) as tim
 
 HOUSE = """h as (select 2014 + 2 * (day(ts) % 5) as year, event_type as state_po,
               cast(hour(ts) % 4 as varchar) as district, cast(user_id as varchar) as candidate,
-              'party ' || cast(event_id % 3 as varchar) as party, value as candidatevotes from events),
+              'party ' || cast(event_id % 3 as varchar) as party, cast(value as decimal(18,2)) as candidatevotes from events),
 hl as (select year, state_po, district, candidate, party, max(candidatevotes) as votes
        from h where year >= 2018 group by all),
 hr as (select *, rank() over (partition by year, state_po, district order by votes desc) as rk from hl),
@@ -117,11 +117,12 @@ COUNTY = f"""county as (select distinct * from (
   where county_fips is not null and county_name is not null),
 gdp as (select lpad(cast(s_nationkey as varchar), 5, '0') as fips_code,
           cast(floor(sum(cast(s_acctbal as decimal(18,2)))) as bigint) as gdp_2022
-        from supplier where s_acctbal > 8000 group by s_nationkey),
-pop as (select lpad(cast(c_nationkey as varchar), 5, '0') as fips_code, count(*) as popestimate2022
+        from supplier where s_nationkey % 5 <> 2 group by s_nationkey),
+pop as (select lpad(cast(c_nationkey as varchar), 5, '0') as fips_code, count(*) as popestimate2019,
+          count(*) + 1 as popestimate2020, count(*) + 2 as popestimate2021, count(*) + 3 as popestimate2022
         from customer group by c_nationkey),
 {PRES},
-ce as (select county.county_fips, gdp_2022, popestimate2022, party_2016, party_2020 from county
+ce as (select county.county_fips, gdp_2022, popestimate2019, popestimate2020, popestimate2021, popestimate2022, party_2016, party_2020 from county
        join gdp on county.county_fips = gdp.fips_code
        join pop on county.county_fips = pop.fips_code
        join pres on county.county_fips = pres.county_fips)"""
@@ -168,7 +169,7 @@ select * from (
 where regexp_matches(transaction_unique_key, '.+_.+_.+_.+_.+')"""
 
 ORACLE["clean_grouped_int"] = """
-select lpad(cast(o_custkey as varchar), 5, '0') as fips_code, o_orderkey,
+select lpad(cast(o_custkey as varchar), cast(greatest(5, length(cast(o_custkey as varchar))) as integer), '0') as fips_code, o_orderkey,
        cast(round_even(o_totalprice, 0) as bigint) as gdp_2022
 from orders"""
 
@@ -194,7 +195,7 @@ select c_custkey,
        lpad(cast(c_nationkey as varchar), 2, '0') || lpad(cast(c_custkey % 1000 as varchar), 3, '0') as fips_code,
        case when length(cast(c_nationkey as varchar)) < 2 then '0' || cast(c_nationkey as varchar)
             else cast(c_nationkey as varchar) end as one_zero_code,
-       lpad(cast(c_custkey as varchar), 3, '0') as truncated_code,
+       lpad(cast(c_custkey as varchar), cast(greatest(3, length(cast(c_custkey as varchar))) as integer), '0') as padded_code,
        concat_ws('-', r_name, lpad(cast(c_nationkey as varchar), 2, '0')) as district_code,
        concat_ws('-', case when c_custkey % 2 = 0 then r_name end, lpad(cast(c_custkey % 100 as varchar), 2, '0'))
          as district_code_nulls
@@ -282,6 +283,9 @@ select transaction_unique_key, """ + ", ".join(
     f"d{i}.hco_code as highly_compensated_officer_{i}_code" for i in range(1, 6)) + """
 from f """ + " ".join(f"left join hco d{i} on f.n{i} = d{i}.hco_name" for i in range(1, 6))
 
+ORACLE["role_pair_unpivot"] = ORACLE["role_pair"]
+ORACLE["role_five_unpivot"] = ORACLE["role_five"]
+
 ORACLE["winner_rank"] = f"""
 with {HOUSE}
 select cast(year as bigint) as year, state_po, district, candidate, party from w"""
@@ -350,11 +354,12 @@ from g join ref on g.state = ref.stname and g.county = ref.ctyname"""
 ORACLE["merge_vintages"] = """
 with j as (select * from orders join customer on o_custkey = c_custkey),
 a as (select c_nationkey as state, c_custkey as county, count(*) as popestimate2019 from j
-      where year(o_orderdate) = 1996 group by all),
+      where year(o_orderdate) % 2 = 0 group by all),
 b as (select c_nationkey as state, c_custkey as county, count(*) as popestimate2020 from j
-      where year(o_orderdate) = 1997 group by all)
+      where year(o_orderdate) % 2 = 1 group by all)
 select popestimate2019, popestimate2020,
-       lpad(cast(state as varchar), 2, '0') || lpad(cast(county as varchar), 3, '0') as fips_code
+       lpad(cast(state as varchar), 2, '0')
+         || lpad(cast(county as varchar), cast(greatest(3, length(cast(county as varchar))) as integer), '0') as fips_code
 from a join b using (state, county)"""
 
 ORACLE["summary_totals_by_day"] = f"""
@@ -379,6 +384,11 @@ with t as ({FACT_CS}), agency as ({AGENCY})
 select strftime(action_date, '%B') as calendar_month, agency_name, count(agency_code) as agency_count
 from t join agency on agency.agency_code = t.funding_agency_code group by all"""
 
+ORACLE["summary_agencies_month_year"] = f"""
+with t as ({FACT_CS}), agency as ({AGENCY})
+select strftime(action_date, '%B %Y') as calendar_year_month, agency_name, count(agency_code) as agency_count
+from t join agency on agency.agency_code = t.funding_agency_code group by all"""
+
 ORACLE["summary_industries_day"] = f"""
 with t as ({FACT}), {NAICS}
 select cast(t.action_date_key as bigint) as action_date_key, nd.naics_code, nd.naics_description,
@@ -412,7 +422,7 @@ names as (select lpad(cast(n_nationkey as varchar), 5, '0') as fips_code, n_name
           from nation join region on n_regionkey = r_regionkey),
 cty as (select ce.*, ctyname, stname from ce join names on ce.county_fips = names.fips_code)
 select t.prime_award_transaction_recipient_county_fips_code, ctyname as county_name, stname as state_name,
-       gdp_2022, popestimate2022, count(t.total_obligated_amount) as obligation_count,
+       gdp_2022, popestimate2019, popestimate2020, popestimate2021, popestimate2022, count(t.total_obligated_amount) as obligation_count,
        cast(sum(t.total_obligated_amount) as double) as obligation_sum
 from t join cty on t.prime_award_transaction_recipient_county_fips_code = cty.county_fips group by all"""
 
@@ -488,13 +498,11 @@ select transaction_unique_key, awarding_agency_code, recipient_uei,
        case when recipient_name_raw is not null then 'xxxx' end, 'Agency1'
 from fr where awarding_agency_code in (select agency_code from agency where agency_name = 'Agency1')"""
 
-ORACLE["publish_roundtrip"] = f"""
-with t as ({txn(True, True)}), agency as ({AGENCY}), {NAICS}
-select 'DimAgency' as table_name, count(*) as row_count from agency
-union all select 'DimNAICS', count(*) from nd
-union all select 'DimBusinessSize', count(*) from (select distinct business_size_key from cf
-                                                   where business_size_key is not null)
-union all select 'FactContract', count(*) from cf"""
+ORACLE["row_filter_agency"] = f"""
+with t as ({txn(True, True)}), agency as ({AGENCY})
+select *, 'data engineer' as principal from agency
+union all select *, 'NATION_7' from agency where agency_name = 'NATION_7'
+union all select *, 'Agency1' from agency where agency_name = 'Agency1'"""
 
 ORACLE["csv_roundtrip"] = """
 select o_orderkey, cast(cast(o_totalprice as decimal(18,2)) as double) as o_totalprice,
@@ -518,8 +526,59 @@ select k as transaction_unique_key, a as award_unique_key, cast(fao as double) a
        scope as primary_place_of_performance_scope, 'assistance' as award_type
 from typed where (fao is not null or tfv is not null) and k is not null and regexp_matches(k, '.+_.+_.+_.+_.+')"""
 
-ORACLE["gold_job"] = f"""
-with c as (select * from ({txn(supplier=True, part=True)}) where award_type = 'contract'),
+ORACLE["b2s_contract_job"] = """
+with raw as (select concat_ws('_', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_linestatus,
+                              case when l_linenumber <> 5 then l_returnflag end) as k,
+               cast(l_orderkey as varchar) as a,
+               case when l_linenumber % 3 <> 0 then cast(cast(l_extendedprice as decimal(18,2)) as varchar) end as fao,
+               case when l_linenumber = 2 then 'n/a'
+                    when l_linenumber < 6 then cast(cast(l_quantity as decimal(18,2)) as varchar) end as toa,
+               cast(l_shipdate as date) as ad, year(l_shipdate) as fy
+             from lineitem where l_linestatus = 'O'),
+typed as (select k, a, try_cast(fao as decimal(18,2)) as fao, try_cast(toa as decimal(18,2)) as toa, ad, fy from raw)
+select k as transaction_unique_key, a as award_unique_key, cast(fao as double) as federal_action_obligation,
+       cast(toa as double) as total_obligated_amount, ad as action_date, cast(fy as bigint) as action_date_fiscal_year,
+       'contract' as award_type
+from typed where (fao is not null or toa is not null) and regexp_matches(k, '.+_.+_.+_.+_.+_.+')"""
+
+ORACLE["b2s_year_merge"] = f"""
+with s as ({ORACLE["b2s_job"]})
+select * from s where action_date_fiscal_year < 1996
+union all select distinct * from s where action_date_fiscal_year >= 1996"""
+
+ORACLE["gold_transactions"] = f"""
+with t as ({txn(True, True)}),
+{DISTRICTS},
+{SLOTS}
+select transaction_unique_key, award_type, cast(total_obligated_amount as double) as total_obligated_amount,
+       cast({dkey('action_date')} as bigint) as action_date_key,
+       cast({dkey('last_modified_date')} as bigint) as last_modified_key,
+       c1.cd_code as recipient_cd_code, c2.cd_code as place_of_performance_cd_code, """ + ", ".join(
+    f"d{i}.hco_code as highly_compensated_officer_{i}_code" for i in range(1, 6)) + """
+from t join f using (transaction_unique_key)
+     left join cd c1 on t.prime_award_transaction_recipient_cd_original = c1.cd_original
+     left join cd c2 on t.prime_award_transaction_place_of_performance_cd_original = c2.cd_original
+     """ + " ".join(f"left join hco d{i} on f.n{i} = d{i}.hco_name" for i in range(1, 6))
+
+ORACLE["gold_dims"] = f"""
+with t as ({txn(True, True)}),
+{DISTRICTS},
+{SLOTS},
+{CALENDAR_DAYS},
+letters as (select distinct substr(awarding_agency_name, 1, 2) as code, awarding_agency_name as name from t)
+select 'DimAgency' as table_name, agency_code as code, agency_name as name from ({AGENCY})
+union all select distinct 'DimRecipient', recipient_uei, recipient_name_raw from t
+union all select 'DimCounty', c, null from (
+  select prime_award_transaction_recipient_county_fips_code as c from t
+  union select prime_award_transaction_place_of_performance_county_fips_code from t)
+union all select 'DimCongressionalDistrict', cast(cd_code as varchar), cd_original from cd
+union all select 'DimState', code, name from letters
+union all select distinct 'DimState', lpad(funding_agency_code, 2, '0'), funding_agency_name from t
+union all select 'DimStateLetters', code, name from letters
+union all select 'DimHighlyCompensatedOfficer', cast(hco_code as varchar), hco_name from hco
+union all select 'DimDate', cast({dkey('d')} as varchar), strftime(d, '%B') from days"""
+
+GOLD_CONTRACTS = f"""c as (select * from ({txn(supplier=True, part=True)}) where award_type = 'contract'),
 s as (select transaction_unique_key, award_unique_key, naics_code, naics_description,
              funding_agency_code as oc, case when funding_agency_name <> 'NATION_4' then funding_agency_name end as o,
              business_size_code from c),
@@ -528,11 +587,44 @@ nd as (select naics_code, naics_description,
        from (select distinct naics_code, naics_description from s where naics_code is not null)),
 s2 as (select * from s join nd using (naics_code, naics_description)),
 od as (select oc, o, row_number() over (order by oc desc nulls last, o nulls first) as country_of_origin_key
-       from (select distinct oc, o from s2 where oc is not null and o is not null))
-select transaction_unique_key, award_unique_key, naics_key, country_of_origin_key,
-       cast(case when business_size_code = 'A' then 1 when business_size_code = 'R' then 2 end as bigint)
-         as business_size_key
-from s2 join od using (oc, o)"""
+       from (select distinct oc, o from s2 where oc is not null and o is not null)),
+fc as (select transaction_unique_key, award_unique_key, naics_key, country_of_origin_key,
+         cast(case when business_size_code = 'A' then 1 when business_size_code = 'R' then 2 end as bigint)
+           as business_size_key
+       from s2 join od using (oc, o))"""
+
+ORACLE["gold_job"] = f"""
+with {GOLD_CONTRACTS}
+select * from fc"""
+
+
+def _content(name: str, columns: str, source: str) -> str:
+    """Rows, text, values and distinct rows of one published table."""
+    cols = columns.split()
+    text = "concat_ws('|', " + ", ".join(cols) + ")"
+    present = " + ".join(f"({c} is not null)::int" for c in cols)
+    return (f"select '{name}' as table_name, count(*) as row_count, sum(length({text}))::bigint as text_length, "
+            f"sum({present})::bigint as values_present, count(distinct {text}) as distinct_rows from {source}")
+
+
+ORACLE["publish_roundtrip"] = f"""
+with t as ({txn(True, True)}), agency as ({AGENCY}),
+rec as (select distinct recipient_uei, recipient_name_raw from t
+        where recipient_uei is not null and recipient_name_raw is not null),
+{GOLD_CONTRACTS},
+bs as (select distinct case when business_size_code = 'A' then 1 when business_size_code = 'R' then 2 end
+         as business_size_key, business_size_code, 'size ' || business_size_code as business_size
+       from c where business_size_code in ('A', 'R')),
+odp as (select country_of_origin_key, oc as country_of_origin_code, o as country_of_origin from od),
+""" + """x as (select 1)
+""" + "\nunion all ".join([
+    _content("DimAgency", "agency_code agency_name", "agency"),
+    _content("DimRecipient", "recipient_name_raw recipient_uei", "rec"),
+    _content("DimNAICS", "naics_code naics_description naics_key", "nd"),
+    _content("DimBusinessSize", "business_size business_size_code business_size_key", "bs"),
+    _content("DimCountryOfOrigin", "country_of_origin country_of_origin_code country_of_origin_key", "odp"),
+    _content("FactContract", "award_unique_key business_size_key country_of_origin_key naics_key transaction_unique_key",
+             "fc")])
 
 
 def oracle_sql() -> dict:

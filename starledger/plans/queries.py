@@ -19,18 +19,16 @@ from starledger.operators.dims import (
     build_dim, build_role_dim, calendar_for, code_dim, conform_union, extract_dim,
 )
 from starledger.operators.govern import Policy, mask_columns, secured
-from starledger.operators.joins import enrich, lookup_roles
-from starledger.operators.keys import dense_key_counted
+from starledger.operators.joins import enrich, lookup_roles, lookup_roles_unpivot
+from starledger.operators.keys import dense_key_sized
 from starledger.operators.merge import merge_increment
 from starledger.plans import roles, star
+from starledger.session import scratch_path
 from starledger.plans.jobs import externals as ext
-from starledger.sources.schemas import BROADCAST_MAX_ROWS
+from starledger.sources.schemas import ASSISTANCE_KEY_PATTERN
 
 Q = dict()
 
-# Dimensions at most this many rows (counted) are broadcast to lookups.
-BROADCAST_ROWS = BROADCAST_MAX_ROWS
-
 
 def register(name):
     def deco(fn):
@@ -81,7 +79,7 @@ def clean_key_shape(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("l_linenumber") != 2, roles.s("l_suppkey")), roles.s("l_linenumber"),
         F.when(F.col("l_linenumber") != 3, F.col("l_returnflag")).otherwise(F.lit(""))
     ).alias("transaction_unique_key"), "l_extendedprice")
-    return filter_key_shape(keyed, "transaction_unique_key", ".+_.+_.+_.+_.+")
+    return filter_key_shape(keyed, "transaction_unique_key", ASSISTANCE_KEY_PATTERN)
 
 
 @register("clean_grouped_int")
@@ -104,7 +102,7 @@ def project_present(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("code_to_key")
 def code_to_key_query(spark: SparkSession, sf: str) -> DataFrame:
-    txn = roles.transactions(spark, sf).where(F.col("award_type") == "contract")
+    txn = roles.transactions(spark, sf, orders=False).where(F.col("award_type") == "contract")
     txn = txn.withColumn("business_size", F.concat(F.lit("size "), "business_size_code"))
     dim, _ = code_dim(txn, "business_size_code", "business_size", star.ROLE_SIZE_KEYS, "business_size_key")
     return widen(dim)
@@ -131,7 +129,7 @@ def fips_pad(spark: SparkSession, sf: str) -> DataFrame:
         "c_custkey",
         fips(pad_code("c_nationkey", 2), pad_code(F.col("c_custkey") % 1000, 3)).alias("fips_code"),
         pad_one_zero("c_nationkey", 2).alias("one_zero_code"),
-        pad_code("c_custkey", 3).alias("truncated_code"),
+        pad_code("c_custkey", 3).alias("padded_code"),
         district_code("r_name", "c_nationkey").alias("district_code"),
         district_code(F.when(F.col("c_custkey") % 2 == 0, F.col("r_name")), F.col("c_custkey") % 100)
         .alias("district_code_nulls")))
@@ -167,7 +165,7 @@ def merge_increment_query(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("dim_natural")
 def dim_natural(spark: SparkSession, sf: str) -> DataFrame:
-    txn = roles.transactions(spark, sf, part=True).where(F.col("award_type") == "assistance")
+    txn = roles.transactions(spark, sf, part=True, orders=False).where(F.col("award_type") == "assistance")
     return build_dim(txn, ["naics_code", "naics_description"], names=["cfda_number", "cfda_title"])
 
 
@@ -179,10 +177,13 @@ def dim_two_roles(spark: SparkSession, sf: str) -> DataFrame:
     return star.agency_dim(txn)
 
 
+OFFICER_ROLES = {f"highly_compensated_officer_{i}_name": f"highly_compensated_officer_{i}_code" for i in range(1, 6)}
+
+
 def _officer_dim(spark: SparkSession, sf: str):
     slots = roles.officer_slots(spark, sf)
     names = build_role_dim(slots, [[f"highly_compensated_officer_{i}_name"] for i in range(1, 6)], ["hco_name"])
-    return dense_key_counted(names, ["hco_name"], "hco_code")
+    return dense_key_sized(names, ["hco_name"], "hco_code")
 
 
 @register("dim_five_roles")
@@ -198,7 +199,7 @@ def dim_dense_rekey_inner(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("dim_dense_desc")
 def dim_dense_desc(spark: SparkSession, sf: str) -> DataFrame:
-    txn = roles.transactions(spark, sf, supplier=True).where(F.col("award_type") == "contract")
+    txn = roles.transactions(spark, sf, supplier=True, orders=False).where(F.col("award_type") == "contract")
     dim, _ = extract_dim(txn, ["funding_agency_code", "funding_agency_name"], "country_of_origin_key",
                          order=[("funding_agency_code", "desc"), "funding_agency_name"],
                          names=["country_of_origin_code", "country_of_origin"])
@@ -226,34 +227,49 @@ def role_dates(spark: SparkSession, sf: str) -> DataFrame:
     return widen(fact.select("transaction_unique_key", "action_date_key", "last_modified_key"))
 
 
-def _district_dim(txn: DataFrame, counted: bool = False):
+def _district_dim(txn: DataFrame, sized: bool = False):
     cds = build_role_dim(txn, [["prime_award_transaction_recipient_cd_original"],
                                ["prime_award_transaction_place_of_performance_cd_original"]], ["cd_original"])
-    keyed, rows = dense_key_counted(cds, ["cd_original"], "cd_code")
-    return (keyed, rows) if counted else keyed
+    keyed, size = dense_key_sized(cds, ["cd_original"], "cd_code")
+    return (keyed, size) if sized else keyed
 
 
 @register("role_pair")
 def role_pair(spark: SparkSession, sf: str) -> DataFrame:
     txn = roles.transactions(spark, sf)
-    cd, cd_rows = _district_dim(txn, counted=True)
+    cd, cd_bytes = _district_dim(txn, sized=True)
     out = lookup_roles(txn.select("transaction_unique_key", "prime_award_transaction_recipient_cd_original",
                                   "prime_award_transaction_place_of_performance_cd_original"), cd,
                        {"prime_award_transaction_recipient_cd_original": "recipient_cd_code",
                         "prime_award_transaction_place_of_performance_cd_original": "place_of_performance_cd_code"},
-                       dim_on="cd_original", dim_key="cd_code", broadcast_rows=BROADCAST_ROWS,
-                       row_key="transaction_unique_key", dim_rows=cd_rows)
+                       dim_on="cd_original", dim_key="cd_code", unique=True, dim_bytes=cd_bytes)
     return out
 
 
+@register("role_pair_unpivot")
+def role_pair_unpivot(spark: SparkSession, sf: str) -> DataFrame:
+    """:func:`role_pair` in the form for a large dimension."""
+    txn = roles.transactions(spark, sf)
+    return lookup_roles_unpivot(
+        txn.select("transaction_unique_key", "prime_award_transaction_recipient_cd_original",
+                   "prime_award_transaction_place_of_performance_cd_original"), _district_dim(txn),
+        {"prime_award_transaction_recipient_cd_original": "recipient_cd_code",
+         "prime_award_transaction_place_of_performance_cd_original": "place_of_performance_cd_code"},
+        "transaction_unique_key", "cd_original", "cd_code")
+
+
 @register("role_five")
 def role_five(spark: SparkSession, sf: str) -> DataFrame:
     slots = roles.officer_slots(spark, sf)
-    dim, dim_rows = _officer_dim(spark, sf)
-    return lookup_roles(slots, dim, {f"highly_compensated_officer_{i}_name":
-                                     f"highly_compensated_officer_{i}_code" for i in range(1, 6)},
-                        "hco_name", "hco_code", broadcast_rows=BROADCAST_ROWS,
-                        row_key="transaction_unique_key", dim_rows=dim_rows)
+    dim, dim_bytes = _officer_dim(spark, sf)
+    return lookup_roles(slots, dim, OFFICER_ROLES, "hco_name", "hco_code", unique=True, dim_bytes=dim_bytes)
+
+
+@register("role_five_unpivot")
+def role_five_unpivot(spark: SparkSession, sf: str) -> DataFrame:
+    """:func:`role_five` in the form for a large dimension."""
+    return lookup_roles_unpivot(roles.officer_slots(spark, sf), _officer_dim(spark, sf)[0], OFFICER_ROLES,
+                                "transaction_unique_key", "hco_name", "hco_code")
 
 
 # --------------------------------------------------------------------------
@@ -336,11 +352,11 @@ def merge_vintages_query(spark: SparkSession, sf: str) -> DataFrame:
     cu = roles.table(spark, sf, "customer")
     j = od.join(cu, od["o_custkey"] == cu["c_custkey"])
 
-    def vintage(year, name):
-        return j.where(F.year("o_orderdate") == year).groupBy(
+    def vintage(odd, name):  # every order belongs to one of the two
+        return j.where(F.year("o_orderdate") % 2 == odd).groupBy(
             F.col("c_nationkey").alias("state"), F.col("c_custkey").alias("county")).agg(
             F.count(F.lit(1)).cast("string").alias(name))
-    return widen(ext.population_frame(vintage(1996, "popestimate2019"), vintage(1997, "popestimate2020"),
+    return widen(ext.population_frame(vintage(0, "popestimate2019"), vintage(1, "popestimate2020"),
                                       older_cols=("popestimate2019",), newer_cols=("popestimate2020",)))
 
 
@@ -348,14 +364,14 @@ def merge_vintages_query(spark: SparkSession, sf: str) -> DataFrame:
 # Summaries
 # --------------------------------------------------------------------------
 
-def _facts(spark: SparkSession, sf: str, customer: bool = False, supplier: bool = False):
-    """Star fact; the month grain decodes the calendar month from the key."""
-    return star.transaction_fact(spark, sf, customer, supplier), None
+def _facts(spark: SparkSession, sf: str, customer: bool = False, supplier: bool = False, orders: bool = True):
+    """Star fact and the calendar that the month summaries join."""
+    return star.transaction_fact(spark, sf, customer, supplier, orders), star.calendar(spark, sf)
 
 
 @register("summary_totals_by_day")
 def summary_totals_by_day(spark, sf):
-    txn, _ = _facts(spark, sf)
+    txn, _ = _facts(spark, sf, orders=False)
     return widen(sm.summary_totals_by_day(txn))
 
 
@@ -379,29 +395,29 @@ def summary_agencies_month(spark, sf):
 
 @register("summary_industries_day")
 def summary_industries_day(spark, sf):
-    txn, _ = _facts(spark, sf)
+    txn, _ = _facts(spark, sf, orders=False)
     contract, naics, _ = star.contract_fact(spark, sf)
     return widen(sm.summary_industries(txn, contract, naics, "day"))
 
 
 @register("summary_industries_month")
 def summary_industries_month(spark, sf):
-    txn, cal = _facts(spark, sf)
+    txn, cal = _facts(spark, sf, orders=False)
     contract, naics, _ = star.contract_fact(spark, sf)
     return widen(sm.summary_industries(txn, contract, naics, "month", cal))
 
 
 @register("summary_small_business_day")
 def summary_small_business_day(spark, sf):
-    txn, _ = _facts(spark, sf)
-    contract, _, _ = star.contract_fact(spark, sf)
+    txn, _ = _facts(spark, sf, orders=False)
+    contract = star.sized_contracts(spark, sf)
     return widen(sm.summary_small_business(txn, contract, "day"))
 
 
 @register("summary_small_business_month")
 def summary_small_business_month(spark, sf):
-    txn, cal = _facts(spark, sf)
-    contract, _, _ = star.contract_fact(spark, sf)
+    txn, cal = _facts(spark, sf, orders=False)
+    contract = star.sized_contracts(spark, sf)
     return widen(sm.summary_small_business(txn, contract, "month", cal))
 
 
@@ -416,8 +432,7 @@ def summary_by_county(spark, sf):
         pad_code("n_nationkey", 5).alias("fips_code"), F.col("n_name").alias("ctyname"),
         F.col("r_name").alias("stname"))
     county = enrich(county, [(names, "county_fips", "fips_code")])
-    return widen(sm.summary_by_county(txn, county, attributes=["ctyname", "stname", "gdp_2022",
-                                                               "popestimate2022"]))
+    return widen(sm.summary_by_county(txn, county, attributes=sm.COUNTY_ATTRIBUTES))
 
 
 @register("summary_recipients")
@@ -429,9 +444,16 @@ def summary_recipients(spark, sf):
 
 @register("summary_recipients_month")
 def summary_recipients_month(spark, sf):
-    txn, _ = _facts(spark, sf, customer=True)
+    txn, cal = _facts(spark, sf, customer=True)
     recipient = build_dim(txn, ["recipient_uei", "recipient_name_raw"])
-    return widen(sm.summary_recipients(txn, recipient, "month"))
+    return widen(sm.summary_recipients(txn, recipient, "month", cal))
+
+
+@register("summary_agencies_month_year")
+def summary_agencies_month_year(spark, sf):
+    """The grain that keeps the months of different years apart (Q19)."""
+    txn, cal = _facts(spark, sf, customer=True, supplier=True)
+    return widen(sm.summary_agencies(txn, star.agency_dim(txn), "month_year", cal))
 
 
 @register("award_by_date")
@@ -478,7 +500,10 @@ def mask_officers(spark, sf):
 @register("row_filter")
 def row_filter(spark, sf):
     txn = roles.transactions(spark, sf, customer=True, supplier=True)
-    agency = star.agency_dim(txn)
+    # the published dimension: built once, read for each principal
+    path = scratch_path(spark, "DimAgency")
+    star.agency_dim(txn).write.parquet(path)
+    agency = spark.read.parquet(path)
     fact = txn.select("transaction_unique_key", "awarding_agency_code", "recipient_uei", "recipient_name_raw")
     policy = Policy(code_col="awarding_agency_code", agency=agency, masked=("recipient_name_raw",))
     out = None
@@ -488,6 +513,16 @@ def row_filter(spark, sf):
     return out
 
 
+@register("row_filter_agency")
+def row_filter_agency(spark, sf):
+    """The agency dimension as each principal sees it: all of it, or the
+    rows of the own agency (G2 on DimAgency)."""
+    agency = star.agency_dim(roles.transactions(spark, sf, customer=True, supplier=True))
+    policy = Policy(code_col="agency_code", agency=agency, masked=())
+    parts = [tag(secured(agency, policy, who), "principal", who) for who in ("data engineer", "NATION_7", "Agency1")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def queries() -> dict:
     from starledger.plans import io_queries, job_queries  # noqa: F401  (register)
     return dict(Q)

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starledger.functions.scalars import code_to_key_expr
 from starledger.operators.dims import build_role_dim, calendar_for, code_dim, extract_dim
 from starledger.operators.joins import date_key_roles, enrich, lookup_roles
 from starledger.plans import roles
@@ -18,21 +19,27 @@ DATE_ROLES = {"action_date": "action_date_key", "last_modified_date": "last_modi
 
 
 def transaction_fact(spark: SparkSession, sf: str, customer: bool = False,
-                     supplier: bool = False) -> DataFrame:
+                     supplier: bool = False, orders: bool = True) -> DataFrame:
     """Fact with role-playing date keys.
 
     The calendar is derived from these same dates, so it covers every
     non-null date by construction and the left lookup always matches:
     the key is computed in place (no join, no second pass for bounds)."""
-    txn = roles.transactions(spark, sf, customer=customer, supplier=supplier)
-    return date_key_roles(txn, DATE_ROLES, drop_natural=False)
+    txn = roles.transactions(spark, sf, customer=customer, supplier=supplier, orders=orders)
+    date_roles = DATE_ROLES if orders or customer else {"action_date": "action_date_key"}
+    return date_key_roles(txn, date_roles, drop_natural=False)
+
+
+def calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """DimDate over the fiscal years of the facts' dates."""
+    return calendar_for(roles.transactions(spark, sf), list(DATE_ROLES))
 
 
 def calendar_lookup_fact(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(fact with keys from a calendar *join*, calendar) - the J3 form."""
     txn = roles.transactions(spark, sf)
     cal = calendar_for(txn, ["action_date", "last_modified_date"])
-    fact = lookup_roles(txn, cal, DATE_ROLES, dim_on="calendar_date", dim_key="date_key", bounded=True)
+    fact = lookup_roles(txn, cal, DATE_ROLES, dim_on="calendar_date", dim_key="date_key", unique=True)
     return fact, cal
 
 
@@ -41,9 +48,19 @@ def assistance_fact(txn: DataFrame) -> DataFrame:
         "transaction_unique_key", "award_unique_key", "total_face_value_of_loan")
 
 
+def sized_contracts(spark: SparkSession, sf: str) -> DataFrame:
+    """Contract keys with the business size.  The inner lookup of a
+    dimension cut from the same fact only drops rows with a null part, so a
+    filter gives the rows of :func:`contract_fact` without building it."""
+    txn = roles.transactions(spark, sf, part=True, orders=False).where(F.col("award_type") == "contract")
+    txn = txn.where(F.col("naics_code").isNotNull() & F.col("naics_description").isNotNull())
+    return txn.select("transaction_unique_key", "award_unique_key",
+                      code_to_key_expr("business_size_code", ROLE_SIZE_KEYS).alias("business_size_key"))
+
+
 def contract_fact(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(contract fact with naics and size keys, naics dim, size dim)."""
-    txn = roles.transactions(spark, sf, part=True).where(F.col("award_type") == "contract")
+    txn = roles.transactions(spark, sf, part=True, orders=False).where(F.col("award_type") == "contract")
     naics, fact = extract_dim(txn.select("transaction_unique_key", "award_unique_key", "naics_code",
                                          "naics_description", "business_size_code"),
                               ["naics_code", "naics_description"], "naics_key",

@@ -8,6 +8,7 @@ without that setting (tests) gets a private temporary folder.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -48,7 +49,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if named:
         sc.setCheckpointDir(named)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.match(r"local($|\[)", sc.master):  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running starledger jobs")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="starledger-ckpt-"))
     return sc.getCheckpointDir()
@@ -60,6 +61,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/starledger-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library made, through Spark's file system."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable (not local) checkpoint: fixes the data a multi-pass
     algorithm sees, and survives the loss of executors.  Without a

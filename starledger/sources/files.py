@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def layer_path(root: str, layer: str, name: str) -> str:
-    """One path object for every layer: ``root/layer/name``."""
-    return f"{root.rstrip('/')}/{layer}/{name}"
-
-
 def read_csv(spark: SparkSession, path, schema: StructType | None = None,
              infer: bool = False, header: bool = True, **options) -> DataFrame:
     """CSV scan (S1, S3).  Default: every column as string, so codes keep
@@ -40,12 +35,15 @@ def read_year(spark: SparkSession, base: str, year, layout: str = "glob",
     ``layout="glob"``: files named ``FY{year}*`` under ``base``; an empty
     year or a year without files is an error, never an empty result.
     ``layout="partitioned"``: ``base/{year_col}={year}/`` folders written by
-    :func:`write_csv_years`; the year filter prunes the other folders."""
+    :func:`write_csv_years`; the year filter prunes the other folders, and a
+    year without rows is an error as well."""
     if year is None or str(year).strip() == "":
         raise ValueError("a fiscal year is required")
     if layout == "partitioned":
-        df = read_csv(spark, base, **options)
-        return df.where(F.col(year_col) == F.lit(int(str(year).strip()))).drop(year_col)
+        df = read_csv(spark, base, **options).where(F.col(year_col) == F.lit(int(str(year).strip())))
+        if df.isEmpty():  # reads one row of the pruned folder
+            raise FileNotFoundError(f"no rows for fiscal year {year} under {base}")
+        return df.drop(year_col)
     path = f"{base.rstrip('/')}/FY{str(year).strip()}*"
     try:
         return read_csv(spark, path, **options)
@@ -92,7 +90,7 @@ def write_layer(df: DataFrame, path: str, mode: str = "overwrite", files: int |
 
 
 def write_sized(df: DataFrame, path: str, rows_per_file: int, mode: str = "overwrite",
-                exact: bool = False, partition_by=None) -> None:
+                exact: bool = False, partition_by=None, options: dict | None = None) -> None:
     """Write with about ``rows_per_file`` rows per file.
 
     Default: one pass.  A ``REBALANCE`` hint lets adaptive execution
@@ -110,7 +108,7 @@ def write_sized(df: DataFrame, path: str, rows_per_file: int, mode: str = "overw
         # Rebalancing by the partition columns keeps each task to ~one
         # output partition (few files) while AQE still splits a big one.
         df = df.hint("rebalance", *parts)
-    writer = df.write.mode(mode).option("maxRecordsPerFile", int(rows_per_file))
+    writer = df.write.mode(mode).options(**(options or {})).option("maxRecordsPerFile", int(rows_per_file))
     if partition_by:
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     writer.parquet(path)

@@ -8,7 +8,7 @@ order; the code elsewhere refers to these names.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql.types import (
     DateType, DecimalType, DoubleType, IntegerType, LongType, StringType,
@@ -70,8 +70,10 @@ COVID_COLUMNS = [
 ]
 
 # Key shape: at least 5 (assistance) / 6 (contract) non-empty "_" parts.
-ASSISTANCE_KEY_PATTERN = ".+_.+_.+_.+_.+"
-CONTRACT_KEY_PATTERN = ".+_.+_.+_.+_.+_.+"
+# Reluctant from the start of a line: the same keys as greedy parts
+# anywhere in it, without their backtracking.
+ASSISTANCE_KEY_PATTERN = "(?m)^.+?_.+?_.+?_.+?_."
+CONTRACT_KEY_PATTERN = "(?m)^.+?_.+?_.+?_.+?_.+?_."
 
 # Rows per ~256 MB parquet file.
 ROWS_PER_FILE = {
@@ -82,9 +84,9 @@ ROWS_PER_FILE = {
     "gold_transaction": 4_300_000,
 }
 
-# Largest dimension (rows, counted) that lookups broadcast; beyond it a
-# shuffle join planned by AQE.  ~200k short rows is ~10-20 MB per executor.
-BROADCAST_MAX_ROWS = 200_000
+# Largest dimension (measured bytes) that lookups broadcast; beyond it a
+# shuffle join planned by AQE.
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 # Default calendar span and fiscal-year start month.
 CALENDAR_BEGIN = "2018-10-01"
@@ -125,7 +127,6 @@ class FamilySpec:
     rows_per_file: int
     key: str = "transaction_unique_key"
     tag_column: str = "award_type"
-    extra_money_required: list = field(default_factory=list)
 
 
 _SHARED_MONEY = ["federal_action_obligation", "total_obligated_amount",
@@ -230,6 +231,17 @@ TABLES: dict[str, StructType] = {
                                             ("primary_place_of_performance_scope_code", L)),
 }
 
+# Contract columns a load may lack: what optional external sources and
+# optional columns of the wish-list provide.
+OPTIONAL_COLUMNS = {
+    "DimCounty": tuple(f.name for f in TABLES["DimCounty"].fields if f.name != "county_fips"),
+    "DimCongressionalDistrict": ("party_2018", "party_2020", "party_2022"),
+    "FactAssistance": ("cfda_number", "face_value_of_loan", "total_face_value_of_loan",
+                       "original_loan_subsidy_cost", "total_loan_subsidy_cost"),
+    "FactTransaction": tuple(f.name for f in TABLES["FactTransaction"].fields
+                             if f.name not in ("transaction_unique_key", "award_unique_key", "award_type")),
+}
+
 # Facts are hash-placed on the transaction key; dimensions are small.
 FACT_TABLES = ("FactTransaction", "FactAssistance", "FactContract")
 

@@ -5,8 +5,11 @@ merge into silver".  A file-source stream expresses exactly that: the
 source's checkpoint remembers which files were processed, an
 ``availableNow`` trigger processes whatever is new and stops (so it can
 be scheduled like the batch job), and each micro-batch is cleaned and
-merged with the staged, per-fiscal-year merge.  The merge is a full-row
-distinct, so replaying a batch after a failure gives the same silver.
+merged with the staged, per-fiscal-year merge.  Every batch, the first
+included, is merged as a full-row distinct, so replaying one after a
+failure, or another split of the files into batches, gives the same
+silver.  The checkpoint lies next to the target table, so each target
+keeps its own list of files, across applications.
 """
 
 from __future__ import annotations
@@ -16,7 +19,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from starledger.operators.merge import merge_increment_to
 from starledger.plans.jobs.bronze import FISCAL_YEAR, bronze_to_silver
-from starledger.session import checkpoint_dir
 from starledger.sources.schemas import FAMILIES
 
 
@@ -36,14 +38,15 @@ def ingest_new_files(spark: SparkSession, landing: str, silver: str, family: str
     source = f"{landing.rstrip('/')}/{family}"
     target = f"{silver.rstrip('/')}/{family}"
     schema = schema or raw_text_schema(spark, source)
-    checkpoint = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/starledger-streams/{family}"
+    checkpoint = checkpoint or f"{silver.rstrip('/')}/_checkpoints/{family}"
     reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(source)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        merge_increment_to(batch.sparkSession, target, bronze_to_silver(batch, spec), partition_col=FISCAL_YEAR)
+        merge_increment_to(batch.sparkSession, target, bronze_to_silver(batch, spec), partition_col=FISCAL_YEAR,
+                           rows_per_file=spec.rows_per_file, dedupe_first=True)
 
     query = (stream.writeStream.foreachBatch(merge_batch)
              .option("checkpointLocation", checkpoint)

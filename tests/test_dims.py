@@ -70,3 +70,14 @@ def test_rekey_then_join_back_restores_natural_keys(spark):
         fact.where("name is null").select("k", F.lit(None).cast("string"), F.lit(None).cast("string")))
     assert rows(back) == rows(expected)
     assert rekeyed.count() == fact.count()
+
+
+def test_calendar_of_one_column_and_of_a_stray_date(spark):
+    from starledger.operators.dims import calendar_for
+    df = spark.sql("select date '2019-03-01' as d union all select null")
+    cal = calendar_for(df, ["d"])
+    assert cal.count() == 365 and cal.agg({"date_key": "min"}).first()[0] == 20181001
+    stray = spark.sql("select date '2019-03-01' as d, date '9999-09-12' as e")
+    long = calendar_for(stray, ["d", "e"])
+    assert long.count() == (__import__("datetime").date(9999, 9, 30) - __import__("datetime").date(2018, 10, 1)).days + 1
+    assert "Exchange" in long._jdf.queryExecution().executedPlan().toString()  # years are dealt out

@@ -12,7 +12,7 @@ def test_pad_and_codes(spark):
     out = df.select(S.pad_code("a", 5).alias("p"), S.pad_one_zero("a", 5).alias("o"),
                     S.fips("a", "b").alias("f"), S.district_code("b", "d").alias("cd")).collect()
     assert out[0] == ("00001", "01", "17", "7-03")
-    assert out[1] == ("12345", "12345678", None, "12")      # lpad truncates; concat is null; concat_ws skips null
+    assert out[1] == ("12345678", "12345678", None, "12")   # longer codes stay; concat is null; concat_ws skips null
     assert out[2] == (None, None, None, "001-00")
 
 

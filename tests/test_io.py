@@ -55,7 +55,10 @@ def test_write_sized_caps_rows_per_file(spark):
 def test_conform_by_name(spark):
     df = spark.createDataFrame([("x", "12.345", "junk", "2019")], "award_unique_key string, face_value_of_loan string, "
                                "total_face_value_of_loan string, transaction_unique_key string")
-    out = conform(df, TABLES["FactAssistance"])
+    with pytest.raises(ValueError, match="award_unique_key"):
+        conform(df.withColumnRenamed("award_unique_key", "award_unique_kee"), TABLES["FactAssistance"],
+                optional=[f.name for f in TABLES["FactAssistance"].fields if f.name != "award_unique_key"])
+    out = conform(df, TABLES["FactAssistance"], optional=[f.name for f in TABLES["FactAssistance"].fields])
     assert [f.name for f in out.schema.fields] == [f.name for f in TABLES["FactAssistance"].fields]
     r = out.first()
     assert str(r.face_value_of_loan) == "12.35" and r.total_face_value_of_loan is None and r.cfda_number is None
@@ -65,10 +68,9 @@ def test_bucketed_facts_join_without_exchange(spark):
     db = "bucket_test"
     base = scratch_path(spark, "wh")
     a = spark.range(2000).select(F.col("id").cast("string").alias("transaction_unique_key"), F.lit("x").alias("award_unique_key"))
-    publish(a, "FactContract", TABLES["FactContract"], db, bucket_by="transaction_unique_key", buckets=4,
-            path=f"{base}/c")
-    publish(a, "FactAssistance", TABLES["FactAssistance"], db, bucket_by="transaction_unique_key", buckets=4,
-            path=f"{base}/a")
+    for name in ("FactContract", "FactAssistance"):
+        publish(a, name, TABLES[name], db, bucket_by="transaction_unique_key", buckets=4, path=f"{base}/{name}",
+                optional=TABLES[name].fieldNames())
     j = spark.table(f"{db}.FactContract").join(spark.table(f"{db}.FactAssistance"), "transaction_unique_key")
     with_broadcast_off = j.hint("shuffle_merge")
     plan = with_broadcast_off._jdf.queryExecution().executedPlan().toString()
@@ -83,6 +85,8 @@ def test_partitioned_year_landing_prunes(spark):
     year = read_year(spark, base, 2020, layout="partitioned", year_col="fy")
     assert year.columns == ["code"] and year.count() == 10
     assert sorted(r.code for r in year.collect())[0] == "00001"           # text kept as written
+    with pytest.raises(FileNotFoundError):
+        read_year(spark, base, 1999, layout="partitioned", year_col="fy")
     plan = year._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(fy" in plan and "= 2020" in plan
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from starledger.operators.dims import calendar_dim
 from starledger.operators.joins import (
-    date_key_roles, enrich, lookup_key, lookup_roles, outer_merge, resolve_code_by_name,
+    date_key_roles, enrich, lookup_key, lookup_roles, lookup_roles_unpivot, outer_merge, resolve_code_by_name,
 )
 from tests.conftest import rows
 
@@ -31,18 +31,27 @@ def test_role_lookup_strategies_agree(spark):
     roles = {f"n{i}": f"c{i}" for i in range(1, 6)}
     cols = ["k"] + [f"c{i}" for i in range(1, 6)] + ["extra"]
     per_role = lookup_roles(fact, dim, roles, "name", "code").select(*cols)
-    broadcast = lookup_roles(fact, dim, roles, "name", "code", broadcast_rows=10).select(*cols)
-    unpivot = lookup_roles(fact, dim, roles, "name", "code", broadcast_rows=1, row_key="k").select(*cols)
+    broadcast = lookup_roles(fact, dim, roles, "name", "code", dim_bytes=100).select(*cols)
+    unpivot = lookup_roles_unpivot(fact, dim, roles, "k", "name", "code").select(*cols)
     expected = [("t1", 1, 2, None, 3, 1, None), ("t2", 2, None, 2, None, None, None),
                 ("t3", None, None, None, None, None, None)]
     assert rows(per_role) == rows(broadcast) == rows(unpivot) == expected
 
 
+def test_repeating_dimension_gives_the_same_rows_in_every_form(spark):
+    fact = spark.createDataFrame([("t1", "x", "y"), ("t2", "y", None)], "k string, a string, b string")
+    dim = spark.createDataFrame([("x", 1), ("x", 2), ("y", 3)], "name string, code int")
+    forms = [lookup_roles(fact, dim, {"a": "ca", "b": "cb"}, "name", "code", dim_bytes=n, max_bytes=10) for n in (None, 1, 11)]
+    forms.append(lookup_roles_unpivot(fact, dim, {"a": "ca", "b": "cb"}, "k", "name", "code"))
+    for form in forms:
+        assert rows(form.select("k", "ca", "cb")) == [("t1", 2, 3), ("t2", 3, None)]
+
+
 def test_date_key_without_join_equals_calendar_lookup(spark):
     cal = calendar_dim(spark, "2019-01-01", "2019-12-31")
     fact = spark.createDataFrame([("a", dt.date(2019, 3, 1)), ("b", dt.date(2020, 1, 1)), ("c", None)],
                                  "k string, d date")
-    joined = lookup_roles(fact, cal, {"d": "dk"}, "calendar_date", "date_key", bounded=True)
+    joined = lookup_roles(fact, cal, {"d": "dk"}, "calendar_date", "date_key", unique=True)
     computed = date_key_roles(fact, {"d": "dk"}, begin="2019-01-01", end="2019-12-31")
     assert rows(joined) == rows(computed) == [("a", 20190301), ("b", None), ("c", None)]
 
@@ -71,6 +80,5 @@ def test_resolve_code_by_name(spark):
 def test_unpivot_lookup_is_exact_with_repeated_row_keys(spark):
     fact = spark.createDataFrame([("t1", "a", "b"), ("t1", "c", None), ("t2", None, None)],
                                  "k string, n1 string, n2 string")
-    out = lookup_roles(fact, _dim(spark), {"n1": "c1", "n2": "c2"}, "name", "code",
-                       broadcast_rows=1, row_key="k")
+    out = lookup_roles_unpivot(fact, _dim(spark), {"n1": "c1", "n2": "c2"}, "k", "name", "code")
     assert rows(out.select("k", "c1", "c2")) == [("t1", 1, 2), ("t1", 3, None), ("t2", None, None)]

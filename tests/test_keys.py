@@ -35,11 +35,3 @@ def test_dense_key_empty(spark):
     df = spark.createDataFrame([], "c string")
     assert dense_key(df, ["c"], "k").count() == 0
 
-
-def test_dense_key_offset_table_path_matches_literal_path(spark, monkeypatch):
-    from starledger.operators import keys
-    df = _frame(spark)
-    literal = {tuple(r[:2]): r[2] for r in dense_key(df, ["code", "name"], "k", ranges=6).collect()}
-    monkeypatch.setattr(keys, "_LITERAL_RANGES", 2)
-    table = {tuple(r[:2]): r[2] for r in dense_key(df, ["code", "name"], "k", ranges=6).collect()}
-    assert literal == table

@@ -38,3 +38,22 @@ def test_touched_partitions_with_null_year(spark):
     assert rows(current.where(touched_partitions(new, "fy")).select("v")) == [("b",), ("c",)]
     only_null = spark.createDataFrame([(None, "x")], "fy int, v string")
     assert rows(current.where(touched_partitions(only_null, "fy")).select("v")) == [("b",)]
+
+
+def test_merge_takes_new_columns_and_leaves_no_staging(spark):
+    import os
+    from starledger.session import checkpoint_dir, scratch_path
+    path = scratch_path(spark, "silver-columns")
+    a = spark.createDataFrame([(2019, "x")], "fy int, k string")
+    b = spark.createDataFrame([(2019, "y", 1.5), (2020, "z", 2.5)], "fy int, k string, extra double")
+    assert merge_increment_to(spark, path, a, partition_col="fy") == 1
+    assert merge_increment_to(spark, path, b, partition_col="fy") == 3
+    got = sorted((r.fy, r.k, r.extra) for r in spark.read.option("mergeSchema", True).parquet(path).collect())
+    assert got == [(2019, "x", None), (2019, "y", 1.5), (2020, "z", 2.5)]
+    root = checkpoint_dir(spark).replace("file:", "") + "/starledger-scratch"
+    assert not [d for d in os.listdir(root) if d.startswith("merge-")]
+
+
+def test_first_load_as_is_or_distinct(spark):
+    twice = spark.createDataFrame([(1, "a"), (1, "a")], "fy int, k string")
+    assert merge_increment(None, twice).count() == 2 and merge_increment(None, twice, dedupe_first=True).count() == 1

@@ -13,25 +13,24 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_bounded_dimension_is_broadcast(spark):
+def test_dimension_of_checked_size_is_broadcast(spark):
     fact = spark.range(100).select(F.date_add(F.to_date(F.lit("2019-01-01")), F.col("id").cast("int")).alias("d"))
     cal = calendar_dim(spark, "2018-10-01", "2019-09-30")
-    plan = _plan(lookup_roles(fact, cal, {"d": "k"}, "calendar_date", "date_key", bounded=True))
+    plan = _plan(lookup_roles(fact, cal, {"d": "k"}, "calendar_date", "date_key", unique=True, dim_bytes=4000))
     assert "BroadcastHashJoin" in plan
 
 
-def test_dense_key_has_no_global_window_over_rows(spark):
+def test_dense_key_has_one_exchange_and_no_window(spark):
     df = spark.range(1000).select((F.col("id") % 97).cast("string").alias("c")).distinct()
     keyed = dense_key(df, ["c"], "k")
-    plan = keyed._jdf.queryExecution().executedPlan().toString()
-    # the only window partitioned by nothing runs over the per-range counts
-    assert "_sl_range" in plan
-    assert keyed.count() == 97
+    plan = _plan(keyed)
+    assert "Window" not in plan and "Exchange hashpartitioning" not in plan
+    assert [r.k for r in keyed.orderBy("c").collect()] == list(range(1, 98))
 
 
-def test_winners_are_aggregations_not_windows(spark):
+def test_winners_reduce_groups_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("g"), (F.col("id") % 13).alias("v"), F.col("id").alias("k"))
-    assert "Window" not in _plan(top_per_group(df, ["g"], "v"))
+    assert _plan(top_per_group(df, ["g"], "v")).count("WindowGroupLimit") == 2  # partial and final
     assert "Window" not in _plan(first_per_group(df, ["g"], ["v", "k"]))
 
 
@@ -71,7 +70,7 @@ def test_hot_key_in_a_shuffled_rekey_join_is_split(spark):
             spark.conf.set(k, v)
         fact = spark.range(30000).select(
             "id", F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 500).cast("string")).alias("code"))
-        _, rekeyed = extract_dim(fact, ["code"], "k", broadcast_rows=0)
+        _, rekeyed = extract_dim(fact, ["code"], "k", max_bytes=-1)
         assert len(rekeyed.collect()) == 30000        # runs this frame's own adaptive plan
         final = rekeyed._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in final and "skew=true" in final
