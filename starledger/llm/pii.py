@@ -14,9 +14,9 @@ rule and checksum (regex), number ranges, domains and issuer prefixes
 estimates, per kind, how often each labeler is right when it votes, and
 from that the probability of every pattern.  Those probabilities train
 the final span classifier, a logistic regression on features of the span
-itself (length, digits, separators, neighbours).  Both fits see only
-counts per pattern, whose number is fixed by the labelers and features
-(at most 4 * 3**5 and 4 * 108), never rows.
+itself (digits, separators, grouping, checksum, neighbours).  Both fits
+see only counts per pattern, whose number is fixed by the labelers and
+features (at most 4 * 3**5 and 4 * 324), never rows.
 
 *Result.*  Base spans plus the candidates the classifier accepts.
 
@@ -70,7 +70,9 @@ CONTEXT_YES = {
     "phone": r"(?i)(?:phone|tel|call|mobile|fax|telefon|cell)[^A-Za-z]*$",
 }
 CONTEXT_NO = r"(?i)(?:version|release|isbn|order|invoice|section|figure|page|id|no|nr|token|serial|sku)[^A-Za-z]*$"
-LABELERS = ("rule", "checksum", "gazetteer", "context", "neighbours")
+#: The labelers and how often each is taken to be right before any count.
+LABELERS = {"rule": 0.9, "checksum": 0.95, "gazetteer": 0.6, "context": 0.75, "neighbours": 0.55}
+PRIOR_VOTES = 4.0
 
 
 def _triples(found: Column, gaps: Column) -> Column:
@@ -139,8 +141,9 @@ def _candidates(found: Column, gaps: Column, kind: str, loose: bool) -> Column:
         groups = F.when(match.rlike(r"^[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}$"), 1).when(
             match.rlike(r"^[0-9]+$"), 2).otherwise(0)
         features = (size * 3 + separators) * 3 + groups
+        features = (features * 3 + checksum + 1) * 2 + tight.cast("int")
         return F.struct(x["gap"].alias("gap"), match.alias("match"), fits.alias("base"), skip.alias("skip"),
-                        code.cast("int").alias("votes"), (features * 2 + tight.cast("int")).cast("int").alias("shape"))
+                        code.cast("int").alias("votes"), features.cast("int").alias("shape"))
 
     judged_array = F.transform(triples, judged)
 
@@ -207,12 +210,13 @@ def _votes_of(code: int) -> list[int]:
 def fit_reliabilities(counts: list[tuple[int, int, int]], rounds: int = 50) -> dict[tuple[int, int], float]:
     """Expectation-maximisation over (kind, vote code, count): probability
     of personal data for each (kind, vote code).  A labeler's accuracy is
-    the chance that its vote is right, given that it votes; it starts at
-    0.75 and has a prior of that strength.  No counts give an empty map."""
+    the chance that its vote is right, given that it votes; it starts at its
+    value in ``LABELERS``, which stays as ``PRIOR_VOTES`` votes.  No counts
+    give an empty map."""
     out: dict[tuple[int, int], float] = {}
     for kind in sorted({k for k, _, _ in counts}):
         rows = [(code, _votes_of(code), n) for k, code, n in counts if k == kind]
-        accuracy, share = [0.75] * len(LABELERS), 0.5
+        accuracy, share = list(LABELERS.values()), 0.5
         for _ in range(rounds):
             posterior = {}
             for code, votes, _ in rows:
@@ -222,8 +226,8 @@ def fit_reliabilities(counts: list[tuple[int, int, int]], rounds: int = 50) -> d
                 posterior[code] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
             total = sum(n for _, _, n in rows)
             share = (sum(posterior[c] * n for c, _, n in rows) + 1) / (total + 2)
-            for j in range(len(LABELERS)):
-                right, voted = 3.0, 4.0
+            for j, start in enumerate(LABELERS.values()):
+                right, voted = start * PRIOR_VOTES, PRIOR_VOTES
                 for code, votes, n in rows:
                     if votes[j]:
                         right += n * (posterior[code] if votes[j] > 0 else 1 - posterior[code])
@@ -237,13 +241,14 @@ def _shape_vector(kind: int, shape: int) -> list[int]:
     """Indices of the active features of a (kind, shape): every feature is
     one-hot within its kind."""
     tight, rest = shape % 2, shape // 2
+    check, rest = rest % 3, rest // 3
     groups, rest = rest % 3, rest // 3
     separators, size = rest % 3, rest // 3
-    at = kind * 15
-    return [at, at + 1 + size, at + 7 + separators, at + 10 + groups, at + 13 + tight]
+    at = kind * 18
+    return [at, at + 1 + size, at + 7 + separators, at + 10 + groups, at + 13 + check, at + 16 + tight]
 
 
-N_FEATURES = 15 * len(KINDS)
+N_FEATURES = 18 * len(KINDS)
 
 
 def fit_classifier(counts: list[tuple[int, int, float, int]], rounds: int = 300, rate: float = 1.0,

@@ -88,3 +88,23 @@ def test_classifier_follows_soft_labels():
     weights = pii.fit_classifier([(0, 4, 0.95, 100), (0, 60, 0.05, 300), (2, 4, 0.1, 50)])
     z = lambda k, s: sum(weights[j] for j in pii._shape_vector(k, s))
     assert z(0, 4) > 0 > z(0, 60) and z(2, 4) < 0
+
+
+def test_numbers_that_fail_the_checksum_are_not_cards(spark):
+    def valid(k):
+        body = f"4{k:014d}"
+        return next(body + c for c in "0123456789" if luhn(body + c))
+    good = [valid(k * 7919 + 13) for k in range(60)]
+    bad = [g[:-1] + str((int(g[-1]) + 1 + i % 9) % 10) for i, g in enumerate(good)]
+    bad = [b for b in bad if not luhn(b)]
+    docs = spark.createDataFrame([(i, f"paid word {t} other words") for i, t in enumerate(good + bad)], "doc_id long, text string")
+    got = {r.doc_id: (len(r.base), len(r.found)) for r in pii.find_pii(docs).collect()}
+    assert all(got[i] == ((1, 1) if i < len(good) else (0, 0)) for i in got)
+
+
+def test_loose_spans_that_the_labelers_support_are_added(spark):
+    texts = [f"call me: +1 (212) 555-{i:04d} now" for i in range(40)] + [f"phone: (212) 555-{i:04d} now" for i in range(20)]
+    texts += [f"mail joe{i}@mail.com today" for i in range(40)] + [f"contact joe{i} (at) mail (dot) com today" for i in range(10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pii.find_pii(docs).collect()
+    assert sum(len(r.found) > len(r.base) for r in rows) == 30 and all(len(r.found) == 1 for r in rows)
