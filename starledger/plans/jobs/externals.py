@@ -12,8 +12,8 @@ from starledger.functions.scalars import district_code, fips, pad_code, strip_te
 from starledger.operators.clean import cast_cols, parse_grouped_int, rename
 from starledger.operators.joins import merge_vintages, outer_merge, resolve_code_by_name
 from starledger.operators.winners import argmax_rows, pivot_first, top_per_group
-from starledger.sources.files import load_csv, read_csv, write_layer
-from starledger.sources.schemas import EDUCATION_COLUMNS
+from starledger.sources.files import load_csv, write_layer
+from starledger.sources.schemas import EDUCATION_COLUMNS, EXTERNAL_FILES
 
 HOUSE_YEARS = (2018, 2020, 2022)
 PRESIDENTIAL_YEARS = (2016, 2020)
@@ -58,7 +58,7 @@ def district_parties(winners: DataFrame, years=HOUSE_YEARS, method: str = "outer
 
 
 def job_house(spark: SparkSession, landing: str, silver: str) -> None:
-    house = load_csv(spark, landing, "1976-2022-house.csv").select(
+    house = load_csv(spark, landing, EXTERNAL_FILES["house"]).select(
         F.col("year").try_cast("int").alias("year"), "state_po", "district", "candidate",
         F.col("candidatevotes").try_cast("bigint").alias("candidatevotes"), "party")
     write_layer(district_parties(house_winners(house)), f"{silver}/external/cd/house", files=1)
@@ -75,7 +75,7 @@ def unemployment_frame(df: DataFrame) -> DataFrame:
 
 
 def job_unemployment(spark: SparkSession, landing: str, silver: str) -> None:
-    raw = read_csv(spark, f"{landing}/Unemployment.csv")
+    raw = load_csv(spark, landing, EXTERNAL_FILES["unemployment"])
     write_layer(unemployment_frame(raw), f"{silver}/external/county/unemployment", files=1)
 
 
@@ -91,7 +91,7 @@ def education_frame(df: DataFrame) -> DataFrame:
 
 
 def job_education(spark: SparkSession, landing: str, silver: str) -> None:
-    edu = read_csv(spark, f"{landing}/Education.csv")
+    edu = load_csv(spark, landing, EXTERNAL_FILES["education"])
     write_layer(education_frame(edu), f"{silver}/external/county/education", files=1)
 
 
@@ -110,8 +110,8 @@ def gdp_frame(gdp: DataFrame, codes: DataFrame, suffix: str = " County") -> Data
 
 
 def job_gdp(spark: SparkSession, landing: str, silver: str) -> None:
-    gdp = read_csv(spark, f"{landing}/county_gdp.csv")
-    codes = read_csv(spark, f"{landing}/co-est2020-alldata.csv")
+    gdp = load_csv(spark, landing, EXTERNAL_FILES["gdp"])
+    codes = load_csv(spark, landing, EXTERNAL_FILES["population_2020"])
     write_layer(gdp_frame(gdp, codes), f"{silver}/external/county/gdp", files=1)
 
 
@@ -128,8 +128,8 @@ def population_frame(older: DataFrame, newer: DataFrame, older_cols=("popestimat
 
 
 def job_population(spark: SparkSession, landing: str, silver: str) -> None:
-    older = read_csv(spark, f"{landing}/co-est2020-alldata.csv")
-    newer = read_csv(spark, f"{landing}/co-est2022-alldata.csv")
+    older = load_csv(spark, landing, EXTERNAL_FILES["population_2020"])
+    newer = load_csv(spark, landing, EXTERNAL_FILES["population_2022"])
     write_layer(population_frame(older, newer), f"{silver}/external/county/pop_est", files=1)
 
 
@@ -156,6 +156,6 @@ def presidential_frame(pres: DataFrame, years=PRESIDENTIAL_YEARS, dedupe: bool =
 
 
 def job_presidential(spark: SparkSession, landing: str, silver: str) -> None:
-    pres = cast_cols(read_csv(spark, f"{landing}/countypres_2000-2020.csv"),
+    pres = cast_cols(load_csv(spark, landing, EXTERNAL_FILES["presidential"]),
                      {"year": "int", "candidatevotes": "bigint"})
     write_layer(presidential_frame(pres), f"{silver}/external/county/pres", files=1)

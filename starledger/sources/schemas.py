@@ -100,6 +100,17 @@ BUSINESS_SIZE_KEYS = {"S": 1, "O": 2}
 ADMIN_PRINCIPALS = ("data engineer",)
 MASK_TEXT = "xxxx"
 
+# Fixed values (continued): file names of the external extracts.
+EXTERNAL_FILES = {
+    "house": "1976-2022-house.csv",
+    "unemployment": "Unemployment.csv",
+    "education": "Education.csv",
+    "gdp": "county_gdp.csv",
+    "population_2020": "co-est2020-alldata.csv",
+    "population_2022": "co-est2022-alldata.csv",
+    "presidential": "countypres_2000-2020.csv",
+}
+
 # Education extract: long header -> published column.
 EDUCATION_COLUMNS = {
     "Federal Information Processing Standard (FIPS) Code": "fips_code",

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from starledger.operators.dims import calendar_dim  # noqa: E402
 from starledger.plans.jobs import runs  # noqa: E402
 from starledger.plans.roles import EVENT_TYPES, table  # noqa: E402
+from starledger.sources.schemas import EDUCATION_COLUMNS  # noqa: E402
 from starledger.session import build_session, scratch_path  # noqa: E402
 
 
@@ -100,22 +101,21 @@ def land(spark, sf: str, landing: str) -> None:
         supp, F.col("n_nationkey") == F.col("s_nationkey"), "left")
 
     def csv(df, name):
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{ext}/{name}")
+        df.write.mode("overwrite").option("header", True).csv(f"{ext}/{name}")
 
     ev = t("events")
     csv(ev.select(s(F.lit(2014) + F.lit(2) * (F.dayofmonth("ts") % 5)).alias("year"), F.col("event_type").alias("state_po"),
                   s(F.hour("ts") % 4).alias("district"), s("user_id").alias("candidate"),
                   s(F.floor("value")).alias("candidatevotes"), F.concat(F.lit("party "), s(F.col("event_id") % 3)).alias("party")),
         "1976-2022-house.csv")
-    edu = {"Federal Information Processing Standard (FIPS) Code": s(F.col("n_regionkey") * 1000 + F.col("n_nationkey"))}
-    for i, c in enumerate(["Less than a high school diploma, 2017-21", "High school diploma only, 2017-21",
-                           "Some college or associate's degree, 2017-21", "Bachelor's degree or higher, 2017-21"]):
-        edu[c] = F.format_number(F.coalesce(F.col("n"), F.lit(0)) * (i + 1) * 1000, 0)
-    for i, c in enumerate(["Percent of adults with less than a high school diploma, 2017-21",
-                           "Percent of adults with a high school diploma only, 2017-21",
-                           "Percent of adults completing some college or associate's degree, 2017-21",
-                           "Percent of adults with a bachelor's degree or higher, 2017-21"]):
-        edu[c] = s(F.lit(10.0 * (i + 1)))
+    edu = {}
+    for i, (header, name) in enumerate(EDUCATION_COLUMNS.items()):
+        if name == "fips_code":
+            edu[header] = s(F.col("n_regionkey") * 1000 + F.col("n_nationkey"))
+        elif name.startswith("perc_"):
+            edu[header] = s(F.lit(10.0 * i))
+        else:
+            edu[header] = F.format_number(F.coalesce(F.col("n"), F.lit(0)) * (i + 1) * 1000, 0)
     csv(base.select(*[v.alias(k) for k, v in edu.items()]), "Education.csv")
     gdp = F.format_number(F.floor(F.coalesce(F.col("g"), F.lit(0))), 0)
     csv(base.select(F.col("n_name").alias("county"), F.col("r_name").alias("state"),
