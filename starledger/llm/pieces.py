@@ -7,13 +7,15 @@ exact remaining costs of a search from the end of the text backwards, so
 A-star over partial segmentations yields the best, the second best, ...
 without exploring anything that cannot be among them.
 
-No piece has a space mark after another character, and none covers
-certain characters (a line end, say), so the lattice of a text is a chain
-of the lattices of its words, and only words have to be searched.  Viterbi runs once per distinct word a task holds in its cache
-and gives its best segmentation and the loss of its second best.  The
-best of the text takes each word's best; any other of the N deviates only
-at words among the N - 1 with the smallest loss.  A-star lists the N best
-of those words, and again, with the best of the remaining words as its
+No piece has a space mark after another character, none covers certain
+characters (a line end, say), and much punctuation never follows a letter
+within a piece.  So the lattice of a text is a chain of the lattices of
+its words, cut at those places, and only words have to be searched.
+Viterbi runs once per distinct word that a task holds in its cache and
+gives its best segmentation and the loss of its second best.  The best of
+the text takes each word's best; any other of the N deviates only at
+words among the N - 1 with the smallest loss.  A-star lists the N best of
+those words, and again, with the best of the remaining words as its
 heuristic, the N best of the text.
 
 Decoding joins the pieces, turns marks into spaces and drops the mark
@@ -27,6 +29,7 @@ import math
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +45,7 @@ UNKNOWN_PENALTY = 10     # an uncovered character scores this below the worst pi
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 3
 CACHE_WORDS = 400_000    # distinct words kept per task; beyond it the cache is emptied
+CHUNK_WORDS = 2_000      # words searched together
 CACHE_CHARS = 64         # longer words are segmented each time
 
 
@@ -66,9 +70,18 @@ class Vocabulary:
             raise ValueError("a piece has a space mark after another character; words would not be independent")
         covered = {c for p in self.ids for c in p}
         self.single = frozenset(covered & set(self.ids))
-        letters = "".join(map(re.escape, sorted(covered - {MARK})))
+        # Characters that no piece has after one outside the set: words end before them, too.
+        opens = {c for c in covered if not (c.isalpha() or c.isdecimal())} - {MARK}
+        while True:
+            after = {p[i] for p in self.ids for i in range(1, len(p)) if p[i] in opens and p[i - 1] not in opens | {MARK}}
+            if not after:
+                break
+            opens -= after
+        sort = lambda chars: "".join(map(re.escape, sorted(chars)))
+        rest = covered - opens - {MARK}
+        first, letters = (f"[{sort(opens)}]" if opens else "(?!)"), (f"[{sort(rest)}]" if rest else "(?!)")
         # a word, a run of spaces before nothing, or one character that no piece has
-        self.words = re.compile(f"{MARK}*[{letters}]+|{MARK}+|[^{letters}{MARK}]" if letters else f"{MARK}+|[^{MARK}]")
+        self.words = re.compile(f"{MARK}*(?:{first}*{letters}+|{first}+)|{MARK}+|[^{sort(covered)}{MARK}]")
 
     def finder(self):
         """Automaton that lists the pieces in a word; built per task."""
@@ -159,31 +172,93 @@ def n_best(word: str, vocab: Vocabulary, finder, n: int) -> list[tuple[int, list
 
 def best_and_loss(word: str, vocab: Vocabulary, finder) -> tuple[int, list[int], float]:
     """Score and ids of a word's best segmentation, and how much the
-    second best scores less (infinity if there is none): the best path
-    through an edge off the best path, from both Viterbi passes."""
-    size, edges = len(word), edges_of(word, vocab, finder)
-    fore, came = [0] + [-math.inf] * size, [0] * (size + 1)
-    for begin, end, score in edges:  # by end, so the scores of all begins are final
+    second best scores less (infinity if there is none).
+
+    Any other segmentation joins the best path by another edge; with the
+    best prefix before that edge it loses what the edge loses at the
+    position where it joins.  So the loss is the smallest gap between the
+    two best ways into a position of the best path."""
+    size = len(word)
+    fore, other, came = [0] + [-math.inf] * size, [-math.inf] * (size + 1), [0] * (size + 1)
+    for begin, end, score in edges_of(word, vocab, finder):  # by end, so the scores of all begins are final
         score += fore[begin]
         if score > fore[end]:
-            fore[end], came[end] = score, begin
-    path, end = {}, size
+            fore[end], other[end], came[end] = score, fore[end], begin
+        elif score > other[end]:
+            other[end] = score
+    path, end, loss = [], size, math.inf
     while end:
-        path[came[end]] = end
+        loss = min(loss, fore[end] - other[end])
+        path.append((came[end], end))
         end = came[end]
-    ids, begin = [], 0
-    while begin < size:
-        ids += ids_of(word, begin, path[begin], vocab)
-        begin = path[begin]
-    back, second = [-math.inf] * size + [0], -math.inf
-    for begin, end, score in reversed(edges):
-        score += back[end]
-        if score > back[begin]:
-            back[begin] = score
-        score += fore[begin]
-        if score > second and path.get(begin) != end:
-            second = score
-    return fore[size], ids, fore[size] - second
+    return fore[size], [i for begin, end in reversed(path) for i in ids_of(word, begin, end, vocab)], loss
+
+
+class WordSearch:
+    """:func:`best_and_loss` for many words at once: the Viterbi steps of
+    all words run together, one end position after the other."""
+
+    def __init__(self, vocab: Vocabulary):
+        import ahocorasick
+
+        self.vocab = vocab
+        pieces = list(vocab.ids)
+        self.id = np.array([vocab.ids[p] for p in pieces], np.int32)
+        self.length = np.array([len(p) for p in pieces], np.int64)
+        self.score = np.array([vocab.scores[p] for p in pieces], np.int64)
+        self.finder = ahocorasick.Automaton()
+        for i, piece in enumerate(pieces):
+            self.finder.add_word(piece, i)
+        if pieces:
+            self.finder.make_automaton()
+
+    def run(self, words: list[str]) -> list[tuple[int, bytes, float]]:
+        """(score, ids, loss) of each word; all characters are pieces."""
+        size = np.array([len(w) for w in words], np.int64)
+        # no piece covers the line end that parts the words
+        found = np.fromiter(chain.from_iterable(self.finder.iter("\n".join(words))), np.int64).reshape(-1, 2)
+        at, piece = found[:, 0], found[:, 1]
+        word = np.repeat(np.arange(len(words)), size + 1)[at]
+        end = at + 1 - (np.cumsum(size + 1) - (size + 1))[word]
+        order = np.argsort(end.astype(np.uint16), kind="stable")  # by end, then word
+        word, end, piece = word[order], end[order], piece[order]
+        begin, score = end - self.length[piece], self.score[piece]
+        wide = int(size.max()) + 1
+        low = np.iinfo(np.int64).min // 4
+        fore, gap = np.full((len(words), wide), low), np.full((len(words), wide), math.inf)
+        via = np.zeros((len(words), wide), np.int64)
+        fore[:, 0] = 0
+        cut = np.searchsorted(end, np.arange(1, wide + 1))
+        for lo, hi in zip(cut[:-1], cut[1:]):
+            if lo == hi:
+                continue
+            total = fore[word[lo:hi], begin[lo:hi]] + score[lo:hi]
+            start = np.flatnonzero(np.r_[True, word[lo + 1:hi] != word[lo:hi - 1]])
+            owner = word[lo:hi][start]
+            top = np.maximum.reduceat(total, start)
+            hit = np.flatnonzero(total == np.repeat(top, np.diff(np.r_[start, hi - lo])))
+            _, one = np.unique(word[lo:hi][hit], return_index=True)  # of equal bests, the first
+            hit = hit[one]
+            total[hit] = low
+            second = np.maximum.reduceat(total, start)
+            fore[owner, end[lo]], via[owner, end[lo]] = top, hit + lo
+            gap[owner, end[lo]] = np.where(second > low, top - second, math.inf)
+        live, place = np.arange(len(words)), size.copy()
+        loss = np.full(len(words), math.inf)
+        steps = []
+        while len(live):
+            loss[live] = np.minimum(loss[live], gap[live, place[live]])
+            edge = via[live, place[live]]
+            steps.append((live, self.id[piece[edge]]))
+            place[live] = begin[edge]
+            live = live[place[live] > 0]
+        owner = np.concatenate([w for w, _ in steps])
+        turn = np.repeat(np.arange(len(steps)), [len(w) for w, _ in steps])
+        ids = np.concatenate([i for _, i in steps])[np.lexsort((-turn, owner))]
+        stop = 4 * np.cumsum(np.bincount(owner, minlength=len(words)))
+        best = fore[np.arange(len(words)), size]
+        flat, stop = ids.tobytes(), stop.tolist()
+        return [(s, flat[f:t], l) for s, f, t, l in zip(best.tolist(), [0, *stop], stop, loss.tolist())]
 
 
 class Segmenter:
@@ -191,20 +266,30 @@ class Segmenter:
 
     def __init__(self, vocab: Vocabulary, n: int = N_BEST):
         self.vocab, self.n, self.finder = vocab, n, vocab.finder()
+        self.search = WordSearch(vocab)
         self.cache: dict[str, tuple[int, bytes, float, str]] = {}
         self.lists: dict[str, list[tuple[int, bytes]]] = {}
         forced = np.array([vocab.byte_ids[b] for b in MARK.encode()], np.int32).tobytes()
         self.forced = (3 * vocab.unknown, forced, math.inf, MARK)
 
-    def word(self, word: str) -> tuple[int, bytes, float, str]:
-        """(best score, its ids, loss of the second best, the word)."""
-        score, ids, loss = best_and_loss(word, self.vocab, self.finder)
-        found = (score, np.array(ids, np.int32).tobytes(), loss, word)
-        if len(word) <= CACHE_CHARS:
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            self.cache[word] = found
-        return found
+    def learn(self, words: set[str]) -> dict[str, tuple[int, bytes, float, str]]:
+        """Entries (best score, its ids, loss of the second best, the word)
+        of the given words that are not in the cache; short ones go there."""
+        single, plain, out = self.vocab.single, [], {}
+        for w in words:
+            if len(w) <= CACHE_CHARS and single.issuperset(w):
+                plain.append(w)
+            else:
+                score, ids, loss = best_and_loss(w, self.vocab, self.finder)
+                out[w] = (score, np.array(ids, np.int32).tobytes(), loss, w)
+        plain.sort(key=len)  # words of one length take the same steps
+        for at in range(0, len(plain), CHUNK_WORDS):
+            part = plain[at:at + CHUNK_WORDS]
+            out.update((w, (*found, w)) for w, found in zip(part, self.search.run(part)))
+        if len(self.cache) + len(out) > CACHE_WORDS:
+            self.cache.clear()
+        self.cache.update((w, e) for w, e in out.items() if len(w) <= CACHE_CHARS)
+        return out
 
     def options(self, word: str) -> list[tuple[int, bytes]]:
         """The N best (score, ids) of a word that may deviate."""
@@ -217,29 +302,44 @@ class Segmenter:
                 self.lists[word] = found
         return found
 
-    def chain(self, text: str) -> list[tuple[int, bytes, float, str]]:
-        """The entry of each word, in text order.  A mark that stands in
+    def words(self, text: str) -> list[list[str]]:
+        """The words of a text between literal marks.  A mark that stands in
         the text itself is not a space and is spelt in bytes."""
-        get, new, out = self.cache.get, self.word, []
-        for i, part in enumerate(text.split(MARK)):
-            if i:
-                out.append(self.forced)
-            marked = part.replace(" ", MARK)
-            out += [get(w) or new(w) for w in self.vocab.words.findall(marked if i else MARK + marked)]
+        find = self.vocab.words.findall
+        return [find(part.replace(" ", MARK) if i else MARK + part.replace(" ", MARK))
+                for i, part in enumerate(text.split(MARK))]
+
+    def segment_all(self, texts: list[str]) -> list[list[tuple[float, np.ndarray]]]:
+        """The N best (score, ids) of each whole text, best first."""
+        split = [self.words(t) for t in texts]
+        seen = {w for parts in split for part in parts for w in part}
+        entry = {w: e for w in seen if (e := self.cache.get(w))}
+        entry |= self.learn(seen.difference(entry))
+        out = []
+        for parts in split:
+            words = [entry[w] for w in parts[0]]
+            for part in parts[1:]:
+                words.append(self.forced)
+                words += [entry[w] for w in part]
+            out.append(self._best(words))
         return out
 
     def segment(self, text: str) -> list[tuple[float, np.ndarray]]:
-        """The N best (score, ids) of the whole text, best first."""
-        words = self.chain(text)
+        return self.segment_all([text])[0]
+
+    def _best(self, words: list[tuple[int, bytes, float, str]]) -> list[tuple[float, np.ndarray]]:
+        """The N best of a chain of words."""
         base = sum([w[0] for w in words])
         ids = [w[1] for w in words]
-        out = [(base / SCALE, np.frombuffer(b"".join(ids), np.int32))]
-        if self.n == 1:
-            return out
-        loss = np.array([w[2] for w in words])
-        near = np.argsort(loss, kind="stable")[:self.n - 1] if len(loss) < 64 else self._smallest(loss)
-        near = sorted(int(i) for i in near if math.isfinite(loss[i]))
+        near: list[int] = []
+        if self.n > 1:
+            loss = np.array([w[2] for w in words])
+            at = np.argsort(loss, kind="stable")[:self.n - 1] if len(loss) < 64 else self._smallest(loss)
+            near = sorted(int(i) for i in at if math.isfinite(loss[i]))
         options = [self.options(words[i][3]) for i in near]
+        for i, choice in zip(near, options):
+            ids[i] = choice[0][1]  # of equal bests, the one the list begins with
+        out = [(base / SCALE, np.frombuffer(b"".join(ids), np.int32))]
         # A-star backwards over the words that may deviate, all others at their best
         agenda, made = [(0, len(near), 0, ())], 0
         found: list[tuple[int, tuple]] = []
@@ -288,7 +388,7 @@ def encode(docs: DataFrame, model: str = MODEL, n: int = N_BEST, id_col: str = "
         for batch in batches:
             for at in range(0, batch.num_rows, 256):  # ids of a few rows at a time
                 part = batch.slice(at, 256)
-                rows = [segmenter.segment(t.as_py()) for t in part.column(0)]
+                rows = segmenter.segment_all(part.column(0).to_pylist())
                 pair = pa.StructArray.from_arrays([pa.array([s for r in rows for s, _ in r], pa.float64()),
                                                    _lists([ids for r in rows for _, ids in r])], ["score", "ids"])
                 offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])

@@ -95,6 +95,27 @@ def test_loss_is_that_of_the_second_best():
         assert loss == (pytest.approx(two[0][0] - two[1][0]) if len(two) > 1 else math.inf)
 
 
+def test_many_words_at_once_equal_one_by_one(vocab):
+    rnd = random.Random(11)
+    for v, letters in ((small(), "abc"), (vocab, "aeinrstho")):
+        words = {pc.MARK * rnd.randrange(3) + "".join(rnd.choice(letters) for _ in range(rnd.randrange(1, 20))) for _ in range(500)}
+        words = sorted(words)
+        finder = v.finder()
+        for w, (score, ids, loss) in zip(words, pc.WordSearch(v).run(words)):
+            want = pc.best_and_loss(w, v, finder)
+            assert (score, loss) == (want[0], want[2])
+            assert b"".join(v.texts[i] for i in np.frombuffer(ids, np.int32)) == w.replace(pc.MARK, " ").encode()
+
+
+def test_equal_scores_are_listed_once():
+    pool = {p: -1_000_000 for p in ["a", "aa", "aaa", pc.MARK]}
+    v = pc.Vocabulary({p: 256 + i for i, p in enumerate(pool)}, pool, list(range(256)),
+                      [bytes([b]) for b in range(256)] + [p.replace(pc.MARK, " ").encode() for p in pool])
+    got = pc.Segmenter(v, 6).segment("aaaa aaaa")
+    assert len({tuple(i.tolist()) for _, i in got}) == 6
+    assert [s for s, _ in got] == pytest.approx([s / pc.SCALE for s, _ in brute("aaaa aaaa", v)[:6]])
+
+
 def test_spark_encode_decode_with_edge_rows(spark, vocab):
     rows = [(i, t, "x", 1) for i, t in enumerate(TEXTS)] + [(None, "no id", "x", 1), (5, None, "x", 1), (0, "", "x", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, score int")
