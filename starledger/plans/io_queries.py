@@ -16,7 +16,9 @@ from starledger.plans.job_queries import silver_contract
 from starledger.plans.jobs.gold import gold_contracts
 from starledger.plans.jobs.runs import DIM_ROWS_PER_FILE
 from starledger.session import drop_path, run_concurrently, scratch_path
-from starledger.sources.files import read_layer, read_year, write_csv_years, write_sized
+from starledger.sources.files import (
+    load_csv, read_if_exists, read_layer, read_year, sql_over, write_csv_years, write_layer, write_sized,
+)
 from starledger.sources.schemas import TABLES
 from starledger.sources.warehouse import refresh_warehouse
 
@@ -67,3 +69,28 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     typed = cast_money(cast_cols(year, {"o_orderkey": "bigint", "o_orderdate": "date"}), ["o_totalprice"])
     return typed.select("o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice"),
                         "o_orderdate", "o_orderpriority")
+
+
+@register("year_layers")
+def year_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders landed as ``FY{year}*`` folders, each year read back by its
+    glob, merged as text into one sized layer, and summed in SQL (S2, S4,
+    S6, S8, S9, S16)."""
+    od = roles.table(spark, sf, "orders")
+    text = od.select(F.year("o_orderdate").alias("fy"), roles.s("o_orderkey").alias("o_orderkey"),
+                     roles.s(roles.money("o_totalprice")).alias("o_totalprice"))
+    base = scratch_path(spark, "year-landing")
+    years = sorted(r[0] for r in text.select("fy").distinct().collect())  # the calendar years of the orders
+    whole = None
+    for y in years:
+        for half in (0, 1):  # a year's files come in several deliveries
+            rows = text.where((F.col("fy") == y) & (F.col("o_orderkey").cast("bigint") % 2 == half))
+            write_layer(rows, f"{base}/FY{y}_{half}", mode="errorifexists", fmt="csv", header=True)
+        whole = read_year(spark, base, y) if whole is None else whole.unionByName(read_year(spark, base, y))
+    layer = f"{base}/layer"
+    if read_if_exists(spark, layer) is None and whole is not None:
+        write_sized(whole.unionByName(load_csv(spark, base, f"FY{years[0]}_0").limit(0)), layer, 5_000, exact=True)
+    typed = cast_money(cast_cols(read_layer(spark, layer), {"o_orderkey": "bigint", "fy": "bigint"}), ["o_totalprice"])
+    return sql_over(spark, {"sl_year_layer": typed}, """
+        select fy, count(*) as n_orders, count(distinct o_orderkey) as n_keys, cast(sum(o_totalprice) as double) as total
+        from sl_year_layer group by fy""")

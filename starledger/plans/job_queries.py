@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from starledger.plans import roles
 from starledger.operators.merge import merge_increment_to
 from starledger.plans.jobs.bronze import FISCAL_YEAR, bronze_to_silver
+from starledger.plans.jobs.externals import education_frame, unemployment_frame
 from starledger.plans.jobs.gold import gold_contracts, gold_transactions
 from starledger.plans.queries import register, widen
 from starledger.session import scratch_path
 from starledger.sources.files import write_sized
-from starledger.sources.schemas import ASSISTANCE, CONTRACT, OFFICER_NAMES
+from starledger.sources.schemas import ASSISTANCE, CONTRACT, EDUCATION_COLUMNS, OFFICER_NAMES
 
 
 def raw_assistance(spark: SparkSession, sf: str) -> DataFrame:
@@ -132,3 +133,33 @@ def silver_contract(spark: SparkSession, sf: str) -> DataFrame:
 def gold_job(spark: SparkSession, sf: str) -> DataFrame:
     gold = gold_contracts(silver_contract(spark, sf), size_keys={"A": 1, "R": 2})
     return widen(gold["FactContract"])
+
+
+@register("education_job")
+def education_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Education rows (E4), one per customer: long headers, codes without
+    leading zeros, grouped counts."""
+    cu = roles.table(spark, sf, "customer")
+    columns = []
+    for i, (header, name) in enumerate(EDUCATION_COLUMNS.items()):
+        if name == "fips_code":
+            value = roles.s("c_custkey")
+        elif name.startswith("perc_"):
+            value = F.when(F.col("c_custkey") % 7 != i % 7, roles.s(F.col("c_nationkey") * 0.5 + i))
+        else:
+            value = F.when(F.col("c_custkey") % 5 == i % 5, F.lit("n/a")).otherwise(
+                F.format_number(F.col("c_custkey") * 1000 * (i + 1), 0))
+        columns.append(value.alias(header))
+    return widen(education_frame(cu.select(*columns)))
+
+
+@register("unemployment_job")
+def unemployment_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Unemployment rows (E12), one per customer; national rows go."""
+    cu = roles.table(spark, sf, "customer")
+    raw = cu.select(
+        roles.s("c_custkey").alias("fips_code"), F.when(F.col("c_nationkey") == 3, "US").otherwise("S").alias("State"),
+        *[F.when(F.col("c_custkey") % 9 == 0, F.lit("-")).otherwise(roles.s(F.col("c_nationkey") * 0.25 + i))
+          .alias(f"unemployment_rate_{y}") for i, y in enumerate((2019, 2020, 2021, 2022))],
+        roles.s(F.col("c_custkey") * 10).alias("median_household_income_2021"))
+    return unemployment_frame(raw)

@@ -627,5 +627,32 @@ odp as (select country_of_origin_key, oc as country_of_origin_code, o as country
              "fc")])
 
 
+ORACLE["year_layers"] = """
+select cast(year(o_orderdate) as bigint) as fy, count(*) as n_orders, count(distinct o_orderkey) as n_keys,
+       cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total
+from orders group by all"""
+
+#: Published education columns in the order of the extract.
+_EDUCATION = ["fips_code", "less_than_hs_17_21", "hs_only_17_21", "some_college_17_21", "bach_or_higher_17_21",
+              "perc_less_than_hs_17_21", "perc_hs_only_17_21", "perc_some_college_17_21", "perc_bach_or_higher_17_21"]
+
+
+def _education(i: int, name: str) -> str:
+    if name == "fips_code":
+        return "case when c_custkey < 100000 then printf('%05d', c_custkey) else cast(c_custkey as varchar) end as fips_code"
+    if name.startswith("perc_"):
+        return f"case when c_custkey % 7 <> {i % 7} then cast(c_nationkey as double) * 0.5 + {i} end as {name}"
+    return f"case when c_custkey % 5 <> {i % 5} then cast(c_custkey * {1000 * (i + 1)} as bigint) end as {name}"
+
+
+ORACLE["education_job"] = "select " + ", ".join(_education(i, n) for i, n in enumerate(_EDUCATION)) + " from customer"
+
+ORACLE["unemployment_job"] = "select cast(c_custkey as varchar) as fips_code, " + ", ".join(
+    f"case when c_custkey % 9 <> 0 then cast(c_nationkey as double) * 0.25 + {i} end as unemployment_rate_{y}"
+    for i, y in enumerate((2019, 2020, 2021, 2022))) + """,
+       cast(c_custkey * 10 as double) as median_household_income_2021
+from customer where c_nationkey <> 3"""
+
+
 def oracle_sql() -> dict:
     return dict(ORACLE)
