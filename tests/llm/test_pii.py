@@ -80,7 +80,8 @@ def test_em_finds_the_unreliable_labeler():
     assert hits >= 0.99 * best
     for code in truth:  # the coin alone hardly moves the belief
         votes = pii._votes_of(code)
-        other = sum((v if j != 2 else -v) * 0 + ((v if j != 2 else -v) + 1) * 3 ** (4 - j) for j, v in enumerate(votes))
+        votes[2] = -votes[2]
+        other = sum((v + 1) * 3 ** (4 - j) for j, v in enumerate(votes))
         assert abs(belief[0, code] - belief.get((0, other), belief[0, code])) < 0.15
 
 
