@@ -44,7 +44,7 @@ SCALE = 1_000_000        # scores are counted in millionths
 UNKNOWN_PENALTY = 10     # an uncovered character scores this below the worst piece
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 3
-CACHE_WORDS = 400_000    # distinct words kept per task; beyond it the cache is emptied
+CACHE_WORDS = 100_000    # distinct words of each of the two generations a task keeps
 CHUNK_WORDS = 2_000      # words searched together
 CACHE_CHARS = 64         # longer words are segmented each time
 
@@ -267,7 +267,9 @@ class Segmenter:
     def __init__(self, vocab: Vocabulary, n: int = N_BEST):
         self.vocab, self.n, self.finder = vocab, n, vocab.finder()
         self.search = WordSearch(vocab)
+        # recent words, and those of the generation before, which move up when seen again
         self.cache: dict[str, tuple[int, bytes, float, str]] = {}
+        self.older: dict[str, tuple[int, bytes, float, str]] = {}
         self.lists: dict[str, list[tuple[int, bytes]]] = {}
         forced = np.array([vocab.byte_ids[b] for b in MARK.encode()], np.int32).tobytes()
         self.forced = (3 * vocab.unknown, forced, math.inf, MARK)
@@ -286,11 +288,14 @@ class Segmenter:
         for at in range(0, len(plain), CHUNK_WORDS):
             part = plain[at:at + CHUNK_WORDS]
             out.update((w, (*found, w)) for w, found in zip(part, self.search.run(part)))
-        if len(self.cache) + len(out) > CACHE_WORDS:
-            self.cache.clear()
-        self.cache.update((w, e) for w, e in out.items() if len(w) <= CACHE_CHARS)
+        self._keep({w: e for w, e in out.items() if len(w) <= CACHE_CHARS})
         return out
 
+    def _keep(self, entries: dict) -> None:
+        if len(self.cache) + len(entries) > CACHE_WORDS:
+            self.older, self.cache = self.cache, {}
+        self.cache.update(entries)
+
     def options(self, word: str) -> list[tuple[int, bytes]]:
         """The N best (score, ids) of a word that may deviate."""
         found = self.lists.get(word)
@@ -314,6 +319,9 @@ class Segmenter:
         split = [self.words(t) for t in texts]
         seen = {w for parts in split for part in parts for w in part}
         entry = {w: e for w in seen if (e := self.cache.get(w))}
+        again = {w: e for w in seen.difference(entry) if (e := self.older.get(w))}
+        self._keep(again)
+        entry |= again
         entry |= self.learn(seen.difference(entry))
         out = []
         for parts in split:
