@@ -35,6 +35,7 @@ from starledger.llm.components import connected_components, local_forest
 SHINGLE = 3
 SEED = 42
 MAX_BITS = 3
+TASK_FINGERPRINTS = 25_000  # 4.9 million variant rows
 _CHUNK = 1 << 16
 
 
@@ -157,7 +158,9 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
             src, dst = local_forest(src.view(np.int64), dst.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["a", "b"])
 
-    keys = _variant_keys(fps.select("fp").distinct())
+    # the variants are made by tasks of a bounded number of fingerprints
+    tasks = -(-fps.count() // TASK_FINGERPRINTS)
+    keys = _variant_keys(fps.select("fp").repartition(max(1, tasks), "fp").distinct())
     return keys.repartition("key").mapInArrow(run, "a long, b long")
 
 
