@@ -12,10 +12,10 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from starledger.llm.common import shared_table, table  # noqa: E402
+from starledger.llm.common import fresh, shared_table, table  # noqa: E402
 from starledger.llm.exact_dedup import drop_copies  # noqa: E402
 from starledger.llm.mixing import in_mixed_order  # noqa: E402
 from starledger.llm.pieces import encode  # noqa: E402
@@ -41,16 +41,29 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mixture of their sources."""
+    """All documents, written in the order of the mixture of their sources."""
     return in_mixed_order(docs, SOURCE_WEIGHTS)
 
 
+def stored_order(docs: DataFrame) -> Column:
+    """Where a row of ``docs``, Parquet files that one Spark write made, lies
+    in them: number of the task, of the task's file, and of the row in it.
+    A scan packs files by size, so its rows come in any order; sorting by
+    this gives the order in which they were written."""
+    stored = docs.metadataColumn("_metadata")
+    numbers = [F.regexp_extract(stored["file_name"], r"^part-(\d+)-.*-c(\d+)\.", g).cast("int") for g in (1, 2)]
+    return F.struct(numbers[0].alias("part"), numbers[1].alias("file"), stored["row_index"].alias("row"))
+
+
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document's best segmentation, in the same order,
-    with the scores of the N best."""
-    coded = encode(docs, carry=["source"])
+    """Token ids of every document's best segmentation, with the scores of
+    the N best.  Rows come in any order; sorting by ``position`` gives the
+    order of the mixture, in which the stage before wrote its files."""
+    position, = fresh(docs, "position")
+    coded = encode(docs.withColumn(position, stored_order(docs)), carry=["source", position])
     return coded.select("doc_id", "source", F.size("ids").alias("n_ids"), "ids", "score",
-                        F.transform("nbest", lambda b: b["score"]).alias("nbest_scores"))
+                        F.transform("nbest", lambda b: b["score"]).alias("nbest_scores"),
+                        F.col(position).alias("position"))
 
 
 STAGES = [

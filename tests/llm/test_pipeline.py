@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from starledger.llm import exact_dedup, pieces, queries, simhash
+from starledger.llm import exact_dedup, mixing, pieces, queries, simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,6 +62,22 @@ def test_run_equals_the_stages(spark, stages):
     assert have == sorted((r.doc_id, tuple(r.ids)) for r in stages[-1].collect())
 
 
+def test_position_gives_the_order_of_the_mixture(spark, stages):
+    apart = stages[3]
+    mixed, (_, place, slot, _, _) = mixing.interleave(apart, queries.SOURCE_WEIGHTS)
+    want = [r.doc_id for r in mixed.orderBy(slot, place).collect()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = cp.shared_table(cp.mix_sources(spark, apart, SF), "order")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(files.inputFiles()) > 1
+    clashing = files.withColumn("position", F.lit("clash"))
+    for docs in (files, clashing):
+        assert [r.doc_id for r in cp.sentencepiece(spark, docs, SF).orderBy("position").collect()] == want
+    assert [r.doc_id for r in cp.run(spark, SF).orderBy("position").collect()] == want
+
+
 def test_empty_documents_with_clashing_columns(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long, slot int, key string, kept boolean, fp long"
     sf = str(tmp_path)
