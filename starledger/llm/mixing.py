@@ -7,11 +7,15 @@ due first (the smaller source number, if two are due together).  With
 weights that add up to one this meets every deadline, so at every moment
 the blocks taken from a source differ from its target by less than one.
 
-Weights are whole parts of ``resolution``, so the schedule repeats after
-that many slots and a block's slot follows from its number by arithmetic.
-When a source runs out, the others' weights are scaled up and a new phase
-begins; every row is placed exactly once.  The driver computes one period
-per phase, at most one phase per source; it never sees blocks or rows.
+Weights are taken exactly as their decimals read and brought to whole
+parts without rounding, so the schedule repeats after as many slots as
+the parts add up to and a block's slot follows from its number by
+arithmetic.  When a source runs out, the others' weights are scaled up
+and a new phase begins; every row is placed exactly once.  The driver
+computes one period per phase, at most one phase per source; of a period
+longer than its phase it computes the phase's slots only.  With weights
+whose parts add up to more than there are blocks (1/3 as a float, say)
+it so holds one entry per block; it never sees rows.
 
 Rows get their number within the source without a single-task window:
 they are dealt by range of (source, row hash), so a hot source spreads
@@ -23,29 +27,37 @@ source reaches the driver).
 from __future__ import annotations
 
 import heapq
+import math
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starledger.llm.common import fresh, shared_table
+from starledger.sources.schemas import BROADCAST_MAX_BYTES
 
 BLOCK_ROWS = 64
 RESOLUTION = 1000
 MAX_SOURCES = 500
+LAST_SLOT = 2**63 - 1  # a deadline beyond it counts as this
 
 
 def whole_parts(weights: list[float], resolution: int) -> list[int]:
-    """Weights as positive whole parts that add up to ``resolution``
-    (largest remainders; every source gets at least one part)."""
-    total = sum(weights)
-    spare = resolution - len(weights)
-    exact = [w / total * spare for w in weights]
-    parts = [int(e) for e in exact]
-    order = sorted(range(len(weights)), key=lambda i: (parts[i] - exact[i], i))
-    for i in order[:spare - sum(parts)]:
-        parts[i] += 1
-    return [p + 1 for p in parts]
+    """Whole parts in exactly the proportions of ``weights``, which count
+    as their decimals read (0.1 is a tenth), in lowest terms; scaled up to
+    add up to ``resolution`` where that is a multiple of their sum."""
+    exact = [Fraction(str(w)) for w in weights]
+    whole = math.lcm(*[e.denominator for e in exact])
+    parts = [e.numerator * (whole // e.denominator) for e in exact]
+    least = math.gcd(*parts)
+    parts = [p // least for p in parts]
+    total = sum(parts)
+    return parts if resolution % total else [p * (resolution // total) for p in parts]
 
 
 def windows(parts: int, total: int, i: int) -> tuple[int, int]:
@@ -54,13 +66,12 @@ def windows(parts: int, total: int, i: int) -> tuple[int, int]:
     return i * total // parts, -(-(i + 1) * total // parts)
 
 
-def period(parts: list[int]) -> list[int]:
+def period(parts: list[int]) -> Iterator[int]:
     """The source of each slot of one period, earliest deadline first."""
     total = sum(parts)
     waiting = [(0, s) for s in range(len(parts))]  # (release, source)
     taken = [0] * len(parts)
     ready: list[tuple[int, int]] = []              # (deadline, source)
-    out = []
     for slot in range(total):
         while waiting and waiting[0][0] <= slot:
             _, s = heapq.heappop(waiting)
@@ -68,29 +79,30 @@ def period(parts: list[int]) -> list[int]:
         due, s = heapq.heappop(ready)
         if slot >= due:
             raise AssertionError("a deadline was missed")
-        out.append(s)
+        yield s
         taken[s] += 1
         heapq.heappush(waiting, (windows(parts[s], total, taken[s])[0], s))
-    return out
 
 
 def plan(blocks: list[int], weights: list[float], resolution: int = RESOLUTION) -> list[dict]:
     """Segments of the schedule: for each, the first slot, the sources'
     parts, how many slots, and each source's blocks taken before it.
-    ``phase`` is the slot at which the current set of sources began."""
+    ``phase`` is the slot at which the current set of sources began.
+    ``order`` is the period, or the segment's slots if they are fewer."""
     left, used, slot, out = list(blocks), [0] * len(blocks), 0, []
     while any(left):
         live = [s for s in range(len(left)) if left[s]]
-        parts = whole_parts([weights[s] for s in live], max(resolution, 2 * len(live)))
-        order = period(parts)
+        parts = whole_parts([weights[s] for s in live], resolution)
         phase, began = slot, list(used)
         rounds = min(left[s] // p for s, p in zip(live, parts))
-        head, need = 0, [0] * len(live)
-        for i in order:  # the last, incomplete round ends where a source has nothing left
-            if left[live[i]] - rounds * parts[i] - need[i] == 0:
+        order, head, need = [], 0, [0] * len(live)
+        for i in period(parts):  # the last, incomplete round ends where a source has nothing left
+            if head == len(order) and left[live[i]] - rounds * parts[i] - need[i]:
+                need[i] += 1
+                head += 1
+            elif not rounds:
                 break
-            need[i] += 1
-            head += 1
+            order.append(i)
         out.append({"phase": phase, "slots": rounds * len(order) + head, "live": live, "parts": parts, "order": order,
                     "began": began})
         for i, s in enumerate(live):
@@ -135,16 +147,20 @@ def interleave(docs: DataFrame, weights: dict[str, float], source_col: str = "so
         shift.append((q, p, rows[q] - low))  # number within the source = place in the file + shift
         rows[q] += n
     segments = plan([-(-n // block_rows) for n in rows], [*weights.values(), other_weight], resolution)
-    spans, offsets = [], []
+    spans, offsets = [], array("q")  # of each slot of a period: queue, segment, number in the period, slot, window
     for k, s in enumerate(segments):
+        total, seen = sum(s["parts"]), [0] * len(s["live"])
+        for t, i in enumerate(s["order"]):
+            low, due = windows(s["parts"][i], total, seen[i])
+            offsets.extend((s["live"][i], k, seen[i], t, low, min(due, LAST_SLOT - s["phase"])))
+            seen[i] += 1
         for i, q in enumerate(s["live"]):
-            spans.append((q, s["began"][q], k, s["phase"], s["parts"][i], len(s["order"])))
-        for i, q in enumerate(s["live"]):
-            offsets += [(q, k, j, slot_) for j, slot_ in enumerate(t for t, x in enumerate(s["order"]) if x == i)]
+            if seen[i]:
+                spans.append((q, s["began"][q], k, s["phase"], seen[i], len(s["order"])))
 
-    c_q, c_p, c_shift, c_first, c_seg, c_phase, c_parts, c_total, c_in, c_slot, rn, i_ = fresh(
-        dealt, "q", "p", "shift", "first", "seg", "phase", "parts", "total", "in", "offset", "rn", "i")
-    # three tables whose sizes follow from tasks, sources and the resolution
+    c_q, c_p, c_shift, c_first, c_seg, c_phase, c_total, c_in, c_slot, c_low, c_due, rn, i_ = fresh(
+        dealt, "q", "p", "shift", "first", "seg", "phase", "total", "in", "offset", "low", "due", "rn", "i")
+    # three tables whose sizes follow from tasks, sources and the periods
     shift_t = F.broadcast(spark.createDataFrame(shift, f"{c_q} int, {c_p} int, {c_shift} long"))
     numbered = dealt.join(shift_t, (dealt[queue] == shift_t[c_q]) & (dealt[part] == shift_t[c_p])).drop(c_q, c_p)
     numbered = numbered.withColumn(rn, F.col(at) + F.col(c_shift))
@@ -153,7 +169,7 @@ def interleave(docs: DataFrame, weights: dict[str, float], source_col: str = "so
     by_queue: dict[int, list] = {}
     for q, first, k, phase, parts, total in spans:
         by_queue.setdefault(q, []).append((first, k, phase, parts, total))
-    fields = "first:bigint,seg:int,phase:bigint,parts:int,total:int"
+    fields = "first:bigint,seg:int,phase:bigint,parts:bigint,total:bigint"
     span_t = F.broadcast(spark.createDataFrame([(q, sorted(v)) for q, v in by_queue.items()],
                                                f"{c_q} int, {c_seg} array<struct<{fields}>>"))
     # the last segment that begins at or before the block
@@ -161,15 +177,15 @@ def interleave(docs: DataFrame, weights: dict[str, float], source_col: str = "so
     begun = begun.withColumn(c_first, F.element_at(F.filter(c_seg, lambda s: s["first"] <= F.col(block)), -1))
     inner = F.col(block) - F.col(c_first)["first"]
     parts, total, phase = (F.col(c_first)[f] for f in ("parts", "total", "phase"))
-    begun = begun.withColumns({i_: inner, c_in: (inner % parts).cast("int"), c_total: F.col(c_first)["seg"]})
-    offset_t = F.broadcast(spark.createDataFrame(offsets, f"{c_q} int, {c_p} int, {c_phase} int, {c_slot} int"))
+    begun = begun.withColumns({i_: inner, c_in: inner % parts, c_total: F.col(c_first)["seg"]})
+    columns = np.array(offsets, np.int64).reshape(-1, 6).T
+    offset_t = spark.createDataFrame(pa.table([pa.array(c) for c in columns], [c_q, c_p, c_phase, c_slot, c_low, c_due]))
+    if columns.nbytes <= BROADCAST_MAX_BYTES:
+        offset_t = F.broadcast(offset_t)
     done = begun.join(offset_t, (begun[queue] == offset_t[c_q]) & (begun[c_total] == offset_t[c_p])
                       & (begun[c_in] == offset_t[c_phase]))
-    whole = F.floor(F.col(i_) / parts).cast("long")
-    result = done.withColumns({
-        slot: phase + whole * total + F.col(c_slot),
-        release: phase + F.floor(F.col(i_) * total / parts).cast("long"),
-        deadline: phase + F.ceil((F.col(i_) + 1) * total / parts).cast("long")})
+    start = phase + ((F.col(i_) - F.col(c_in)) / parts).cast("long") * total  # of the block's period
+    result = done.withColumns({slot: start + F.col(c_slot), release: start + F.col(c_low), deadline: start + F.col(c_due)})
     return result.select(*docs.columns, *added), added
 
 

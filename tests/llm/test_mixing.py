@@ -1,10 +1,13 @@
 """Pfair schedules against their definition, and the placement of rows."""
+import math
 import random
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 
 from starledger.llm import mixing as mx
+from starledger.llm import queries
 
 
 def brute_slots(blocks, weights, resolution):
@@ -50,6 +53,45 @@ def test_plan_matches_slot_by_slot_schedule(seed):
     assert [got[t] for t in range(len(want))] == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("weights, blocks", [
+    ([*queries.SOURCE_WEIGHTS.values(), 0.01], [2400, *[400] * 19, 100]),
+    ([*queries.SOURCE_WEIGHTS.values(), 0.01], [9000, *[900] * 18, 150, 7]),
+    ([0.5, *[0.5 / 499] * 499], [5000, *[10] * 499]),
+    ([1 / 3, 0.1, 2**-0.5, 1e-300], [4000, 900, 8000, 2])])
+def test_less_than_one_block_from_the_given_weights(weights, blocks):
+    taken, t = [0] * len(blocks), 0
+    for seg in mx.plan(blocks, weights):
+        assert (seg["phase"], seg["began"]) == (t, taken)
+        exact = [Fraction(str(weights[s])) for s in seg["live"]]
+        shares, got = [e / sum(exact) for e in exact], [0] * len(exact)
+        due = [float(x) for x in shares]
+        for k in range(seg["slots"]):
+            got[seg["order"][k % len(seg["order"])]] += 1
+            assert max(abs(g - (k + 1) * w) for g, w in zip(got, due)) < 1 + 1e-9
+        assert all(abs(g - seg["slots"] * w) < 1 for g, w in zip(got, shares))
+        for s, g in zip(seg["live"], got):
+            taken[s] += g
+        t += seg["slots"]
+    assert taken == blocks and t == sum(blocks)
+
+
+def test_windows_of_placed_rows_follow_the_given_weights(spark):
+    docs = spark.range(3000).selectExpr("id doc_id", "if(id % 3 = 0, 'a', 'b') source")
+    weights = {"a": 1 / 3, "b": 0.7071067811865476}
+    mixed, (block, _, slot, release, deadline) = mx.interleave(docs, weights, block_rows=2)
+    share = {k: Fraction(str(w)) / sum(Fraction(str(x)) for x in weights.values()) for k, w in weights.items()}
+    first = {}
+    for seg in mx.plan([500, 1000], [*weights.values()])[:1]:
+        first = {"a": seg["order"].count(0), "b": seg["order"].count(1)}
+    rows = mixed.collect()
+    assert sorted(r.doc_id for r in rows) == list(range(3000))
+    for r in rows:
+        assert r[release] <= r[slot] < r[deadline]
+        if r[block] < first[r.source]:
+            w = share[r.source]
+            assert (r[release], r[deadline]) == (math.floor(r[block] / w), math.ceil((r[block] + 1) / w))
+
+
 def test_whole_parts():
     assert sum(mx.whole_parts([0.5, 0.3, 0.2], 1000)) == 1000
     assert min(mx.whole_parts([1e-9, 1.0], 10)) == 1
