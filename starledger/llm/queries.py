@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from starledger.llm.common import crc_mod, table, text_of
 from starledger.llm.exact_dedup import exact_dedup
+from starledger.llm.filter_audit import audit_filters, failure_masks, text_filters
 from starledger.llm.lm import score_texts
 from starledger.llm.mixing import interleave
 from starledger.llm.pieces import MODEL, N_BEST, decode, encode
 from starledger.llm.pii import find_pii, span_text
 from starledger.llm.quality import THRESHOLD, classify
 from starledger.llm.simhash import near_dedup
+from starledger.llm.substring_dedup import substring_dedup
 from starledger.llm.topk import exact_top_k
 from starledger.llm.url_filter import filter_urls
 from starledger.llm.warc import read_archive, write_archive
@@ -86,6 +88,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         span_text(F.col("found")).alias("spans"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    masks = failure_masks(docs, table(spark, sf_dir, "labels"), text_filters(text_of(docs, "text")), "E", docs["lang"])
+    return audit_filters(masks, "ABCDE")
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup(table(spark, sf_dir, "documents"), window=20)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
@@ -98,6 +111,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_mixing": op9_mixing,
         "op10_pii": op10_pii,
+        "op12_filter_audit": op12_filter_audit,
+        "op13_substring_dedup": op13_substring_dedup,
     }
 
 
@@ -132,9 +147,67 @@ FROM d WINDOW g AS (PARTITION BY norm)
 """
 
 
+OP12_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT w.part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+         CAST(len(words) < 200 AS INTEGER) + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INTEGER)
+         + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS INTEGER)
+         + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INTEGER)
+         + 16 * CAST(coalesce(min(w.doc_id) OVER (PARTITION BY text) < w.doc_id, false) AS INTEGER) AS mask
+  FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+m AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask),
+b AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM b a JOIN b b ON b.bit <> a.bit JOIN b c ON c.bit NOT IN (a.bit, b.bit) JOIN b d ON d.bit NOT IN (a.bit, b.bit, c.bit)
+  JOIN b e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)),
+s AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS bit,
+         CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS before
+  FROM (SELECT filter_order, bits, unnest(range(1, 6)) AS step FROM o)),
+r AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM m CROSS JOIN s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, s, md5(array_to_string(w[s + 1:s + 20], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - 19)) AS s FROM d WHERE len(w) >= 20)),
+again AS (SELECT doc_id, s FROM (
+  SELECT doc_id, s, row_number() OVER (PARTITION BY h ORDER BY doc_id, s) AS r FROM win) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, s + k AS p FROM (SELECT doc_id, s, unnest(range(0, 20)) AS k FROM again)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS p FROM d WHERE len(w) > 0),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_top_k": OP1_SQL,
         "op6_warc": OP6_SQL,
         "op8_exact_dedup": OP8_SQL,
+        "op12_filter_audit": OP12_SQL,
+        "op13_substring_dedup": OP13_SQL,
     }
