@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm.common import crc_mod, table, text_of
+from starledger.llm.align import alignments, link_counts
+from starledger.llm.common import crc_mod, shared_table, table, text_of
 from starledger.llm.exact_dedup import exact_dedup
 from starledger.llm.filter_audit import audit_filters, failure_masks, text_filters
 from starledger.llm.lm import score_texts
@@ -88,6 +89,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         span_text(F.col("found")).alias("spans"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignments(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    stored = shared_table(aligned.withColumn("groups_sha256", digest).drop("groups"), "alignments")
+    return link_counts(stored).select(F.col("doc_id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links",
+                                      "n_best", "count_sum", "groups_sha256")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     masks = failure_masks(docs, table(spark, sf_dir, "labels"), text_filters(text_of(docs, "text")), "E", docs["lang"])
@@ -111,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_mixing": op9_mixing,
         "op10_pii": op10_pii,
+        "op11_token_alignment": op11_token_alignment,
         "op12_filter_audit": op12_filter_audit,
         "op13_substring_dedup": op13_substring_dedup,
     }
