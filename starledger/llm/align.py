@@ -33,11 +33,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starledger.llm.common import text_of
+from starledger.llm.common import pack_steps, text_of, unpack_steps
 
 BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -48,7 +47,9 @@ BATCH_CHARS = 1_000_000    # of texts aligned together
 MAX_PAIRS = 4_000_000      # linked pairs that tasks may get; 13 bytes each
 
 # A space with neighbours that no tokenizer takes for white space.
-_SOLID = rf"[^\s\x00-\x20\x7f-\xa0 ᠎ -‏ -⁯　﻿{MARK}]"
+_BLANKS = "".join(map(chr, [*range(0x21), *range(0x7F, 0xA1), 0x1680, 0x180E, *range(0x2000, 0x2010),
+                            *range(0x2028, 0x2070), 0x3000, 0xFEFF]))
+_SOLID = rf"[^\s{re.escape(_BLANKS)}{MARK}]"
 _CUT = re.compile(f"(?<={_SOLID}) (?={_SOLID})")
 
 
@@ -268,17 +269,6 @@ def _portions(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBat
         yield batch.slice(begin, len(held)), held
 
 
-def _pack(codes: np.ndarray, squeeze: zstandard.ZstdCompressor) -> bytes:
-    codes = np.sort(codes)
-    steps = np.diff(codes, prepend=codes.dtype.type(0))
-    return squeeze.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(len(steps), -1).T).tobytes())
-
-
-def _unpack(data: bytes, kind, expand: zstandard.ZstdDecompressor) -> np.ndarray:
-    planes = np.frombuffer(expand.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(kind).ravel(), dtype=kind)
-
-
 def alignments(docs: DataFrame, byte_model: str = BYTE_MODEL, piece_model: str = PIECE_MODEL,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``n_a`` and ``n_b`` tokens,
@@ -296,7 +286,7 @@ def alignments(docs: DataFrame, byte_model: str = BYTE_MODEL, piece_model: str =
     kind = narrow.schema["id"].dataType.simpleString()
 
     def run(batches):
-        aligner, squeeze = _aligner(models, cut), zstandard.ZstdCompressor(level=1)
+        aligner = _aligner(models, cut)
         for batch in batches:
             for part, texts in _portions(batch, 1):
                 rows = [r or ("", 0, 0, b"") for r in aligner.align(texts)]
@@ -304,7 +294,7 @@ def alignments(docs: DataFrame, byte_model: str = BYTE_MODEL, piece_model: str =
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()),
                      pa.array([len(c) for c in codes], pa.int64()), pa.array([r[0] for r in rows], pa.string()),
-                     pa.array([_pack(c, squeeze) for c in codes], pa.binary())],
+                     pa.array([pack_steps(np.sort(c)) for c in codes], pa.binary())],
                     ["id", "n_a", "n_b", "n_groups", "groups", "pairs"])
 
     out = narrow.mapInArrow(run, f"id {kind}, n_a long, n_b long, n_groups long, groups string, pairs binary")
@@ -317,10 +307,10 @@ def pair_counts(aligned: DataFrame, byte_model: str = BYTE_MODEL, piece_model: s
     kind = _code(Tokenizers.read(byte_model, piece_model))[0]
 
     def run(batches):
-        expand, held, many = zstandard.ZstdDecompressor(), [], 0
+        held, many = [], 0
         for batch in batches:
             for pairs in batch.column(0):
-                held.append(_unpack(pairs.as_py(), kind, expand))
+                held.append(unpack_steps(pairs.as_py(), kind))
                 many += len(held[-1])
                 if many >= 1 << 22:
                     yield _summed(held)
@@ -360,16 +350,16 @@ def link_counts(aligned: DataFrame, byte_model: str = BYTE_MODEL, piece_model: s
     best = counts == highest[of_b]
     at = aligned.columns.index("pairs")
     rest = aligned.drop("pairs")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rest.schema.fields)
+    names = [*rest.columns, "n_links", "n_best", "count_sum"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
 
     def run(batches):
-        expand = zstandard.ZstdDecompressor()
         for batch in batches:
-            found = [np.searchsorted(codes, _unpack(p.as_py(), kind, expand)) for p in batch.column(at)]
+            found = [np.searchsorted(codes, unpack_steps(p.as_py(), kind)) for p in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
                 [*(c for i, c in enumerate(batch.columns) if i != at), pa.array([len(f) for f in found], pa.int64()),
                  pa.array([int(best[f].sum()) for f in found], pa.int64()),
                  pa.array([int(counts[f].sum()) for f in found], pa.int64())],
-                [*rest.columns, "n_links", "n_best", "count_sum"])
+                names)
 
     return aligned.mapInArrow(run, f"{schema}, n_links long, n_best long, count_sum long")

@@ -3,6 +3,8 @@ names that cannot clash, and the text rules the contracts name."""
 
 from __future__ import annotations
 
+import numpy as np
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,3 +69,18 @@ def pick_rows(docs: DataFrame, id_col: str, key: Column, keep: DataFrame) -> Dat
         return kept.select(docs.columns)
     once = kept.where(F.col(same) == 1).select(docs.columns)
     return once.unionByName(kept.where(F.col(same) > 1).dropDuplicates([k_id, k_key]).select(docs.columns))
+
+
+def pack_steps(values: np.ndarray) -> bytes:
+    """An array of integers in few bytes: the differences of neighbours,
+    their bytes by place value, compressed.  Small for ascending values."""
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(len(steps), values.dtype.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack_steps(data: bytes, kind) -> np.ndarray:
+    """The array, of numpy type ``kind``, that :func:`pack_steps` packed."""
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    steps = np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+    return np.cumsum(steps, dtype=kind)

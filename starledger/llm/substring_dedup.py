@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starledger.llm.common import text_of
+from starledger.llm.common import pack_steps, text_of, unpack_steps
 
 WINDOW = 20
 BUCKET_BYTES = 8 << 20      # of text whose windows share a bucket, on average
@@ -81,19 +81,6 @@ def window_hashes(words: np.ndarray, width: int, base: int) -> np.ndarray:
         size *= 2
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """Differences of neighbours, their bytes by place value, compressed."""
-    steps = np.diff(values, prepend=values.dtype.type(0))
-    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(len(steps), -1).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def _unpack(data: bytes, kind) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    width = np.dtype(kind).itemsize
-    return np.cumsum(np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).ravel(), dtype=kind)
-
-
 _PACKED = "bucket int, kind int, id long, body binary, ids binary, starts binary"
 _WINDOWS, _MARKS, _TEXT = range(3)
 
@@ -104,8 +91,8 @@ def _rows(kind: int, groups) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([int(b) for b, *_ in full], pa.int32()), pa.array([kind] * len(full), pa.int32()),
          pa.nulls(len(full), pa.int64()), pa.array([h.tobytes() for _, h, _, _ in full], pa.binary()),
-         pa.array([_pack(i) for _, _, i, _ in full], pa.binary()),
-         pa.array([_pack(s) for _, _, _, s in full], pa.binary())], _NAMES)
+         pa.array([pack_steps(i) for _, _, i, _ in full], pa.binary()),
+         pa.array([pack_steps(s) for _, _, _, s in full], pa.binary())], _NAMES)
 
 
 _NAMES = [c.split()[0] for c in _PACKED.split(", ")]
@@ -210,8 +197,8 @@ def mark_windows(docs: DataFrame, window: int, buckets: int, group_windows: int)
         for bucket in list(held):
             parts = held.pop(bucket)
             hashes = np.concatenate([np.frombuffer(h, np.uint64) for h, _, _ in parts])
-            ids = np.concatenate([_unpack(i, np.int64) for _, i, _ in parts])
-            starts = np.concatenate([_unpack(s, np.int32) for _, _, s in parts])
+            ids = np.concatenate([unpack_steps(i, np.int64) for _, i, _ in parts])
+            starts = np.concatenate([unpack_steps(s, np.int32) for _, _, s in parts])
             order = np.argsort(hashes)
             near = hashes[order]
             same = np.zeros(len(near), bool)     # only windows with an equal one need the full order
@@ -240,8 +227,8 @@ class Marks:
     """The marked windows of one bucket of ids."""
 
     def __init__(self, parts: list[tuple[bytes, bytes, bytes]]):
-        ids = np.concatenate([np.empty(0, np.int64), *[_unpack(i, np.int64) for _, i, _ in parts]])
-        starts = np.concatenate([np.empty(0, np.int32), *[_unpack(s, np.int32) for _, _, s in parts]])
+        ids = np.concatenate([np.empty(0, np.int64), *[unpack_steps(i, np.int64) for _, i, _ in parts]])
+        starts = np.concatenate([np.empty(0, np.int32), *[unpack_steps(s, np.int32) for _, _, s in parts]])
         checks = np.concatenate([np.empty(0, np.uint32), *[np.frombuffer(c, np.uint32) for c, _, _ in parts]])
         order = np.lexsort((starts, ids))
         ids, self.starts, self.checks = ids[order], starts[order], checks[order]

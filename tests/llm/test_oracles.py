@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(q.oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "labels"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     want = con.execute(q.oracle_sql()[name])
     columns = [d[0] for d in want.description]
