@@ -26,10 +26,10 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -41,16 +41,16 @@ from starledger.llm.common import pack_steps, text_of, unpack_steps
 BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE_WORDS = 150_000      # of each of the two generations a worker keeps
+CACHE_WORDS = 250_000      # of each of the two generations a worker keeps
+BLOCK_WORDS = 512          # new words that go through the tokenizers as one text
 CACHE_CHARS = 64           # longer words are aligned each time
 BATCH_CHARS = 1_000_000    # of texts aligned together
 MAX_PAIRS = 4_000_000      # linked pairs that tasks may get; 13 bytes each
 
-# A space with neighbours that no tokenizer takes for white space.
-_BLANKS = "".join(map(chr, [*range(0x21), *range(0x7F, 0xA1), 0x1680, 0x180E, *range(0x2000, 0x2010),
-                            *range(0x2028, 0x2070), 0x3000, 0xFEFF]))
-_SOLID = rf"[^\s{re.escape(_BLANKS)}{MARK}]"
-_CUT = re.compile(f"(?<={_SOLID}) (?={_SOLID})")
+# Characters that some tokenizer may take for white space, or that mean a space to B.
+_BLANK = {*range(0x21), *range(0x7F, 0xA1), 0x1680, 0x180E, *range(0x2000, 0x2010), *range(0x2028, 0x2070), 0x3000, 0xFEFF,
+          ord(MARK)}
+_SOLID = np.array([i not in _BLANK and not chr(i).isspace() for i in range(1 << 16)])
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -135,77 +135,122 @@ class Aligner:
         names += [f"{i}{end}" for i in range(len(self.bytes_b)) for end in ",;"]
         self.names = np.array(names, object)
         self.code = np.uint32 if len(self.bytes_a) * len(self.bytes_b) < 1 << 32 else np.uint64
-        self.recent: dict[str, tuple | None] = {}
-        self.older: dict[str, tuple | None] = {}
+        self.some_bad = False      # whether any word's bytes did not come back so far
+        self.recent: dict[str, tuple[str, int, bytes]] = {}
+        self.older: dict[str, tuple[str, int, bytes]] = {}
+
+    def words(self, texts: list[str]) -> tuple[list[str], list[int]]:
+        """The words of all texts, and how many of them each text has."""
+        if not self.cut:
+            return [t for t in texts if t], [int(bool(t)) for t in texts]
+        joined = "\n".join(texts)     # no cut touches a line end
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        solid = _SOLID[np.minimum(points, 0xFFFF)]
+        cut = np.flatnonzero((points[1:-1] == 32) & solid[:-2] & solid[2:]) + 1
+        size = np.array([len(t) for t in texts], np.int64)
+        begin = np.cumsum(size + 1) - size - 1
+        full = size > 0
+        starts = np.sort(np.concatenate([begin[full], cut + 1]))
+        ends = np.sort(np.concatenate([(begin + size)[full], cut]))
+        count = np.searchsorted(starts, begin + size) - np.searchsorted(starts, begin)
+        return [joined[i:j] for i, j in zip(starts.tolist(), ends.tolist())], count.tolist()
 
     def align(self, texts: list[str]) -> list[tuple[str, int, int, bytes] | None]:
         """(groups, tokens of A, tokens of B, linked pairs as codes) of each
         text; None where the joined bytes of either side differ from the
         text's."""
-        split = [(_CUT.split(t) if self.cut else [t]) if t else [] for t in texts]
-        found, new = {}, []
-        for w in set(chain.from_iterable(split)):
-            if w in self.recent:
-                found[w] = self.recent[w]
-            elif w in self.older:
-                found[w] = self.recent[w] = self.older[w]
-            else:
-                new.append(w)
-        for w, entry in zip(new, self._entries(new)):
-            found[w] = entry
-            if len(w) <= CACHE_CHARS:
-                self.recent[w] = entry
-        if len(self.recent) > CACHE_WORDS:
-            self.older, self.recent = self.recent, {}
-        out = []
-        for words in split:
-            entries = [found[w] for w in words]
-            if not entries or None in entries:
+        words, count = self.words(texts)
+        entries = list(map(self.recent.get, words))
+        if None in entries:
+            found = self._fetch({w for w, e in zip(words, entries) if e is None})
+            entries = [found[w] if e is None else e for w, e in zip(words, entries)]
+        out, at = [], 0
+        for n in count:
+            own = entries[at:at + n]
+            at += n
+            if not own or self.some_bad and any(e is _BAD for e in own):
                 out.append(None)
                 continue
-            groups, n_a, n_b, pairs = zip(*entries)
-            out.append(("".join(groups)[:-1], sum(n_a), sum(n_b), b"".join(pairs)))
+            made = sum([e[1] for e in own])
+            out.append(("".join([e[0] for e in own])[:-1], made >> 32, made & 0xFFFFFFFF, b"".join([e[2] for e in own])))
         return out
 
-    def _entries(self, words: list[str]) -> list[tuple[str, int, int, bytes] | None]:
-        if not words:
+    def _fetch(self, words: set[str]) -> dict[str, tuple[str, int, bytes]]:
+        """Entries of words that are not among the recent ones: groups, both
+        numbers of tokens in one, codes of the linked pairs."""
+        found = {w: e for w in words if (e := self.older.get(w)) is not None}
+        new = [w for w in words if w not in found]
+        # Words with solid ends don't touch each other behind single spaces, so many go through the tokenizers as one text.
+        together = [w for w in new if self.cut and all(ord(c) > 0xFFFF or _SOLID[ord(c)] for c in (w[0], w[-1]))]
+        alone = [[w] for w in set(new).difference(together)]
+        blocks = [together[i:i + BLOCK_WORDS] for i in range(0, len(together), BLOCK_WORDS)]
+        for block, entries in zip(blocks, self._entries(blocks)):
+            if entries is None:
+                alone += [[w] for w in block]
+            else:
+                found.update(zip(block, entries))
+        for (w,), entries in zip(alone, self._entries(alone)):
+            found[w] = entries[0] if entries else _BAD
+            self.some_bad |= not entries
+        if len(self.recent) + len(found) > CACHE_WORDS:
+            self.older, self.recent = self.recent, {}
+        self.recent.update((w, e) for w, e in found.items() if len(w) <= CACHE_CHARS)
+        return found
+
+    def _entries(self, blocks: list[list[str]]) -> list[list[tuple[str, int, bytes]] | None]:
+        """Entries of the words of each block; None if the block's bytes
+        don't come back, or its words are not apart."""
+        if not blocks:
             return []
-        texts = [" " + w for w in words]
+        texts = ["".join([f" {w}" for w in block]) for block in blocks]
         joined = "".join(texts)
         raw = joined.encode("utf-8", "surrogatepass")
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         place = np.concatenate([[0], np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000))])
         char_at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-        begin = place[char_at]     # byte at which each word starts; one more for the end
+        begin = place[char_at]     # byte at which each block starts; one more for the end
+        word_begin = place[np.cumsum([0] + [len(w) + 1 for block in blocks for w in block])]
+        word_at = np.cumsum([0] + [len(block) for block in blocks])
 
         made = self.a.encode_batch(texts, add_special_tokens=False)
-        n_a = np.array([len(e.ids) for e in made], np.int64)
-        a = np.fromiter(chain.from_iterable(e.ids for e in made), np.int64, n_a.sum())
+        ids = [e.ids for e in made]
+        n_a = np.array([len(i) for i in ids], np.int64)
+        a = np.fromiter(chain.from_iterable(ids), np.int64, n_a.sum())
         spans = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in made)), np.int64, 2 * len(a))
-        of_a = np.repeat(np.arange(len(words)), n_a)
+        of_a = np.repeat(np.arange(len(blocks)), n_a)
         ok = _same(self.bytes_a, a, n_a, raw, begin)
         end_a = np.where(self.whole_a[a], place[char_at[of_a] + spans[1::2]], _decoded(self.size_a[a], of_a, n_a, begin))
 
-        made = [p.pieces for p in self.b.encode(words, return_type="proto", num_threads=1)]
+        made = [p.pieces for p in self.b.encode([t[1:] for t in texts], return_type="proto", num_threads=1)]
         n_b = np.array([len(p) for p in made], np.int64)
-        pieces = np.array([(q.id, q.end) for p in made for q in p], np.int64).reshape(-1, 2)
-        b = pieces[:, 0]
-        of_b = np.repeat(np.arange(len(words)), n_b)
+        made = list(chain.from_iterable(made))
+        b = np.fromiter(map(attrgetter("id"), made), np.int64, len(made))
+        spans = np.fromiter(map(attrgetter("end"), made), np.int64, len(made))
+        of_b = np.repeat(np.arange(len(blocks)), n_b)
         ok &= _same(self.bytes_b, b, n_b, raw, begin)
-        end_b = np.where(self.whole_b[b], begin[of_b] + 1 + pieces[:, 1], _decoded(self.size_b[b], of_b, n_b, begin))
+        end_b = np.where(self.whole_b[b], begin[of_b] + 1 + spans, _decoded(self.size_b[b], of_b, n_b, begin))
 
         if not ok.all():
-            a, end_a, of_a, b, end_b, of_b = *(x[ok[of_a]] for x in (a, end_a, of_a)), *(x[ok[of_b]] for x in (b, end_b, of_b))
-            n_a, n_b = np.where(ok, n_a, 0), np.where(ok, n_b, 0)
+            a, end_a, b, end_b = *(x[ok[of_a]] for x in (a, end_a)), *(x[ok[of_b]] for x in (b, end_b))
         meet_a, meet_b = _in(end_a, end_b), _in(end_b, end_a)
+        cuts = end_a[meet_a]
+        apart = _in(word_begin, np.concatenate([[0], cuts]))     # every word's start is where one before ended
+        for k in np.flatnonzero(ok).tolist():
+            ok[k] = apart[word_at[k] + 1:word_at[k + 1]].all() and (begin[k + 1] == cuts[np.searchsorted(cuts, begin[k + 1])])
         pairs = (a[meet_a] * len(self.bytes_b) + b[meet_b]).astype(self.code).tobytes()
-        pair_at = (np.dtype(self.code).itemsize * np.concatenate([[0], np.cumsum(np.bincount(of_a[meet_a], minlength=len(words)))])).tolist()
+        pair_at = (np.dtype(self.code).itemsize * np.searchsorted(cuts, word_begin, "right")).tolist()
         group = np.concatenate([2 * (np.cumsum(meet_a) - meet_a), 2 * (np.cumsum(meet_b) - meet_b) + 1])
         name = np.concatenate([2 * a + meet_a, 2 * (len(self.bytes_a) + b) + meet_b])
         written = self.names[name[np.argsort(group, kind="stable")]].tolist()
-        at = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
-        return [("".join(written[at[k]:at[k + 1]]), x, y, pairs[pair_at[k]:pair_at[k + 1]]) if good else None
-                for k, (x, y, good) in enumerate(zip(n_a.tolist(), n_b.tolist(), ok.tolist()))]
+        upto_a, upto_b = np.searchsorted(end_a, word_begin, "right"), np.searchsorted(end_b, word_begin, "right")
+        at = (upto_a + upto_b).tolist()
+        both = ((np.diff(upto_a) << 32) + np.diff(upto_b)).tolist()
+        return [[("".join(written[at[k]:at[k + 1]]), both[k], pairs[pair_at[k]:pair_at[k + 1]])
+                 for k in range(word_at[i], word_at[i + 1])] if good else None for i, good in enumerate(ok.tolist())]
+
+
+#: The entry of a word whose bytes do not come back.
+_BAD = ("", 0, b"")
 
 
 def _whole(token: bytes) -> bool:
