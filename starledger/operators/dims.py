@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from starledger.functions.scalars import (
     code_to_key_expr, date_key, fiscal_month, fiscal_year, yes_no,
 )
 from starledger.operators.keys import dense_key_sized
+from starledger.operators.registry import LOAD, register_keys
 from starledger.sources.schemas import BROADCAST_MAX_BYTES, FISCAL_START_MONTH
 
 
@@ -61,11 +64,24 @@ def build_role_dim(df: DataFrame, roles, out, null_rule: str | list = "any",
     return _drop_nulls(exploded, null_rule, among=out).distinct()
 
 
+def keyed_natural(base: DataFrame, order, key: str, key_type: str = "long",
+                  registry: str | None = None) -> tuple[DataFrame, float]:
+    """Distinct natural keys with their surrogate key, and their measured
+    bytes: numbered densely, or, with ``registry``, all keys ever given
+    (bytes unknown, so infinite: their joins get no broadcast hint)."""
+    if registry is None:
+        return dense_key_sized(base, order, key, key_type=key_type)
+    return register_keys(base, registry, base.columns, key, order, key_type).drop(LOAD), math.inf
+
+
 def extract_dim(fact: DataFrame, natural, key: str, order=None, null_rule="any",
                 how: str = "inner", key_type: str = "int", names=None,
-                max_bytes: int = BROADCAST_MAX_BYTES):
+                max_bytes: int = BROADCAST_MAX_BYTES, registry: str | None = None):
     """Dense-key dimension plus re-keyed fact.
 
+    With ``registry`` (a path) keys come from the key registry there: keys
+    of earlier loads stay, new natural keys follow them.
+
     Returns ``(dim, fact)``: the dimension has ``key`` first, then the
     natural columns (renamed to ``names`` if given); the fact has the
     natural columns replaced by ``key``.  ``how="inner"`` drops fact rows
@@ -80,7 +96,7 @@ def extract_dim(fact: DataFrame, natural, key: str, order=None, null_rule="any",
     natural = [natural] if isinstance(natural, str) else list(natural)
     base = fact.select(*[_q(c) for c in natural])
     base = _drop_nulls(base, null_rule).distinct()
-    keyed, size = dense_key_sized(base, order or natural, key, key_type=key_type)
+    keyed, size = keyed_natural(base, order or natural, key, key_type, registry)
     rekeyed = fact.join(F.broadcast(keyed) if size <= max_bytes else keyed, on=natural, how=how).drop(*natural)
     names = list(names or natural)
     dim = keyed.select(_q(key), *[_q(c).alias(n) for c, n in zip(natural, names)])

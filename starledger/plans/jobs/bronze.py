@@ -9,7 +9,8 @@ from starledger.operators.clean import (
     select_present, tag,
 )
 from starledger.operators.merge import merge_increment_to
-from starledger.sources.files import read_csv, read_year, write_sized
+from starledger.sources.files import read_year, write_sized
+from starledger.sources.reconcile import read_csv_reconciled
 from starledger.sources.schemas import COVID_COLUMNS, FAMILIES, WANTED_COLUMNS, FamilySpec
 
 FISCAL_YEAR = "action_date_fiscal_year"
@@ -34,10 +35,11 @@ def bronze_to_silver(raw: DataFrame, spec: FamilySpec, wanted=WANTED_COLUMNS,
 
 def job_b2s(spark: SparkSession, landing: str, silver: str, family: str, observation=None) -> str:
     """Full history of one family (E1).  Silver is partitioned by fiscal
-    year so a later yearly merge rewrites one partition only.  Pass an
+    year so a later yearly merge rewrites one partition only.  The yearly
+    files may differ in their columns and their order.  Pass an
     ``Observation`` to receive row and rejected-value counts."""
     spec = FAMILIES[family]
-    out = bronze_to_silver(read_csv(spark, f"{landing}/{family}"), spec, observation=observation)
+    out = bronze_to_silver(read_csv_reconciled(spark, f"{landing}/{family}"), spec, observation=observation)
     path = f"{silver}/{family}"
     write_sized(out, path, spec.rows_per_file, partition_by=FISCAL_YEAR)
     return path

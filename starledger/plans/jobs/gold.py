@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starledger.operators.dims import (
-    build_dim, build_role_dim, calendar_for, code_dim, conform_union, extract_dim,
+    build_dim, build_role_dim, calendar_for, code_dim, conform_union, extract_dim, keyed_natural,
 )
 from starledger.operators.joins import date_key_roles, enrich, lookup_roles
-from starledger.operators.keys import dense_key_sized
 from starledger.sources.schemas import BROADCAST_MAX_BYTES, BUSINESS_SIZE_KEYS, OFFICER_NAMES
 
 TXN = "transaction_unique_key"
@@ -55,8 +54,11 @@ def gold_assistance(assistance: DataFrame) -> dict:
 
 
 def gold_transactions(assistance: DataFrame, contract: DataFrame, externals: dict | None = None,
-                      calendar: DataFrame | None = None, max_bytes: int = BROADCAST_MAX_BYTES) -> dict:
-    """FactTransaction and its shared dimensions.
+                      calendar: DataFrame | None = None, max_bytes: int = BROADCAST_MAX_BYTES,
+                      registry: str | None = None) -> dict:
+    """FactTransaction and its shared dimensions (E8).  ``registry``: a
+    folder of key registries, under which district and officer codes stay
+    the same from load to load.
 
     ``externals``: optional silver frames ``education``, ``gdp``,
     ``pop_est``, ``pres`` (county) and ``house`` (district)."""
@@ -95,8 +97,8 @@ def gold_transactions(assistance: DataFrame, contract: DataFrame, externals: dic
     county = enrich(county, sources)
     out["DimCounty"] = county.drop("county_name")
 
-    cd, cd_bytes = dense_key_sized(_role_dim(fact, [[RECIPIENT_CD], [PLACE_CD]], ["cd_original"]),
-                                  ["cd_original"], "cd_code")
+    cd, cd_bytes = keyed_natural(_role_dim(fact, [[RECIPIENT_CD], [PLACE_CD]], ["cd_original"]), ["cd_original"],
+                                 "cd_code", registry=registry and f"{registry}/DimCongressionalDistrict")
     cd_roles = {c: k for c, k in ((RECIPIENT_CD, "recipient_cd_code"), (PLACE_CD, "place_of_performance_cd_code"))
                 if c in fact.columns}
     fact = lookup_roles(fact, cd, cd_roles, dim_on="cd_original", dim_key="cd_code", drop_natural=False,
@@ -120,8 +122,8 @@ def gold_transactions(assistance: DataFrame, contract: DataFrame, externals: dic
                                               ["primary_place_of_performance_country_code",
                                                "primary_place_of_performance_country_name"]],
                                        ["country_code", "country_name"])
-    hco, hco_bytes = dense_key_sized(_role_dim(fact, [[c] for c in OFFICER_NAMES], ["hco_name"]),
-                                     ["hco_name"], "hco_code")
+    hco, hco_bytes = keyed_natural(_role_dim(fact, [[c] for c in OFFICER_NAMES], ["hco_name"]), ["hco_name"],
+                                   "hco_code", registry=registry and f"{registry}/DimHighlyCompensatedOfficer")
     out["DimHighlyCompensatedOfficer"] = hco
     fact = lookup_roles(fact, hco, {n: n.replace("_name", "_code") for n in OFFICER_NAMES if n in fact.columns},
                         "hco_name", "hco_code", unique=True, dim_bytes=hco_bytes, max_bytes=max_bytes)
@@ -157,12 +159,12 @@ CONTRACT_DIMS = (
 
 
 def gold_contracts(contract: DataFrame, size_keys: dict = BUSINESS_SIZE_KEYS, how: str = "inner",
-                   dims=CONTRACT_DIMS) -> dict:
+                   dims=CONTRACT_DIMS, registry: str | None = None) -> dict:
     """FactContract with business size (D5) and the dense-keyed dims of
     ``dims`` (D4; NAICS and country of origin, code descending) (E9).
     The dims are cut in order, each from the fact re-keyed by the ones
     before; ``how="inner"`` reproduces the dropping of rows without a
-    matching pair (Q11)."""
+    matching pair (Q11).  ``registry``: a folder of key registries."""
     size_code = "contracting_officers_determination_of_business_size_code"
     size_name = "contracting_officers_determination_of_business_size"
     size, fact = code_dim(contract, size_code, size_name, size_keys, "business_size_key",
@@ -172,7 +174,8 @@ def gold_contracts(contract: DataFrame, size_keys: dict = BUSINESS_SIZE_KEYS, ho
         null_rule = list(spec.null_rule) if isinstance(spec.null_rule, tuple) else spec.null_rule
         dim, fact = extract_dim(fact, list(spec.natural), spec.key,
                                 order=list(spec.order) if spec.order else None, null_rule=null_rule,
-                                how=how, names=list(spec.names) if spec.names else None)
+                                how=how, names=list(spec.names) if spec.names else None,
+                                registry=registry and f"{registry}/{spec.table}")
         out[spec.table] = dim
     out["FactContract"] = fact.select(TXN, "award_unique_key", *[d.key for d in dims], "business_size_key")
     return out

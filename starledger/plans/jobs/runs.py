@@ -40,8 +40,11 @@ def run_externals(spark: SparkSession, landing: str, silver: str, workers: int =
 
 def run_gold(spark: SparkSession, silver: str, gold: str, calendar=None, workers: int = 4) -> dict:
     """Silver -> gold parquet, every table sized by rows per file; every
+    surrogate key comes from a registry beside the gold tables, so it stays
+    the same when the next year is loaded; every
     table is then read back, so later steps start from written data (no
     recomputation, lineage cut)."""
+    registry = f"{gold.rstrip('/')}_keys"
     assistance = read_layer(spark, f"{silver}/assistance")
     contract = read_layer(spark, f"{silver}/contract")
     externals = {
@@ -55,8 +58,8 @@ def run_gold(spark: SparkSession, silver: str, gold: str, calendar=None, workers
     # count jobs while building), so they are built side by side too
     parts = run_concurrently({
         "assistance": partial(gold_assistance, assistance),
-        "transactions": partial(gold_transactions, assistance, contract, externals, calendar=calendar),
-        "contracts": partial(gold_contracts, contract)}, workers)
+        "transactions": partial(gold_transactions, assistance, contract, externals, calendar=calendar, registry=registry),
+        "contracts": partial(gold_contracts, contract, registry=registry)}, workers)
     tables = {}
     for part in parts.values():
         tables.update(part)

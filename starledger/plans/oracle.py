@@ -509,6 +509,33 @@ select o_orderkey, cast(cast(o_totalprice as decimal(18,2)) as double) as o_tota
        cast(o_orderdate as date) as o_orderdate, o_orderpriority
 from orders where year(o_orderdate) = 1997"""
 
+ORACLE["csv_schema_drift"] = """
+select o_orderkey, cast(cast(o_totalprice as decimal(18,2)) as double) as o_totalprice,
+       cast(o_orderdate as date) as o_orderdate,
+       case when year(o_orderdate) % 3 < 2 then o_orderpriority end as o_orderpriority,
+       case when year(o_orderdate) % 3 = 2 then o_orderstatus end as o_orderstatus
+from orders"""
+
+ORACLE["stable_keys"] = """
+with o as (select cast(o_custkey as varchar) as recipient_uei, cast(o_totalprice as decimal(18,2)) as total,
+                  case when o_orderdate < date '1995-02-01' then 1 when o_orderdate < date '1995-06-01' then 2 else 3 end as load
+           from orders),
+r as (select recipient_uei, min(load) as load, count(*) as n_orders, cast(sum(total) as double) as total
+      from o group by recipient_uei)
+select recipient_uei, row_number() over (order by load, recipient_uei) as recipient_key, cast(load as bigint) as load,
+       n_orders, total from r"""
+
+ORACLE["keyed_upsert"] = f"""
+with t as (select transaction_unique_key as k, total_obligated_amount as a, last_modified_date as m, year(action_date) as fy,
+                  (cast(award_unique_key as bigint) + cast(split_part(transaction_unique_key, '_', 4) as bigint)) % 10 as kind
+           from ({txn()}))
+select k as transaction_unique_key,
+       cast(case when kind = 0 or kind = 3 and fy > 1996 then a + 1 else a end as double) as total_obligated_amount,
+       cast(case when kind in (0, 2) then m + interval 30 day when kind = 3 and fy > 1996 then m - interval 5 day else m end
+            as date) as last_modified_date,
+       cast(case when kind = 2 then fy + 1 else fy end as bigint) as fiscal_year
+from t where kind <> 1"""
+
 ORACLE["b2s_job"] = """
 with j as (select * from lineitem join orders on l_orderkey = o_orderkey where l_linestatus = 'F'),
 raw as (select concat_ws('_', l_orderkey, l_partkey, l_suppkey, l_linenumber,

@@ -524,5 +524,5 @@ def row_filter_agency(spark, sf):
 
 
 def queries() -> dict:
-    from starledger.plans import io_queries, job_queries  # noqa: F401  (register)
+    from starledger.plans import io_queries, job_queries, load_queries  # noqa: F401  (register)
     return dict(Q)

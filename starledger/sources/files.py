@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from starledger.sources.reconcile import read_csv_reconciled
+
 
 def read_csv(spark: SparkSession, path, schema: StructType | None = None,
              infer: bool = False, header: bool = True, **options) -> DataFrame:
@@ -32,8 +34,9 @@ def read_year(spark: SparkSession, base: str, year, layout: str = "glob",
               year_col: str = "fiscal_year", **options) -> DataFrame:
     """Files of one fiscal year.
 
-    ``layout="glob"``: files named ``FY{year}*`` under ``base``; an empty
-    year or a year without files is an error, never an empty result.
+    ``layout="glob"``: files named ``FY{year}*`` under ``base``, united by
+    the names in their headers; an empty year or a year without files is an
+    error, never an empty result.
     ``layout="partitioned"``: ``base/{year_col}={year}/`` folders written by
     :func:`write_csv_years`; the year filter prunes the other folders, and a
     year without rows is an error as well."""
@@ -46,7 +49,9 @@ def read_year(spark: SparkSession, base: str, year, layout: str = "glob",
         return df.drop(year_col)
     path = f"{base.rstrip('/')}/FY{str(year).strip()}*"
     try:
-        return read_csv(spark, path, **options)
+        if {"schema", "infer"} & set(options) or options.get("header") is False:
+            return read_csv(spark, path, **options)
+        return read_csv_reconciled(spark, path, **{k: v for k, v in options.items() if k != "header"})
     except AnalysisException as exc:
         if _is_missing(exc):
             raise FileNotFoundError(f"no files for fiscal year {year} under {base}") from exc
