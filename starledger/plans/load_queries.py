@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from starledger.operators.clean import cast_cols, cast_money
 from starledger.operators.registry import load_fact, register_keys
 from starledger.operators.upsert import upsert_to
-from starledger.plans import roles
+from starledger.operators import rollup as ro
+from starledger.plans import roles, star
 from starledger.plans.queries import register, widen
 from starledger.session import scratch_path
 from starledger.sources.files import read_layer, write_layer
@@ -86,3 +87,28 @@ def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
                   deleted=F.col("correction_delete_indicator_code") == "D")
     return widen(read_layer(spark, path).select("transaction_unique_key", "total_obligated_amount", "last_modified_date",
                                                 "fiscal_year"))
+
+
+@register("summary_incremental")
+def summary_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored summary states of the fiscal years up to 1998, refreshed after
+    a load of the later years and of corrections in 1998 (its second half
+    was missing): the summaries by day and by month from states (E11, A8,
+    A9, A12)."""
+    txn = star.transaction_fact(spark, sf, True, True, True)
+    agency = star.agency_dim(txn)
+    codes = {"agency": "funding_agency_code", "recipient": "recipient_uei"}
+    year = ro.fiscal_year_of(F.col("action_date_key"))
+    path = scratch_path(spark, "states")
+    ro.store_states(ro.period_states(txn.where((year <= 1998) & (F.col("action_date_key") < 19980401)), codes), path)
+    years = [r[0] for r in txn.where(year >= 1998).select(year).distinct().collect()]
+    ro.store_states(ro.period_states(txn, codes, years), path, years)
+    states = ro.read_states(spark, path)
+    names = ("agency", agency, "agency_code", "agency_name", "n")
+    month = ro.rows_by_name(states, *names, grain="month_year")
+    day = ro.rows_by_name(states, *names)
+    parts = [ro.totals_by_day(states).select(F.lit("total").alias("kind"), roles.s("action_date_key").alias("period"),
+                                             F.lit(None).cast("string").alias("name"), F.col("number_of_transactions").alias("n")),
+             day.select(F.lit("day"), roles.s("action_date_key"), "agency_name", "n"),
+             month.select(F.lit("month"), "calendar_year_month", "agency_name", "n")]
+    return parts[0].union(parts[1]).union(parts[2])

@@ -509,6 +509,14 @@ select o_orderkey, cast(cast(o_totalprice as decimal(18,2)) as double) as o_tota
        cast(o_orderdate as date) as o_orderdate, o_orderpriority
 from orders where year(o_orderdate) = 1997"""
 
+ORACLE["summary_incremental"] = f"""
+with t as ({FACT_CS}), agency as ({AGENCY}),
+j as (select * from t join agency on agency.agency_code = t.funding_agency_code)
+select 'total' as kind, cast(action_date_key as varchar) as period, cast(null as varchar) as name, count(*) as n
+from t group by all
+union all select 'day', cast(action_date_key as varchar), agency_name, count(*) from j group by all
+union all select 'month', strftime(action_date, '%B %Y'), agency_name, count(*) from j group by all"""
+
 ORACLE["csv_schema_drift"] = """
 select o_orderkey, cast(cast(o_totalprice as decimal(18,2)) as double) as o_totalprice,
        cast(o_orderdate as date) as o_orderdate,

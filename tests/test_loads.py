@@ -178,3 +178,45 @@ def test_latest_version_of_a_hot_key_is_summed_before_the_shuffle(spark):
 def test_equal_versions_prefer_the_deletion(spark):
     df = spark.createDataFrame([("a", 5, 1, 1, "D"), ("a", 9, 1, 1, None)], SCHEMA)
     assert latest_versions(df, "k", "modified", F.col("flag") == "D").first().flag == "D"
+
+
+def _star(spark, rows_):
+    txn = spark.createDataFrame(rows_, "transaction_unique_key string, award_unique_key string, action_date_key int, "
+                                       "total_obligated_amount decimal(18,2), funding_agency_code string, recipient_uei string")
+    loans = txn.select("transaction_unique_key", (F.length("transaction_unique_key") * 10).cast("decimal(18,2)").alias("total_face_value_of_loan"))
+    return txn, loans
+
+
+def test_refreshed_states_equal_a_rebuild(spark):
+    from decimal import Decimal as D
+
+    from starledger.operators import rollup as ro
+    from starledger.operators import summaries as sm
+    codes = {"agency": "funding_agency_code", "recipient": "recipient_uei"}
+    first = [("t1", "a1", 20180930, D(5), "A", "r1"), ("t2", "a1", 20181001, D(5), "B", "r1"), ("t22", "a1", 20181001, D(5), "B", None),
+             ("t3", "a2", 20200105, D(1), None, "r2"), ("t4", "a2", None, None, "A", "r2")]
+    # fiscal 2019 corrected, 2020 emptied, 2021 new
+    then = [first[0], ("t2", "a1", 20181002, D(7), "A", "r1"), first[4], ("t5", "a3", 20210301, D(2), "A", "r3")]
+    base = scratch_path(spark, "states-test")
+    for load, years in ((first, None), (then, [2019, 2020, 2021])):
+        txn, loans = _star(spark, load)
+        ro.store_states(ro.period_states(txn, codes, years), f"{base}/p", years)
+        ro.store_states(ro.award_states(txn, loans, years), f"{base}/a", years)
+        p, a = ro.read_states(spark, f"{base}/p"), ro.read_states(spark, f"{base}/a")
+        agency = spark.createDataFrame([("A", "aa"), ("B", "bb"), ("A", "ab")], "agency_code string, agency_name string")
+        assert rows(ro.totals_by_day(p)) == rows(sm.summary_totals_by_day(txn))
+        for grain in ("day", "month", "month_year"):
+            assert rows(ro.rows_by_name(p, "agency", agency, "agency_code", "agency_name", "n", grain)) == rows(sm.summary_agencies(txn, agency, grain))
+        assert rows(ro.by_award(a)) == rows(sm.summary_by_award(txn, loans))
+        assert rows(ro.award_dates(a)) == rows(sm.award_by_date(txn, loans))
+        assert rows(ro.award_first_rows(a)) == rows(sm.award_sums_dedup(txn, loans))
+    assert not os.path.exists(f"{base}/p/fiscal_year=2020".removeprefix("file:"))
+
+
+def test_all_period_grains_come_from_one_scan(spark):
+    from starledger.operators import rollup as ro
+    path = scratch_path(spark, "one-scan")
+    _star(spark, [("t1", "a1", 20180930, None, "A", "r1")])[0].write.parquet(path)
+    plan = ro.period_states(spark.read.parquet(path), {"agency": "funding_agency_code", "recipient": "recipient_uei"})
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan parquet") == 1 and "Expand" in text and text.count("Exchange") == 1
