@@ -11,12 +11,12 @@ form classes of ``CLASS_WORDS`` by rank, all other words one more class,
 so a token costs one softmax over classes and one within its class.  In
 the class of other words, a word has its smoothed share of their counts.
 
-*Training.*  Weights start at the logarithm of the counts.  In each round
-every training text of that round's slice takes part: tasks run gradient
-steps (scaled per row of weights) from the shared weights, Spark adds up
-the changes of each row over all tasks, weighted by use, and the driver,
-which only ever holds the two fixed-size tables, hands out the sum.  The
-slices cover all training texts.
+*Training.*  Weights start at the logarithm of the counts.  Each training
+text belongs to one round and one shard, by a hash.  In a round, one task
+per shard runs gradient steps (scaled per row of weights) from the shared
+weights, Spark adds up the changes of each row over all shards, weighted
+by use, and the driver, which only ever holds the two fixed-size tables,
+hands out the sum.  Rounds and shards cover all training texts.
 
 *Scoring.*  A pass over all texts evaluates sparse batches of token
 positions in numpy.  Counts of the most frequent words travel with the
@@ -43,14 +43,16 @@ END = b"\n"               # no word holds white space
 CLASSES = 31              # of frequent words; one more holds all others
 CLASS_WORDS = 32
 VOCABULARY = CLASSES * CLASS_WORDS
-LOOKUP = 1 << 17          # at most so many words' counts travel with the tasks, the most frequent
+LOOKUP = 1 << 17          # at most so many words' counts travel with the tasks, the most frequent ...
+LOOKUP_BYTES = 64         # ... of those with so many bytes at most
 ROWS_CLASS = 1 << 14      # rows of hashed weights for classes ...
 ROWS_WORD = 1 << 15       # ... and for words within a class
 WIDTH = CLASSES + 1
 ROUNDS = 2
 RATE = 0.25
 BATCH = 4096              # token positions evaluated at a time
-SHARD_TOKENS = 8_000_000  # training tokens per task
+SHARD_TOKENS = 8_000_000  # training tokens per shard
+STEP = 1 << 24            # changes are added up in whole 1 / STEP, so their sum does not depend on its order
 FLUSH = 400_000           # distinct words a counting task holds
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -104,19 +106,25 @@ class Lexicon:
 
 
 def lexicon(counts: DataFrame, lookup: int = LOOKUP) -> Lexicon:
+    """The most frequent words, ``lookup`` of them at most.  Words of more
+    than ``LOOKUP_BYTES`` bytes are never among them, so its size is bounded
+    in bytes, too; they are looked up by the join."""
     whole = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"),
                        F.max(F.when(F.col("word") == F.lit(bytearray(END)), F.col("c"))).alias("ends")).first()
-    # The most frequent words that fit: a histogram of counts (some thousand
-    # cells at most) tells from which count on, so no task has to rank words.
+    # A histogram of counts (some thousand cells at most) tells from which count on words fit, so no task has to rank
+    # all words; of the one cell that does not fit as a whole, the first by count, then hash.
     cell = F.floor(F.log2("c") * 64).cast("int")
-    words = counts.where(F.col("word") != F.lit(bytearray(END))).withColumn("cell", cell)
-    room, least = lookup - 1, None
+    words = counts.where((F.col("word") != F.lit(bytearray(END))) & (F.octet_length("word") <= LOOKUP_BYTES)).withColumn("cell", cell)
+    room, least, cut = lookup - 1, None, None
     for r in sorted(words.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r.cell):
-        room -= r.n
-        if room < 0:
+        if r.n > room:
+            cut = r.cell
             break
-        least = r.cell
+        room, least = room - r.n, r.cell
     top = words.where(F.col("cell") >= least if least is not None else F.lit(False)).select("word", "c").toArrow()
+    if cut is not None and room:
+        some = words.where(F.col("cell") == cut).orderBy(F.desc("c"), F.xxhash64("word"), "word").limit(room)
+        top = pa.concat_tables([top, some.select("word", "c").toArrow()])
     top = top.sort_by([("c", "descending"), ("word", "ascending")])
     words = [END, *top.column("word").to_pylist()]
     return Lexicon(Ranks(zip(words, range(len(words)))),
@@ -139,7 +147,9 @@ class Model:
         self.words = np.zeros((ROWS_WORD, CLASS_WORDS), np.float32)
 
     def class_logits(self, rows: np.ndarray) -> np.ndarray:
-        return self._add(np.repeat(self.class_start[None], rows.shape[1], axis=0), self.classes, rows)
+        out = np.empty((rows.shape[1], WIDTH), np.float32)
+        out[:] = self.class_start
+        return self._add(out, self.classes, rows)
 
     def word_logits(self, rows: np.ndarray, of: np.ndarray) -> np.ndarray:
         return self._add(self.word_start[of], self.words, rows)
@@ -257,21 +267,22 @@ class Trainer:
         hit = flat[order].astype(np.int64)
         first = np.flatnonzero(np.r_[True, hit[1:] != hit[:-1]])
         hit, times = hit[first], np.diff(np.r_[first, len(flat)])
-        place = np.empty(len(flat), np.int64)
-        place[order] = np.repeat(np.arange(len(hit)), times)
-        columns = np.tile(grad.T.astype(np.float64), (1, rows.shape[0]))
-        total = np.stack([np.bincount(place, weights=c, minlength=len(hit)) for c in columns], axis=1).astype(np.float32)
+        at = order % len(grad)     # the position of each use, uses of a row side by side
+        by_column = np.empty((grad.shape[1], len(hit)), np.float32)
+        for column, out in zip(np.ascontiguousarray(grad.T), by_column):
+            np.add.reduceat(column[at], first, out=out)
+        total = by_column.T
         scale[hit] += (total * total).sum(axis=1)
         weights[hit] -= (self.rate / np.sqrt(scale[hit]))[:, None] * total
         use[hit] += times
 
     def changes(self):
-        """(table, row, use, change) of every row that was used."""
+        """(table, row, use, change times use) of every row that was used."""
         for table, use, now, was in ((0, self.class_use, self.model.classes, self.class_from),
                                      (1, self.word_use, self.model.words, self.word_from)):
             hit = np.flatnonzero(use)
-            change = np.zeros((len(hit), WIDTH), np.float32)
-            change[:, :now.shape[1]] = now[hit] - was[hit]
+            change = np.zeros((len(hit), WIDTH), np.int64)
+            change[:, :now.shape[1]] = np.rint((now[hit] - was[hit]).astype(np.float64) * STEP) * use[hit][:, None]
             yield table, hit, use[hit], change
 
 
@@ -291,16 +302,22 @@ def _grouped(batches, column: int, size: int = 4 * BATCH):
 
 
 _SUMS = [f"d{i}" for i in range(WIDTH)]
-_CHANGE = "kind int, row int, used long, " + ", ".join(f"{d} float" for d in _SUMS)
+_CHANGE = "kind int, row int, used long, " + ", ".join(f"{d} long" for d in _SUMS)
 
 
 def train(docs: DataFrame, lex: Lexicon, text_col: str = "text", rounds: int = ROUNDS, rate: float = RATE,
-          shard_tokens: int = SHARD_TOKENS) -> Model:
-    """The model after ``rounds`` rounds, each over its slice of ``docs``."""
+          shard_tokens: int = SHARD_TOKENS, id_col: str | None = None) -> Model:
+    """The model after ``rounds`` rounds, each over its slice of ``docs``.
+
+    Slices and their shards follow from the texts (and ids) and the number
+    of training tokens alone, and a shard's texts are taken in the order of
+    a hash, so the model does not depend on files, partitions or cores."""
     model = Model(lex)
-    slices = docs.select(text_of(docs, text_col).alias("text")).withColumn(
-        "turn", F.pmod(F.xxhash64("text"), F.lit(rounds)))
-    shards = max(docs.sparkSession.sparkContext.defaultParallelism, -(-lex.total // shard_tokens))
+    own = [F.col("text")] if id_col is None else [docs[id_col].alias("id").cast("string"), F.col("text")]
+    shards = max(1, -(-lex.total // (shard_tokens * rounds)))
+    slices = docs.withColumn("text", text_of(docs, text_col)).select("text", F.xxhash64(*own).alias("place"))
+    slices = slices.select("text", "place", F.pmod("place", F.lit(rounds)).alias("turn"),
+                           F.pmod(F.xxhash64("place"), F.lit(shards)).cast("int").alias("shard"))
     for turn in range(rounds):
         def run(batches, model=model):
             trainer = Trainer(model, rate)
@@ -311,11 +328,12 @@ def train(docs: DataFrame, lex: Lexicon, text_col: str = "text", rounds: int = R
             for kind, row, used, change in trainer.changes():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(row), kind), pa.int32()), pa.array(row, pa.int32()), pa.array(used, pa.int64()),
-                     *[pa.array(change[:, i], pa.float32()) for i in range(WIDTH)]], ["kind", "row", "used", *_SUMS])
+                     *[pa.array(change[:, i], pa.int64()) for i in range(WIDTH)]], ["kind", "row", "used", *_SUMS])
 
-        part = slices.where(F.col("turn") == turn).select("text").coalesce(shards)
+        part = (slices.where(F.col("turn") == turn).repartitionById(shards, F.col("shard"))
+                .sortWithinPartitions("place", "text").select("text"))
         moved = (part.mapInArrow(run, _CHANGE).groupBy("kind", "row")
-                 .agg(*[(F.sum(F.col(d) * F.col("used")) / F.sum("used")).cast("float").alias(d) for d in _SUMS]))
+                 .agg(*[(F.sum(d) / F.sum("used") / F.lit(STEP)).cast("float").alias(d) for d in _SUMS]))
         got = moved.toArrow()  # at most ROWS_CLASS + ROWS_WORD rows
         kind, row = (got.column(n).to_numpy() for n in ("kind", "row"))
         change = np.stack([got.column(d).to_numpy() for d in _SUMS], axis=1) if len(row) else np.zeros((0, WIDTH), np.float32)
@@ -342,7 +360,7 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     learn = F.coalesce(learn, F.lit(False))
     counts = count_tokens(docs.where(learn), text_col)
     lex = lexicon(counts, lookup)
-    model = train(docs.where(learn), lex, text_col, rounds)
+    model = train(docs.where(learn), lex, text_col, rounds, id_col=id_col)
     base = np.log10((lex.count + 0.5) / lex.base_scale)
     other = np.log10((lex.count + 0.5) / lex.other_scale)
 

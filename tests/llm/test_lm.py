@@ -107,3 +107,37 @@ def test_empty_table_and_nothing_to_learn_from(spark):
     got = lm.score_texts(docs, F.lit(False)).collect()
     assert [(r.train_tokens, r.n_known, r.base_score) for r in got] == [(0, 0, 0.0)] * 2
     assert lm.score_texts(docs.limit(0), F.lit(True)).count() == 0
+
+
+def test_score_does_not_depend_on_partitions(spark):
+    rows = corpus(200) + EDGE
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)
+    scores = []
+    for n in (1, 7):
+        part = docs.repartition(n, F.rand(n))
+        got = lm.score_texts(part, crc_mod(part["doc_id"], 5) != 1).collect()
+        scores.append(sorted((str(r.doc_id), r.n_tokens, r.score) for r in got))
+    assert [s[:2] for s in scores[0]] == [s[:2] for s in scores[1]]
+    assert [s[2] for s in scores[0]] == pytest.approx([s[2] for s in scores[1]], rel=1e-12)
+
+
+def test_several_shards_are_the_same_over_partitions(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in corpus(120)], "doc_id long, text string")
+    lex = lm.lexicon(lm.count_tokens(docs))
+    one, two = (lm.train(docs.repartition(n, F.rand(n)), lex, shard_tokens=1500, id_col="doc_id") for n in (2, 9))
+    assert np.array_equal(one.classes, two.classes) and np.array_equal(one.words, two.words) and one.classes.any()
+
+
+@pytest.mark.parametrize("distinct", [40, 41, 300])
+def test_lexicon_is_filled_from_the_last_cell(spark, distinct):
+    docs = spark.createDataFrame([(i, f"w{i} w{i}") for i in range(distinct)], "doc_id long, text string")
+    lex = lm.lexicon(lm.count_tokens(docs), 41)
+    assert len(lex.count) == 41 and lex.distinct == distinct + 1
+
+
+def test_long_words_take_the_join(spark):
+    docs = spark.createDataFrame([(1, "x" * 70 + " y"), (2, "x" * 70), (3, "é" * 33)], "doc_id long, text string")
+    lex = lm.lexicon(lm.count_tokens(docs))
+    assert set(lex.rank) == {lm.END, b"y"} and lex.distinct == 4
+    rows = {r.doc_id: r for r in lm.score_texts(docs, F.lit(True)).collect()}
+    assert rows[1].n_known == 3 and rows[3].n_known == 2
