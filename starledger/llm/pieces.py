@@ -206,18 +206,29 @@ class WordSearch:
         self.id = np.array([vocab.ids[p] for p in pieces], np.int32)
         self.length = np.array([len(p) for p in pieces], np.int64)
         self.score = np.array([vocab.scores[p] for p in pieces], np.int64)
+        # Pieces of one character are looked up by its code; the automaton finds the longer ones.
+        single = sorted((ord(p), i) for i, p in enumerate(pieces) if len(p) == 1)
+        self.point, self.of_point = (np.array(x, np.int64) for x in (zip(*single) if single else ((), ())))
         self.finder = ahocorasick.Automaton()
         for i, piece in enumerate(pieces):
-            self.finder.add_word(piece, i)
-        if pieces:
+            if len(piece) > 1:
+                self.finder.add_word(piece, i)
+        self.longer = len(self.finder) > 0
+        if self.longer:
             self.finder.make_automaton()
 
     def run(self, words: list[str]) -> list[tuple[int, bytes, float]]:
         """(score, ids, loss) of each word; all characters are pieces."""
         size = np.array([len(w) for w in words], np.int64)
         # no piece covers the line end that parts the words
-        found = np.fromiter(chain.from_iterable(self.finder.iter("\n".join(words))), np.int64).reshape(-1, 2)
-        at, piece = found[:, 0], found[:, 1]
+        text = "\n".join(words)
+        found = np.fromiter(chain.from_iterable(self.finder.iter(text)) if self.longer else (), np.int64).reshape(-1, 2)
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        one = np.flatnonzero(points != 10)
+        at = np.concatenate([found[:, 0], one])
+        piece = np.concatenate([found[:, 1], self.of_point[np.searchsorted(self.point, points[one])]])
+        order = np.argsort(at, kind="stable")  # at each character the longest piece first
+        at, piece = at[order], piece[order]
         word = np.repeat(np.arange(len(words)), size + 1)[at]
         end = at + 1 - (np.cumsum(size + 1) - (size + 1))[word]
         order = np.argsort(end.astype(np.uint16), kind="stable")  # by end, then word
@@ -317,21 +328,29 @@ class Segmenter:
     def segment_all(self, texts: list[str]) -> list[list[tuple[float, np.ndarray]]]:
         """The N best (score, ids) of each whole text, best first."""
         split = [self.words(t) for t in texts]
-        seen = {w for parts in split for part in parts for w in part}
-        entry = {w: e for w in seen if (e := self.cache.get(w))}
-        again = {w: e for w in seen.difference(entry) if (e := self.older.get(w))}
-        self._keep(again)
-        entry |= again
-        entry |= self.learn(seen.difference(entry))
-        out = []
+        flat = [w for parts in split for part in parts for w in part]
+        entries = list(map(self.cache.get, flat))
+        if None in entries:
+            found = self._fetch({w for w, e in zip(flat, entries) if e is None})
+            entries = [found[w] if e is None else e for w, e in zip(flat, entries)]
+        out, at = [], 0
         for parts in split:
-            words = [entry[w] for w in parts[0]]
+            size = len(parts[0])
+            words = entries[at:at + size]
+            at += size
             for part in parts[1:]:
                 words.append(self.forced)
-                words += [entry[w] for w in part]
+                words += entries[at:at + len(part)]
+                at += len(part)
             out.append(self._best(words))
         return out
 
+    def _fetch(self, words: set[str]) -> dict[str, tuple[int, bytes, float, str]]:
+        """Entries of words that are not among the recent ones."""
+        again = {w: e for w in words if (e := self.older.get(w))}
+        self._keep(again)
+        return again | self.learn(words.difference(again))
+
     def segment(self, text: str) -> list[tuple[float, np.ndarray]]:
         return self.segment_all([text])[0]
 
