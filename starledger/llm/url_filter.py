@@ -5,7 +5,8 @@ A rule list decides the urls it fits.  All others are judged by the tree:
 1. *Generalise.* Digit runs of a path segment become ``{n}``.  Then, level
    by level below each host, a segment is a wildcard ``*`` where the node
    has many children and this one holds only a small share of its pages.
-   Segments below ``max_depth`` collapse into ``**``.
+   The tree is as deep as paths run together: below a node with one path
+   left there is nothing to tell apart, so its rest is one last step.
 2. *Merge.* Labelled pages are counted per node.  From the root down, a
    branch whose labels do not differ from those of the branch above it
    (chi-square of the 2x2 table) is merged with it and shares its counts;
@@ -31,7 +32,6 @@ from pyspark.sql import functions as F
 from starledger.llm.common import ascii_lower, shared_table
 
 MAX_RULES = 500
-MAX_DEPTH = 8
 MIN_CHILDREN = 16      # a node with fewer children keeps them all apart
 MIN_SHARE = 0.02       # a child of a wide node below this share is variable
 CHI_SQUARE = 3.84      # 95 % point with one degree of freedom
@@ -75,28 +75,38 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
     return best_rule, best_verdict
 
 
-def _templates(paths: DataFrame, min_children: int, min_share: float, max_depth: int) -> tuple[DataFrame, int]:
-    """``paths`` (host, shape, segs, n, good, bad) plus ``tree``: the array
-    of prefixes from the root to the page's template; and its depth."""
-    paths = paths.withColumn("tree", F.array(F.lit("")))
-    depth = min(paths.agg(F.max(F.size("segs"))).first()[0] or 0, max_depth)
-    for level in range(depth):
-        deeper = F.size("segs") > level
+def _segments(path: str) -> Column:
+    return F.filter(F.split(path, "/"), lambda s: s != "")
+
+
+def _templates(paths: DataFrame, min_children: int | None, min_share: float) -> tuple[DataFrame, int]:
+    """``paths`` (host, shape, segs, n, good, bad; distinct host and segs)
+    plus ``tree``: the array of prefixes from the root to the page's
+    template (without ``min_children`` nothing is generalised); and the most
+    steps that any has.  A step takes one job; there are as many as two
+    distinct paths of one host have segments in common, and one more."""
+    paths = paths.withColumns({"tree": F.array(F.lit("")), "ended": F.size("segs") == 0})
+    level = 0
+    while not paths.where(~F.col("ended")).isEmpty():
         here = F.element_at("tree", -1)
-        at = paths.where(deeper).select("host", here.alias("node"), F.get("segs", F.lit(level)).alias("seg"), "n")
-        kids = at.groupBy("host", "node", "seg").agg(F.sum("n").alias("n"))
-        wide = (kids.groupBy("host", "node").agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("total"))
-                .where(F.col("kids") >= min_children))
-        rare = (kids.join(wide, ["host", "node"]).where(F.col("n") < F.col("total") * min_share)
-                .select("host", "node", "seg", F.lit(True).alias("rare")))
-        paths = (paths.withColumn("node", here).withColumn("seg", F.get("segs", F.lit(level)))
-                 .join(rare, ["host", "node", "seg"], "left"))
-        last = F.when((F.size("segs") > level + 1) & F.lit(level + 1 == max_depth), "/**").otherwise("")
-        step = F.concat("node", F.lit("/"), F.when(F.col("rare"), "*").otherwise(F.col("seg")), last)
-        paths = shared_table(
-            paths.withColumn("tree", F.when(F.col("seg").isNull(), F.col("tree"))
-                             .otherwise(F.concat("tree", F.array(step)))).drop("node", "seg", "rare"), "url-level")
-    return paths, depth
+        at = paths.where(~F.col("ended")).select("host", here.alias("node"), F.get("segs", F.lit(level)).alias("seg"), "n")
+        kids = at.groupBy("host", "node", "seg").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("paths"))
+        nodes = kids.groupBy("host", "node").agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("total"),
+                                                 F.sum("paths").alias("paths"))
+        rare = (kids.select("host", "node", "seg", "n").join(nodes.where(F.lit(False) if min_children is None else F.col("kids") >= min_children), ["host", "node"])
+                .where(F.col("n") < F.col("total") * min_share).select("host", "node", "seg", F.lit(True).alias("rare")))
+        # below a node with one path a branch holds what the node holds: it can't differ
+        alone = nodes.where("paths = 1").select("host", "node", F.lit(True).alias("alone"))
+        paths = (paths.withColumn("node", here).withColumn("seg", F.when(~F.col("ended"), F.get("segs", F.lit(level))))
+                 .join(rare, ["host", "node", "seg"], "left").join(alone, ["host", "node"], "left"))
+        rest = F.concat_ws("/", F.slice("segs", level + 1, F.greatest(F.size("segs") - level, F.lit(0))))
+        step = F.concat("node", F.lit("/"), F.when(F.col("alone"), rest).when(F.col("rare"), "*").otherwise(F.col("seg")))
+        paths = paths.withColumns({
+            "tree": F.when(F.col("ended"), F.col("tree")).otherwise(F.concat("tree", F.array(step))),
+            "ended": F.col("ended") | F.coalesce(F.col("alone"), F.lit(False)) | (F.size("segs") <= level + 1)})
+        paths = shared_table(paths.drop("node", "seg", "rare", "alone"), "url-level")
+        level += 1
+    return paths.drop("ended"), level
 
 
 def _branches(paths: DataFrame, depth: int, chi_square: float) -> DataFrame:
@@ -129,7 +139,7 @@ def _branches(paths: DataFrame, depth: int, chi_square: float) -> DataFrame:
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",
                 labels: DataFrame | None = None, min_children: int = MIN_CHILDREN, min_share: float = MIN_SHARE,
-                max_depth: int = MAX_DEPTH, chi_square: float = CHI_SQUARE, prior_weight: float = PRIOR_WEIGHT,
+                chi_square: float = CHI_SQUARE, prior_weight: float = PRIOR_WEIGHT,
                 min_purity: float = MIN_PURITY) -> DataFrame:
     """One row per row of ``pages``: ``id_col``, ``host``, ``path``,
     ``rule`` (null if none fits), ``verdict`` (``allow`` or ``block``),
@@ -144,7 +154,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "p
     url = pages[url_col].cast("string")
     judged = pages.select(pages[id_col].alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    shape = F.regexp_replace("path", "[0-9]+", "{n}")
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace("path", "[0-9]+", "{n}"), "/+", "/"), "/$", "")
     judged = judged.withColumns({"rule": rule, "ruled": verdict, "shape": shape})
 
     if labels is None:
@@ -159,16 +169,19 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "p
         marked.groupBy("host", "shape").agg(
             F.count(F.lit(1)).alias("n"), F.count_if(F.col("bad") == 0).alias("good"),
             F.count_if(F.col("bad") == 1).alias("bad"))
-        .withColumn("segs", F.filter(F.split("shape", "/"), lambda s: s != "")), "url-paths")
+        .withColumn("segs", _segments("shape")), "url-paths")
     total = paths.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
     base = ((total["bad"] or 0) + 1.0) / ((total["good"] or 0) + (total["bad"] or 0) + 2.0) if total else 0.5
     if not (total["good"] or total["bad"]):
         base = 1.0 - min_purity
 
-    paths, depth = _templates(paths, min_children, min_share, max_depth)
-    everywhere = paths.withColumn("host", F.lit(ALL_HOSTS))
+    paths, depth = _templates(paths, min_children, min_share)
     branch = _branches(paths, depth, chi_square)
-    shared = _branches(everywhere, depth, chi_square).drop("host").toDF("template", "a_good", "a_bad")
+    templates = paths.groupBy(F.element_at("tree", -1).alias("shape")).agg(
+        F.sum("n").alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    everywhere, levels = _templates(shared_table(templates.select(
+        F.lit(ALL_HOSTS).alias("host"), "*", _segments("shape").alias("segs")), "url-templates"), None, min_share)
+    shared = _branches(everywhere, levels, chi_square).drop("host").toDF("template", "a_good", "a_bad")
     prior = (F.col("a_bad") + prior_weight * base) / (F.col("a_good") + F.col("a_bad") + prior_weight)
     rate = (F.col("b_bad") + prior_weight * prior) / (F.col("b_good") + F.col("b_bad") + prior_weight)
     learnt = (paths.select("host", "shape", F.element_at("tree", -1).alias("template"))

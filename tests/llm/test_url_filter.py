@@ -59,3 +59,19 @@ def test_tree_generalises_merges_and_rejects(spark):
         by.setdefault((r.host, r.template), set()).add(r.verdict)
     assert by == {("shop.org", "/deal/*"): {"block"}, ("shop.org", "/news/*"): {"allow"},
                   ("other.org", "/deal/*"): {"block"}}  # no labels of its own: the template's rate over all hosts
+
+
+def test_branches_that_differ_deep_in_the_path(spark):
+    stem = "http://deep.org/" + "/".join(f"l{c}" for c in "abcdefghijk")      # eleven levels in common
+    pages = [(i, f"{stem}/{'bad' if i % 2 else 'good'}/w{chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(200)]
+    labels = spark.createDataFrame([(u, i % 2) for i, u in pages[:100]], "url string, bad int")
+    got = uf.filter_urls(spark.createDataFrame(pages, "page_id long, url string"), [], labels=labels).collect()
+    assert {(r.page_id % 2, r.verdict) for r in got} == {(0, "allow"), (1, "block")}
+    assert all(r.template.endswith("/*") and r.template.count("/") == 13 for r in got)
+
+
+def test_one_path_of_very_many_segments_takes_no_job_each(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/" + "x/" * 900), (2, "http://a.org/" + "x/" * 900 + "/"), (3, "http://a.org/y"),
+                                   (4, "http://b.org/" + "z/" * 500)], "page_id long, url string")
+    rows = {r.page_id: r.template for r in uf.filter_urls(pages, []).collect()}
+    assert rows == {1: "/x" * 900, 2: "/x" * 900, 3: "/y", 4: "/z" * 500}
