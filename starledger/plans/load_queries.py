@@ -65,7 +65,8 @@ def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Transactions up to a year on storage, then one load with later rows,
     corrected amounts, deletions, rows that move to another fiscal year and
     stale versions, then that load again with old versions of the deleted
-    rows (U4, E2)."""
+    rows (U4, E2).  A key that several lines share is one transaction: of
+    equal versions the first load's stays, within a load the greatest row."""
     txn = roles.transactions(spark, sf).select(
         "transaction_unique_key", "total_obligated_amount", "last_modified_date", F.year("action_date").alias("fiscal_year"),
         ((F.col("award_unique_key").cast("bigint") + F.substring_index("transaction_unique_key", "_", -1).cast("bigint")) % 10)

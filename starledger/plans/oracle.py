@@ -542,7 +542,9 @@ select k as transaction_unique_key,
        cast(case when kind in (0, 2) then m + interval 30 day when kind = 3 and fy > 1996 then m - interval 5 day else m end
             as date) as last_modified_date,
        cast(case when kind = 2 then fy + 1 else fy end as bigint) as fiscal_year
-from t where kind <> 1"""
+from t where kind <> 1
+qualify row_number() over (partition by k order by case when kind in (0, 2) then 0 when fy <= 1996 then 1 else 0 end desc,
+                           a desc, fy desc) = 1"""
 
 ORACLE["b2s_job"] = """
 with j as (select * from lineitem join orders on l_orderkey = o_orderkey where l_linestatus = 'F'),
