@@ -11,7 +11,7 @@ No piece has a space mark after another character, none covers certain
 characters (a line end, say), and much punctuation never follows a letter
 within a piece.  So the lattice of a text is a chain of the lattices of
 its words, cut at those places, and only words have to be searched.
-Viterbi runs once per distinct word that a task holds in its cache and
+Viterbi runs once per distinct word that a worker holds in its table and
 gives its best segmentation and the loss of its second best.  The best of
 the text takes each word's best; any other of the N deviates only at
 words among the N - 1 with the smallest loss.  A-star lists the N best of
@@ -29,10 +29,12 @@ import math
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from itertools import chain
+from hashlib import sha256
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pac
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,7 +46,7 @@ SCALE = 1_000_000        # scores are counted in millionths
 UNKNOWN_PENALTY = 10     # an uncovered character scores this below the worst piece
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 3
-CACHE_WORDS = 100_000    # distinct words of each of the two generations a task keeps
+CACHE_WORDS = 100_000    # words that a worker keeps when its table, twice as long, is full
 CHUNK_WORDS = 2_000      # words searched together
 CACHE_CHARS = 64         # longer words are segmented each time
 
@@ -61,8 +63,10 @@ class Vocabulary:
     unknown: int = 0
     words: re.Pattern = field(default=None, repr=False)
     single: frozenset[str] = frozenset()    # characters that are pieces
+    digest: str = ""
 
     def __post_init__(self):
+        self.digest = sha256(repr((self.ids, self.scores, self.byte_ids)).encode()).hexdigest()
         self.longest = max(map(len, self.ids), default=1)
         self.unknown = min(self.scores.values(), default=0) - UNKNOWN_PENALTY * SCALE
         inside = {p[i - 1] for p in self.ids for i in range(1, len(p)) if p[i] == MARK} - {MARK}
@@ -219,6 +223,14 @@ class WordSearch:
 
     def run(self, words: list[str]) -> list[tuple[int, bytes, float]]:
         """(score, ids, loss) of each word; all characters are pieces."""
+        score, ids, count, loss = self.columns(words)
+        stop = 4 * np.cumsum(count)
+        flat = ids.tobytes()
+        return [(s, flat[f:t], l) for s, f, t, l in zip(score.tolist(), (stop - 4 * count).tolist(), stop.tolist(), loss.tolist())]
+
+    def columns(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Scores, the ids of all words one after the other, their numbers
+        and the losses."""
         size = np.array([len(w) for w in words], np.int64)
         # no piece covers the line end that parts the words
         text = "\n".join(words)
@@ -266,107 +278,143 @@ class WordSearch:
         owner = np.concatenate([w for w, _ in steps])
         turn = np.repeat(np.arange(len(steps)), [len(w) for w, _ in steps])
         ids = np.concatenate([i for _, i in steps])[np.lexsort((-turn, owner))]
-        stop = 4 * np.cumsum(np.bincount(owner, minlength=len(words)))
-        best = fore[np.arange(len(words)), size]
-        flat, stop = ids.tobytes(), stop.tolist()
-        return [(s, flat[f:t], l) for s, f, t, l in zip(best.tolist(), [0, *stop], stop, loss.tolist())]
+        return fore[np.arange(len(words)), size], ids, np.bincount(owner, minlength=len(words)), loss
+
+
+def gather(flat: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` that begin at ``start``, one after the other."""
+    shift = start - (np.cumsum(count) - count)
+    return flat[np.repeat(shift, count) + np.arange(int(count.sum()))]
 
 
 class Segmenter:
-    """N-best segmentation of whole texts, with bounded caches of words."""
+    """N-best segmentation of whole texts, with a bounded table of words:
+    best score, loss of the second best, and where the ids of the best
+    stand in ``flat``.  Row 0 is a mark that stands in a text itself."""
 
     def __init__(self, vocab: Vocabulary, n: int = N_BEST):
         self.vocab, self.n, self.finder = vocab, n, vocab.finder()
         self.search = WordSearch(vocab)
-        # recent words, and those of the generation before, which move up when seen again
-        self.cache: dict[str, tuple[int, bytes, float, str]] = {}
-        self.older: dict[str, tuple[int, bytes, float, str]] = {}
-        self.lists: dict[str, list[tuple[int, bytes]]] = {}
-        forced = np.array([vocab.byte_ids[b] for b in MARK.encode()], np.int32).tobytes()
-        self.forced = (3 * vocab.unknown, forced, math.inf, MARK)
-
-    def learn(self, words: set[str]) -> dict[str, tuple[int, bytes, float, str]]:
-        """Entries (best score, its ids, loss of the second best, the word)
-        of the given words that are not in the cache; short ones go there."""
-        single, plain, out = self.vocab.single, [], {}
+        self.lists: dict[str, list[tuple[int, np.ndarray]]] = {}
+        forced = np.array([vocab.byte_ids[b] for b in MARK.encode()], np.int32)
+        self.row: dict[str | None, int] = {None: 0}
+        self.score, self.loss = np.array([3 * vocab.unknown], np.int64), np.array([math.inf])
+        self.start, self.count, self.flat = np.array([0]), np.array([len(forced)]), forced
+        self.hits = np.ones(1, np.int64)    # calls that met the word since the table was last thinned
+
+    def learn(self, words: set[str]) -> list[str]:
+        """Put words that are not in the table there; returns those that are
+        too long to stay beyond the call."""
+        single, plain, other = self.vocab.single, [], []
         for w in words:
-            if len(w) <= CACHE_CHARS and single.issuperset(w):
-                plain.append(w)
-            else:
-                score, ids, loss = best_and_loss(w, self.vocab, self.finder)
-                out[w] = (score, np.array(ids, np.int32).tobytes(), loss, w)
+            (plain if len(w) <= CACHE_CHARS and single.issuperset(w) else other).append(w)
         plain.sort(key=len)  # words of one length take the same steps
-        for at in range(0, len(plain), CHUNK_WORDS):
-            part = plain[at:at + CHUNK_WORDS]
-            out.update((w, (*found, w)) for w, found in zip(part, self.search.run(part)))
-        self._keep({w: e for w, e in out.items() if len(w) <= CACHE_CHARS})
-        return out
-
-    def _keep(self, entries: dict) -> None:
-        if len(self.cache) + len(entries) > CACHE_WORDS:
-            self.older, self.cache = self.cache, {}
-        self.cache.update(entries)
-
-    def options(self, word: str) -> list[tuple[int, bytes]]:
+        parts = [self.search.columns(plain[at:at + CHUNK_WORDS]) for at in range(0, len(plain), CHUNK_WORDS)]
+        for w in other:
+            score, ids, loss = best_and_loss(w, self.vocab, self.finder)
+            parts.append((np.array([score], np.int64), np.array(ids, np.int32), np.array([len(ids)]), np.array([loss])))
+        score, flat, count, loss = (np.concatenate(x) for x in zip(*parts))
+        self.row.update(zip(plain + other, range(len(self.score), len(self.score) + len(score))))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count) - count])
+        self.score, self.flat = np.concatenate([self.score, score]), np.concatenate([self.flat, flat])
+        self.count, self.loss = np.concatenate([self.count, count]), np.concatenate([self.loss, loss])
+        self.hits = np.concatenate([self.hits, np.zeros(len(score), np.int64)])
+        return [w for w in other if len(w) > CACHE_CHARS]
+
+    def _thin(self) -> None:
+        """Keep the words of a full table that were met in most calls, at
+        most ``CACHE_WORDS`` and none that was met in one call only."""
+        live = np.zeros(len(self.hits), bool)
+        live[np.fromiter(self.row.values(), np.int64, len(self.row))] = True
+        bar = 1
+        while (keep := live & (self.hits > bar)).sum() > CACHE_WORDS:
+            bar *= 2
+        keep[0] = True
+        place = np.cumsum(keep) - 1
+        names, rows = list(self.row), np.fromiter(self.row.values(), np.int64, len(self.row))
+        self.row = {names[i]: int(place[rows[i]]) for i in np.flatnonzero(keep[rows]).tolist()}
+        self.flat = gather(self.flat, self.start[keep], self.count[keep])
+        self.score, self.loss, self.count = self.score[keep], self.loss[keep], self.count[keep]
+        self.start, self.hits = np.cumsum(self.count) - self.count, np.ones(len(self.count), np.int64)
+
+    def rows_of(self, words: list[str | None]) -> np.ndarray:
+        """Table rows of words, learnt where they are new; valid until the
+        next call."""
+        if len(self.hits) > 2 * CACHE_WORDS or len(self.flat) > CACHE_CHARS * CACHE_WORDS:
+            self._thin()
+        rows = np.fromiter(map(self.row.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(rows < 0).tolist()
+        if new:
+            names = [words[i] for i in new]
+            long = self.learn(set(names))
+            rows[new] = np.fromiter(map(self.row.__getitem__, names), np.int64, len(names))
+            for w in long:
+                del self.row[w]
+        met = np.zeros(len(self.hits), bool)
+        met[rows] = True
+        self.hits += met
+        return rows
+
+    def options(self, word: str) -> list[tuple[int, np.ndarray]]:
         """The N best (score, ids) of a word that may deviate."""
         found = self.lists.get(word)
         if found is None:
-            found = [(s, np.array(ids, np.int32).tobytes()) for s, ids in n_best(word, self.vocab, self.finder, self.n)]
+            found = [(s, np.array(ids, np.int32)) for s, ids in n_best(word, self.vocab, self.finder, self.n)]
             if len(word) <= CACHE_CHARS:
                 if len(self.lists) >= CACHE_WORDS:
                     self.lists.clear()
                 self.lists[word] = found
         return found
 
-    def words(self, text: str) -> list[list[str]]:
-        """The words of a text between literal marks.  A mark that stands in
-        the text itself is not a space and is spelt in bytes."""
-        find = self.vocab.words.findall
-        return [find(part.replace(" ", MARK) if i else MARK + part.replace(" ", MARK))
-                for i, part in enumerate(text.split(MARK))]
+    def words(self, text: str) -> list[str | None]:
+        """The words of a text.  A mark that stands in the text itself is not
+        a space and is spelt in bytes; it is None."""
+        find, parts = self.vocab.words.findall, text.split(MARK)
+        out = find(MARK + parts[0].replace(" ", MARK))
+        for part in parts[1:]:
+            out.append(None)
+            out += find(part.replace(" ", MARK))
+        return out
 
     def segment_all(self, texts: list[str]) -> list[list[tuple[float, np.ndarray]]]:
         """The N best (score, ids) of each whole text, best first."""
-        split = [self.words(t) for t in texts]
-        flat = [w for parts in split for part in parts for w in part]
-        entries = list(map(self.cache.get, flat))
-        if None in entries:
-            found = self._fetch({w for w, e in zip(flat, entries) if e is None})
-            entries = [found[w] if e is None else e for w, e in zip(flat, entries)]
-        out, at = [], 0
-        for parts in split:
-            size = len(parts[0])
-            words = entries[at:at + size]
-            at += size
-            for part in parts[1:]:
-                words.append(self.forced)
-                words += entries[at:at + len(part)]
-                at += len(part)
-            out.append(self._best(words))
-        return out
-
-    def _fetch(self, words: set[str]) -> dict[str, tuple[int, bytes, float, str]]:
-        """Entries of words that are not among the recent ones."""
-        again = {w: e for w in words if (e := self.older.get(w))}
-        self._keep(again)
-        return again | self.learn(words.difference(again))
+        if not texts:
+            return []
+        split = list(map(self.words, texts))
+        words = list(chain.from_iterable(split))
+        rows = self.rows_of(words)
+        stop = np.cumsum([len(w) for w in split])
+        first = stop - [len(w) for w in split]
+        base = np.add.reduceat(self.score[rows], first).tolist()    # every text has a word
+        count, loss = self.count[rows], self.loss[rows]
+        ids, at = gather(self.flat, self.start[rows], count), np.r_[0, np.cumsum(count)]
+        return [self._best(b, words, loss, ids, at, f, t)
+                for b, f, t in zip(base, first.tolist(), stop.tolist())]
 
     def segment(self, text: str) -> list[tuple[float, np.ndarray]]:
         return self.segment_all([text])[0]
 
-    def _best(self, words: list[tuple[int, bytes, float, str]]) -> list[tuple[float, np.ndarray]]:
-        """The N best of a chain of words."""
-        base = sum([w[0] for w in words])
-        ids = [w[1] for w in words]
+    def _best(self, base: int, words: list, loss: np.ndarray, ids: np.ndarray, at_id: np.ndarray,
+              first: int, stop: int) -> list[tuple[float, np.ndarray]]:
+        """The N best of the chain of words from ``first`` to ``stop``;
+        ``ids`` holds the best of every word, ``at_id`` where it begins."""
         near: list[int] = []
         if self.n > 1:
-            loss = np.array([w[2] for w in words])
+            loss = loss[first:stop]
             at = np.argsort(loss, kind="stable")[:self.n - 1] if len(loss) < 64 else self._smallest(loss)
-            near = sorted(int(i) for i in at if math.isfinite(loss[i]))
-        options = [self.options(words[i][3]) for i in near]
-        for i, choice in zip(near, options):
-            ids[i] = choice[0][1]  # of equal bests, the one the list begins with
-        out = [(base / SCALE, np.frombuffer(b"".join(ids), np.int32))]
+            near = sorted(first + int(i) for i in at if math.isfinite(loss[i]))
+        options = [self.options(words[i]) for i in near]
+        cuts = [(int(at_id[i]), int(at_id[i + 1])) for i in near]
+
+        def joined(choice: dict[int, int]) -> np.ndarray:
+            """The best ids with the given options at the words ``near``."""
+            parts, begin = [], int(at_id[first])
+            for i, (lo, hi) in enumerate(cuts):
+                parts += [ids[begin:lo], options[i][choice.get(i, 0)][1]]  # of equal bests, the one the list begins with
+                begin = hi
+            return np.concatenate([*parts, ids[begin:int(at_id[stop])]])
+
+        out = [(base / SCALE, joined({}))]
         # A-star backwards over the words that may deviate, all others at their best
         agenda, made = [(0, len(near), 0, ())], 0
         found: list[tuple[int, tuple]] = []
@@ -379,12 +427,7 @@ class Segmenter:
                 made += 1
                 heapq.heappush(agenda, (cost + options[at - 1][0][0] - score, at - 1, made,
                                         ((at - 1, r),) + picks if r else picks))
-        for cost, picks in found[1:]:
-            other = list(ids)
-            for i, r in picks:
-                other[near[i]] = options[i][r][1]
-            out.append(((base - cost) / SCALE, np.frombuffer(b"".join(other), np.int32)))
-        return out
+        return out + [((base - cost) / SCALE, joined(dict(picks))) for cost, picks in found[1:]]
 
     def _smallest(self, loss: np.ndarray) -> np.ndarray:
         """Positions of the n - 1 smallest losses, ties to the front."""
@@ -397,6 +440,19 @@ def decode_ids(ids: np.ndarray, vocab: Vocabulary) -> str:
     return b"".join(map(vocab.texts.__getitem__, ids.tolist()))[1:].decode("utf-8", "replace")
 
 
+_in_worker: dict[tuple[str, int], Segmenter] = {}
+
+
+def worker_segmenter(vocab: Vocabulary, n: int) -> Segmenter:
+    """The segmenter of this Python worker; its table of words serves all
+    tasks that run here with the same vocabulary."""
+    key = (vocab.digest, n)
+    if key not in _in_worker:
+        _in_worker.clear()
+        _in_worker[key] = Segmenter(vocab, n)
+    return _in_worker[key]
+
+
 def encode(docs: DataFrame, model: str = MODEL, n: int = N_BEST, id_col: str = "doc_id",
            text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, the columns ``carry``,
@@ -411,7 +467,7 @@ def encode(docs: DataFrame, model: str = MODEL, n: int = N_BEST, id_col: str = "
     vocab = load_vocabulary(model)
 
     def run(batches):
-        segmenter = Segmenter(vocab, n)
+        segmenter = worker_segmenter(vocab, n)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):  # ids of a few rows at a time
                 part = batch.slice(at, 256)
@@ -439,6 +495,27 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
 
 
+def _decoded(lists: pa.ListArray, pieces: pa.LargeBinaryArray, vocab: Vocabulary) -> pa.Array:
+    """Texts of lists of ids: the bytes of all pieces stand one after the
+    other, a text begins after the mark in front of its first piece."""
+    parts = pieces.take(lists.flatten())
+    _, offsets, data = parts.buffers()
+    begin = np.frombuffer(offsets, np.int64)[parts.offset:parts.offset + len(parts) + 1]
+    size = pac.fill_null(pac.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    at_row = begin[np.r_[0, np.cumsum(size, dtype=np.int64)]]
+    marks = at_row[:-1][np.diff(at_row) > 0]
+    whole = np.delete(np.frombuffer(data, np.uint8), marks) if len(marks) else np.empty(0, np.uint8)
+    at_row = at_row - np.searchsorted(marks, at_row)
+    null = pac.is_null(lists).to_numpy(zero_copy_only=False)
+    texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [
+        pa.py_buffer(np.packbits(~null, bitorder="little")), pa.py_buffer(at_row), pa.py_buffer(whole)])
+    try:
+        return texts.cast(pa.large_string()).cast(pa.string())
+    except pa.ArrowInvalid:     # bytes that are no text are replaced
+        return pa.array([decode_ids(x.values.to_numpy(zero_copy_only=False), vocab) if x.is_valid else None for x in lists],
+                        pa.string())
+
+
 def decode(encoded: DataFrame, model: str = MODEL, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the text of ``ids_col`` in ``out_col`` (replaced if
     there is such a column); null ids decode to null."""
@@ -448,11 +525,9 @@ def decode(encoded: DataFrame, model: str = MODEL, ids_col: str = "ids", out_col
     schema = T.StructType([*rest.schema.fields, T.StructField(out_col, T.StringType())])
 
     def run(batches):
+        pieces = pa.array(vocab.texts, pa.large_binary())
         for batch in batches:
-            texts = []
-            for ids in batch.column(at):
-                texts.append(decode_ids(ids.values.to_numpy(zero_copy_only=False), vocab) if ids.is_valid else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
+            yield pa.RecordBatch.from_arrays([*batch.columns, _decoded(batch.column(at), pieces, vocab)],
                                              [*batch.schema.names, out_col])
 
     return rest.mapInArrow(run, schema)
