@@ -20,6 +20,7 @@ from starledger.sources.files import (
     load_csv, read_if_exists, read_layer, read_year, sql_over, write_csv_years, write_layer, write_sized,
 )
 from starledger.sources.schemas import TABLES
+from starledger.sources.versions import publish_version, version_database, version_table
 from starledger.sources.warehouse import refresh_warehouse
 
 
@@ -56,6 +57,46 @@ def publish_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@register("publish_versioned")
+def publish_versioned(spark: SparkSession, sf: str) -> DataFrame:
+    """The agency and recipient dimensions up to 1996 published as one
+    version, then those of all years with the contract fact as the next:
+    what the views hold, and whether the version before held it, too (S13,
+    E10)."""
+    txn = roles.transactions(spark, sf, customer=True, supplier=True)
+    base = scratch_path(spark, "versions")
+    silver = silver_contract(spark, sf)
+    loads = []
+    for n, part in enumerate((F.col("action_date") < "1997-01-01", F.lit(True))):
+        rows = txn.where(part)
+        dims = {"DimAgency": star.agency_dim(rows), "DimRecipient": build_dim(rows, ["recipient_uei", "recipient_name_raw"])}
+        for name, df in dims.items():
+            write_sized(df, f"{base}/gold_{n}/{name}", DIM_ROWS_PER_FILE)
+        loads.append({name: read_layer(spark, f"{base}/gold_{n}/{name}") for name in dims})
+    fact = gold_contracts(silver, size_keys=star.ROLE_SIZE_KEYS)["FactContract"]
+    write_sized(fact, f"{base}/gold_1/FactContract", DIM_ROWS_PER_FILE)
+    loads[1]["FactContract"] = read_layer(spark, f"{base}/gold_1/FactContract")
+    db, at = f"sl_ver_{uuid.uuid4().hex[:10]}", f"{base}/warehouse"
+    first, second = (publish_version(spark, tables, TABLES, db, at) for tables in loads)
+    found = []
+    for name in ("DimAgency", "DimRecipient"):
+        code, label = TABLES[name].names
+        before = version_table(spark, at, name, first).select(F.col(code).alias("_c"), F.col(label).alias("_l"), F.lit(True).alias("_b"))
+        now = spark.table(f"{db}.{name}")
+        found.append(now.join(before, (now[code] == before["_c"]) & now[label].eqNullSafe(before["_l"]), "left").select(
+            F.lit(name).alias("table_name"), now[code].alias("code"), now[label].alias("name"),
+            F.coalesce("_b", F.lit(False)).cast("bigint").alias("in_version_before")))
+    found.append(spark.table(f"{db}.FactContract").select(F.lit("FactContract"), "transaction_unique_key", "award_unique_key",
+                                                          F.lit(0).cast("bigint")))
+    # the rows are kept, the databases are dropped with their tables
+    path = scratch_path(spark, "versions-content")
+    found[0].unionByName(found[1]).union(found[2]).write.parquet(path)
+    for database in (db, *(version_database(db, v) for v in (first, second))):
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    drop_path(spark, base)
+    return spark.read.parquet(path)
+
+
 @register("csv_roundtrip")
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Orders landed as CSV partitioned by year (one pass over the table);

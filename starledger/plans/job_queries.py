@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from starledger.plans import roles
 from starledger.operators.merge import merge_increment_to
-from starledger.plans.jobs.bronze import FISCAL_YEAR, bronze_to_silver
+from starledger.operators.rejects import reject_report, rejects_of, silver_of
+from starledger.plans.jobs.bronze import FISCAL_YEAR, bronze_to_silver, write_routed
 from starledger.plans.jobs.externals import education_frame, unemployment_frame
 from starledger.plans.jobs.gold import gold_contracts, gold_transactions
 from starledger.plans.queries import register, widen
@@ -60,6 +61,29 @@ def b2s_contract_job(spark: SparkSession, sf: str) -> DataFrame:
     return widen(bronze_to_silver(raw_contract(spark, sf), CONTRACT))
 
 
+@register("rejects_routed")
+def rejects_routed(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw contract rows, some without key or with words for years, routed
+    to silver or to rejects in one pass; both read back, with reasons,
+    untyped columns and raw text (P5, P8, P9, P11, E1)."""
+    key, year = "contract_transaction_unique_key", "action_date_fiscal_year"
+    number = F.col("contract_award_unique_key").cast("bigint")
+    raw = raw_contract(spark, sf)
+    raw = raw.withColumns({key: F.when(number % 11 != 0, F.col(key)),
+                           year: F.when(number % 13 == 0, F.concat(F.lit("FY"), F.col(year))).otherwise(F.col(year))})
+    path = scratch_path(spark, "routed")
+    write_routed(spark, raw, CONTRACT, path)
+    text = lambda c: F.concat_ws(",", c)
+    kept = silver_of(spark, path).select(F.lit("silver").alias("outcome"), "transaction_unique_key", "award_unique_key",
+                                         "total_obligated_amount", FISCAL_YEAR, F.lit("").alias("reasons"),
+                                         F.lit(None).cast("string").alias("raw_amount"))
+    gone = rejects_of(spark, path).select(F.lit("reject"), "transaction_unique_key", "award_unique_key", "total_obligated_amount",
+                                          FISCAL_YEAR, text("reasons"), F.col("raw")["total_obligated_amount"])
+    report = reject_report(spark, path).select(F.lit("report"), "kind", "code", F.lit(None).cast("decimal(18,2)"),
+                                               F.col("n").cast("int"), F.lit(""), F.lit(None).cast("string"))
+    return widen(kept.union(gone).union(report))
+
+
 @register("b2s_year_merge")
 def b2s_year_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Silver up to 1996 on storage, the years from 1996 on merged into it

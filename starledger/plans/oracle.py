@@ -578,6 +578,25 @@ select k as transaction_unique_key, a as award_unique_key, cast(fao as double) a
        'contract' as award_type
 from typed where (fao is not null or toa is not null) and regexp_matches(k, '.+_.+_.+_.+_.+_.+')"""
 
+ORACLE["rejects_routed"] = """
+with raw as (select case when l_orderkey % 11 <> 0 then concat_ws('_', l_orderkey, l_partkey, l_suppkey, l_linenumber,
+                         l_linestatus, case when l_linenumber <> 5 then l_returnflag end) end as k,
+               cast(l_orderkey as varchar) as a,
+               case when l_linenumber % 3 <> 0 then cast(l_extendedprice as decimal(18,2)) end as fao,
+               case when l_linenumber = 2 then 'n/a' when l_linenumber < 6 then cast(cast(l_quantity as decimal(18,2)) as varchar) end as t,
+               case when l_orderkey % 13 <> 0 then year(l_shipdate) end as fy
+        from lineitem where l_linestatus = 'O'),
+typed as (select *, try_cast(t as decimal(18,2)) as toa from raw),
+judged as (select *, concat_ws(',', case when fao is null and toa is null then 'no_money' end, case when k is null then 'no_key' end,
+                               case when not regexp_matches(k, '.+_.+_.+_.+_.+_.+') then 'key_shape' end) as reasons from typed),
+codes as (select 'reason' as kind, unnest(string_split(reasons, ',')) as code from judged where reasons <> ''
+          union all select 'untyped', 'total_obligated_amount' from judged where t is not null and toa is null
+          union all select 'untyped', 'action_date_fiscal_year' from judged where fy is null)
+select case when reasons = '' then 'silver' else 'reject' end as outcome, k as transaction_unique_key, a as award_unique_key,
+       cast(toa as double) as total_obligated_amount, cast(fy as bigint) as action_date_fiscal_year, reasons,
+       case when reasons <> '' then t end as raw_amount from judged
+union all select 'report', kind, code, null, count(*), '', null from codes group by kind, code"""
+
 ORACLE["b2s_year_merge"] = f"""
 with s as ({ORACLE["b2s_job"]})
 select * from s where action_date_fiscal_year < 1996
@@ -664,6 +683,19 @@ odp as (select country_of_origin_key, oc as country_of_origin_code, o as country
              "fc")])
 
 
+ORACLE["publish_versioned"] = f"""
+with t as ({txn(True, True)}),
+{GOLD_CONTRACTS},
+now as (select distinct 'DimAgency' as table_name, agency_code as code, agency_name as name from ({AGENCY})
+        union all select distinct 'DimRecipient', recipient_uei, recipient_name_raw from t
+        where recipient_uei is not null and recipient_name_raw is not null),
+old as (select 'DimAgency' as table_name, awarding_agency_code as code, awarding_agency_name as name, action_date from t
+        union all select 'DimAgency', funding_agency_code, funding_agency_name, action_date from t
+        union all select 'DimRecipient', recipient_uei, recipient_name_raw, action_date from t)
+select table_name, code, name, cast(exists (select 1 from old where old.table_name = now.table_name and old.code = now.code
+         and old.name = now.name and old.action_date < date '1997-01-01') as bigint) as in_version_before from now
+union all select 'FactContract', transaction_unique_key, award_unique_key, 0 from fc"""
+
 ORACLE["year_layers"] = """
 select cast(year(o_orderdate) as bigint) as fy, count(*) as n_orders, count(distinct o_orderkey) as n_keys,
        cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total
