@@ -696,6 +696,18 @@ select table_name, code, name, cast(exists (select 1 from old where old.table_na
          and old.name = now.name and old.action_date < date '1997-01-01') as bigint) as in_version_before from now
 union all select 'FactContract', transaction_unique_key, award_unique_key, 0 from fc"""
 
+ORACLE["names_as_of"] = f"""
+with t as ({txn(True)}),
+seen as (select recipient_uei, last_modified_date as d,
+           max(recipient_name_raw || case when (year(last_modified_date) + cast(recipient_uei as bigint)) % 3 = 0 then ' LLC' else '' end) as name
+         from t group by recipient_uei, last_modified_date),
+steps as (select *, lag(name) over (partition by recipient_uei order by d) as prior from seen),
+dim as (select recipient_uei, name, d as valid_from, lead(d) over (partition by recipient_uei order by d) as valid_to
+        from steps where prior is null or prior <> name)
+select t.transaction_unique_key, t.recipient_uei, t.action_date, dim.name as recipient_name, dim.valid_from, dim.valid_to
+from t left join dim on t.recipient_uei = dim.recipient_uei and t.action_date >= dim.valid_from
+     and (dim.valid_to is null or t.action_date < dim.valid_to)"""
+
 ORACLE["year_layers"] = """
 select cast(year(o_orderdate) as bigint) as fy, count(*) as n_orders, count(distinct o_orderkey) as n_keys,
        cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total

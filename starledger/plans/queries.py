@@ -15,6 +15,7 @@ from starledger.operators import summaries as sm
 from starledger.operators.clean import (
     cast_cols, cast_money, drop_all_null, filter_key_shape, rename, require_key, select_present, tag,
 )
+from starledger.operators.asof import lookup_as_of, validity_dim
 from starledger.operators.dims import (
     build_dim, build_role_dim, calendar_for, code_dim, conform_union, extract_dim,
 )
@@ -523,6 +524,21 @@ def row_filter_agency(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@register("names_as_of")
+def names_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Recipients renamed in some years: validity intervals from the days of
+    their orders, and for each transaction the name valid on its action day
+    (D1, Q22)."""
+    txn = roles.transactions(spark, sf, customer=True)
+    seen = txn.select("recipient_uei", F.col("last_modified_date").alias("seen"), F.concat(
+        "recipient_name_raw", F.when((F.year("last_modified_date") + F.col("recipient_uei").cast("bigint")) % 3 == 0, " LLC")
+        .otherwise("")).alias("recipient_name"))
+    dim = validity_dim(seen, "recipient_uei", "recipient_name", "seen")
+    fact = txn.select("transaction_unique_key", "recipient_uei", "action_date")
+    return lookup_as_of(fact, dim, "recipient_uei", "action_date",
+                        out={"recipient_name": "recipient_name", "valid_from": "valid_from", "valid_to": "valid_to"})
+
+
 def queries() -> dict:
     from starledger.plans import io_queries, job_queries, load_queries  # noqa: F401  (register)
     return dict(Q)
