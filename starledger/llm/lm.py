@@ -53,6 +53,7 @@ RATE = 0.25
 BATCH = 4096              # token positions evaluated at a time
 SHARD_TOKENS = 8_000_000  # training tokens per shard
 STEP = 1 << 24            # changes are added up in whole 1 / STEP, so their sum does not depend on its order
+FEW_USES = 8              # uses of a row in a step that are added side by side
 FLUSH = 400_000           # distinct words a counting task holds
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -268,10 +269,17 @@ class Trainer:
         first = np.flatnonzero(np.r_[True, hit[1:] != hit[:-1]])
         hit, times = hit[first], np.diff(np.r_[first, len(flat)])
         at = order % len(grad)     # the position of each use, uses of a row side by side
-        by_column = np.empty((grad.shape[1], len(hit)), np.float32)
-        for column, out in zip(np.ascontiguousarray(grad.T), by_column):
-            np.add.reduceat(column[at], first, out=out)
-        total = by_column.T
+        # most rows are used a few times: the k-th uses of all rows are added at once, what is left run by run
+        total = grad[at[first]]
+        more = np.flatnonzero(times > 1)
+        for k in range(1, FEW_USES):
+            total[more] += grad[at[first[more] + k]]
+            more = more[times[more] > k + 1]
+        if len(more):
+            left = times[more] - FEW_USES
+            start = np.cumsum(left) - left
+            rest = grad[at[np.repeat(first[more] + FEW_USES - start, left) + np.arange(left.sum())]]
+            total[more] += np.add.reduceat(rest, start, axis=0)
         scale[hit] += (total * total).sum(axis=1)
         weights[hit] -= (self.rate / np.sqrt(scale[hit]))[:, None] * total
         use[hit] += times
