@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from starledger.llm.common import shared_table
 
+FOREST_EDGES = 1 << 21
 MAX_ROUNDS = 200  # far beyond any expected number; a guard against a bug, not a limit
 
 
@@ -44,11 +45,21 @@ def local_forest(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _contract_batches(batches):
-    parts = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False))
-             for b in batches if b.num_rows]
-    if parts:
+    """Forests of about ``FOREST_EDGES`` edges each, so a task's memory is bounded."""
+    def forest():
         src, dst = local_forest(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-        yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["a", "b"])
+
+    parts, held = [], 0
+    for b in batches:
+        if b.num_rows:
+            parts.append((b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)))
+            held += b.num_rows
+        if held >= FOREST_EDGES:
+            yield forest()
+            parts, held = [], 0
+    if parts:
+        yield forest()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

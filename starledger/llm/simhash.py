@@ -35,7 +35,9 @@ from starledger.llm.components import connected_components, local_forest
 SHINGLE = 3
 SEED = 42
 MAX_BITS = 3
-TASK_FINGERPRINTS = 25_000  # 4.9 million variant rows
+VARIANTS = 4 * (1 + 48)
+TASK_FINGERPRINTS = 25_000  # 4.9 million variant rows made by a task
+TASK_VARIANTS = 1 << 20     # variant rows whose cells a task holds
 _CHUNK = 1 << 16
 
 
@@ -159,9 +161,12 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["a", "b"])
 
     # the variants are made by tasks of a bounded number of fingerprints
-    tasks = -(-fps.count() // TASK_FINGERPRINTS)
+    found = fps.count()
+    tasks = -(-found // TASK_FINGERPRINTS)
     keys = _variant_keys(fps.select("fp").repartition(max(1, tasks), "fp").distinct())
-    return keys.repartition("key").mapInArrow(run, "a long, b long")
+    # and the cells by tasks of a bounded number of variants
+    tasks = -(-found * VARIANTS // TASK_VARIANTS)
+    return keys.repartition(max(1, tasks), "key").mapInArrow(run, "a long, b long")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
