@@ -12,6 +12,8 @@ from starledger.session import scratch_path
 
 #: ASCII white space as the contracts define it, as a Java regex class.
 SPACE = r"[\x20\x09-\x0D]"
+BITMAP_BITS = 27     # 16 MB: what a broadcast bitmap may have at most
+BLOCK = 1 << 15      # bits of a block, as bitmap_construct_agg makes them
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -56,6 +58,26 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_bitmap(df: DataFrame, place: Column, places: DataFrame, found: str, max_bits: int = BITMAP_BITS) -> DataFrame:
+    """``df`` plus the boolean column ``found``: whether the hash ``place``
+    may be among those in the only column of ``places`` (a stored table).
+    False is certain, true may be a collision, null hashes are not found.
+
+    What is broadcast is a bitmap of 16 bits per hash and 2 ** ``max_bits``
+    bits at most, in blocks of 4 KB; ``df`` is not shuffled."""
+    bits = min(max_bits, (16 * places.count()).bit_length())
+    at, block, own, bitmap = fresh(df.withColumn(found, F.lit(True)), "at", "block", "own", "bitmap")
+    bucket = lambda h: F.pmod(h, F.lit(1 << bits))
+    inside = lambda c: F.col(c).bitwiseAND(F.lit(BLOCK - 1))
+    blocks = (places.select(bucket(F.col(places.columns[0])).alias(at)).where(F.col(at).isNotNull())
+              .groupBy((F.col(at) - inside(at)).alias(block)).agg(F.bitmap_construct_agg(inside(at)).alias(bitmap)))
+    byte = F.col(bitmap).substr((F.floor(inside(at) / 8) + 1).cast("int"), F.lit(1))
+    hit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(F.col(at), F.lit(8)).cast("int")) == 1
+    marked = df.withColumn(at, bucket(place)).withColumn(own, F.col(at) - inside(at))
+    return (marked.join(F.broadcast(blocks), F.col(own) == F.col(block), "left")
+            .select(*[df[c] for c in df.columns], F.coalesce(hit, F.lit(False)).alias(found)))
+
+
 def pick_rows(docs: DataFrame, id_col: str, key: Column, keep: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose (id, key) is in ``keep`` (columns: id,
     key, number of rows of ``docs`` with that pair), all columns, one row
