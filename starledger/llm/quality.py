@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starledger.llm.common import shared_table, text_of
+from starledger.llm.common import fresh, shared_table, text_of, with_bitmap
 
 THRESHOLD = 0.3
 RIDGE = 1e-2
@@ -182,7 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, id_col: str = "doc_id
     """The statistics of all rows of ``docs`` (a shared table) and the
     model of the labelled ones for which ``use`` (over ``id``) holds."""
     x = shared_table(statistics_table(docs, id_col, text_col), "quality-statistics")
-    marks = labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label")).where("label IN (0, 1)")
+    marks = labels.select(labels[id_col].alias("id"), labels[label_col].try_cast("int").alias("label")).where("label IN (0, 1)")
     return x, fit(x.where(use).join(marks, "id").select("x", "label"))
 
 
@@ -219,8 +219,16 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column | None = None,
 def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   label_col: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier, taught by all labels, does
-    not reject; all columns, in one pass without a shuffle."""
-    _, model = train(docs, labels, F.lit(True), id_col, text_col, label_col)
+    not reject; all columns, in one pass without a shuffle.
+
+    To learn, statistics are taken only of rows that a bitmap of the
+    labelled ids lets through (where both ids are of one type)."""
+    taught = docs.select(docs[id_col], docs[text_col])
+    if docs.schema[id_col].dataType == labels.schema[id_col].dataType:
+        known = shared_table(labels.select(F.xxhash64(labels[id_col]).alias("place")), "quality-labelled")
+        taught = with_bitmap(taught, F.xxhash64(taught[id_col]), known, *(mark := fresh(taught, "labelled")))
+        taught = taught.where(F.col(mark[0])).drop(mark[0])
+    _, model = train(taught, labels, F.lit(True), id_col, text_col, label_col)
     at = docs.columns.index(text_col)
 
     def run(batches):
