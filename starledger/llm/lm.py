@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +55,7 @@ BATCH = 4096              # token positions evaluated at a time
 SHARD_TOKENS = 8_000_000  # training tokens per shard
 STEP = 1 << 24            # changes are added up in whole 1 / STEP, so their sum does not depend on its order
 FEW_USES = 8              # uses of a row in a step that are added side by side
+CHUNK_BYTES = 1 << 20     # text whose words are numbered at a time
 FLUSH = 400_000           # distinct words a counting task holds
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -66,6 +68,46 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), END]
 
 
+@dataclass
+class Chunk:
+    """The words of some neighbouring texts, each distinct word once."""
+
+    begin: int               # the first text's place in its batch
+    distinct: pa.Array       # distinct words, binary
+    codes: np.ndarray        # per word, its place in ``distinct``
+    sizes: np.ndarray        # words per text, ends not counted
+
+    @property
+    def words(self) -> list[bytes]:
+        return self.distinct.to_numpy(zero_copy_only=False).tolist()
+
+    @property
+    def number(self) -> np.ndarray:
+        """The text of each word."""
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+
+def chunks(texts: pa.Array, size: int = CHUNK_BYTES):
+    """The texts in chunks of about ``size`` bytes (a longer text alone),
+    split as :func:`tokens` does."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(texts):
+        done = int(ends[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + size, side="right")))
+        part = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts.slice(begin, end - begin), "")))
+        words = pc.ascii_split_whitespace(part)
+        coded = words.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        empty = pc.binary_length(part).to_numpy(zero_copy_only=False) == 0  # split into one empty word
+        sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        if empty.any():
+            codes = codes[~np.repeat(empty, sizes)]
+            sizes = np.where(empty, 0, sizes)
+        yield Chunk(begin, coded.dictionary.cast(pa.binary()), codes, sizes)
+        begin = end
+
+
 def count_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, c) over all rows of ``docs``; a shared table."""
     def run(batches):
@@ -74,8 +116,11 @@ def count_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
                                               ["word", "c"])
         seen: Counter = Counter()
         for batch in batches:
-            for text in batch.column(0):
-                seen.update(tokens(text.as_py()))
+            for chunk in chunks(batch.column(0)):
+                for word, c in zip(chunk.words, np.bincount(chunk.codes, minlength=len(chunk.distinct)).tolist()):
+                    if c:
+                        seen[word] += c
+                seen[END] += len(chunk.sizes)
                 if len(seen) > FLUSH:
                     yield out()
                     seen.clear()
@@ -207,16 +252,29 @@ class Ranks(dict):
         return BOS + 1 + (zlib.crc32(word) & 0xFFFF)
 
 
-def positions(texts: list[list[bytes]], rank: Ranks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def positions(chunk: Chunk, rank: Ranks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, at, text number): the numbers of all tokens with three begin
-    marks before each text, and which positions are tokens."""
-    ids: list[int] = []
-    for words in texts:
-        ids += (BOS, BOS, BOS)
-        ids += map(rank.__getitem__, words)
-    sizes = np.array([len(t) for t in texts], np.int64)
-    number = np.repeat(np.arange(len(texts)), sizes)
-    return np.array(ids, np.int64), np.arange(len(number)) + 3 * (number + 1), number
+    marks before each text and the end (rank 0) after it, and which
+    positions are tokens."""
+    ranks = np.fromiter(map(rank.__getitem__, chunk.words), np.int64, len(chunk.distinct))
+    whole = chunk.sizes + 4
+    start = np.cumsum(whole) - whole
+    ids = np.zeros(int(whole.sum()), np.int64)
+    ids[(start[:, None] + np.arange(3)).ravel()] = BOS
+    ids[np.arange(len(chunk.codes)) + 4 * chunk.number + 3] = ranks[chunk.codes]
+    number = np.repeat(np.arange(len(whole)), chunk.sizes + 1)
+    return ids, np.arange(len(number)) + 3 * (number + 1), number
+
+
+def rare_words(chunk: Chunk, known: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Per text, the distinct words that are not ``known`` (per word of the
+    chunk) and how often each occurs in it, as two arrays of lists."""
+    pick = np.flatnonzero(~known)
+    width = max(1, len(chunk.distinct))
+    pairs, times = np.unique(chunk.number[pick] * width + chunk.codes[pick], return_counts=True)
+    offsets = pa.array(np.searchsorted(pairs, np.arange(len(chunk.sizes) + 1) * width), pa.int32())
+    return (pa.ListArray.from_arrays(offsets, chunk.distinct.take(pa.array(pairs % width))),
+            pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())))
 
 
 def evaluate(model: Model, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -268,7 +326,7 @@ class Trainer:
         hit = flat[order].astype(np.int64)
         first = np.flatnonzero(np.r_[True, hit[1:] != hit[:-1]])
         hit, times = hit[first], np.diff(np.r_[first, len(flat)])
-        at = order % len(grad)     # the position of each use, uses of a row side by side
+        at = np.tile(np.arange(len(grad)), len(rows))[order]  # the position of each use, uses of a row side by side
         # most rows are used a few times: the k-th uses of all rows are added at once, what is left run by run
         total = grad[at[first]]
         more = np.flatnonzero(times > 1)
@@ -294,21 +352,6 @@ class Trainer:
             yield table, hit, use[hit], change
 
 
-def _grouped(batches, column: int, size: int = 4 * BATCH):
-    """Lists of (batch, first row, token lists) of about ``size`` tokens."""
-    for batch in batches:
-        held, many, begin = [], 0, 0
-        for i, text in enumerate(batch.column(column)):
-            words = tokens(text.as_py())
-            held.append(words)
-            many += len(words)
-            if many >= size:
-                yield batch, begin, held
-                held, many, begin = [], 0, i + 1
-        if held:
-            yield batch, begin, held
-
-
 _SUMS = [f"d{i}" for i in range(WIDTH)]
 _CHANGE = "kind int, row int, used long, " + ", ".join(f"{d} long" for d in _SUMS)
 
@@ -329,10 +372,11 @@ def train(docs: DataFrame, lex: Lexicon, text_col: str = "text", rounds: int = R
     for turn in range(rounds):
         def run(batches, model=model):
             trainer = Trainer(model, rate)
-            for _, _, texts in _grouped(batches, 0):
-                ids, at, _ = positions(texts, lex.rank)
-                for k in range(0, len(at), BATCH):
-                    trainer.step(ids, at[k:k + BATCH])
+            for batch in batches:
+                for chunk in chunks(batch.column(0)):
+                    ids, at, _ = positions(chunk, lex.rank)
+                    for k in range(0, len(at), BATCH):
+                        trainer.step(ids, at[k:k + BATCH])
             for kind, row, used, change in trainer.changes():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(row), kind), pa.int32()), pa.array(row, pa.int32()), pa.array(used, pa.int64()),
@@ -374,23 +418,24 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
 
     def run(batches):
         part, made = TaskContext.get().partitionId(), 0
-        for batch, begin, texts in _grouped(batches, 2):
-            ids, at, number = positions(texts, lex.rank)
+        for batch, chunk in ((b, c) for b in batches for c in chunks(b.column(2))):
+            ids, at, number = positions(chunk, lex.rank)
             target = ids[at]
             known = target < len(lex.count)
             rank = np.where(known, target, 0)
             gained = evaluate(model, ids, at) / math.log(10.0)
             gained += np.where(known & (rank >= VOCABULARY), other[rank], 0.0)
-            n = len(texts)
+            n, begin = len(chunk.sizes), chunk.begin
+            inner = np.ones(len(at), bool)
+            inner[np.cumsum(chunk.sizes + 1) - 1] = False  # words, not ends
             add = lambda w: np.bincount(number, weights=w, minlength=n)
-            rare = [Counter(w for w in words if w not in lex.rank) for words in texts]
+            words, times = rare_words(chunk, known[inner])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(made, made + n) + (part << 33)), batch.column(0).slice(begin, n),
-                 batch.column(1).slice(begin, n), pa.array([len(t) for t in texts], pa.int64()),
+                 batch.column(1).slice(begin, n), pa.array(chunk.sizes + 1, pa.int64()),
                  pa.array(add((known & (lex.count[rank] > 0)).astype(float)).astype(np.int64)),
                  pa.array(add(np.where(known, base[rank], 0.0))), pa.array(add(gained)),
-                 pa.array([list(c) for c in rare], pa.list_(pa.binary())),
-                 pa.array([list(c.values()) for c in rare], pa.list_(pa.int64()))],
+                 words, times],
                 ["row", "id", "learn", "n", "known", "base", "score", "words", "times"])
             made += n
 
