@@ -696,6 +696,11 @@ select table_name, code, name, cast(exists (select 1 from old where old.table_na
          and old.name = now.name and old.action_date < date '1997-01-01') as bigint) as in_version_before from now
 union all select 'FactContract', transaction_unique_key, award_unique_key, 0 from fc"""
 
+ORACLE["outer_merge_hot"] = """
+with c as (select c_nationkey as nation, cast(floor(c_acctbal / 1000) as integer) as thousand, c_custkey from customer),
+s as (select s_nationkey as nation, cast(floor(s_acctbal / 1000) as integer) as thousand, s_suppkey from supplier)
+select nation, thousand, c_custkey, s_suppkey from c full outer join s using (nation, thousand)"""
+
 ORACLE["names_as_of"] = f"""
 with t as ({txn(True)}),
 seen as (select recipient_uei, last_modified_date as d,

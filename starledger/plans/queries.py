@@ -23,6 +23,7 @@ from starledger.operators.govern import Policy, mask_columns, secured
 from starledger.operators.joins import enrich, lookup_roles, lookup_roles_unpivot
 from starledger.operators.keys import dense_key_sized
 from starledger.operators.merge import merge_increment
+from starledger.operators.outer import outer_merge_hot
 from starledger.plans import roles, star
 from starledger.session import scratch_path
 from starledger.plans.jobs import externals as ext
@@ -524,6 +525,17 @@ def row_filter_agency(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@register("outer_merge_hot")
+def hot_outer_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers and suppliers of one nation and thousand of balance: all
+    pairs, and those without a partner (J11 with hot keys)."""
+    def side(table: str, p: str) -> DataFrame:
+        return spark.read.parquet(f"{sf}/{table}.parquet").select(
+            F.col(f"{p}_nationkey").alias("nation"), F.floor(F.col(f"{p}_acctbal") / 1000).cast("int").alias("thousand"),
+            F.col("c_custkey" if p == "c" else "s_suppkey"))
+    return outer_merge_hot(side("customer", "c"), side("supplier", "s"), ["nation", "thousand"])
+
+
 @register("names_as_of")
 def names_as_of(spark: SparkSession, sf: str) -> DataFrame:
     """Recipients renamed in some years: validity intervals from the days of
