@@ -26,6 +26,7 @@ from starledger.operators.merge import ROWS_PER_FILE, touched_partitions
 from starledger.session import drop_path, scratch_path
 from starledger.sources.files import read_if_exists, write_sized
 
+STAGING_CODEC = "zstd"     # staged rows are read once or twice
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -33,12 +34,16 @@ def latest_versions(rows: DataFrame, key: str, version: str, deleted: Column) ->
     """The last row of each key: greatest ``version`` (null before all
     others), a deletion after other rows of the same version, remaining ties
     by the greatest row in column order.  An aggregation: partial results
-    before the shuffle, so a key with very many versions is no hot task."""
-    columns = [F.col(f"`{c}`") for c in rows.columns]
-    order = F.struct(F.col(version).isNotNull(), F.col(version), F.coalesce(deleted, F.lit(False)), *columns)
-    last = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
-        F.max_by(F.struct(*columns), order).alias("_r"))
-    return last.select("_r.*")
+    before the shuffle, so a key with very many versions is no hot task.
+    The row is its own order (two equal copies side by side, which the
+    shuffle's compression makes one), and the result stays dealt by key,
+    for a join."""
+    rest = [c for c in rows.columns if c not in (key, version)]
+    order = F.struct(F.col(version).alias("_version"), F.coalesce(deleted, F.lit(False)).alias("_last"),
+                     *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(rest)])     # null before all others
+    last = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.max_by(order, order).alias("_r"))
+    found = {key: F.col("_k"), version: F.col("_r")["_version"], **{c: F.col("_r")[f"_c{i}"] for i, c in enumerate(rest)}}
+    return last.select(*[found[c].alias(c) for c in rows.columns])
 
 
 def index_path(path: str) -> str:
@@ -51,8 +56,8 @@ def read_index(spark: SparkSession, path: str, key: str) -> DataFrame | None:
     log = read_if_exists(spark, index_path(path))
     if log is None:
         return None
-    last = log.groupBy(F.col(key)).agg(F.max_by(F.struct("partition", "version", "deleted"), F.col("load")).alias("_e"))
-    return last.select(key, "_e.*")
+    last = log.groupBy(F.col(key)).agg(F.max(F.struct("load", "partition", "version", "deleted")).alias("_e"))
+    return last.select(key, "_e.partition", "_e.version", "_e.deleted")
 
 
 def upsert_to(spark: SparkSession, path: str, new: DataFrame, key: str, version: str, partition_col: str,
@@ -77,7 +82,10 @@ def upsert_to(spark: SparkSession, path: str, new: DataFrame, key: str, version:
         changes = rows.join(old, rows[key] == old["_key"], "left").withColumn("_known", F.col("_key").isNotNull())
         newer = F.col("_version").isNull() & F.col(version).isNotNull() | (F.col(version) > F.col("_version"))
         changes = changes.withColumn("_applies", ~F.col("_known") | F.coalesce(newer, F.lit(False))).drop("_key", "_version")
-    write_sized(changes, f"{staging}/changes", rows_per_file, mode="errorifexists")
+    # of a version that does not apply only the count is needed
+    changes = changes.select(*[c if c == "_applies" else F.when(F.col("_applies"), F.col(f"`{c}`")).alias(c)
+                               for c in changes.columns])
+    changes.write.parquet(f"{staging}/changes", compression=STAGING_CODEC)
     staged = spark.read.schema(changes.schema).parquet(f"{staging}/changes")
     applied = staged.where("_applies")
     lives = F.coalesce(~F.col("_gone"), F.lit(False))
@@ -92,7 +100,7 @@ def upsert_to(spark: SparkSession, path: str, new: DataFrame, key: str, version:
         load = 1 if log is None else (log.agg(F.max("load")).first()[0] or 0) + 1
         entry = applied.select(key, F.when(~F.col("_deleted"), F.col(partition_col)).alias("partition"),
                                F.col(version).alias("version"), F.col("_deleted").alias("deleted"))
-        write_sized(entry, f"{index_path(path)}/load={load}", rows_per_file, mode="errorifexists")
+        write_sized(entry, f"{index_path(path)}/load={load}", rows_per_file, mode="errorifexists", rebalance=False)
     drop_path(spark, staging)
     return seen
 
@@ -103,17 +111,17 @@ def _rewrite(spark, path, applied, columns, key, partition_col, rows_per_file, s
     places = live.select(partition_col).unionByName(applied.where(lives).select(F.col("_was").alias(partition_col)))
     touched = touched_partitions(places, partition_col)
     current = read_if_exists(spark, path)
-    merged = live
-    if current is not None:
-        rest = current.where(touched)
-        merged = rest.join(applied.select(F.col(key).alias("_key")), rest[key] == F.col("_key"), "left_anti").unionByName(
-            live, allowMissingColumns=True)
-    write_sized(merged, f"{staging}/merged", rows_per_file, mode="errorifexists", partition_by=partition_col)
+    if current is None:         # nothing to merge with: the staged changes are the copy
+        write_sized(live, path, rows_per_file, partition_by=partition_col)
+        return
+    rest = current.where(touched)
+    merged = rest.join(applied.select(F.col(key).alias("_key")), rest[key] == F.col("_key"), "left_anti").unionByName(
+        live, allowMissingColumns=True)
+    merged.write.parquet(f"{staging}/merged", compression=STAGING_CODEC)
     written = spark.read.schema(merged.schema).parquet(f"{staging}/merged")
-    options = {"partitionOverwriteMode": "dynamic"} if current is not None else {}
-    write_sized(written, path, rows_per_file, options=options, partition_by=partition_col)
-    if current is not None:     # a partition that lost its last row is not in what was written
-        left = {r[0] for r in written.select(partition_col).distinct().collect()}
-        before = {r[0] for r in places.select(partition_col).distinct().collect()}
-        for value in before - left:
-            drop_path(spark, f"{path.rstrip('/')}/{partition_col}={NULL_PARTITION if value is None else value}")
+    write_sized(written, path, rows_per_file, options={"partitionOverwriteMode": "dynamic"}, partition_by=partition_col)
+    # a partition that lost its last row is not in what was written
+    left = {r[0] for r in written.select(partition_col).distinct().collect()}
+    before = {r[0] for r in places.select(partition_col).distinct().collect()}
+    for value in before - left:
+        drop_path(spark, f"{path.rstrip('/')}/{partition_col}={NULL_PARTITION if value is None else value}")

@@ -14,7 +14,7 @@ from starledger.operators.upsert import upsert_to
 from starledger.operators import rollup as ro
 from starledger.plans import roles, star
 from starledger.plans.queries import register, widen
-from starledger.session import scratch_path
+from starledger.session import scratch_path, store
 from starledger.sources.files import read_layer, write_layer
 from starledger.sources.reconcile import read_csv_reconciled
 
@@ -71,7 +71,7 @@ def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
         "transaction_unique_key", "total_obligated_amount", "last_modified_date", F.year("action_date").alias("fiscal_year"),
         ((F.col("award_unique_key").cast("bigint") + F.substring_index("transaction_unique_key", "_", -1).cast("bigint")) % 10)
         .alias("_case"))
-    marked = txn.withColumn("correction_delete_indicator_code", F.lit(None).cast("string"))
+    marked = store(txn, "upsert-deliveries").withColumn("correction_delete_indicator_code", F.lit(None).cast("string"))
     first = marked.where("fiscal_year <= 1996")
     later = lambda days: F.date_add("last_modified_date", days)
     second = marked.where("fiscal_year > 1996 or _case < 4").withColumns({

@@ -95,7 +95,7 @@ def write_layer(df: DataFrame, path: str, mode: str = "overwrite", files: int |
 
 
 def write_sized(df: DataFrame, path: str, rows_per_file: int, mode: str = "overwrite",
-                exact: bool = False, partition_by=None, options: dict | None = None) -> None:
+                exact: bool = False, partition_by=None, options: dict | None = None, rebalance: bool = True) -> None:
     """Write with about ``rows_per_file`` rows per file.
 
     Default: one pass.  A ``REBALANCE`` hint lets adaptive execution
@@ -104,12 +104,13 @@ def write_sized(df: DataFrame, path: str, rows_per_file: int, mode: str = "overw
     count-then-repartition form (two passes; ``max(1, ...)`` avoids
     ``repartition(0)`` on an empty frame).  Also used for dimensions:
     small ones end in one file after AQE coalescing, large ones (e.g.
-    recipients) are not funnelled through a single task."""
+    recipients) are not funnelled through a single task.
+    ``rebalance=False``: the frame's own tasks are even, they write."""
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     if exact:
         n = df.count()
         df = df.repartition(max(1, math.ceil(n / rows_per_file)), *parts)
-    else:
+    elif rebalance:
         # Rebalancing by the partition columns keeps each task to ~one
         # output partition (few files) while AQE still splits a big one.
         df = df.hint("rebalance", *parts)

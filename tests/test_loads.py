@@ -220,3 +220,26 @@ def test_all_period_grains_come_from_one_scan(spark):
     plan = ro.period_states(spark.read.parquet(path), {"agency": "funding_agency_code", "recipient": "recipient_uei"})
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("FileScan parquet") == 1 and "Expand" in text and text.count("Exchange") == 1
+
+
+def test_latest_versions_are_shuffled_once_and_stay_dealt_by_key(spark):
+    df = spark.createDataFrame([("a", 1, "x", None), ("a", 2, "y", 5), ("a", 2, "y", 7), ("b", None, None, 1), (None, 1, "z", 1)],
+                               "k string, v int, t string, n int")
+    last = latest_versions(df, "k", "v", F.lit(False))
+    plan = last.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert last.columns == df.columns and rows(last) == [("a", 2, "y", 7), ("b", None, None, 1)]
+
+
+def test_stale_versions_are_counted_and_their_rows_not_staged(spark, monkeypatch):
+    from starledger.operators import upsert
+    path, seen = scratch_path(spark, "upsert"), []
+    load = lambda r: upsert_to(spark, path, spark.createDataFrame(r, "k string, v int, fy int, t string"), "k", "v", "fy")
+    load([("a", 2, 2020, "new"), ("b", 2, 2020, "new")])
+    monkeypatch.setattr(upsert, "drop_path", lambda spark, p: seen.append(p))
+    assert load([("a", 1, 2020, "old"), ("b", 2, 2020, "old"), ("c", 1, 2021, "new")]) == {
+        "inserted": 1, "updated": 0, "deleted": 0, "stale": 2}
+    staged = spark.read.parquet(f"{seen[-1]}/changes")
+    assert rows(staged.select("k", "t", "_applies")) == [("c", "new", True), (None, None, False), (None, None, False)]
+    assert rows(spark.read.parquet(path).select("k", "v", "fy", "t")) == [
+        ("a", 2, 2020, "new"), ("b", 2, 2020, "new"), ("c", 1, 2021, "new")]
