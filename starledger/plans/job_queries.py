@@ -12,7 +12,7 @@ from starledger.plans.jobs.bronze import FISCAL_YEAR, bronze_to_silver, write_ro
 from starledger.plans.jobs.externals import education_frame, unemployment_frame
 from starledger.plans.jobs.gold import gold_contracts, gold_transactions
 from starledger.plans.queries import register, widen
-from starledger.session import scratch_path
+from starledger.session import scratch_path, store
 from starledger.sources.files import write_sized
 from starledger.sources.schemas import ASSISTANCE, CONTRACT, EDUCATION_COLUMNS, OFFICER_NAMES
 
@@ -99,17 +99,18 @@ def b2s_year_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 def silver_transactions(spark: SparkSession, sf: str) -> DataFrame:
     """Silver-shaped rows of both families with agencies, places and officers."""
-    txn = roles.transactions(spark, sf, customer=True, supplier=True)
-    txn = txn.withColumns({
+    txn = roles.transactions(spark, sf, customer=True, supplier=True, officers=True)
+    return txn.withColumns({
         "recipient_state_code": F.substring("awarding_agency_name", 1, 2),
         "recipient_state_name": F.col("awarding_agency_name"),
         "prime_award_transaction_place_of_performance_state_fips_code": F.lpad("funding_agency_code", 2, "0"),
         "primary_place_of_performance_state_name": F.col("funding_agency_name")})
-    return txn.join(roles.officer_slots(spark, sf), "transaction_unique_key")
 
 
 def gold_e8(spark: SparkSession, sf: str) -> dict:
-    silver = silver_transactions(spark, sf)
+    # silver lies on storage, as in the job: every dimension and both
+    # families read their columns of it
+    silver = store(silver_transactions(spark, sf), "silver-transactions")
     return gold_transactions(silver.where(F.col("award_type") == "assistance"),
                              silver.where(F.col("award_type") == "contract"))
 

@@ -19,11 +19,12 @@ Mapping (same text in the oracle SQL):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Event types of the driver's events table, sorted.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+OFFICER_SLOTS = [f"highly_compensated_officer_{i}_name" for i in range(1, 6)]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,15 +55,28 @@ def district_of(name_src: Column, number_src: Column, modulus: int) -> Column:
 
 
 def transactions(spark: SparkSession, sf: str, customer: bool = False, supplier: bool = False,
-                 part: bool = False, orders: bool = True) -> DataFrame:
+                 part: bool = False, orders: bool = True, officers: bool = False) -> DataFrame:
     """The conformed transaction role (silver-like, typed).  ``orders=False``
     leaves out the order's columns, and the join with orders (every line
-    has one), unless the customer, reached through it, is asked for."""
+    has one), unless the customer, reached through it, is asked for.
+
+    ``officers``: joined with :func:`officer_slots` by transaction key.  A
+    key begins with its order, so that join is one by order with each row
+    as often as lines share its key: all on lines dealt by order once."""
     df = table(spark, sf, "lineitem")
     orders = orders or customer
+    if officers:
+        shared = Window.partitionBy("l_orderkey", txn_key())
+        df = df.where(F.col("l_orderkey").isNotNull()).repartition("l_orderkey").withColumn(
+            "_lines", F.count(F.lit(1)).over(shared))
+        df = df.join(order_officers(spark, sf), "l_orderkey")
     if orders:
         od = table(spark, sf, "orders")
-        df = df.join(od, df["l_orderkey"] == od["o_orderkey"])
+        if customer:    # a customer belongs to the order: joined before its lines
+            cu = table(spark, sf, "customer")
+            na = table(spark, sf, "nation").select(F.col("n_nationkey").alias("_cn"), F.col("n_name").alias("_cnn"))
+            od = od.join(cu, od["o_custkey"] == cu["c_custkey"]).join(na, F.col("c_nationkey") == F.col("_cn"))
+        df = df.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
     cols = [
         txn_key().alias("transaction_unique_key"),
         s("l_orderkey").alias("award_unique_key"),
@@ -84,9 +98,6 @@ def transactions(spark: SparkSession, sf: str, customer: bool = False, supplier:
             .alias("prime_award_transaction_place_of_performance_cd_original"),
         ]
     if customer:
-        cu = table(spark, sf, "customer")
-        na = table(spark, sf, "nation").select(F.col("n_nationkey").alias("_cn"), F.col("n_name").alias("_cnn"))
-        df = df.join(cu, df["o_custkey"] == cu["c_custkey"]).join(na, F.col("c_nationkey") == F.col("_cn"))
         cols += [s("c_nationkey").alias("awarding_agency_code"), F.col("_cnn").alias("awarding_agency_name"),
                  F.col("c_name").alias("recipient_name_raw"),
                  F.lpad(s("c_nationkey"), 5, "0").alias("prime_award_transaction_recipient_county_fips_code"),
@@ -104,20 +115,25 @@ def transactions(spark: SparkSession, sf: str, customer: bool = False, supplier:
         df = df.join(pa, df["l_partkey"] == pa["p_partkey"])
         cols += [F.col("p_brand").alias("naics_code"),
                  F.when(F.col("p_type") != "ECONOMY", F.col("p_type")).alias("naics_description")]
+    if officers:
+        df = df.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_lines"))))
+        cols += OFFICER_SLOTS
     return df.select(*cols)
 
 
-def officer_slots(spark: SparkSession, sf: str) -> DataFrame:
-    """Per transaction, the five officer names of its order."""
+def order_officers(spark: SparkSession, sf: str) -> DataFrame:
+    """Per order, the five officer names (min per slot)."""
     li = table(spark, sf, "lineitem")
     su = table(spark, sf, "supplier")
     named = li.join(su, li["l_suppkey"] == su["s_suppkey"])
-    slots = named.groupBy("l_orderkey").agg(*[
-        F.min(F.when(F.col("l_linenumber") == i, F.col("s_name"))).alias(f"highly_compensated_officer_{i}_name")
-        for i in range(1, 6)])
-    return li.join(slots, "l_orderkey").select(
-        txn_key().alias("transaction_unique_key"),
-        *[f"highly_compensated_officer_{i}_name" for i in range(1, 6)])
+    return named.groupBy("l_orderkey").agg(*[
+        F.min(F.when(F.col("l_linenumber") == i, F.col("s_name"))).alias(slot) for i, slot in enumerate(OFFICER_SLOTS, 1)])
+
+
+def officer_slots(spark: SparkSession, sf: str) -> DataFrame:
+    """Per transaction, the five officer names of its order."""
+    return table(spark, sf, "lineitem").join(order_officers(spark, sf), "l_orderkey").select(
+        txn_key().alias("transaction_unique_key"), *OFFICER_SLOTS)
 
 
 def house_results(spark: SparkSession, sf: str) -> DataFrame:
