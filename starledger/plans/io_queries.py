@@ -15,7 +15,7 @@ from starledger.plans.queries import register
 from starledger.plans.job_queries import silver_contract
 from starledger.plans.jobs.gold import gold_contracts
 from starledger.plans.jobs.runs import DIM_ROWS_PER_FILE
-from starledger.session import drop_path, run_concurrently, scratch_path
+from starledger.session import drop_path, run_concurrently, scratch_path, store
 from starledger.sources.files import (
     load_csv, read_if_exists, read_layer, read_year, sql_over, write_csv_years, write_layer, write_sized,
 )
@@ -63,9 +63,12 @@ def publish_versioned(spark: SparkSession, sf: str) -> DataFrame:
     version, then those of all years with the contract fact as the next:
     what the views hold, and whether the version before held it, too (S13,
     E10)."""
-    txn = roles.transactions(spark, sf, customer=True, supplier=True)
+    # silver lies on storage, as in the job: each dimension of each version reads its columns of it
+    txn = store(roles.transactions(spark, sf, customer=True, supplier=True).select(
+        "action_date", "awarding_agency_code", "awarding_agency_name", "funding_agency_code", "funding_agency_name",
+        "recipient_uei", "recipient_name_raw"), "silver-transactions")
     base = scratch_path(spark, "versions")
-    silver = silver_contract(spark, sf)
+    silver = store(silver_contract(spark, sf), "silver-contract")
     loads = []
     for n, part in enumerate((F.col("action_date") < "1997-01-01", F.lit(True))):
         rows = txn.where(part)
