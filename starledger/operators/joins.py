@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starledger.functions.scalars import date_key
+from starledger.session import store
 from starledger.sources.schemas import BROADCAST_MAX_BYTES
 
 
@@ -82,24 +83,24 @@ def lookup_roles_unpivot(fact: DataFrame, dim: DataFrame, roles: dict, row_key,
 
     Instead of one fact-sized join per role, the narrow (row, role, value)
     triples are joined once and regrouped, then attached to the fact with
-    one join.  Rows are identified by ``row_key`` *plus* the role values,
-    so the result is exact even when the key repeats, and the join back
-    stays spread out as long as the key is nearly unique."""
-    row_key = [row_key] if isinstance(row_key, str) else list(row_key)
+    one join.  The fact is computed once and stored with a number per row:
+    8 bytes tell the rows apart in every shuffle, exactly and evenly
+    spread, also where ``row_key``, the fact's own key, repeats or is
+    null."""
+    missing = [c for c in ([row_key] if isinstance(row_key, str) else row_key) if c not in fact.columns]
+    if missing:
+        raise ValueError(f"the fact lacks its key columns {missing}")
     names = list(roles)
-    ident = row_key + [n for n in names if n not in row_key]
-    tuples = fact.select(*[_q(c) for c in ident]).distinct()
-    triples = tuples.select(*[_q(c) for c in ident], F.explode(F.array(*[
+    fact = store(fact.withColumn("_row", F.monotonically_increasing_id()), "unpivot-fact")
+    triples = fact.select("_row", F.explode(F.array(*[
         F.struct(F.lit(i).alias("_role"), _q(c).alias("_v")) for i, c in enumerate(names)
-    ])).alias("_t")).select(*ident, "_t._role", "_t._v").where(F.col("_v").isNotNull())
+    ])).alias("_t")).select("_row", "_t._role", "_t._v").where(F.col("_v").isNotNull())
     coded = triples.join(_one_code(dim, dim_on, dim_key, unique), "_v")
-    wide = coded.groupBy(*ident).agg(*[
+    wide = coded.groupBy("_row").agg(*[
         F.max(F.when(F.col("_role") == i, F.col("_code"))).alias(roles[c]) for i, c in enumerate(names)
     ])
-    wide = wide.select(*[_q(c).alias(f"_id{i}") for i, c in enumerate(ident)], *[roles[c] for c in names])
-    cond = reduce(lambda a, b: a & b, [fact[f"`{c}`"].eqNullSafe(wide[f"_id{i}"]) for i, c in enumerate(ident)])
-    out = fact.join(wide, cond, "left").drop(*[f"_id{i}" for i in range(len(ident))])
-    return out.drop(*names) if drop_natural else out
+    kept = fact.drop(*names) if drop_natural else fact      # before the join: not shuffled
+    return kept.join(wide, "_row", "left").drop("_row")
 
 
 def date_key_roles(fact: DataFrame, roles: dict, begin=None, end=None,

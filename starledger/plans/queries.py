@@ -183,7 +183,8 @@ OFFICER_ROLES = {f"highly_compensated_officer_{i}_name": f"highly_compensated_of
 
 
 def _officer_dim(spark: SparkSession, sf: str):
-    slots = roles.officer_slots(spark, sf)
+    # every line of an order has the same officers
+    slots = roles.order_officers(spark, sf).where(F.col("l_orderkey").isNotNull())
     names = build_role_dim(slots, [[f"highly_compensated_officer_{i}_name"] for i in range(1, 6)], ["hco_name"])
     return dense_key_sized(names, ["hco_name"], "hco_code")
 

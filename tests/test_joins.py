@@ -82,3 +82,13 @@ def test_unpivot_lookup_is_exact_with_repeated_row_keys(spark):
                                  "k string, n1 string, n2 string")
     out = lookup_roles_unpivot(fact, _dim(spark), {"n1": "c1", "n2": "c2"}, "k", "name", "code")
     assert rows(out.select("k", "c1", "c2")) == [("t1", 1, 2), ("t1", 3, None), ("t2", None, None)]
+
+
+def test_unpivot_lookup_computes_the_fact_once_and_shuffles_row_numbers(spark, tmp_path):
+    spark.createDataFrame([("t1", "a", "b"), ("t1", "a", "b"), (None, "c", None), (None, None, None)],
+                          "k string, n1 string, n2 string").write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    out = lookup_roles_unpivot(fact, _dim(spark), {"n1": "c1", "n2": "c2"}, "k", "name", "code")
+    assert not any(str(tmp_path) in f for f in out.inputFiles())
+    assert "hashpartitioning(k" not in out._jdf.queryExecution().executedPlan().toString()
+    assert rows(out.select("k", "c1", "c2")) == [("t1", 1, 2), ("t1", 1, 2), (None, 3, None), (None, None, None)]
