@@ -41,11 +41,19 @@ def _sort_exprs(df: DataFrame, order) -> list[Column]:
     return exprs
 
 
+def _width(columns) -> Column:
+    return sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in columns), F.lit(8))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows (one pass), to check a broadcast."""
+    return df.agg(F.sum(_width(df.columns)).alias("bytes")).first()["bytes"] or 0
+
+
 def _range_offsets(ranged: DataFrame, columns) -> tuple[list[tuple[int, int]], int]:
     """(range, offset) of each range, and the bytes of all rows.  One row
     per range is all this algorithm brings to the driver."""
-    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in columns), F.lit(8))
-    sizes = ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes"))
+    sizes = ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("rows"), F.sum(_width(columns)).alias("bytes"))
     offsets, total, size = [], 0, 0
     for r in sorted(sizes.collect(), key=lambda r: r[_RANGE]):
         offsets.append((r[_RANGE], total))

@@ -98,8 +98,10 @@ def b2s_year_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    """Silver-shaped rows of both families with agencies, places and officers."""
-    txn = roles.transactions(spark, sf, customer=True, supplier=True, officers=True)
+    """Silver-shaped rows of both families with agencies, places and officers.
+    They lie on storage, as in the job: every dimension and both families
+    read their columns of them.  Texts made of other columns are not stored."""
+    txn = store(roles.transactions(spark, sf, customer=True, supplier=True, officers=True), "silver-transactions")
     return txn.withColumns({
         "recipient_state_code": F.substring("awarding_agency_name", 1, 2),
         "recipient_state_name": F.col("awarding_agency_name"),
@@ -108,9 +110,7 @@ def silver_transactions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_e8(spark: SparkSession, sf: str) -> dict:
-    # silver lies on storage, as in the job: every dimension and both
-    # families read their columns of it
-    silver = store(silver_transactions(spark, sf), "silver-transactions")
+    silver = silver_transactions(spark, sf)
     return gold_transactions(silver.where(F.col("award_type") == "assistance"),
                              silver.where(F.col("award_type") == "contract"))
 

@@ -22,6 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starledger.operators.keys import measured_bytes
+from starledger.sources.schemas import BROADCAST_MAX_BYTES
+
 # Event types of the driver's events table, sorted.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 OFFICER_SLOTS = [f"highly_compensated_officer_{i}_name" for i in range(1, 6)]
@@ -63,15 +66,14 @@ def transactions(spark: SparkSession, sf: str, customer: bool = False, supplier:
     ``officers``: joined with :func:`officer_slots` by transaction key.  A
     key begins with its order, so that join is one by order with each row
     as often as lines share its key: all on lines dealt by order once."""
-    df = table(spark, sf, "lineitem")
+    df = table(spark, sf, "lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
     orders = orders or customer
+    small = officers and measured_bytes(
+        table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")) <= BROADCAST_MAX_BYTES
     if officers:
-        shared = Window.partitionBy("l_orderkey", txn_key())
-        df = df.where(F.col("l_orderkey").isNotNull()).repartition("l_orderkey").withColumn(
-            "_lines", F.count(F.lit(1)).over(shared))
-        df = df.join(order_officers(spark, sf), "l_orderkey")
+        df = with_officers(df, supplier_names(spark, sf), small)
     if orders:
-        od = table(spark, sf, "orders")
+        od = table(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
         if customer:    # a customer belongs to the order: joined before its lines
             cu = table(spark, sf, "customer")
             na = table(spark, sf, "nation").select(F.col("n_nationkey").alias("_cn"), F.col("n_name").alias("_cnn"))
@@ -105,7 +107,7 @@ def transactions(spark: SparkSession, sf: str, customer: bool = False, supplier:
     if supplier:
         su = table(spark, sf, "supplier")
         na = table(spark, sf, "nation").select(F.col("n_nationkey").alias("_sn"), F.col("n_name").alias("_snn"))
-        df = df.join(su, df["l_suppkey"] == su["s_suppkey"]).join(na, F.col("s_nationkey") == F.col("_sn"))
+        df = df.join(F.broadcast(su) if small else su, df["l_suppkey"] == su["s_suppkey"]).join(na, F.col("s_nationkey") == F.col("_sn"))
         cols += [s("s_nationkey").alias("funding_agency_code"), F.col("_snn").alias("funding_agency_name"),
                  F.lpad(s("s_nationkey"), 5, "0")
                  .alias("prime_award_transaction_place_of_performance_county_fips_code"),
@@ -121,6 +123,30 @@ def transactions(spark: SparkSession, sf: str, customer: bool = False, supplier:
     return df.select(*cols)
 
 
+def supplier_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Per supplier key, the smallest name."""
+    return table(spark, sf, "supplier").where(F.col("s_suppkey").isNotNull()).groupBy(
+        F.col("s_suppkey").alias("_supplier")).agg(F.min("s_name").alias("_name"))
+
+
+def with_officers(lines: DataFrame, names: DataFrame, small: bool) -> DataFrame:
+    """Lines with the officer names of their order (min per slot) and
+    ``_lines``, how many share their transaction key; lines of an order
+    without any known supplier go.  One shuffle and one sort by order serve
+    all of it.  ``small``: the suppliers' bytes were checked; names are broadcast
+    to lines already dealt, else joined before, on narrow rows."""
+    def named(df):
+        return df.join(F.broadcast(names) if small else names, F.col("l_suppkey") == F.col("_supplier"), "left")
+
+    lines = lines.where(F.col("l_orderkey").isNotNull())
+    dealt = named(lines.repartition("l_orderkey")) if small else named(lines).repartition("l_orderkey")
+    order = Window.partitionBy("l_orderkey")
+    found = dealt.withColumn("_lines", F.count(F.lit(1)).over(Window.partitionBy("l_orderkey", txn_key()))).withColumns({
+        "_known": F.count("_supplier").over(order),
+        **{slot: F.min(F.when(F.col("l_linenumber") == i, F.col("_name"))).over(order) for i, slot in enumerate(OFFICER_SLOTS, 1)}})
+    return found.where(F.col("_known") > 0).drop("_known", "_supplier", "_name")
+
+
 def order_officers(spark: SparkSession, sf: str) -> DataFrame:
     """Per order, the five officer names (min per slot)."""
     li = table(spark, sf, "lineitem")

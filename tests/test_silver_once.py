@@ -53,3 +53,28 @@ def test_publish_reads_the_driver_tables_once(spark, tables, monkeypatch):
     monkeypatch.setattr(io_queries, "gold_contracts", lambda df, **kw: seen.append(df.inputFiles()) or contracts(df, **kw))
     io_queries.publish_versioned(spark, tables)
     assert len(seen) == 3 and not any("lineitem.parquet" in f for files in seen for f in files)
+
+
+def _scans(df, column):
+    """File scans in the plan that read ``column``."""
+    plan = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(any(plan.apply(i).output().apply(k).name() == column for k in range(plan.apply(i).output().size()))
+               for i in range(plan.size()))
+
+
+@pytest.mark.parametrize("limit", [roles.BROADCAST_MAX_BYTES, 0])
+def test_officers_take_lines_once_with_suppliers_broadcast_or_not(spark, tables, monkeypatch, limit):
+    monkeypatch.setattr(roles, "BROADCAST_MAX_BYTES", limit)
+    want = roles.transactions(spark, tables, customer=True, supplier=True).join(
+        roles.officer_slots(spark, tables), "transaction_unique_key")
+    got = roles.transactions(spark, tables, customer=True, supplier=True, officers=True)
+    assert rows(got) == rows(want)
+    assert _scans(got, "l_orderkey") == 1
+    hints = got._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast")
+    assert hints == (2 if limit else 0)
+
+
+def test_silver_stores_no_texts_made_of_other_columns(spark, tables):
+    silver = job_queries.silver_transactions(spark, tables)
+    stored = spark.read.parquet(*silver.inputFiles()).columns
+    assert "recipient_state_name" in silver.columns and "recipient_state_name" not in stored
